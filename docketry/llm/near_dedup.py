@@ -4,9 +4,10 @@ Each document's 5-word shingles give minwise values; a tree is one sorted order
 own run of these values. Documents that agree on a tree's first ``depth`` values form a region of that
 order. In a region the candidates are the neighbours with the longest common prefix; a large region is
 ordered in blocks by further values (the adaptive depth), each block tied to the region's first document.
-Candidates are confirmed on full shingle sets. Last, pairs of a region that are still in different
-components are compared too, so that no pair which shares a region is left out; with 32 trees of depth 4
-a pair of likeness 0.75 shares none with a chance of about 5 in a million.
+Candidates are confirmed on full shingle sets. Last, documents of a region that are still in different
+components are compared too, all that can be alike by their rarest shingles, so that no pair which shares
+a region is left out; with 32 trees of depth 4 a pair of likeness 0.75 shares none with a chance of about
+5 in a million.
 """
 
 from __future__ import annotations
@@ -118,17 +119,11 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     rest = _across(near.select("a", "b"), found)
     links = stored(links.unionByName(_confirmed(rest.join(best, ["a", "b"], "left_anti"), texts, threshold)), "links")
     found = stored(components(links), "components")
-    # What shares a region and is not joined yet, each pair once.
+    # What shares a region and is not joined yet.
     member = members.select("region", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
-    member = stored(member.join(mixed, "region", "left_semi"), "unjoined")
-    other = member.select("region", F.col("doc_id").alias("other"), F.col("component").alias("other_component"))
-    left = (
-        member.join(other, (member["region"] == other["region"]) & (F.col("component") < F.col("other_component")))
-        .select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b"))
-        .distinct()
-        .join(near.select("a", "b"), ["a", "b"], "left_anti")
-    )
+    apart = stored(member.join(mixed, "region", "left_semi").select("doc_id", "component").distinct(), "apart")
+    left = _by_rare_shingles(apart, texts, threshold).join(near.select("a", "b"), ["a", "b"], "left_anti")
     links = links.unionByName(_confirmed(left, texts, threshold))
     found = components(links)
     classed = one.join(classes, ["n_shingles", "d1", "d2"], "left").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
@@ -136,6 +131,42 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     return classed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def _by_rare_shingles(apart: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of ``apart`` in different components that can still be alike, by necessary conditions
+    only: with the shingles of each set in order of rarity, two alike sets share one among the first few,
+    and what follows its first place must suffice for the overlap that they need."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [s.view(np.int64) for s in shingle_sets(utf8(batch["text"]))]})
+
+    each = texts.join(apart, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(sets, "doc_id long, shingles array<long>")
+    each = stored(each, "sets").select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = (
+        each.join(common, "shingle")
+        .groupBy("doc_id", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+        # Shingles of no other set come first of all.
+        .withColumn("alone", F.col("n") - F.size("shared"))
+    )
+    probing = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+    held = F.col("n") - F.ceil(F.col("n") * 2 * threshold / (100 + threshold)) + 1
+
+    def first(length) -> DataFrame:
+        cut = ranked.join(apart, "doc_id").withColumn("shared", F.slice("shared", 1, F.greatest(F.lit(0), (length - F.col("alone")).cast("int"))))
+        return cut.select("doc_id", "component", "n", "alone", F.posexplode("shared").alias("at", "x")).select(
+            F.col("x.shingle").alias("shingle"), "doc_id", "component", "n", (F.col("alone") + F.col("at")).alias("at")
+        )
+
+    x = first(probing)
+    y = first(held).select("shingle", F.col("doc_id").alias("doc_y"), F.col("component").alias("component_y"), F.col("n").alias("n_y"), F.col("at").alias("at_y"))
+    smaller = (F.col("n_y") < F.col("n")) | ((F.col("n_y") == F.col("n")) & (F.col("doc_y") < F.col("doc_id")))
+    enough = (100 + threshold) * F.least(F.col("n") - F.col("at"), F.col("n_y") - F.col("at_y")) >= threshold * (F.col("n") + F.col("n_y"))
+    met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("component") != F.col("component_y")) & smaller & enough)
+    return met.select(F.greatest("doc_id", "doc_y").alias("a"), F.least("doc_id", "doc_y").alias("b")).distinct()
+
+
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """pairs (a, b) whose ends are in different components."""
     for end in ("a", "b"):
