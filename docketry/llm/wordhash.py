@@ -77,15 +77,17 @@ def slices(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]
         yield begin, len(texts)
 
 
-def words(texts: list[bytes], separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words with A-Z lower-cased, and for text i its words' range bounds[i]:bounds[i + 1]."""
+def words(texts: list[bytes], separators: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, or of their first ``most`` bytes, with A-Z lower-cased, and for text i its words'
+    range bounds[i]:bounds[i + 1]."""
     data = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~separators[data]
     edge = np.diff(inside)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     firsts = np.cumsum([0, *(len(x) + 1 for x in texts)])
-    return Spans(data).hash(start, end), np.searchsorted(start, firsts)
+    hashed = Spans(data).hash(start, end if most is None else np.minimum(end, start + most))
+    return hashed, np.searchsorted(start, firsts)
 
 
 _STEP = mix(np.arange(101, 101 + 64, dtype=U)) | U(1)
