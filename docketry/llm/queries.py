@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docketry.llm import licences as licence_scan
 from docketry.llm.decontaminate import contamination
 from docketry.llm.near_dedup import near_duplicates
 from docketry.llm.packing import pack
+from docketry.llm.quality import quality
+from docketry.llm.toxicity import toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -23,6 +26,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.licences(_read(spark, sf_dir, "documents"), licence_scan.known_notices(spark))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("items")
 
@@ -31,7 +42,14 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
@@ -39,7 +57,29 @@ QUERIES = {
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), '(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
+    for other, usual in licence_scan.SPELLINGS:
+        # RE2 has no look-ahead: the character after the spelling is kept.
+        plain = f"regexp_replace({plain}, '\\b{other.replace('.', chr(92) + '.')}([^a-z]|$)', '{usual}\\1', 'g')"
+    return f"trim(regexp_replace({plain}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' ')"
+
+
+_NOTICES_SQL = ", ".join("('{}', '{}')".format(licence, notice.replace("'", "''")) for licence, notice in licence_scan.NOTICES)
+
 ORACLE_SQL = {
+    "op3_license_scan": f"""
+WITH known AS (
+  SELECT digest, min(licence) AS licence FROM (SELECT licence, sha256({_canonical_sql('notice')}) AS digest FROM (VALUES {_NOTICES_SQL}) v(licence, notice)) GROUP BY digest),
+parts AS (
+  SELECT doc_id, true AS whole, coalesce(text, '') AS part FROM documents
+  UNION ALL SELECT doc_id, false, part FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents WHERE contains(text, chr(10)))
+  WHERE length(part) BETWEEN 1 AND {licence_scan.LONGEST_NOTICE})
+SELECT doc_id, count(licence) AS n_matches, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences,
+  coalesce(bool_or(whole AND licence IS NOT NULL), false) AS whole
+FROM (SELECT doc_id, whole, sha256({_canonical_sql('part')}) AS digest FROM parts) p LEFT JOIN known USING (digest) GROUP BY doc_id""",
     "op5_decontamination": rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
