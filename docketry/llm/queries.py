@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docketry.llm import licences as licence_scan
+from docketry.llm.chat import repaired
 from docketry.llm.decontaminate import contamination
+from docketry.llm.fingerprints import fingerprints
 from docketry.llm.near_dedup import near_duplicates
 from docketry.llm.packing import pack
 from docketry.llm.quality import quality
+from docketry.llm.secrets import findings
 from docketry.llm.toxicity import toxicity
 
 
@@ -22,6 +25,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_read(spark, sf_dir, "conversations"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -38,6 +45,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return findings(_read(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -46,7 +57,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op6_secret_scan": op6_secret_scan,
+    "op10_fingerprints": op10_fingerprints,
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_toxicity": op9_toxicity,
