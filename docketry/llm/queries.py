@@ -11,6 +11,7 @@ from docketry.llm.fingerprints import fingerprints
 from docketry.llm.near_dedup import near_duplicates
 from docketry.llm.packing import pack
 from docketry.llm.quality import quality
+from docketry.llm.repeats import repeats
 from docketry.llm.secrets import findings
 from docketry.llm.toxicity import toxicity
 
@@ -49,6 +50,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings(_read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(_read(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op10_fingerprints": op10_fingerprints,
     "op3_license_scan": op3_license_scan,
