@@ -1,4 +1,801 @@
 """All registered queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from docketry.functions import citations as cite
+from docketry.functions import html as page
+from docketry.functions import text as txt
+from docketry.operators import search as index
+from docketry.operators import selection as sel
+from docketry.operators import similarity as sim
+from docketry.operators import tables as tab
+from docketry.operators import vectors as vec
+from docketry.operators import windows as win
+from docketry.plans.fixtures import view, with_views
+from docketry.sources import files
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+NOT_WHITE = r"[^ \t\n\r]+"
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of (read, spark), where read(name) gives a table or a derived view."""
+
+    def register(build: Callable[..., DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(lambda t: view(spark, sf_dir, t) if t.endswith("_v") else spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+
+        QUERIES[name] = run
+        if sql:
+            ORACLE_SQL[name] = with_views(sql)
+        return build
+
+    return register
+
+
+c = F.col
+
+
+# ---- scans, sources, sinks
+
+
+@query("a1_table_scan", "SELECT doc_id, lang, source, n_chars FROM documents")
+def _(read):
+    return read("documents").select("doc_id", "lang", "source", "n_chars")
+
+
+@query("a2_run_query", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) IN (1993, 1995)")
+def _(read):
+    return files.run_query(read("orders"), "SELECT o_orderkey, o_orderpriority FROM {df} WHERE o_orderstatus = :status AND array_contains(:years, year(o_orderdate))", {"status": "F", "years": F.array(F.lit(1993), F.lit(1995))})
+
+
+@query("a4_bodies_by_key", "SELECT doc_id, coalesce(html, '') AS body FROM documents LEFT JOIN pages ON page_id = doc_id")
+def _(read):
+    bodies = read("pages").select(F.concat(F.lit("s3://bucket/pages/"), c("page_id")).alias("path"), c("html").alias("body"))
+    keyed = bodies.withColumn("key", txt.strip_bucket(c("path")))
+    wanted = read("documents").select("doc_id", F.concat(F.lit("pages/"), c("doc_id")).alias("key"))
+    return wanted.join(keyed, "key", "left").select("doc_id", F.coalesce("body", F.lit("")).alias("body"))
+
+
+@query("a5_list_sections", "SELECT source_id, array_to_string(list(section_id ORDER BY section_id), ',') AS ids FROM (SELECT DISTINCT source_id, section_id FROM sections_v WHERE role <> 'system') GROUP BY source_id")
+def _(read):
+    names = read("sections_v").select("source_id", F.concat(F.when(c("role") == "system", "other_").otherwise("miniviewer_"), c("section_id"), F.lit(".txt")).alias("name"))
+    ids = names.select("source_id", F.regexp_extract("name", r"^miniviewer_(\d+)\.txt$", 1).alias("id")).where("id <> ''")
+    return ids.groupBy("source_id").agg(F.array_join(F.array_sort(F.collect_set(c("id").cast("int"))), ",").alias("ids"))
+
+
+@query("a6_content_complete", "SELECT source_id, CASE WHEN count(*) FILTER (WHERE name IN ('excerpt.html', 'miniviewer.html', 'summary.html') AND size > 0) = 3 THEN 'pass' ELSE 'failed' END AS status_content FROM inventory_v GROUP BY source_id")
+def _(read):
+    return files.content_complete(read("inventory_v"), ["excerpt.html", "miniviewer.html", "summary.html"])
+
+
+@query("a10_record_json", """SELECT o_orderkey, concat('{"id":', o_orderkey, CASE WHEN o_orderstatus = 'O' THEN '' ELSE concat(',"status":"', o_orderstatus, '"') END, ',"date":"', strftime(o_orderdate, '%Y-%m-%d'), '","kind":"order"}') AS record FROM orders""")
+def _(read):
+    record = files.record_json(c("o_orderkey").alias("id"), F.when(c("o_orderstatus") != "O", c("o_orderstatus")).alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("order").alias("kind"))
+    return read("orders").select("o_orderkey", record.alias("record"))
+
+
+@query("a12_row_text", "SELECT c_custkey, concat('Row ', c_custkey, ': c_name=', c_name, ', c_mktsegment=', c_mktsegment) AS line FROM customer")
+def _(read):
+    return read("customer").select("c_custkey", files.row_text(["c_name", "c_mktsegment"], c("c_custkey")).alias("line"))
+
+
+@query("a15_vector_rows", "SELECT label, count(*) AS vectors, CAST(sum(len(embedding)) AS BIGINT) AS numbers FROM embeddings GROUP BY label")
+def _(read):
+    return read("embeddings").groupBy("label").agg(F.count("*").alias("vectors"), F.sum(F.size("embedding").cast("long")).alias("numbers"))
+
+
+@query("a16_resolve_artifact", "SELECT source_id, CASE WHEN bool_or(name = 'juriscontent.html') THEN 'juriscontent.html' ELSE 'miniviewer.html' END AS name FROM inventory_v WHERE name IN ('juriscontent.html', 'miniviewer.html') GROUP BY source_id")
+def _(read):
+    return files.resolve_artifact(read("inventory_v"), ["juriscontent.html", "miniviewer.html"])
+
+
+@query("a17_site_rows", r"SELECT url AS base_url, 'pending' AS crawl_status, concat(replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '^www\.', ''), '.', '_'), '.txt') AS robots_file_name, concat(replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '^www\.', ''), '.', '_'), '.xml') AS sitemap_file_name FROM pages")
+def _(read):
+    robots, sitemap = txt.derived_names(c("url"))
+    return read("pages").select(c("url").alias("base_url"), F.lit("pending").alias("crawl_status"), robots.alias("robots_file_name"), sitemap.alias("sitemap_file_name"))
+
+
+# ---- work selection
+
+_LEFT = "FROM registry_v r LEFT JOIN status_v s USING (source_id)"
+_NEW = "(s.status_text_processor IS NULL AND s.status_step IS NULL AND NOT EXISTS (SELECT 1 FROM status_v z WHERE z.source_id = r.source_id))"
+
+
+@query("b1_pending_text", f"SELECT r.source_id, r.year {_LEFT} WHERE jurisdiction_code = 'NSW' AND ({_NEW} OR status_step <> 'pass')")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", jurisdictions=["NSW"]).select("source_id", "year")
+
+
+@query("b2_pending_text_leg", f"SELECT r.source_id, r.year {_LEFT} WHERE status_registration = 'pass' AND status_content_download = 'pass' AND ({_NEW} OR status_step <> 'pass')")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", required=["status_registration", "status_content_download"]).select("source_id", "year")
+
+
+@query("b3_pending_html", f"SELECT r.source_id {_LEFT} WHERE status_content_download = 'pass' AND ({_NEW} OR status_step IS NULL OR status_step <> 'pass')")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", required=["status_content_download"], null_is_pending=True).select("source_id")
+
+
+@query("b4_pending_links", f"SELECT r.source_id {_LEFT} WHERE year IN (2003, 2010) AND jurisdiction_code IN ('VIC', 'QLD', 'NSW') AND (status_step IS NULL OR status_step <> 'pass')")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", years=[2003, 2010], jurisdictions=["VIC", "QLD", "NSW"], null_is_pending=True).select("source_id")
+
+
+@query("b5_pending_metadata", f"SELECT r.source_id, coalesce(status_text_processor, 'pending') AS text_status, coalesce(status_step, 'pending') AS step_status {_LEFT} WHERE {_NEW} OR status_text_processor <> 'pass' OR status_step <> 'pass'")
+def _(read):
+    joined = read("registry_v").join(read("status_v").withColumn("has", F.lit(True)), "source_id", "left")
+    kept = joined.where(c("has").isNull() | (c("status_text_processor") != "pass") | (c("status_step") != "pass"))
+    return kept.select("source_id", F.coalesce("status_text_processor", F.lit("pending")).alias("text_status"), F.coalesce("status_step", F.lit("pending")).alias("step_status"))
+
+
+@query("b6_pending_metadata_leg", f"SELECT r.source_id {_LEFT} WHERE {_NEW} OR status_step IN ('not started', 'failed')")
+def _(read):
+    joined = read("registry_v").join(read("status_v").withColumn("has", F.lit(True)), "source_id", "left")
+    return joined.where(c("has").isNull() | c("status_step").isin("not started", "failed")).select("source_id")
+
+
+@query("b7_pending_embedding", rf"SELECT d.doc_id AS source_id FROM documents d JOIN status_v s ON s.source_id = d.doc_id WHERE status_text_processor = 'pass' AND (status_step IS NULL OR status_step <> 'pass') AND len(regexp_extract_all(text, '{NOT_WHITE}')) >= 5")
+def _(read):
+    words = read("documents").select(c("doc_id").alias("source_id"), txt.word_count(c("text")).alias("count_word"))
+    return sel.pending(words, read("status_v"), "status_step", required=["status_text_processor"], missing_row_is_pending=False, null_is_pending=True).where("count_word >= 5").select("source_id")
+
+
+@query("b8_pending_views", "SELECT s.source_id FROM status_v s JOIN registry_v r USING (source_id) WHERE year = 2004 AND status_text_processor = 'pass' AND status_step <> 'pass'")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", years=[2004], required=["status_text_processor"], missing_row_is_pending=False).select("source_id")
+
+
+@query("b9_pending_sections", "SELECT r.source_id FROM registry_v r JOIN status_v s USING (source_id) WHERE status_text_processor = 'pass' AND (status_step IS NULL OR status_step <> 'pass')")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", required=["status_text_processor"], missing_row_is_pending=False, null_is_pending=True).select("source_id")
+
+
+@query("b10_pending_index", "SELECT r.source_id, coalesce(status_step, 'not started') AS current_status, n_chars AS count_char FROM registry_v r JOIN status_v s USING (source_id) LEFT JOIN documents d ON d.doc_id = r.source_id WHERE status_registration = 'pass' AND status_text_processor = 'pass' AND coalesce(status_step, 'not started') <> 'pass'")
+def _(read):
+    found = sel.pending(read("registry_v"), read("status_v"), "status_step", required=["status_registration", "status_text_processor"], missing_row_is_pending=False, null_is_pending=True)
+    metadata = read("documents").select(c("doc_id").alias("source_id"), c("n_chars").alias("count_char"))
+    return found.join(metadata, "source_id", "left").select("source_id", F.coalesce("status_step", F.lit("not started")).alias("current_status"), "count_char")
+
+
+@query("b11_pending_index_leg", "SELECT r.source_id FROM registry_v r JOIN status_v s USING (source_id) WHERE status_registration = 'pass' AND status_content_download = 'pass' AND status_text_processor = 'pass' AND coalesce(status_step, '') <> 'pass'")
+def _(read):
+    return sel.pending(read("registry_v"), read("status_v"), "status_step", required=["status_registration", "status_content_download", "status_text_processor"], missing_row_is_pending=False, null_is_pending=True).select("source_id")
+
+
+@query("b12_where_from_config", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 100000 AND o_orderpriority IN ('1-URGENT', '2-HIGH')")
+def _(read):
+    conditions = [{"column": "o_orderstatus", "operator": "=", "value": "F"}, {"column": "o_totalprice", "operator": ">=", "value": 100000}, {"column": "o_orderpriority", "operator": "IN", "value": ["1-URGENT", "2-HIGH"]}]
+    return sel.where_from_config(read("orders"), conditions).select("o_orderkey")
+
+
+@query("b13_pending_vectors", "SELECT r.source_id, r.year FROM registry_v r JOIN status_v s USING (source_id) WHERE status_step = 'pass'")
+def _(read):
+    return read("registry_v").join(read("status_v").where("status_step = 'pass'"), "source_id").select("source_id", "year")
+
+
+@query("b14_pending_scan", "SELECT source_id FROM status_v WHERE status_step IS NULL OR status_step NOT IN ('pass', 'in_progress')")
+def _(read):
+    return read("status_v").where(c("status_step").isNull() | ~c("status_step").isin("pass", "in_progress")).select("source_id")
+
+
+@query("b15_new_or_failed", "SELECT source_id FROM registry_v WHERE source_id NOT IN (SELECT source_id FROM status_v WHERE status_step = 'pass')")
+def _(read):
+    return sel.new_or_failed(read("registry_v"), read("status_v").where("status_step = 'pass'")).select("source_id")
+
+
+@query("b16_default_domain", "SELECT DISTINCT jurisdiction_code FROM registry_v WHERE jurisdiction_code IS NOT NULL AND jurisdiction_code <> ''")
+def _(read):
+    return sel.default_domain(read("registry_v"), "jurisdiction_code")
+
+
+@query("b17_numeric_only", "SELECT p_partkey FROM part WHERE regexp_matches(regexp_extract(p_brand, '#(.*)', 1), '^[0-9]+$')")
+def _(read):
+    return read("part").where(F.regexp_extract("p_brand", "#(.*)", 1).rlike("^[0-9]+$")).select("p_partkey")
+
+
+@query("b19_bad_source", "SELECT source_id, contains(lower(citation), 'null') AS bad FROM citations_v")
+def _(read):
+    return read("citations_v").select("source_id", sel.bad_source(c("citation")).alias("bad"))
+
+
+@query("b20_validate", "SELECT source_id, concat_ws(', ', CASE WHEN jurisdiction_code IS NULL THEN 'jurisdiction_code' END, CASE WHEN coalesce(status_step, '') = '' THEN 'status_step' END, CASE WHEN book_name IS NULL OR book_name = '' THEN 'book_name' END) AS missing FROM registry_v LEFT JOIN status_v USING (source_id)")
+def _(read):
+    return read("registry_v").join(read("status_v"), "source_id", "left").select("source_id", sel.missing_fields(["jurisdiction_code", "status_step", "book_name"]).alias("missing"))
+
+
+@query("b21_validate_size", "SELECT doc_id, CASE WHEN base = -1 THEN 'missing' WHEN strlen(text) > base THEN 'pass' ELSE 'failed' END AS status_size FROM (SELECT doc_id, text, CASE WHEN doc_id % 9 = 0 THEN -1 ELSE n_chars END AS base FROM documents)")
+def _(read):
+    return read("documents").withColumn("base", F.when(c("doc_id") % 9 == 0, -1).otherwise(c("n_chars"))).select("doc_id", sel.grown(c("text"), c("base")).alias("status_size"))
+
+
+# ---- joins
+
+
+@query("c2_multiway_join", "SELECT c_mktsegment, count(*) AS n, round(sum(l_extendedprice), 2) AS price FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'O' GROUP BY c_mktsegment")
+def _(read):
+    joined = read("lineitem").join(read("orders").where("o_orderstatus = 'O'"), c("l_orderkey") == c("o_orderkey")).join(read("customer"), c("o_custkey") == c("c_custkey"))
+    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+
+
+@query("c4_lookup_name", "SELECT s_suppkey, n_name AS name FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey")
+def _(read):
+    names = read("nation").groupBy(c("n_nationkey").alias("s_nationkey")).agg(F.min_by("n_name", "n_nationkey").alias("name"))
+    return read("supplier").join(names, "s_nationkey", "left").select("s_suppkey", "name")
+
+
+_HREFS = "SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*href=\"([^\"]+)\"', 1)) AS href FROM pages"
+
+
+@query("c5_resolve_links", f"WITH l AS ({_HREFS}), u AS (SELECT url, min(page_id) AS related FROM pages GROUP BY url) SELECT l.page_id, href, CAST(related AS VARCHAR) AS related FROM l LEFT JOIN u ON url = href")
+def _(read):
+    pages = read("pages")
+    links = pages.select("page_id", F.explode(page.hrefs(c("html"))).alias("href"))
+    return links.join(pages.groupBy(c("url").alias("href")).agg(F.min("page_id").alias("related")), "href", "left").select("page_id", "href", c("related").cast("string").alias("related"))
+
+
+@query("c7_existing_under", "WITH k AS (SELECT url, array_to_string(string_split(url, '/')[1:4], '/') AS p FROM pages) SELECT p AS prefix, count(*) AS n FROM k GROUP BY p")
+def _(read):
+    return read("pages").select(F.array_join(F.slice(F.split("url", "/"), 1, 4), "/").alias("prefix")).groupBy("prefix").agg(F.count("*").alias("n"))
+
+
+@query("c8_longest_prefix", "WITH k AS (SELECT code FROM (VALUES ('NSW'), ('NSWS'), ('V'), ('Q'), ('QC'), ('F'), ('FCA'), ('HC'), ('NZ')) v(code)), t AS (SELECT source_id, regexp_extract(citation, '\\] ([A-Za-z]+) ', 1) AS full_code FROM citations_v), d AS (SELECT full_code, max_by(code, length(code)) AS court FROM (SELECT DISTINCT full_code FROM t) JOIN k ON starts_with(full_code, code) GROUP BY full_code) SELECT source_id, full_code, court FROM t LEFT JOIN d USING (full_code)".replace("\\\\", "\\"))
+def _(read):
+    cites = read("citations_v").select("source_id", F.regexp_extract("citation", r"\] ([A-Za-z]+) ", 1).alias("full_code"))
+    known = cites.sparkSession.createDataFrame([(x,) for x in ("NSW", "NSWS", "V", "Q", "QC", "F", "FCA", "HC", "NZ")], "code string")
+    # Only distinct codes meet the list.
+    split = cites.select("full_code").distinct().join(F.broadcast(known), F.startswith("full_code", "code")).groupBy("full_code").agg(F.max_by("code", F.length("code")).alias("court"))
+    return cites.join(split, "full_code", "left").select("source_id", "full_code", "court")
+
+
+@query("c9_match_links", "WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*>([^<]+)</a>', 1)) AS anchor FROM pages), p AS (SELECT page_id, unnest(regexp_extract_all(html, '<p>([^<]+)</p>', 1)) AS para FROM pages) SELECT a.page_id, anchor, count(*) AS n FROM a JOIN p ON a.page_id = p.page_id AND anchor <> '' AND contains(lower(para), lower(anchor)) GROUP BY ALL")
+def _(read):
+    take = lambda pattern, name: read("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias(name))
+    links, items = take("<a[^>]*>([^<]+)</a>", "anchor"), take("<p>([^<]+)</p>", "para")
+    met = links.where("anchor <> ''").join(items, "page_id").where(F.contains(F.lower("para"), F.lower("anchor")))
+    return met.groupBy("page_id", "anchor").agg(F.count("*").alias("n"))
+
+
+# ---- aggregates
+
+
+@query("d1_multi_record", "SELECT title, count(*) AS n FROM versions_v GROUP BY title HAVING count(*) > 1")
+def _(read):
+    return read("versions_v").groupBy("title").agg(F.count("*").alias("n")).where("n > 1")
+
+
+_STATES = "(VALUES ('pass'), ('failed'), ('not started'), ('in_progress')) v(status)"
+
+
+@query("d2_status_summary", f"SELECT v.status, coalesce(n, 0) AS n FROM {_STATES} LEFT JOIN (SELECT coalesce(status_step, 'not started') AS status, count(*) AS n FROM status_v WHERE status_text_processor = 'pass' GROUP BY 1) x ON x.status = v.status")
+def _(read):
+    counted = read("status_v").where("status_text_processor = 'pass'").groupBy(F.coalesce("status_step", F.lit("not started")).alias("status")).agg(F.count("*").alias("n"))
+    states = counted.sparkSession.createDataFrame([(x,) for x in ("pass", "failed", "not started", "in_progress")], "status string")
+    return states.join(counted, "status", "left").select("status", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("d3_prereq_summary", "SELECT CASE WHEN status_registration <> 'pass' OR status_content_download <> 'pass' OR status_text_processor <> 'pass' THEN 'prerequisites_not_met' ELSE coalesce(status_step, 'not started') END AS status, count(*) AS n FROM registry_v LEFT JOIN status_v USING (source_id) GROUP BY 1")
+def _(read):
+    blocked = (c("status_registration") != "pass") | (c("status_content_download") != "pass") | (c("status_text_processor") != "pass")
+    status = F.when(blocked, "prerequisites_not_met").otherwise(F.coalesce("status_step", F.lit("not started")))
+    return read("registry_v").join(read("status_v"), "source_id", "left").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("d4_value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def _(read):
+    return read("events").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("d5_max_version", "SELECT title, CAST(coalesce(max(version), 0) AS BIGINT) AS version FROM versions_v GROUP BY title")
+def _(read):
+    return read("versions_v").groupBy("title").agg(F.coalesce(F.max("version"), F.lit(0)).alias("version"))
+
+
+@query("d6_section_count", "SELECT source_id, count(*) AS sections FROM sections_v GROUP BY source_id")
+def _(read):
+    return read("sections_v").groupBy("source_id").agg(F.count("*").alias("sections"))
+
+
+@query("d7_exists_by_key", "SELECT source_id FROM registry_v WHERE source_id IN (SELECT source_id FROM status_v)")
+def _(read):
+    return read("registry_v").join(read("status_v"), "source_id", "left_semi").select("source_id")
+
+
+@query("d8_mean_vector", "SELECT label, list(m ORDER BY k) AS mean FROM (SELECT label, k, round(avg(x), 6) AS m FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings) GROUP BY label, k) GROUP BY label")
+def _(read):
+    return vec.mean_vector(read("embeddings"), "label", "embedding").select("label", F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+
+
+@query("d9_concat_sections", "SELECT source_id, string_agg(trim(text, ' ' || chr(10)), chr(10) || chr(10) ORDER BY section_id) AS body FROM sections_v WHERE trim(text, ' ' || chr(10)) <> '' GROUP BY source_id")
+def _(read):
+    parts = read("sections_v").withColumn("text", F.btrim("text", F.lit(" \n"))).where("text <> ''")
+    ordered = F.array_sort(F.collect_list(F.struct("section_id", "text")))
+    return parts.groupBy("source_id").agg(F.array_join(F.transform(ordered, lambda s: s["text"]), "\n\n").alias("body"))
+
+
+@query("d10_distinct_sorted", "SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS kinds FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id")
+def _(read):
+    return read("events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))
+
+
+@query("d11_run_counters", "SELECT count(*) FILTER (WHERE status_step = 'pass') AS successes, count(*) FILTER (WHERE status_step = 'failed') AS errors, count(*) FILTER (WHERE status_step IS NULL) AS skipped FROM status_v")
+def _(read):
+    return read("status_v").agg(F.count_if(c("status_step") == "pass").alias("successes"), F.count_if(c("status_step") == "failed").alias("errors"), F.count_if(c("status_step").isNull()).alias("skipped"))
+
+
+@query("d12_cost_rollup", "SELECT source, CAST(sum(n_chars // 4) AS BIGINT) AS tokens, round(sum((n_chars // 4) / 1e6 * 2.5), 6) AS price FROM documents GROUP BY source")
+def _(read):
+    costed = read("documents").withColumn("tokens", txt.est_tokens(c("text")))
+    return costed.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.round(F.sum(txt.token_cost(c("tokens"), 2.5)), 6).alias("price"))
+
+
+@query("d13_batch_outcome", "SELECT CAST(source_id // 100 AS BIGINT) AS batch, bool_or(status_step = 'pass') AS any_passed, bool_and(coalesce(status_step = 'pass', false)) AS all_passed FROM status_v GROUP BY 1")
+def _(read):
+    passed = F.coalesce(c("status_step") == "pass", F.lit(False))
+    return read("status_v").groupBy(F.floor(c("source_id") / 100).alias("batch")).agg(F.bool_or(passed).alias("any_passed"), F.bool_and(passed).alias("all_passed"))
+
+
+@query("d14_assemble_book", "SELECT source_id, string_agg(concat(section_id, ':', role), '|' ORDER BY section_id) AS book FROM sections_v GROUP BY source_id")
+def _(read):
+    items = F.array_sort(F.collect_list(F.struct("section_id", "role")))
+    return read("sections_v").groupBy("source_id").agg(F.array_join(F.transform(items, lambda s: F.concat(s["section_id"], F.lit(":"), s["role"])), "|").alias("book"))
+
+
+@query("d15_heading_counts", "SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<h1[ >]')) AS BIGINT) AS h1 FROM pages")
+def _(read):
+    return read("pages").select("page_id", page.heading_count(c("html")).cast("long").alias("h1"))
+
+
+# ---- windows
+
+
+@query("e1_assign_versions", "SELECT id, CAST(CASE WHEN version IS NOT NULL THEN version ELSE mx + row_number() OVER (PARTITION BY title, version IS NULL ORDER BY start_date, id) END AS BIGINT) AS version FROM (SELECT *, coalesce(max(version) OVER (PARTITION BY title), 0) AS mx, count(*) OVER (PARTITION BY title) AS n FROM versions_v) WHERE n > 1")
+def _(read):
+    return win.assign_versions(read("versions_v")).select("id", "version")
+
+
+@query("e2_page_windows", "SELECT source_id, section_id, greatest(0, section_id - 2) AS window_start, count(*) OVER (PARTITION BY source_id ORDER BY section_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS pages FROM sections_v")
+def _(read):
+    return win.page_windows(read("sections_v"), "source_id", "section_id").select("source_id", "section_id", "window_start", "pages")
+
+
+@query("e3_segments", "SELECT source_id, section_id, CAST(sum(is_head) OVER (PARTITION BY source_id ORDER BY section_id) AS BIGINT) AS section FROM sections_v")
+def _(read):
+    return win.segments(read("sections_v"), "source_id", "section_id", c("is_head") == 1).select("source_id", "section_id", "section")
+
+
+@query("e5_promote_levels", "SELECT source_id, section_id, least(5, greatest(1, lvl - min(lvl) OVER (PARTITION BY source_id) + 1)) AS promoted FROM (SELECT source_id, section_id, section_id % 6 + 2 AS lvl FROM sections_v)")
+def _(read):
+    return win.promote_levels(read("sections_v").withColumn("lvl", c("section_id") % 6 + 2), "source_id", "lvl").select("source_id", "section_id", "promoted")
+
+
+@query("e6_anchor_ids", "SELECT source_id, section_id, concat('section_', row_number() OVER (PARTITION BY source_id ORDER BY section_id)) AS anchor FROM sections_v WHERE is_head = 1")
+def _(read):
+    n = F.row_number().over(Window.partitionBy("source_id").orderBy("section_id"))
+    return read("sections_v").where("is_head = 1").select("source_id", "section_id", F.concat(F.lit("section_"), n).alias("anchor"))
+
+
+@query("e7_chat_context", "SELECT source_id, section_id, back FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY section_id DESC) AS back FROM sections_v) WHERE back <= 10")
+def _(read):
+    return win.last_n(read("sections_v"), "source_id", "section_id").select("source_id", "section_id", "back")
+
+
+@query("e8_batch_ids", "SELECT o_orderkey, CAST((row_number() OVER (PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderkey) - 1) // 3 AS BIGINT) AS batch FROM orders")
+def _(read):
+    return win.batch_ids(read("orders").withColumn("k", F.struct("o_orderstatus", "o_custkey")), "k", "o_orderkey", 3).select("o_orderkey", "batch")
+
+
+@query("e9_first_title", "SELECT source_id, min(section_id) AS title_at FROM sections_v WHERE is_head = 1 GROUP BY source_id")
+def _(read):
+    return read("sections_v").where("is_head = 1").groupBy("source_id").agg(F.min("section_id").alias("title_at"))
+
+
+@query("f2_numeric_order", "SELECT page_id, row_number() OVER (PARTITION BY substr(url, 1, 12) ORDER BY try_cast(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) NULLS LAST, page_id) AS place FROM pages")
+def _(read):
+    number = F.regexp_extract("url", "([0-9]+)$", 1).try_cast("long")
+    return read("pages").select("page_id", F.row_number().over(Window.partitionBy(F.substring("url", 1, 12)).orderBy(number.asc_nulls_last(), "page_id")).alias("place"))
+
+
+@query("f4_topk", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def _(read):
+    return read("orders").orderBy(c("o_totalprice").desc(), "o_orderkey").limit(20).select("o_orderkey", "o_totalprice")
+
+
+# ---- set operations and table changes
+
+
+@query("g2_union_sources", "SELECT doc_id, lang AS source_table, n_chars FROM documents WHERE lang IN ('en', 'fr')")
+def _(read):
+    docs = read("documents")
+    parts = [docs.where(c("lang") == x).select("doc_id", "n_chars", F.lit(x).alias("source_table")) for x in ("en", "fr")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+@query("g3_new_urls", "SELECT DISTINCT event_id FROM events WHERE event_id % 3 = 0 AND event_id NOT IN (SELECT event_id FROM events WHERE event_id % 2 = 0)")
+def _(read):
+    events = read("events")
+    return events.where("event_id % 3 = 0").select("event_id").distinct().join(events.where("event_id % 2 = 0").select("event_id"), "event_id", "left_anti")
+
+
+@query("g4_insert_absent", "SELECT user_id, event_type FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 5 = 0) EXCEPT SELECT user_id, event_type FROM events WHERE event_id % 5 = 1")
+def _(read):
+    events = read("events").select("event_id", "user_id", "event_type")
+    return tab.insert_absent(events.where("event_id % 5 = 1"), events.where("event_id % 5 = 0"), ["user_id", "event_type"]).select("user_id", "event_type")
+
+
+_CUST = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
+_TARGET, _BATCH = f"({_CUST} WHERE c_custkey % 3 <> 0)", "(SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN upper(c_name) END AS c_name FROM customer WHERE c_custkey % 2 = 0)"
+
+
+@query("g5_upsert_keep", f"SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, coalesce(b.c_name, t.c_name) AS c_name, t.c_mktsegment FROM {_TARGET} t FULL JOIN {_BATCH} b ON t.c_custkey = b.c_custkey")
+def _(read):
+    customers = read("customer").select("c_custkey", "c_name", "c_mktsegment")
+    batch = customers.where("c_custkey % 2 = 0").select("c_custkey", F.when(c("c_custkey") % 4 != 0, F.upper("c_name")).alias("c_name"))
+    return tab.upsert_keep(customers.where("c_custkey % 3 <> 0"), batch, "c_custkey", ["c_name"])
+
+
+@query("g6_upsert_replace", f"SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN b.c_custkey IS NOT NULL THEN b.c_name ELSE t.c_name END AS c_name, t.c_mktsegment FROM {_TARGET} t FULL JOIN {_BATCH} b ON t.c_custkey = b.c_custkey")
+def _(read):
+    customers = read("customer").select("c_custkey", "c_name", "c_mktsegment")
+    batch = customers.where("c_custkey % 2 = 0").select("c_custkey", F.when(c("c_custkey") % 4 != 0, F.upper("c_name")).alias("c_name"))
+    return tab.upsert_replace(customers.where("c_custkey % 3 <> 0"), batch, "c_custkey", ["c_name"])
+
+
+@query("g8_replace_children", "SELECT source_id, section_id, text FROM sections_v WHERE source_id % 4 <> 0 UNION ALL SELECT source_id, section_id, upper(text) FROM sections_v WHERE source_id % 4 = 0 AND section_id < 2")
+def _(read):
+    target = read("sections_v").select("source_id", "section_id", "text")
+    batch = target.where("source_id % 4 = 0 AND section_id < 2").withColumn("text", F.upper("text"))
+    return tab.replace_children(target, batch, "source_id")
+
+
+@query("g9_delete_where", "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F'")
+def _(read):
+    return tab.delete_where(read("orders"), "o_orderstatus", "F").select("o_orderkey")
+
+
+@query("g10_claim", "SELECT source_id, status_step IS NULL OR status_step NOT IN ('pass', 'in_progress') AS claimed, CASE WHEN status_step IS NULL OR status_step NOT IN ('pass', 'in_progress') THEN 'in_progress' ELSE status_step END AS status_step FROM status_v")
+def _(read):
+    return tab.claim(read("status_v"), "status_step").select("source_id", "claimed", "status_step")
+
+
+# ---- citations
+
+_STD = r"^\[{1,2}(\d{4})\]{1,2}\s+([A-Za-z][A-Za-z0-9_]*)\s+(\d+)(?:\s*\(([^)]*)\))?(?:\s*\(([^)]*)\))?"
+_PART = lambda g: f"nullif(regexp_extract(citation, '{_STD}', {g}), '')"
+
+
+@query("h1_parse_citation", f"SELECT source_id, {_PART(1)} AS year, {_PART(2)} AS code, {_PART(3)} AS number, {_PART(4)} AS date_text, {_PART(5)} AS members FROM citations_v")
+def _(read):
+    part = lambda g: cite.citation_part(c("citation"), g)
+    return read("citations_v").select("source_id", part(1).alias("year"), part(2).alias("code"), part(3).alias("number"), part(4).alias("date_text"), part(5).alias("members"))
+
+
+_DATE = f"coalesce(try_strptime({_PART(4)}, '%-d %B %Y'), try_strptime({_PART(4)}, '%-d/%-m/%Y'))"
+
+
+@query("h2_citation_date", f"SELECT source_id, strftime({_DATE}, '%Y-%m-%d') AS decided, strftime({_DATE}, '%Y') AS decided_year FROM citations_v")
+def _(read):
+    day = cite.to_date(cite.citation_part(c("citation"), 4))
+    return read("citations_v").select("source_id", F.date_format(day, "yyyy-MM-dd").alias("decided"), F.year(day).cast("string").alias("decided_year"))
+
+
+@query("h3_parties", "SELECT s_suppkey, s_name AS second, c_name AS first FROM supplier JOIN customer ON c_custkey = s_suppkey")
+def _(read):
+    titled = read("supplier").join(read("customer"), c("c_custkey") == c("s_suppkey")).select("s_suppkey", F.concat("c_name", F.lit("  V "), "s_name").alias("book"))
+    first, second = cite.parties(c("book"))
+    return titled.select("s_suppkey", first.alias("first"), second.alias("second"))
+
+
+_MEMBER = _PART(5)
+
+
+@query("h4_parse_member", f"SELECT source_id, nullif(regexp_extract(m, '^(Mr|Mrs|Ms|Dr|Prof)\\.?\\s', 1), '') AS honorific, CASE WHEN contains(m, 'Justice') THEN 'Justice' WHEN contains(m, 'Member') THEN 'Member' WHEN contains(m, 'President') THEN 'President' WHEN contains(m, 'Magistrate') THEN 'Magistrate' END AS title, nullif(regexp_extract(m, '\\s([A-Z]{{1,3}})$', 1), '') AS post_nominal FROM (SELECT source_id, {_MEMBER} AS m FROM citations_v)")
+def _(read):
+    m = cite.citation_part(c("citation"), 5)
+    return read("citations_v").select("source_id", cite.honorific(m).alias("honorific"), cite.title(m).alias("title"), cite.post_nominal(m).alias("post_nominal"))
+
+
+@query("h5_valid_code", f"SELECT source_id, coalesce(regexp_matches({_PART(2)}, '^[A-Za-z][A-Za-z0-9_]*$') AND (length({_PART(2)}) > 1 OR {_PART(2)} = 'O'), false) AS valid FROM citations_v")
+def _(read):
+    return read("citations_v").select("source_id", cite.valid_code(cite.citation_part(c("citation"), 2)).alias("valid"))
+
+
+_JUR = f"(SELECT source_id, {_PART(2)} AS code FROM citations_v)"
+_CHAIN = "CASE WHEN code IN ('HCA', 'FCA', 'FCAFC', 'FCCA', 'FamCA') THEN 'CTH' WHEN starts_with(code, 'NZ') THEN 'NZ' WHEN starts_with(code, 'NSW') THEN 'NSW' WHEN starts_with(code, 'V') THEN 'VIC' WHEN starts_with(code, 'Q') THEN 'QLD' WHEN starts_with(code, 'WA') THEN 'WA' WHEN starts_with(code, 'SA') THEN 'SA' WHEN starts_with(code, 'T') THEN 'TAS' WHEN starts_with(code, 'ACT') THEN 'ACT' WHEN starts_with(code, 'NT') THEN 'NT' ELSE 'NSW' END"
+
+
+@query("h7_infer_jurisdiction", f"SELECT source_id, {_CHAIN} AS jurisdiction FROM {_JUR}")
+def _(read):
+    return read("citations_v").select("source_id", cite.infer_jurisdiction(cite.citation_part(c("citation"), 2), F.lit("NSW")).alias("jurisdiction"))
+
+
+@query("registration", f"WITH p AS (SELECT source_id, citation, {_PART(1)} AS y, {_PART(2)} AS code, {_DATE} AS d FROM citations_v), j AS (SELECT *, {_CHAIN} AS jurisdiction, CASE WHEN contains(lower(citation), 'null') THEN 'bad source' ELSE concat_ws(', ', CASE WHEN y IS NULL THEN 'year' END, CASE WHEN code IS NULL THEN 'code' END, CASE WHEN d IS NULL THEN 'decided' END) END AS reason FROM p) SELECT jurisdiction, code, y AS year, reason, count(*) AS documents FROM j GROUP BY ALL")
+def _(read):
+    """Citations to court, year and date; what fails keeps its reason."""
+    part = lambda g: cite.citation_part(c("citation"), g)
+    parsed = read("citations_v").select("source_id", "citation", part(1).alias("year"), part(2).alias("code"), cite.to_date(part(4)).alias("decided"))
+    reason = F.when(sel.bad_source(c("citation")), "bad source").otherwise(sel.missing_fields(["year", "code", "decided"]))
+    court = cite.infer_jurisdiction(c("code"), F.lit("NSW"))
+    return parsed.select(court.alias("jurisdiction"), "code", "year", reason.alias("reason")).groupBy("jurisdiction", "code", "year", "reason").agg(F.count("*").alias("documents"))
+
+
+@query("h8_parse_context", "SELECT id, regexp_extract(context, 'Version (\\d+)', 1) AS version, strftime(strptime(regexp_extract(context, ': (.*)$', 1), '%-d/%-m/%Y'), '%Y-%m-%d') AS start_date FROM contexts_v")
+def _(read):
+    return read("contexts_v").select("id", cite.context_version(c("context")).alias("version"), F.date_format(cite.context_date(c("context")), "yyyy-MM-dd").alias("start_date"))
+
+
+@query("h11_link_ids", f"SELECT page_id, href, nullif(regexp_extract(href, '/([a-z]+)(/([0-9]+))?', 1), '') AS part, nullif(regexp_extract(href, '/([a-z]+)(/([0-9]+))?', 3), '') AS number FROM ({_HREFS})")
+def _(read):
+    links = read("pages").select("page_id", F.explode(page.hrefs(c("html"))).alias("href"))
+    part = lambda g: F.nullif(F.regexp_extract("href", "/([a-z]+)(/([0-9]+))?", g), F.lit(""))
+    return links.select("page_id", "href", part(1).alias("part"), part(3).alias("number"))
+
+
+@query("h55_cast_scraped", "SELECT o_orderkey, coalesce(try_cast(CASE WHEN o_orderkey % 3 = 0 THEN 'n.d.' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS INT), 0) AS year, CASE WHEN o_orderkey % 2 = 0 THEN o_clerk END AS clerk FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)")
+def _(read):
+    scraped = read("orders").select("o_orderkey", F.when(c("o_orderkey") % 3 == 0, "n.d.").otherwise(F.year("o_orderdate").cast("string")).alias("year"), F.when(c("o_orderkey") % 2 == 0, c("o_custkey").cast("string")).otherwise("  ").alias("clerk"))
+    return scraped.select("o_orderkey", F.coalesce(c("year").try_cast("int"), F.lit(0)).alias("year"), F.nullif(F.trim("clerk"), F.lit("")).alias("clerk"))
+
+
+# ---- text
+
+
+@query("h13_norm_verify", r"SELECT doc_id, md5(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g'))) AS digest FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.md5(txt.norm_verify(c("text"))).alias("digest"))
+
+
+@query("h14_norm_match", r"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+', ' ', 'g'))) AS digest FROM documents""")
+def _(read):
+    return read("documents").select("doc_id", F.md5(txt.norm_match(c("text"))).alias("digest"))
+
+
+@query("h15_text_counts", f"SELECT doc_id, length(text) AS count_char, len(regexp_extract_all(text, '{NOT_WHITE}')) AS count_word, length(text) // 4 AS tokens FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.length("text").cast("long").alias("count_char"), txt.word_count(c("text")).cast("long").alias("count_word"), txt.est_tokens(c("text")).alias("tokens"))
+
+
+@query("h17_costs", "SELECT doc_id, round(n_chars / 1e6 * 2.5, 9) AS price_in, round(n_chars / 3600.0 * 3.28, 6) AS price_time FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.round(txt.token_cost(c("n_chars"), 2.5), 9).alias("price_in"), F.round(txt.time_cost(c("n_chars"), 3.28), 6).alias("price_time"))
+
+
+@query("h19_page_from_url", "SELECT page_id, coalesce(try_cast(regexp_extract(url, '[?&]page=(\\d+)', 1) AS INT), 1) AS page, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+') AS valid, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)), '[^a-z0-9]', '_', 'g') AS prefix FROM pages")
+def _(read):
+    return read("pages").select("page_id", txt.page_from_url(c("url")).alias("page"), txt.valid_url(c("url")).alias("valid"), F.regexp_replace(F.lower(txt.host(c("url"))), "[^a-z0-9]", "_").alias("prefix"))
+
+
+@query("h23_abs_url", f"WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a[^>]*href=\"([^\"]+)\"', 1)) AS href FROM pages) SELECT page_id, CASE WHEN regexp_matches(href, '^https?://') THEN href WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^([a-z]+://[^/]+)', 1), href) ELSE concat(regexp_extract(url, '^(.*/)[^/]*$', 1), href) END AS target FROM l")
+def _(read):
+    return read("pages").select("page_id", "url", F.explode(page.hrefs(c("html"))).alias("href")).select("page_id", txt.abs_url(c("url"), c("href")).alias("target"))
+
+
+@query("h25_csv_array", "SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_type, ' '), lambda x: trim(x)), lambda x: x <> ''), '|') AS parts FROM part")
+def _(read):
+    return read("part").select("p_partkey", F.array_join(txt.csv_array(c("p_type"), " "), "|").alias("parts"))
+
+
+@query("h26_clean_text", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS note FROM orders")
+def _(read):
+    note = F.when(c("o_orderkey") % 4 == 0, " N/A ").otherwise(c("o_orderpriority"))
+    return read("orders").select("o_orderkey", txt.clean_text(note).alias("note"))
+
+
+@query("h27_snippet", "SELECT doc_id, concat(array_to_string(string_split(text, ' ')[1:30], ' '), '...') AS snippet FROM documents")
+def _(read):
+    return read("documents").select("doc_id", txt.snippet(c("text")).alias("snippet"))
+
+
+@query("h29_truncate", "SELECT doc_id, CASE WHEN length(text) > 1024 THEN concat(text[1:1024], '...') ELSE text END AS message FROM documents")
+def _(read):
+    return read("documents").select("doc_id", txt.truncate_message(c("text")).alias("message"))
+
+
+@query("h30_tag_bucket", "SELECT p_partkey, CAST(list_sum(list_transform(string_split(p_name, ''), lambda x: ascii(x))) % 7 AS INT) AS bucket FROM part")
+def _(read):
+    return read("part").select("p_partkey", txt.tag_bucket(c("p_name"), 7).cast("int").alias("bucket"))
+
+
+@query("h31_doc_key", "SELECT source_id, section_id, concat_ws('_', source_id, CASE WHEN is_head = 1 THEN section_id END) AS key, concat('base/', role, '/', source_id, '/miniviewer.txt') AS path FROM sections_v")
+def _(read):
+    return read("sections_v").select("source_id", "section_id", txt.doc_key(c("source_id"), F.when(c("is_head") == 1, c("section_id"))).alias("key"), txt.doc_path(F.lit("base"), c("role"), c("source_id"), F.lit("miniviewer.txt")).alias("path"))
+
+
+@query("h33_norm_status", "SELECT source_id, CASE status_step WHEN 'pass' THEN 'pass' WHEN 'failed' THEN 'failed' ELSE 'not started' END AS status FROM status_v")
+def _(read):
+    known = F.when(c("status_step").isin("fail", "failed", "fail_mapping"), "failed").when(c("status_step").isin("pass", "started", "in_progress"), c("status_step")).otherwise("not started")
+    return read("status_v").select("source_id", known.alias("status"))
+
+
+@query("h43_escape", "SELECT doc_id, md5(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')) AS digest FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.md5(page.escaped(c("text"))).alias("digest"))
+
+
+_TEXT = r"list_filter(list_transform(string_split(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(1), 'g'), '(?s)<[^>]*>', chr(1), 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '" + '"' + r"'), '&amp;', '&'), chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '')"
+
+
+@query("h39_html_text", f"SELECT page_id, array_to_string({_TEXT}, ' ') AS body FROM pages")
+def _(read):
+    return read("pages").select("page_id", page.html_text(c("html")).alias("body"))
+
+
+@query("h40_html_lines", f"SELECT page_id, array_to_string({_TEXT}, chr(10)) AS body FROM pages")
+def _(read):
+    return read("pages").select("page_id", page.html_lines(c("html")).alias("body"))
+
+
+@query("h48_is_json", "SELECT event_id, json_valid(p) AS valid FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN left(props, length(props) - 1) ELSE props END AS p FROM events)")
+def _(read):
+    p = F.when(c("event_id") % 5 == 0, F.left("props", F.length("props") - 1)).otherwise(c("props"))
+    return read("events").select("event_id", F.try_parse_json(p).isNotNull().alias("valid"))
+
+
+@query("h49_tags", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def _(read):
+    return read("events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+
+
+@query("h50_merge_metadata", "SELECT source_id, coalesce(status_step, book_name) AS value FROM registry_v LEFT JOIN status_v USING (source_id)")
+def _(read):
+    return read("registry_v").join(read("status_v"), "source_id", "left").select("source_id", F.coalesce(F.nullif("status_step", F.lit("")), F.nullif("book_name", F.lit(""))).alias("value"))
+
+
+# ---- row generators
+
+
+@query("i1_links", _HREFS)
+def _(read):
+    return read("pages").select("page_id", F.explode(page.hrefs(c("html"))).alias("href"))
+
+
+@query("i3_chunks", "SELECT doc_id, s // 1300 AS chunk, substr(text, s + 1, 1500) AS body FROM (SELECT doc_id, text, unnest(range(0, length(text), 1300)) AS s FROM documents WHERE length(text) > 0)")
+def _(read):
+    return read("documents").select("doc_id", F.posexplode(txt.chunks(c("text"))).alias("chunk", "body")).withColumn("chunk", c("chunk").cast("long"))
+
+
+@query("i4_split_oversize", "SELECT doc_id, s // 5000 AS part, length(substr(text, s + 1, 5000)) AS size FROM (SELECT doc_id, text, unnest(range(0, length(text), 5000)) AS s FROM documents WHERE length(text) > 0)")
+def _(read):
+    parts = read("documents").select("doc_id", F.posexplode(txt.chunks(c("text"), 5000, 0)).alias("part", "body"))
+    return parts.select("doc_id", c("part").cast("long").alias("part"), F.length("body").cast("long").alias("size"))
+
+
+@query("i6_expand_sections", "SELECT r.source_id, section_id FROM registry_v r JOIN sections_v s ON s.source_id = r.source_id")
+def _(read):
+    return read("registry_v").select("source_id").join(read("sections_v").select("source_id", "section_id"), "source_id")
+
+
+@query("i12_list_items", "SELECT doc_id, item FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS item FROM documents) WHERE item <> ''")
+def _(read):
+    return read("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("item")).select("doc_id", F.trim("item").alias("item")).where("item <> ''")
+
+
+# ---- verification and similarity
+
+
+@query("j1_reconstruction")
+def _(read):
+    rebuilt = read("documents").select("doc_id", "text", F.array_join(txt.chunks(c("text"), 1500, 0), "\n\n").alias("rebuilt"))
+    return sim.verify(rebuilt, "text", "rebuilt").select("doc_id", F.round("score", 4).alias("score"), "verification")
+
+
+@query("j2_contains", "SELECT p.page_id, count(*) FILTER (WHERE contains(lower(html), lower(left(text, 40)))) AS found, count(*) AS n FROM pages p JOIN documents d ON d.doc_id = p.page_id GROUP BY p.page_id")
+def _(read):
+    met = read("pages").join(read("documents"), c("page_id") == c("doc_id"))
+    return met.groupBy("page_id").agg(F.count_if(F.contains(F.lower("html"), F.lower(F.left("text", F.lit(40))))).alias("found"), F.count("*").alias("n"))
+
+
+@query("j5_overlap", r"""WITH n AS (SELECT doc_id, source, list_distinct(string_split(trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+', ' ', 'g')), ' ')) AS w FROM documents) SELECT a.doc_id, round(len(list_intersect(a.w, b.w)) / len(a.w), 6) AS overlap FROM n a JOIN n b ON b.doc_id = a.doc_id + 1""")
+def _(read):
+    docs = read("documents").select("doc_id", "text")
+    other = docs.select((c("doc_id") - 1).alias("doc_id"), c("text").alias("other"))
+    return docs.join(other, "doc_id").select("doc_id", F.round(sim.word_overlap(c("text"), c("other")), 6).alias("overlap"))
+
+
+@query("j7_choose_text", "SELECT doc_id, CASE WHEN length(a) > 20 THEN 'direct' WHEN length(b) > 20 THEN 'ocr' WHEN a <> '' THEN 'direct' ELSE 'ocr' END AS used FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS a, CASE WHEN doc_id % 2 = 0 THEN left(text, 15) ELSE text END AS b FROM documents)")
+def _(read):
+    two = read("documents").select("doc_id", F.when(c("doc_id") % 3 == 0, "").otherwise(c("text")).alias("a"), F.when(c("doc_id") % 2 == 0, F.left("text", F.lit(15))).otherwise(c("text")).alias("b"))
+    return two.select("doc_id", F.when(F.length("a") > 20, "direct").when(F.length("b") > 20, "ocr").when(c("a") != "", "direct").otherwise("ocr").alias("used"))
+
+
+# ---- vectors and search
+
+
+@query("k3_dim_gate", "SELECT vec_id, len(embedding) = 64 AS indexed FROM embeddings")
+def _(read):
+    return vec.dim_gate(read("embeddings"), "embedding", 64).select("vec_id", "indexed")
+
+
+@query("k5_knn", "SELECT query, vec_id, cosine, place FROM (SELECT q.vec_id AS query, v.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) DESC, v.vec_id) AS place FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0) WHERE place <= 5")
+def _(read):
+    vectors = read("embeddings").select("vec_id", "embedding")
+    return vec.knn(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", "embedding", 5)
+
+
+_STOP = ", ".join(f"'{w}'" for w in index.STOP_WORDS)
+_TOK = f"list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda t: t NOT IN ({_STOP}))"
+
+
+@query("l1_analyze", f"SELECT doc_id, len({_TOK}) AS tokens, len(list_distinct({_TOK})) AS terms FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.size(index.tokens(c("text"))).cast("long").alias("tokens"), F.size(F.array_distinct(index.tokens(c("text")))).cast("long").alias("terms"))
+
+
+@query("l2_keyword", "SELECT p_partkey, lower(trim(p_name)) AS keyword, CASE WHEN length(p_name) <= 30 THEN p_name END AS capped FROM part")
+def _(read):
+    return read("part").select("p_partkey", F.lower(F.trim("p_name")).alias("keyword"), F.when(F.length("p_name") <= 30, c("p_name")).alias("capped"))
+
+
+@query("l3_edge_ngrams", "WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS t FROM part) SELECT DISTINCT p_partkey, t[1:n] AS prefix FROM (SELECT p_partkey, t, unnest(range(2, least(20, length(t)) + 1)) AS n FROM t WHERE length(t) >= 2)")
+def _(read):
+    return read("part").select("p_partkey", F.explode(index.edge_ngrams(c("p_name"))).alias("prefix"))
+
+
+@query("l4_shingles", "WITH w AS (SELECT c_custkey, string_split(c_name || ' ' || c_mktsegment || ' ' || c_custkey, ' ') AS w FROM customer) SELECT c_custkey, array_to_string(w[i : i + 1], ' ') AS shingle FROM (SELECT c_custkey, w, unnest(range(1, len(w))) AS i FROM w)")
+def _(read):
+    words = F.split(F.concat_ws(" ", "c_name", "c_mktsegment", c("c_custkey").cast("string")), " ")
+    return read("customer").select("c_custkey", F.explode(txt.shingles(words, 2)).alias("shingle"))
+
+
+@query("l6_all_search", "SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type) AS all_search FROM part")
+def _(read):
+    return read("part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("all_search"))
+
+
+@query("l8_search", f"""WITH q AS (SELECT DISTINCT item_id, unnest({_TOK}) AS term FROM benchmark), d AS (SELECT doc_id, {_TOK} AS t FROM documents), z AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
+e AS (SELECT doc_id, len(t) AS size, unnest(t) AS term FROM d), p AS (SELECT doc_id, size, term, count(*) AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY ALL), r AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+s AS (SELECT item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score FROM p JOIN r USING (term) JOIN q USING (term), z GROUP BY item_id, doc_id)
+SELECT item_id, doc_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s) WHERE place <= 20""")
+def _(read):
+    return index.search(read("documents"), read("benchmark"), "doc_id", "item_id", "text")
+
+
+@query("l9_autocomplete", "WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS t FROM part) SELECT s.s_suppkey, count(DISTINCT p_partkey) AS matches FROM (SELECT s_suppkey, lower(substr(s_name, 1, 3)) AS typed FROM supplier) s LEFT JOIN t ON starts_with(t, typed) GROUP BY s_suppkey")
+def _(read):
+    prefixes = read("part").select("p_partkey", F.explode(index.edge_ngrams(c("p_name"))).alias("typed")).where(F.length("typed") == 3)
+    typed = read("supplier").select("s_suppkey", F.lower(F.substring("s_name", 1, 3)).alias("typed"))
+    return typed.join(prefixes, "typed", "left").groupBy("s_suppkey").agg(F.countDistinct("p_partkey").alias("matches"))
+
+
+@query("l10_positions", f"SELECT doc_id, k - 1 AS position, t[k] AS term FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS k FROM (SELECT doc_id, {_TOK} AS t FROM documents WHERE lang = 'en'))")
+def _(read):
+    found = index.positions(read("documents").where("lang = 'en'"), "doc_id", "text")
+    return found.select("doc_id", c("position").cast("long").alias("position"), "term")
+
+
+# ---- status, audit
+
+
+@query("m1_audit", "SELECT user_id AS job_id, min(ts) AS start_time, max(ts) FILTER (WHERE event_type IN ('purchase', 'error')) AS end_time, coalesce(arg_max(event_type, event_id) FILTER (WHERE event_type IN ('purchase', 'error')), 'running') AS job_status FROM events GROUP BY user_id")
+def _(read):
+    ended = c("event_type").isin("purchase", "error")
+    last = F.max_by(F.when(ended, c("event_type")), F.when(ended, c("event_id")))
+    return read("events").groupBy(c("user_id").alias("job_id")).agg(F.min("ts").alias("start_time"), F.max(F.when(ended, c("ts"))).alias("end_time"), F.coalesce(last, F.lit("running")).alias("job_status"))
+
+
+@query("m2_step_status", "SELECT user_id AS source_id, count(*) FILTER (WHERE event_type = 'view') AS view, count(*) FILTER (WHERE event_type = 'purchase') AS purchase FROM events GROUP BY user_id")
+def _(read):
+    return read("events").groupBy(c("user_id").alias("source_id")).pivot("event_type", ["view", "purchase"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+@query("m3_ready", "SELECT source_id, coalesce(status_registration = 'pass' AND status_content_download = 'pass' AND status_text_processor = 'pass', false) AS ready FROM registry_v LEFT JOIN status_v USING (source_id)")
+def _(read):
+    steps = ["status_registration", "status_content_download", "status_text_processor"]
+    met = F.forall(F.array(*steps), lambda s: F.coalesce(s == "pass", F.lit(False)))
+    return read("registry_v").join(read("status_v"), "source_id", "left").select("source_id", met.alias("ready"))
+
+
+@query("m5_init_status", "SELECT source_id, 'not started' AS status FROM registry_v WHERE source_id NOT IN (SELECT source_id FROM status_v)")
+def _(read):
+    return tab.insert_absent(read("status_v"), read("registry_v"), ["source_id"]).select("source_id", F.lit("not started").alias("status"))
+
+
+@query("m7_combine", "SELECT user_id, CASE WHEN bool_and(event_type <> 'error') THEN 'success' ELSE 'failed' END AS outcome FROM events GROUP BY user_id")
+def _(read):
+    return read("events").groupBy("user_id").agg(F.when(F.bool_and(c("event_type") != "error"), "success").otherwise("failed").alias("outcome"))
