@@ -44,7 +44,7 @@ def features(texts, dimensions: int) -> list[tuple[np.ndarray, np.ndarray]]:
             shares = [_CAPITAL[data].sum() / n, (~_PLAIN[data]).sum() / n, _DIGIT[data].sum() / n, len(parts[0]) / max(1, total), len(set(lines)) / len(lines)]
             bands = [min(BANDS - 1, total.bit_length() // 2), *(min(BANDS - 1, int(BANDS * x**0.5)) for x in shares)]
             shape = dimensions + BANDS * np.arange(SHAPES) + np.array(bands)
-            found.append((np.unique(np.concatenate(parts)).astype(np.int64), shape))
+            found.append((np.unique(np.concatenate(parts)).astype(np.int32), shape.astype(np.int32)))
     return found
 
 
@@ -70,25 +70,28 @@ def fit(texts, grades, dimensions: int = 1 << 18, steps: int = 200, rate: float
     top = int(grades.max(initial=0))
     if top < 1 or len(np.unique(grades)) < 2:
         raise ValueError("ratings of at least two grades are needed")
-    used, flat = np.unique(np.concatenate([x for row in rows for x in row]), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), [len(f) + SHAPES for f, _ in rows])
-    value = np.concatenate([np.r_[np.full(len(f), 1 / np.sqrt(max(1, len(f)))), np.ones(SHAPES)] for f, _ in rows])
     above = grades[:, None] >= np.arange(1, top + 1)[None, :]
     share = np.clip(above.mean(axis=0), 1e-3, 1 - 1e-3)
-    have, z = np.bincount(flat, minlength=len(used)), np.zeros(len(used))
-    for k in range(top):
-        z = np.maximum(z, np.abs(np.bincount(flat, above[owner, k], len(used)) - have * share[k]) / np.sqrt(have * share[k] * (1 - share[k])))
+    # Counts by feature, a text at a time: only what is kept is laid out whole.
+    have, high = np.zeros(dimensions), np.zeros((top, dimensions))
+    for (f, _), own in zip(rows, above, strict=True):
+        have[f] += 1
+        high[:, f] += own[:, None]
+    there = np.maximum(have, 1)
+    z = np.abs(high - there * share[:, None]) / np.sqrt(there * (share * (1 - share))[:, None])
+    kept = (have >= least_texts) & (z.max(axis=0) >= least_z)
+    parts = [(f[kept[f]], s, 1 / np.sqrt(max(1, len(f)))) for f, s in rows]
+    del rows, have, high, z
+    used, flat = np.unique(np.concatenate([x for f, s, _ in parts for x in (f, s)]), return_inverse=True)
+    owner = np.repeat(np.arange(len(parts)), [len(f) + SHAPES for f, _, _ in parts])
+    value = np.concatenate([np.r_[np.full(len(f), scale), np.ones(SHAPES)] for f, _, scale in parts])
     shape = used >= dimensions
-    kept = shape | ((have >= least_texts) & (z >= least_z))
-    index = np.cumsum(kept) - 1
-    taken = kept[flat]
-    used, flat, owner, value, shape = used[kept], index[flat[taken]], owner[taken], value[taken], shape[kept]
     pace = np.where(shape, 0.1, 1.0)
     w, t = np.zeros(len(used)), -np.log(share / (1 - share))
     m, v, pull = np.zeros(len(used)), np.zeros(len(used)), np.zeros(top)
     for step in range(1, steps + 1):
-        score = np.bincount(owner, w[flat] * value, len(rows))
-        gap = (1 / (1 + np.exp(-np.clip(score[:, None] - t[None, :], -30, 30))) - above) / len(rows)
+        score = np.bincount(owner, w[flat] * value, len(parts))
+        gap = (1 / (1 + np.exp(-np.clip(score[:, None] - t[None, :], -30, 30))) - above) / len(parts)
         slope = np.bincount(flat, gap.sum(axis=1)[owner] * value, len(used))
         m += 0.1 * (slope - m)
         v += 0.01 * (slope**2 - v)
