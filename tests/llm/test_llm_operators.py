@@ -200,6 +200,18 @@ def test_chat_repair(spark, monkeypatch):
             assert own["cost"].iloc[0] == chat.least_cost(codes), n
 
 
+def test_chat_odd_tables(spark, monkeypatch):
+    monkeypatch.setattr(chat, "SEGMENT", 3)
+    schema = "conv_id long, turn long, role string, text string, cost string, steps int, piece int"
+    assert chat.repaired(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, 5, "user", "same", "x", 1, 2)] * 20 + [(1, None, "user", None, None, None, None)] * 4 + [(2, 0, None, "x " * 50_000, "x", 1, 2)]
+    got = chat.repaired(spark.createDataFrame(rows, schema)).toPandas().sort_values(["conv_id", "segment", "place"])
+    one, two = (got[got["conv_id"] == c] for c in (1, 2))
+    assert list(one["action"]) == ["keep"] + ["merge"] * 22 + ["relabel"] and set(one["cost"]) == {22 * chat.MERGE + chat.RELABEL}
+    assert "".join(one["rendered"]) == "<|user|>\n" + "\n".join(["same"] * 20 + [""] * 3) + "<|end|>\n<|assistant|>\n<|end|>\n"
+    assert "x " * 50_000 in "".join(two["rendered"]) and two["role"].iloc[-1] == "assistant"
+
+
 def test_ordinal_on_held_out():
     r = random.Random(6)
     marks = ["vile", "nasty", "cruel"]
