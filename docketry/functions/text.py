@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def abs_url(base: Column, href: Column) -> Column:
 
 
 def csv_array(c: Column, separator: str = ",") -> Column:
-    return F.filter(F.transform(F.split(c, separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def clean_text(c: Column) -> Column:
@@ -99,3 +101,37 @@ def shingles(words: Column, n: int) -> Column:
 
 def tag_bucket(c: Column, palette: int) -> Column:
     return F.aggregate(F.transform(F.split(c, ""), F.ascii), F.lit(0), lambda a, x: a + x) % palette
+
+
+#: Letters of the Latin blocks that are an ASCII letter with a mark, and these ASCII letters.
+_MARKED = [(chr(i), unicodedata.normalize("NFD", chr(i))[0]) for i in range(0xC0, 0x250)]
+MARKED, PLAIN = ("".join(x) for x in zip(*((a, b) for a, b in _MARKED if b.isascii()), strict=True))
+
+
+def suggestion(c: Column, most: int = 100) -> Column:
+    """Lower case without marks, cut to the field's length."""
+    return F.left(F.translate(F.lower(c), MARKED, PLAIN), F.lit(most))
+
+
+def page_offset(key: Column, pages: int) -> Column:
+    """Offset of a page key: digits alone count from 0, ``page 3`` and ``pg_3`` from 1; null if it is no page
+    key or out of range."""
+    digits = F.regexp_extract(F.lower(F.trim(key)), r"^(?:page|pg)?[_ ]*(\d+)$", 1).try_cast("int")
+    offset = F.when(F.trim(key).rlike(r"^\d+$"), digits).otherwise(digits - 1)
+    return F.when((offset >= 0) & (offset < pages), offset)
+
+
+def table_rows(c: Column) -> Column:
+    """Rows of a pipe table: (header, cells). The rule of dashes marks the row before it as header."""
+    lines = F.split(c, "\n")
+    rows = F.transform(lines, lambda line, i: F.struct(line.alias("line"), F.contains(F.coalesce(F.get(lines, i + 1), F.lit("")), F.lit("---")).alias("header")))
+    kept = F.filter(rows, lambda r: F.contains(r["line"], F.lit("|")) & ~F.contains(r["line"], F.lit("---")))
+    return F.transform(kept, lambda r: F.struct(r["header"].alias("header"), F.transform(F.split(r["line"], r"\|"), lambda x: F.trim(x)).alias("cells")))
+
+
+def extract_json(c: Column) -> Column:
+    """JSON of a reply: what its fence holds, else its first object without nested ones; null if that does
+    not parse."""
+    fenced = F.nullif(F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)\s*```", 1), F.lit(""))
+    found = F.coalesce(fenced, F.regexp_extract(c, r"(?s)\{[^{}]*\}", 0))
+    return F.when(F.try_parse_json(found).isNotNull(), found)

@@ -76,3 +76,16 @@ def missing_fields(fields: Iterable[str]) -> Column:
 def grown(new: Column, baseline: Column) -> Column:
     """Whether content has more bytes than its baseline; -1 stands for no baseline."""
     return F.when(baseline == -1, "missing").when(F.octet_length(new) > baseline, "pass").otherwise("failed")
+
+
+def pending_sites(requests: DataFrame, sites: DataFrame, key: str, status: str) -> DataFrame:
+    """Outcome of each requested id: ``run`` for a pending site, else ``handled``; ids without site and sites
+    of another status are no work."""
+    joined = requests.join(sites.select(key, status), key, "left")
+    return joined.withColumn("outcome", F.when(F.col(status) == "pending", "run").otherwise("handled"))
+
+
+def steps_to_run(json_status: Column, html_status: Column) -> tuple[Column, Column, Column]:
+    """Whether the stored JSON is loaded, the JSON is built, the HTML is built. A null status isn't pass."""
+    done = F.coalesce(json_status == "pass", F.lit(False))
+    return done, ~done, ~F.coalesce(html_status == "pass", F.lit(False))

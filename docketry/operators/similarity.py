@@ -34,3 +34,13 @@ def verify(df: DataFrame, original: str, rebuilt: str, threshold: float = 0.9) -
     score = F.when(F.col(original).isNull(), 0.0).otherwise(F.coalesce(ratio, word_overlap(F.col(original), F.coalesce(F.col(rebuilt), F.lit("")))))
     scored = df.withColumn("score", score)
     return scored.withColumn("verification", F.when(F.col(original).isNull(), "not started").when(F.col("score") >= threshold, "pass").otherwise("failed"))
+
+
+def sentences(c: Column) -> Column:
+    """Normalised text, split after full stops."""
+    return F.split(F.replace(norm_verify(c), F.lit(". "), F.lit(".\x01")), "\x01")
+
+
+def sentence_diff(a: Column, b: Column) -> tuple[Column, Column]:
+    """Distinct sentences that b adds, and those that it lacks."""
+    return F.array_except(sentences(b), sentences(a)), F.array_except(sentences(a), sentences(b))

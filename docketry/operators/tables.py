@@ -54,3 +54,20 @@ def delete_where(df: DataFrame, column: str, value, negate: bool = False) -> Dat
 def claim(df: DataFrame, status: str = "status") -> DataFrame:
     free = F.col(status).isNull() | ~F.col(status).isin("pass", "in_progress")
     return df.withColumn("claimed", free).withColumn(status, F.when(free, "in_progress").otherwise(F.col(status)))
+
+
+def touch(target: DataFrame, batch: DataFrame, key: str, start: str = "start", always: Sequence[str] = ("end", "status")) -> DataFrame:
+    """Status rows after a step: the start is written only where it is null, the other columns always; keys
+    that the target lacks are added. One row a key in the batch."""
+    new = batch.select(F.col(key).alias("_key"), F.col(start).alias("_start"), *(F.col(c).alias(f"_new_{c}") for c in always), F.lit(True).alias("_matched"))
+    joined = target.join(new, target[key] == F.col("_key"), "full_outer")
+    values = {key: F.coalesce(target[key], F.col("_key")), start: F.coalesce(target[start], F.col("_start"))}
+    values |= {c: F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(target[c]) for c in always}
+    return joined.select(*(values.get(c, target[c]).alias(c) for c in target.columns))
+
+
+def pair_pages(pages: DataFrame, *readings: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every page with what each reader gave for it, null where it gave nothing. One row a page in each."""
+    for reading in readings:
+        pages = pages.join(reading, list(key), "left")
+    return pages

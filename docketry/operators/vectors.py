@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Query vectors that are broadcast at once; more are taken in blocks.
+BLOCK_QUERIES = 10_000
+
 
 def mean_vector(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Element-wise mean per key, not normalised again."""
@@ -23,9 +28,12 @@ def dot(a: Column, b: Column) -> Column:
 
 def knn(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """The k vectors of largest cosine for each query, itself left out; ties by key. queries are a stated set
-    that is broadcast; each partition keeps its k best before the shuffle."""
+    that is broadcast in blocks; each partition keeps its k best before the shuffle."""
     q = queries.select(F.col(key).alias("query"), F.col(vector).alias("query_vector"))
     cosine = dot(F.col("query_vector"), F.col(vector)) / F.sqrt(dot(F.col("query_vector"), F.col("query_vector")) * dot(F.col(vector), F.col(vector)))
-    scored = vectors.join(F.broadcast(q), F.col(key) != F.col("query")).select("query", key, F.round(cosine, 6).alias("cosine"))
+    blocks = max(1, -(-q.count() // BLOCK_QUERIES))
+    parts = [q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b) if blocks > 1 else q for b in range(blocks)]
+    met = [vectors.join(F.broadcast(part), F.col(key) != F.col("query")).select("query", key, F.round(cosine, 6).alias("cosine")) for part in parts]
+    scored = functools.reduce(DataFrame.unionByName, met)
     order = Window.partitionBy("query").orderBy(F.col("cosine").desc(), key)
     return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)

@@ -41,3 +41,28 @@ def batch_ids(df: DataFrame, key: str, order: str, size: int) -> DataFrame:
     """Batches of ``size`` rows within each key."""
     n = F.row_number().over(Window.partitionBy(key).orderBy(order))
     return df.withColumn("batch", F.floor((n - 1) / size))
+
+
+def nest_headings(df: DataFrame, key: str, position: str, level: str, deepest: int = 6) -> DataFrame:
+    """Place of the heading that holds each block: the nearest earlier one of a lower level. Blocks without
+    level are text, under the nearest heading; null where there is none. Positions are integers."""
+    before = Window.partitionBy(key).orderBy(position).rangeBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(level, F.lit(deepest + 1))
+    last = [F.when(own > k, F.max(F.when(F.col(level) == k, F.col(position))).over(before)) for k in range(1, deepest + 1)]
+    return df.withColumn("parent", F.greatest(*last))
+
+
+def match_multiline(df: DataFrame, key: str, position: str, text: str, heading: Column, most: int = 6) -> DataFrame:
+    """Lines at which the heading starts, with the number of lines that it takes, joined by spaces."""
+    ahead = Window.partitionBy(key).orderBy(position, text).rowsBetween(0, most - 1)
+    sizes = F.sequence(F.lit(1), F.size("_lines"))
+    found = F.filter(sizes, lambda n: F.array_join(F.slice("_lines", F.lit(1), n), " ") == heading)
+    return df.withColumn("_lines", F.collect_list(text).over(ahead)).withColumn("lines", F.get(found, F.lit(0))).where("lines IS NOT NULL").drop("_lines")
+
+
+def outline(df: DataFrame, key: str, position: str, level: str) -> DataFrame:
+    """Top headings, each with the places of the second-level headings up to the next top one."""
+    part = F.sum(F.when(F.col(level) == 1, 1).otherwise(0)).over(Window.partitionBy(key).orderBy(position))
+    parts = df.where(F.col(level) <= 2).withColumn("_part", part).where("_part > 0")
+    nested = F.array_sort(F.collect_list(F.when(F.col(level) == 2, F.col(position))))
+    return parts.groupBy(key, "_part").agg(F.min(position).alias("top"), nested.alias("nested")).drop("_part")

@@ -799,3 +799,110 @@ def _(read):
 @query("m7_combine", "SELECT user_id, CASE WHEN bool_and(event_type <> 'error') THEN 'success' ELSE 'failed' END AS outcome FROM events GROUP BY user_id")
 def _(read):
     return read("events").groupBy("user_id").agg(F.when(F.bool_and(c("event_type") != "error"), "success").otherwise("failed").alias("outcome"))
+
+
+# ---- sites, pages, outlines and replies
+
+
+@query("b22_pending_sites", "SELECT doc_id AS page_id, CASE WHEN s.page_id IS NOT NULL AND s.page_id % 3 = 0 THEN 'run' ELSE 'handled' END AS outcome FROM documents LEFT JOIN pages s ON s.page_id = doc_id")
+def _(read):
+    sites = read("pages").select("page_id", F.when(c("page_id") % 3 == 0, "pending").otherwise("crawled").alias("crawl_status"))
+    return sel.pending_sites(read("documents").select(c("doc_id").alias("page_id")), sites, "page_id", "crawl_status").select("page_id", "outcome")
+
+
+@query("c10_pair_pages", "SELECT p.page_id, length(d.text) AS direct, length(o.text) AS ocr, length(p.html) AS model FROM pages p LEFT JOIN documents d ON d.doc_id = p.page_id AND d.doc_id % 3 <> 0 LEFT JOIN documents o ON o.doc_id = p.page_id AND o.doc_id % 2 = 0")
+def _(read):
+    reading = lambda where, name: read("documents").where(where).select(c("doc_id").alias("page_id"), F.length("text").cast("long").alias(name))
+    model = read("pages").select("page_id", F.length("html").cast("long").alias("model"))
+    return tab.pair_pages(model, reading("doc_id % 3 <> 0", "direct"), reading("doc_id % 2 = 0", "ocr"), key=["page_id"]).select("page_id", "direct", "ocr", "model")
+
+
+@query("d16_page_metrics", f"SELECT page_id, length(html) AS html_chars, length(body) AS text_chars, links, length(body) // 4 AS tokens, round((length(body) // 4) / 1e6 * 2.5, 9) AS price, CASE WHEN length(body) > 0 THEN 'pass' ELSE 'failed' END AS status FROM (SELECT page_id, html, array_to_string({_TEXT}, ' ') AS body, len(regexp_extract_all(html, '<a[^>]*href=\"([^\"]+)\"', 1)) AS links FROM pages)")
+def _(read):
+    body = read("pages").select("page_id", "html", page.html_text(c("html")).alias("body"))
+    tokens = txt.est_tokens(c("body"))
+    return body.select(
+        "page_id", F.length("html").cast("long").alias("html_chars"), F.length("body").cast("long").alias("text_chars"), F.size(page.hrefs(c("html"))).cast("long").alias("links"),
+        tokens.alias("tokens"), F.round(txt.token_cost(tokens, 2.5), 9).alias("price"), F.when(F.length("body") > 0, "pass").otherwise("failed").alias("status"),
+    )
+
+
+_LEVELS = "(SELECT source_id, section_id, CASE WHEN is_head = 1 THEN section_id % 3 + 1 END AS lvl FROM sections_v)"
+
+
+def _levels(read):
+    return read("sections_v").withColumn("lvl", F.when(c("is_head") == 1, c("section_id") % 3 + 1))
+
+
+@query("e4_nest_headings", f"SELECT a.source_id, a.section_id, max(b.section_id) AS parent FROM {_LEVELS} a LEFT JOIN {_LEVELS} b ON b.source_id = a.source_id AND b.section_id < a.section_id AND b.lvl < coalesce(a.lvl, 7) GROUP BY a.source_id, a.section_id")
+def _(read):
+    return win.nest_headings(_levels(read), "source_id", "section_id", "lvl").select("source_id", "section_id", "parent")
+
+
+@query("e10_match_multiline", "SELECT source_id, section_id, 3 AS lines FROM (SELECT source_id, section_id, list(role) OVER (PARTITION BY source_id ORDER BY section_id, role ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS w FROM sections_v) WHERE array_to_string(w[1:3], ' ') = 'user assistant user'")
+def _(read):
+    return win.match_multiline(read("sections_v"), "source_id", "section_id", "role", F.lit("user assistant user")).select("source_id", "section_id", "lines")
+
+
+@query("i10_outline", f"SELECT source_id, min(section_id) AS top, coalesce(string_agg(CASE WHEN lvl = 2 THEN CAST(section_id AS VARCHAR) END, ',' ORDER BY section_id), '') AS nested FROM (SELECT *, sum(CASE WHEN lvl = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY section_id) AS part FROM {_LEVELS} WHERE lvl <= 2) WHERE part > 0 GROUP BY source_id, part")
+def _(read):
+    return win.outline(_levels(read), "source_id", "section_id", "lvl").select("source_id", "top", F.array_join("nested", ",").alias("nested"))
+
+
+_OFFSET = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN concat('Page', o_orderkey % 9) WHEN 1 THEN concat('pg_', o_orderkey % 9) WHEN 2 THEN CAST(o_orderkey % 9 AS VARCHAR) ELSE concat('x', o_orderkey % 9) END AS key, o_orderkey % 9 - CASE WHEN o_orderkey % 4 < 2 THEN 1 ELSE 0 END AS n FROM orders"
+
+
+@query("h52_page_offset", f"SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 AND n BETWEEN 0 AND 5 THEN CAST(n AS INT) END AS page FROM ({_OFFSET})")
+def _(read):
+    n, kind = (c("o_orderkey") % 9).cast("string"), c("o_orderkey") % 4
+    key = F.when(kind == 0, F.concat(F.lit("Page"), n)).when(kind == 1, F.concat(F.lit("pg_"), n)).when(kind == 2, n).otherwise(F.concat(F.lit("x"), n))
+    return read("orders").select("o_orderkey", txt.page_offset(key, 6).alias("page"))
+
+
+@query("h54_table_cells", "SELECT p_partkey, 0 AS place, 'name, brand' AS cells, true AS header FROM part UNION ALL SELECT p_partkey, 1, concat(p_name, ', ', p_brand), false FROM part")
+def _(read):
+    table = F.concat(F.lit("name | brand\n---|---\n"), c("p_name"), F.lit("|"), c("p_brand"), F.lit("\nno table"))
+    rows = read("part").select("p_partkey", F.posexplode(txt.table_rows(table)).alias("place", "r"))
+    return rows.select("p_partkey", "place", F.array_join("r.cells", ", ").alias("cells"), c("r.header").alias("header"))
+
+
+@query("h47_extract_json", "SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN props END AS reply FROM events")
+def _(read):
+    kind = c("event_id") % 4
+    reply = F.when(kind == 0, F.concat(F.lit("Here:\n```json\n"), "props", F.lit("\n```\nDone."))).when(kind == 1, F.concat(F.lit("```\n"), "props", F.lit("```"))).when(kind == 2, F.concat(F.lit("It is "), "props", F.lit("."))).otherwise(F.lit("none {"))
+    return read("events").select("event_id", txt.extract_json(reply).alias("reply"))
+
+
+@query("j8_sentence_diff", r"""WITH n AS (SELECT doc_id, list_distinct(string_split(replace(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), '. ', '.' || chr(1)), chr(1))) AS s FROM documents) SELECT a.doc_id, CAST(len(list_filter(b.s, lambda x: NOT list_contains(a.s, x))) AS BIGINT) AS added, CAST(len(list_filter(a.s, lambda x: NOT list_contains(b.s, x))) AS BIGINT) AS removed FROM n a JOIN n b ON b.doc_id = a.doc_id + 1""")
+def _(read):
+    docs = read("documents").select("doc_id", "text")
+    added, removed = sim.sentence_diff(c("text"), c("other"))
+    both = docs.join(docs.select((c("doc_id") - 1).alias("doc_id"), c("text").alias("other")), "doc_id")
+    return both.select("doc_id", F.size(added).cast("long").alias("added"), F.size(removed).cast("long").alias("removed"))
+
+
+@query("l5_suggestion", f"SELECT doc_id, translate(lower(text), '{txt.MARKED}', '{txt.PLAIN}')[1:100] AS suggestion FROM documents")
+def _(read):
+    return read("documents").select("doc_id", txt.suggestion(c("text")).alias("suggestion"))
+
+
+@query("m4_fallback", "SELECT source_id, coalesce(status_step, status_registration) AS status FROM registry_v LEFT JOIN status_v USING (source_id)")
+def _(read):
+    return read("registry_v").join(read("status_v"), "source_id", "left").select("source_id", F.coalesce("status_step", "status_registration").alias("status"))
+
+
+@query("m6_steps_to_run", "SELECT source_id, coalesce(status_text_processor = 'pass', false) AS load_json, NOT coalesce(status_text_processor = 'pass', false) AS run_json, NOT coalesce(status_step = 'pass', false) AS run_html FROM registry_v LEFT JOIN status_v USING (source_id)")
+def _(read):
+    load, build, render = sel.steps_to_run(c("status_text_processor"), c("status_step"))
+    return read("registry_v").join(read("status_v"), "source_id", "left").select("source_id", load.alias("load_json"), build.alias("run_json"), render.alias("run_html"))
+
+
+_KEPT = "(SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS s, o_orderstatus AS status FROM orders WHERE o_orderkey % 3 <> 0)"
+_CAME = "(SELECT o_orderkey AS k, o_custkey + 1 AS s, 'pass' AS status FROM orders WHERE o_orderkey % 2 = 0)"
+
+
+@query("m8_touch", f"SELECT coalesce(t.k, b.k) AS id, coalesce(t.s, b.s) AS start, CASE WHEN b.k IS NOT NULL THEN b.status ELSE t.status END AS status FROM {_KEPT} t FULL JOIN {_CAME} b ON t.k = b.k")
+def _(read):
+    target = read("orders").where("o_orderkey % 3 <> 0").select(c("o_orderkey").alias("id"), F.when(c("o_orderkey") % 5 != 0, c("o_custkey")).alias("start"), c("o_orderstatus").alias("status"))
+    batch = read("orders").where("o_orderkey % 2 = 0").select(c("o_orderkey").alias("id"), (c("o_custkey") + 1).alias("start"), F.lit("pass").alias("status"))
+    return tab.touch(target, batch, "id", always=["status"])

@@ -86,3 +86,40 @@ def test_stream_handles_each_file_once(spark, tmp_path):
     spark.range(5, 7).write.mode("append").parquet(source)
     stream_documents(spark, source, spark.range(1).schema, lambda b: b.where("id > 1"), target, state)
     assert spark.read.parquet(target).count() == 5
+
+
+def test_lists_are_trimmed_of_spaces_only(spark):
+    # transform() would hand the element's index to trim() as the characters to take off.
+    assert one(spark, F.array_join(txt.csv_array(F.col("t")), "|"), t="10, 21 ,,32") == "10|21|32"
+    assert one(spark, F.to_json(txt.table_rows(F.col("t"))), t="a|b\n---|---\n10|11\nno table") == '[{"header":true,"cells":["a","b"]},{"header":false,"cells":["10","11"]}]'
+
+
+def test_headings(spark):
+    rows = [(1, i, level, text) for i, (level, text) in enumerate([(None, "lead"), (1, "A"), (3, "B"), (2, "Long"), (None, "title"), (1, "C")])]
+    df = spark.createDataFrame(rows, "k int, at long, lvl int, text string")
+    assert [r.parent for r in win.nest_headings(df, "k", "at", "lvl").orderBy("at").collect()] == [None, None, 1, 1, 3, None]
+    assert [(r["at"], r["lines"]) for r in win.match_multiline(df, "k", "at", "text", F.lit("Long title")).collect()] == [(3, 2)]
+    assert sorted((r.top, r.nested) for r in win.outline(df, "k", "at", "lvl").collect()) == [(1, [3]), (5, [])]
+    assert win.outline(df.limit(0), "k", "at", "lvl").count() == 0
+
+
+def test_replies_pages_and_marks(spark):
+    assert one(spark, txt.extract_json(F.col("t")), t='so:\n```json\n{"a": {"b": 1}}\n```') == '{"a": {"b": 1}}'
+    assert one(spark, txt.extract_json(F.col("t")), t="no {json") is None
+    assert [one(spark, txt.page_offset(F.col("t"), 3), t=t) for t in ("Page1", "pg_3", "2", "page 4", "3", "x1", "")] == [0, 2, 2, None, None, None, None]
+    assert one(spark, txt.suggestion(F.col("t"), 6), t="\u00c9t\u00e9 \u0160kola") == "ete sk"
+
+
+def test_step_start_is_set_once(spark):
+    target = spark.createDataFrame([(1, 5, None, "x"), (2, None, None, None)], "k int, start int, end int, status string")
+    batch = spark.createDataFrame([(1, 7, 8, "pass"), (2, 7, 8, None), (3, 7, 8, "pass")], "k int, start int, end int, status string")
+    assert sorted(map(tuple, tab.touch(target, batch, "k").collect())) == [(1, 5, 8, "pass"), (2, 7, 8, None), (3, 7, 8, "pass")]
+
+
+def test_neighbours_in_blocks(spark, monkeypatch):
+    from docketry.operators import vectors as vec
+
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(30)], "id int, v array<double>")
+    whole = sorted(map(tuple, vec.knn(df.where("id < 9"), df, "id", "v", 3).collect()))
+    monkeypatch.setattr(vec, "BLOCK_QUERIES", 2)
+    assert sorted(map(tuple, vec.knn(df.where("id < 9"), df, "id", "v", 3).collect())) == whole
