@@ -1,8 +1,9 @@
 """SpotSigs document fingerprints.
 
-A signature is a common word (the anchor) and the chain of the next content words after it. A text without
-anchors uses a chain from each content word; one of too few words is a signature as a whole. A fingerprint
-holds the number of distinct signatures and the smallest SKETCH of their hashes: all of them for most texts.
+A signature is a common word (the anchor) and the chain of the next content words after it. Content words that
+no anchor's chain holds start chains of their own, so each content word is in a signature; a text of too few
+words is a signature as a whole. Likeness is taken over all signatures. A printed fingerprint holds their number,
+the smallest SKETCH of their hashes and a digest of all of them.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def _anchor_hashes() -> np.ndarray:
 
 
 def signatures(texts) -> list[np.ndarray]:
-    """For each text the sorted distinct 32-bit hashes of its signatures; never empty."""
+    """For each text the sorted distinct 64-bit hashes of its signatures; never empty."""
     anchors, found = _anchor_hashes(), []
     plain = utf8(texts)
     for i, j in slices(plain):
@@ -45,35 +46,35 @@ def signatures(texts) -> list[np.ndarray]:
             content = np.flatnonzero(~is_anchor)
             if len(content) < CHAIN:
                 digest = hashlib.sha256(plain[i + k]).digest()
-                found.append(np.frombuffer(digest[:4], ">u4").astype(np.uint32))
+                found.append(np.frombuffer(digest[:8], ">u8").astype(U))
                 continue
             starts = np.flatnonzero(is_anchor)
             first = np.searchsorted(content, starts)
             ok = first + CHAIN <= len(content)
             lead, first = own[starts[ok]], first[ok]
-            if not len(first):
-                first = np.arange(len(content) - CHAIN + 1)
-                lead = np.zeros(len(first), U)
+            covered = np.zeros(len(content), bool)
+            for step in range(CHAIN):
+                covered[first + step] = True
+            # The last words have too few after them: their chain ends with the text.
+            bare = np.unique(np.minimum(np.flatnonzero(~covered), len(content) - CHAIN))
+            lead, first = np.concatenate([lead, np.zeros(len(bare), U)]), np.concatenate([first, bare])
             chain = mix(lead)
             for step in range(CHAIN):
                 chain = mix(chain + own[content[first + step]] * U(2 * step + 3))
-            found.append(np.unique((chain >> U(32)).astype(np.uint32)))
+            found.append(np.unique(chain))
     return found
 
 
 def shown(own: np.ndarray) -> str:
-    return f"{len(own)}:" + own[:SKETCH].astype(">u4").tobytes().hex()
+    """Number of signatures, the upper halves of the smallest SKETCH of their hashes, digest of all hashes."""
+    smallest = (own[:SKETCH] >> U(32)).astype(">u4").tobytes().hex()
+    return f"{len(own)}:{smallest}:{hashlib.sha256(own.astype('>u8').tobytes()).hexdigest()}"
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard likeness, pruned by set length: exact where both fit in the sketch, else from the smallest
-    hashes of both together."""
-    if len(a) <= SKETCH and len(b) <= SKETCH:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both / (len(a) + len(b) - both)
-    a, b = a[:SKETCH], b[:SKETCH]
-    together = np.union1d(a, b)[:SKETCH]
-    return float((np.isin(together, a) & np.isin(together, b)).mean())
+    """Exact Jaccard likeness of two sorted sets of signatures."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
 
 
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -173,6 +173,29 @@ def test_fingerprints(spark):
     assert alone.near_next == 1.0
 
 
+def test_likeness_of_long_texts_is_exact():
+    r = random.Random(11)
+    names = [a + b + c for a in WORDS for b in WORDS for c in "xyz"]
+    base = [w for _ in range(4000) for w in ("the", r.choice(names), r.choice(names))]
+    other = list(base)
+    for k in range(1, len(other), 30):
+        other[k] = r.choice(names)
+    sets = [{tuple(x[k : k + 3]) for k in range(0, len(x), 3)} for x in (base, other)]
+    a, b = fingerprints.signatures([" ".join(base), " ".join(other)])
+    assert (len(a), len(b)) == (len(sets[0]), len(sets[1])) and len(a) > 10 * fingerprints.SKETCH
+    assert fingerprints.likeness(a, b) == len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    most = np.concatenate([a[:-1], [a[-1] + np.uint64(1)]])
+    assert fingerprints.shown(a) != fingerprints.shown(most)
+
+
+def test_each_content_word_is_in_a_signature():
+    menu = [f"item{k}" for k in range(60)]
+    own = fingerprints.signatures([" ".join(["the", *menu])])[0]
+    for k in range(len(menu)):
+        changed = menu[:k] + ["other"] + menu[k + 1 :]
+        assert fingerprints.likeness(own, fingerprints.signatures([" ".join(["the", *changed])])[0]) < 1.0
+
+
 @pytest.mark.parametrize("roles", [r for n in range(4) for r in itertools.product(range(4), repeat=n) if n])
 def test_least_cost(roles):
     costs, _ = chat._forward(list(roles), chat.START)
