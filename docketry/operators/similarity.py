@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import difflib
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,13 +10,97 @@ from pyspark.sql.types import DoubleType
 
 from docketry.functions.text import norm_match, norm_verify
 
-#: Longest texts that the quadratic ratio compares; longer ones get the word overlap.
-LONGEST_RATIO = 20_000
+
+class _Spans:
+    """Names of the spans of two texts, one after the other, that hold no popular character: equal spans have
+    equal names. Spans of a power of two are named from those of half the length."""
+
+    def __init__(self, codes: np.ndarray, left: np.ndarray):
+        self.left, self.named, self.made = left, {1: np.unique(codes, return_inverse=True)[1].astype(np.int64)}, {}
+
+    def _named(self, power: int) -> np.ndarray:
+        if power not in self.named:
+            half = self._named(power // 2)
+            at = np.flatnonzero(self.left >= power)
+            names = np.zeros(len(half), np.int64)
+            names[at] = np.unique(half[at] * len(half) + half[at + power // 2], return_inverse=True)[1]
+            self.named[power] = names
+        return self.named[power]
+
+    def within(self, size: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and names of the spans of this size between two places."""
+        if size not in self.made:
+            names = self._named(1 << (size.bit_length() - 1))
+            at = np.flatnonzero(self.left >= size)
+            self.made[size] = at, names[at] * len(names) + names[at + size - (1 << (size.bit_length() - 1))]
+        at, found = self.made[size]
+        i, j = np.searchsorted(at, (low, high - size + 1))
+        return at[i:j], found[i:j]
+
+
+def _left(rare: np.ndarray) -> np.ndarray:
+    """For each place the number of characters from there to the next popular one."""
+    places = np.arange(len(rare))
+    stops = np.append(np.flatnonzero(~rare), len(rare))
+    return stops[np.searchsorted(stops, places)] - places
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the common beginning."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        differ = a[at : min(at + step, n)] != b[at : min(at + step, n)]
+        if differ.any():
+            return at + int(differ.argmax())
+        at, step = at + step, 2 * step
+    return n
+
+
+def matching_ratio(x: str, y: str) -> float:
+    """difflib.SequenceMatcher(None, x, y).ratio(), to the same value, without its quadratic time on long texts:
+    the longest common span without popular characters is found by names of spans, and its length in a part of
+    the texts is at most that in the whole."""
+    if not x or not y:
+        return 0.0
+    a, b = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (x, y))
+    known, counts = np.unique(b, return_counts=True)
+    usual = known[counts <= len(b) // 100 + 1] if len(b) >= 200 else known
+    left, shift = [_left(np.isin(t, usual)) for t in (a, b)], len(a)
+    spans = _Spans(np.concatenate([a, b]), np.concatenate(left))
+    longest = int(min(x.max() for x in left))
+    total, parts = 0, [(0, len(a), 0, len(b), longest)]
+    while parts:
+        alo, ahi, blo, bhi, most = parts.pop()
+        low, high, best = 0, min(most, ahi - alo, bhi - blo), None
+        size = high
+        while size > low:
+            at_a, of_a = spans.within(size, alo, ahi)
+            at_b, of_b = spans.within(size, shift + blo, shift + bhi)
+            common = np.isin(of_a, of_b) if len(of_a) and len(of_b) else np.zeros(0, bool)
+            if common.any():
+                k = int(common.argmax())
+                low, best = size, (int(at_a[k]), int(at_b[(of_b == of_a[k]).argmax()]) - shift)
+            else:
+                high = size - 1
+            size = (low + high + 1) // 2
+        i, j = best or (alo, blo)
+        if best:
+            back = _alike(a[alo:i][::-1], b[blo:j][::-1])
+            i, j, low = i - back, j - back, low + back
+        size = low + _alike(a[i + low : ahi], b[j + low : bhi])
+        if size:
+            total += size
+            limit = high
+            if alo < i and blo < j:
+                parts.append((alo, i, blo, j, limit))
+            if i + size < ahi and j + size < bhi:
+                parts.append((i + size, ahi, j + size, bhi, limit))
+    return 2.0 * total / (len(a) + len(b))
 
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([None if x is None or y is None else matching_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def word_overlap(a: Column, b: Column) -> Column:
@@ -29,9 +112,7 @@ def word_overlap(a: Column, b: Column) -> Column:
 def verify(df: DataFrame, original: str, rebuilt: str, threshold: float = 0.9) -> DataFrame:
     """score and status of a rebuilt text; without original ``not started``, empty texts fail."""
     a, b = norm_verify(F.col(original)), norm_verify(F.coalesce(F.col(rebuilt), F.lit("")))
-    short = F.greatest(F.length(a), F.length(b)) <= LONGEST_RATIO
-    ratio = sequence_ratio(F.when(short, a), F.when(short, b))
-    score = F.when(F.col(original).isNull(), 0.0).otherwise(F.coalesce(ratio, word_overlap(F.col(original), F.coalesce(F.col(rebuilt), F.lit("")))))
+    score = F.when(F.col(original).isNull(), 0.0).otherwise(sequence_ratio(a, b))
     scored = df.withColumn("score", score)
     return scored.withColumn("verification", F.when(F.col(original).isNull(), "not started").when(F.col("score") >= threshold, "pass").otherwise("failed"))
 

@@ -1,3 +1,6 @@
+import difflib
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +80,28 @@ def test_verify(spark):
     assert [r.verification for r in sim.verify(df, "o", "r").collect()] == ["pass", "failed", "not started"]
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyz       ", "".join(chr(200 + k) for k in range(300))])
+def test_ratio_is_that_of_difflib(letters):
+    r = random.Random(2)
+    for _ in range(60):
+        x = "".join(r.choice(letters) for _ in range(r.choice([0, 1, 50, 199, 200, 600])))
+        k = r.randint(0, len(x))
+        for y in (x, x[k:] + x[:k], x + x[:k], x[:k] + "q" + x[k + 3 :], "".join(r.choice(letters) for _ in range(300))):
+            assert sim.matching_ratio(x, y) == (difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0)
+
+
+def test_verify_long_texts(spark):
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlucmfw") for _ in range(r.randint(2, 9))) + r.choice(["", "", "", *"qzxyvkjbgp0123456789"]) for _ in range(900)]
+    text = " ".join(r.choice(words) for _ in range(4500))
+    third = len(text) // 3
+    rebuilt = [text, text[third:] + text[:third], text + " " + text, text + " " + " ".join(r.choice(words) for _ in range(4500)), text[:third] + "\n\n" + text[third:]]
+    assert len(text) > 21_000
+    got = sim.verify(spark.createDataFrame([(k, text, t) for k, t in enumerate(rebuilt)], "k int, o string, r string"), "o", "r").orderBy("k").collect()
+    assert [x.verification for x in got] == ["pass", "failed", "failed", "failed", "pass"]
+    assert [x.score for x in got] == [difflib.SequenceMatcher(None, " ".join(text.split()), " ".join(t.split())).ratio() for t in rebuilt]
+
+
 def test_stream_handles_each_file_once(spark, tmp_path):
     source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     spark.range(5).write.parquet(source)
