@@ -2,7 +2,8 @@
 
 DataFrame functions and Spark's own tree ensemble only. A text is split at white space; a candidate is a
 run of at least 16 letters, digits and ``_ + / -`` in one of its tokens, so its neighbouring words are the
-tokens around it.
+tokens around it. Of any length and with any symbols, the value assigned to a name with one of KEY_WORDS and
+the password or token in the user part of a URL are candidates too.
 """
 
 from __future__ import annotations
@@ -17,33 +18,78 @@ RUN = r"[A-Za-z0-9_+/-]{16,}={0,2}"
 #: Most labelled findings that the forest is trained on.
 SAMPLE = 10_000
 MASK = "[SECRET]"
+#: A name with a key word, a sign of assignment on the same line, and the value: quoted, or up to white space
+#: without the marks that end it. Groups: what leads
+#: to the value, the value in either quotes, a quote that is not closed, the value without quotes.
+ASSIGNED = (
+    r"""((?i:pass|pwd|token|secret|api|key|auth|credential|bearer)[\w.-]*+["'\]]*+[^\S\n]*+(?:=>|:=|={1,3}|:)[^\S\n]*+(?:(?i:bearer|basic)[^\S\n]++)?)"""
+    r"""(?:"(?=[^\S\n]*+[^"\s])([^"\n]++)"|'(?=[^\S\n]*+[^'\s])([^'\n]++)'|(["']?)([^\s"'](?:\S*[^\s.,;:)\]}>"'])?))"""
+)
+#: The user part of a URL: the password if there is one, else the name, which may be a token.
+IN_URL = r"([A-Za-z][A-Za-z0-9+.-]{0,30}+://(?:[^\s/:@]*+:)?)([^\s/]+)@"
 #: Words beside a secret that tell of one, and pieces of ordinary words, which secrets rarely hold.
 KEY_WORDS = r"(?i)(pass|pwd|token|secret|api|key|auth|credential|bearer)"
 WORD_PIECES = "(the|ing|tion|and|ent|ment|er|en|in|re|on|ou|an|de|que|sch|ein|ado|ión|ung|lich)"
-FEATURES = ["length", "digits", "capitals", "vowels", "changes", "covered", "distinct", "hexadecimal", "key_before", "key_beside", "assigned", "quoted", "path_depth", "path_test"]
+FEATURES = ["length", "digits", "capitals", "vowels", "changes", "covered", "distinct", "hexadecimal", "key_before", "key_beside", "assigned", "quoted", "path_depth", "path_test", "symbols", "in_url"]
+
+
+def _at_places(pattern: str, lead: Column, value: Column) -> Column:
+    """Of each match of pattern in _text: at, secret, what leads to it, and the number of tokens it spans."""
+    spaces = lambda c: F.regexp_count(c, F.lit(r"\s+"))
+    found = F.regexp_extract_all("_text", F.lit(f"({pattern})"), F.lit(1))
+    each = F.transform(found, lambda x: F.struct(x.alias("whole"), lead(x).alias("lead"), value(x).alias("secret")))
+    met = F.arrays_zip(F.split("_text", pattern).alias("part"), each.alias("m"))
+    state = "struct<seen:int,found:array<struct<at:int,secret:string,lead:string,spans:int>>>"
+    start = F.struct(F.lit(0).alias("seen"), F.array().cast("array<struct<at:int,secret:string,lead:string,spans:int>>").alias("found")).cast(state)
+
+    def step(state, x):
+        at = state["seen"] + spaces(x["part"]) + spaces(x["m"]["lead"])
+        one = F.struct(at.alias("at"), x["m"]["secret"].alias("secret"), x["m"]["lead"].alias("lead"), spaces(x["m"]["secret"]).alias("spans"))
+        return F.struct((state["seen"] + spaces(x["part"]) + spaces(x["m"]["whole"])).alias("seen"), F.concat(state["found"], F.array(one)).alias("found"))
+
+    return F.aggregate(F.filter(met, lambda x: x["m"].isNotNull()), start, step)["found"]
+
+
+def _assigned() -> Column:
+    group = lambda x, k: F.regexp_extract(x, ASSIGNED, k)
+    value = lambda x: F.concat(group(x, 2), group(x, 3), group(x, 5))
+    lead = lambda x: F.concat(group(x, 1), F.when(group(x, 2) != "", '"').when(group(x, 3) != "", "'").otherwise(group(x, 4)))
+    return F.when(F.col("_text").rlike(ASSIGNED), _at_places(ASSIGNED, lead, value))
+
+
+def _in_url() -> Column:
+    group = lambda k: lambda x: F.regexp_extract(x, IN_URL, k)
+    return F.when(F.contains("_text", F.lit("://")) & F.col("_text").rlike(IN_URL), _at_places(IN_URL, group(1), group(2)))
 
 
 def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
-    """(doc_id, at, secret, before, token, after, path): at is the token's number in the document. Null and
-    empty texts have none; without a path column, or where it is null, the path is empty."""
+    """(doc_id, at, secret, before, token, after, path, lead, context): at is the number of the token in which
+    the secret begins, lead what stands before it in this token, and context what is looked for to mask it: a run
+    by itself, a value after what leads to it. Null and empty texts have none; without a path column, or where it
+    is null, the path is empty."""
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
-    tokens = docs.where("doc_id IS NOT NULL").select("doc_id", place.alias("path"), F.split(F.coalesce("text", F.lit("")), r"\s+").alias("tokens"))
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", place.alias("path"), F.coalesce("text", F.lit("")).alias("_text"))
+    tokens = texts.select("doc_id", "path", "_text", F.split("_text", r"\s+").alias("tokens"))
+    beside = lambda n: F.coalesce(F.when(F.col("at") + n >= 0, F.get("tokens", F.col("at") + n)), F.lit(""))
+    before = F.concat_ws(" ", beside(F.lit(-2)), beside(F.lit(-1))).alias("before")
     each = tokens.select("doc_id", "path", "tokens", F.posexplode("tokens").alias("at", "token")).where(F.length("token") >= 16).where(F.col("token").rlike(RUN))
-    beside = lambda n: F.coalesce(F.get("tokens", F.col("at") + n), F.lit(""))
-    near = each.select("doc_id", "at", "path", "token", F.concat_ws(" ", beside(-2), beside(-1)).alias("before"), beside(1).alias("after"))
-    return near.select("doc_id", "at", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(f"({RUN})"), F.lit(1)))).alias("secret"), "before", "token", "after", "path")
-
-
-def _lead() -> Column:
-    """What stands before the candidate in its token."""
-    return F.call_function("substring_index", F.col("token"), F.col("secret"), F.lit(1))
+    near = each.select("doc_id", "at", "path", "token", before, beside(F.lit(1)).alias("after"))
+    runs = near.select("doc_id", "at", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(f"({RUN})"), F.lit(1)))).alias("secret"), "before", "token", "after", "path")
+    runs = runs.withColumns({"lead": F.call_function("substring_index", F.col("token"), F.col("secret"), F.lit(1)), "context": F.col("secret")})
+    empty = F.array().cast("array<struct<at:int,secret:string,lead:string,spans:int>>")
+    values = tokens.select("doc_id", "path", "tokens", F.explode(F.array_distinct(F.concat(F.coalesce(_assigned(), empty), F.coalesce(_in_url(), empty)))).alias("v"))
+    # A value that is a run as a whole is one of the runs already.
+    values = values.where(~F.col("v.secret").rlike(f"^{RUN}$")).select("doc_id", "path", "tokens", F.col("v.at").alias("at"), "v.secret", "v.lead", "v.spans")
+    own = F.regexp_extract("lead", r"\S*$", 0)
+    values = values.select("doc_id", "at", "secret", before, beside(F.lit(0)).alias("token"), beside(F.col("spans") + 1).alias("after"), "path", own.alias("lead"), F.concat("lead", "secret").alias("context"))
+    return runs.unionByName(values)
 
 
 def described(found: DataFrame) -> DataFrame:
     """found with FEATURES."""
     s, n = F.col("secret"), F.length("secret").cast("double")
     count = lambda pattern: F.regexp_count(s, F.lit(pattern)) / n
-    lead = _lead()
+    lead = F.col("lead")
     yes = lambda c: c.cast("double")
     columns = {
         "length": n,
@@ -60,6 +106,8 @@ def described(found: DataFrame) -> DataFrame:
         "quoted": yes(lead.rlike("[\"']$")),
         "path_depth": F.size(F.split("path", "[/.]")).cast("double"),
         "path_test": yes(F.col("path").rlike("(?i)(test|example|sample|doc)")),
+        "symbols": count("[^A-Za-z0-9_+/=-]"),
+        "in_url": yes(lead.rlike("://[^/]*$")),
     }
     return found.withColumns({f"f_{k}": F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in columns.items()})
 
@@ -67,9 +115,9 @@ def described(found: DataFrame) -> DataFrame:
 def by_format(found: DataFrame) -> Column:
     """Labels of findings whose format or context settles them; null where neither does. It stands in for
     reviewed findings where there are none."""
-    assigned = F.concat(F.col("before"), F.lit(" "), _lead()).rlike(r"(?i)(password|token|secret|api_?key)\W*[=:]\W*$")
-    mixed = F.col("secret").rlike("[0-9]") & F.col("secret").rlike("[A-Za-z]")
-    return F.when(F.col("secret").rlike("^(AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$") | (assigned & mixed), 1.0).when(~F.col("secret").rlike("[0-9]"), 0.0)
+    assigned = F.concat(F.col("before"), F.lit(" "), F.col("lead")).rlike(r"(?i)(password|token|secret|api_?key)\W*[=:]\W*$")
+    mixed = F.col("secret").rlike("[0-9!@#$%^&*]") & F.col("secret").rlike("[A-Za-z]")
+    return F.when(F.col("secret").rlike("^(AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$") | (assigned & mixed) | F.col("lead").rlike("://[^/]*:$"), 1.0).when(~F.col("secret").rlike("[0-9]"), 0.0)
 
 
 def train(found: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE) -> RandomForestClassificationModel | None:
@@ -87,24 +135,31 @@ def train(found: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE)
         rows.unpersist()
 
 
-def findings(docs: DataFrame, labels: DataFrame | None = None, path: str | None = "source", most: int = SAMPLE) -> DataFrame:
-    """Each candidate of docs: doc_id, at, secret, p_secret, is_secret (p_secret >= 0.5). Without labels of
-    both kinds p_secret is 1 for what its format settles, else 0."""
+def _scored(docs: DataFrame, labels: DataFrame | None, path: str | None, most: int) -> DataFrame:
     found = candidates(docs, path)
     model = train(found, labels, most)
     if model is None:
         p = F.coalesce(by_format(found), F.lit(0.0))
-        return found.select("doc_id", "at", "secret", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
+        return found.select("doc_id", "at", "secret", "context", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
     assemble = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
     scored = model.transform(assemble.transform(described(found)))
     p = F.round(vector_to_array("probability")[1], 6)
-    return scored.select("doc_id", "at", "secret", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
+    return scored.select("doc_id", "at", "secret", "context", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
+
+
+def findings(docs: DataFrame, labels: DataFrame | None = None, path: str | None = "source", most: int = SAMPLE) -> DataFrame:
+    """Each candidate of docs: doc_id, at, secret, p_secret, is_secret (p_secret >= 0.5). Without labels of
+    both kinds p_secret is 1 for what its format settles, else 0."""
+    return _scored(docs, labels, path, most).drop("context")
 
 
 def masked(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """docs with each secret in the text replaced by MASK; all columns and all documents stay."""
-    found = findings(docs, labels).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set("secret")).alias("_secrets"))
-    # Longer secrets first: one may hold another.
-    order = F.array_sort(F.coalesce("_secrets", F.array().cast("array<string>")), lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).otherwise(0))
-    text = F.aggregate(order, F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    """docs with each secret in the text replaced by MASK, a run wherever it stands and a value after what leads
+    to it; all columns and all documents stay."""
+    secret = F.struct("context", F.length("secret").alias("n"))
+    found = _scored(docs, labels, "source", SAMPLE).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(secret)).alias("_secrets"))
+    # Longer ones first: one may hold another.
+    size = lambda x: F.length(x["context"])
+    order = F.array_sort(F.coalesce("_secrets", F.array().cast("array<struct<context:string,n:int>>")), lambda a, b: F.when(size(a) > size(b), -1).when(size(a) < size(b), 1).otherwise(0))
+    text = F.aggregate(order, F.col("text"), lambda t, s: F.replace(t, s["context"], F.concat(F.left(s["context"], size(s) - s["n"]), F.lit(MASK))))
     return docs.join(found, "doc_id", "left").withColumn("text", text).select(*docs.columns)

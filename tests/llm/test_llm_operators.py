@@ -293,6 +293,21 @@ def test_secrets_held_out(spark):
     assert secrets.findings(empty(spark)).count() == 0
 
 
+def test_short_secrets(spark):
+    texts = [
+        'a\n password = "Tr0ub4dor3" end', "pwd: h!u@n$t.e4r, then", 'say "api_key" : \'two words 7\'  and', "see postgres://bob:s3c!ret@db.example/x now", "https://t0ken@host/", "Authorization: Bearer ab12 x",
+        "monkey: banana author: Jane rapid: river", "password = ", "token=x1 and key=x1", "access_token=0123456789abcdef0123", "secret = \"un2closed",
+    ]
+    docs = frame(spark, list(enumerate(texts)))
+    got = sorted((r.doc_id, r["at"], r.secret) for r in secrets.candidates(docs).collect())
+    want = [(0, 3, "Tr0ub4dor3"), (1, 1, "h!u@n$t.e4r"), (2, 3, "two words 7"), (3, 1, "s3c!ret"), (4, 0, "t0ken"), (5, 2, "ab12"), (8, 0, "x1"), (8, 2, "x1"), (9, 0, "0123456789abcdef0123"), (10, 2, "un2closed")]
+    assert [x for x in got if x[0] != 6] == want
+    reviewed = spark.createDataFrame([(i, at, 1) for i, at, _ in got if i != 6] + [(6, at, 0) for i, at, _ in got if i == 6], "doc_id long, at int, is_secret int")
+    texts_out = {r.doc_id: r.text for r in secrets.masked(docs, reviewed).collect()}
+    assert texts_out[0] == 'a\n password = "[SECRET]" end' and texts_out[3] == "see postgres://bob:[SECRET]@db.example/x now"
+    assert texts_out[8] == "token=[SECRET] and key=[SECRET]"
+
+
 def test_pipeline_keeps_the_columns(spark):
     import corpus_pipeline
 
