@@ -27,7 +27,7 @@ NOTICES = [
 ]
 # Spellings that count as equal, after lower case.
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("organisation", "organization"), ("v.", "version"), ("http:", "https:")]
-#: Most bytes of a line that is looked up by itself; longer lines are prose, and count in the whole text.
+#: Longest line that the query's SQL twin looks up by itself; licences() has no limit.
 LONGEST_NOTICE = 400
 #: Most known texts that are broadcast; more are joined by shuffle.
 BROADCAST_TEXTS = 100_000
@@ -55,7 +55,7 @@ def licences(docs: DataFrame, known: DataFrame, text: str = "notice") -> DataFra
     if known.count() <= BROADCAST_TEXTS:
         known = F.broadcast(known)
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.length(x) <= LONGEST_NOTICE) & (F.length(x) > 0))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
     parts = body.select(
         "doc_id",
         F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("part"))), F.transform(F.when(F.contains("text", F.lit("\n")), lines).otherwise(F.array().cast("array<string>")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))).alias("p"),

@@ -274,6 +274,14 @@ def test_licences(spark):
     assert licences.licences(empty(spark), known).count() == 0
 
 
+def test_licence_on_a_long_line(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, " + "to deal in it without restriction, " * 20
+    known = spark.createDataFrame([("MIT", grant)], "licence string, notice string")
+    rows = [(1, f"prose\n{grant}\nmore"), (2, "prose\n" + grant.replace(", ", " ,  ").upper()), (3, "prose\n" + grant + " not"), (4, "prose\n" + "-" * 500 + " " + grant)]
+    got = {r.doc_id: (r.n_matches, r.licences, r.whole) for r in licences.licences(frame(spark, rows), known).collect()}
+    assert got == {1: (1, "MIT", False), 2: (1, "MIT", False), 3: (0, "", False), 4: (1, "MIT", False)}
+
+
 def test_secrets_held_out(spark):
     r = random.Random(9)
     digits = "0123456789abcdef"
