@@ -117,6 +117,17 @@ def verify(df: DataFrame, original: str, rebuilt: str, threshold: float = 0.9) -
     return scored.withColumn("verification", F.when(F.col(original).isNull(), "not started").when(F.col("score") >= threshold, "pass").otherwise("failed"))
 
 
+def contains_check(item: Column, page: Column, has_content: Column | None = None) -> Column:
+    """Whether the normalised item text is in the normalised page text, as one of five labels. has_content is
+    false where the item has no content field: such items stay unverified."""
+    wanted, there = norm_match(F.coalesce(item, F.lit(""))), norm_match(F.coalesce(page, F.lit("")))
+    label = F.when(there == "", "Skipped (No Direct Text)")
+    if has_content is not None:
+        label = label.when(~has_content, "Not Verified")
+    label = label.when(F.coalesce(item, F.lit("")) == "", "Failed (Invalid Or Empty Content Field)")
+    return label.when((wanted != "") & F.contains(there, wanted), "Verified (Direct Text Match)").otherwise("Failed (Direct Text Mismatch)")
+
+
 def sentences(c: Column) -> Column:
     """Normalised text, split after full stops."""
     return F.split(F.replace(norm_verify(c), F.lit(". "), F.lit(".\x01")), "\x01")

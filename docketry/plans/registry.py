@@ -906,3 +906,45 @@ def _(read):
     target = read("orders").where("o_orderkey % 3 <> 0").select(c("o_orderkey").alias("id"), F.when(c("o_orderkey") % 5 != 0, c("o_custkey")).alias("start"), c("o_orderstatus").alias("status"))
     batch = read("orders").where("o_orderkey % 2 = 0").select(c("o_orderkey").alias("id"), (c("o_custkey") + 1).alias("start"), F.lit("pass").alias("status"))
     return tab.touch(target, batch, "id", always=["status"])
+
+
+# ---- whole tables, where the query of the same number takes a part
+
+
+@query("l10_positions_whole", f"SELECT doc_id, k - 1 AS position, t[k] AS term FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS k FROM (SELECT doc_id, {_TOK} AS t FROM documents))")
+def _(read):
+    found = index.positions(read("documents"), "doc_id", "text")
+    return found.select("doc_id", c("position").cast("long").alias("position"), "term")
+
+
+@query("g2_union_sources_whole", "SELECT doc_id, source AS source_table, n_chars FROM documents")
+def _(read):
+    docs = read("documents")
+    found = None
+    for (x,) in docs.select("source").distinct().orderBy("source").collect():
+        part = docs.where(c("source").eqNullSafe(F.lit(x))).select("doc_id", "n_chars", F.lit(x).cast("string").alias("source_table"))
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return docs.select("doc_id", "n_chars", c("source").alias("source_table")) if found is None else found
+
+
+# Each event is either stored (one in ten) or in the batch.
+@query("g3_new_urls_whole", "SELECT event_id FROM events b WHERE event_id % 10 <> 0 AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_id % 10 = 0 AND s.user_id = b.user_id AND s.event_type = b.event_type)")
+def _(read):
+    events = read("events").select("event_id", "user_id", "event_type")
+    return events.where("event_id % 10 <> 0").join(events.where("event_id % 10 = 0").select("user_id", "event_type"), ["user_id", "event_type"], "left_anti").select("event_id")
+
+
+@query("g4_insert_absent_whole", "SELECT user_id, event_type FROM events WHERE event_id % 10 <> 0 AND user_id IS NOT NULL AND event_type IS NOT NULL EXCEPT SELECT user_id, event_type FROM events WHERE event_id % 10 = 0")
+def _(read):
+    events = read("events").select("event_id", "user_id", "event_type")
+    return tab.insert_absent(events.where("event_id % 10 = 0"), events.where("event_id % 10 <> 0"), ["user_id", "event_type"]).select("user_id", "event_type")
+
+
+def _matched(text: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace(lower(coalesce({text}, '')), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
+
+
+@query("j2_contains_whole", f"SELECT doc_id, CASE WHEN p = '' THEN 'Skipped (No Direct Text)' WHEN coalesce(text, '') = '' THEN 'Failed (Invalid Or Empty Content Field)' WHEN i <> '' AND contains(p, i) THEN 'Verified (Direct Text Match)' ELSE 'Failed (Direct Text Mismatch)' END AS flag FROM (SELECT doc_id, text, {_matched('text')} AS i, {_matched('html')} AS p FROM documents LEFT JOIN pages ON page_id = doc_id)")
+def _(read):
+    met = read("documents").join(read("pages"), c("page_id") == c("doc_id"), "left")
+    return met.select("doc_id", sim.contains_check(c("text"), c("html")).alias("flag"))

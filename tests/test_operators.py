@@ -102,6 +102,24 @@ def test_verify_long_texts(spark):
     assert [x.score for x in got] == [difflib.SequenceMatcher(None, " ".join(text.split()), " ".join(t.split())).ratio() for t in rebuilt]
 
 
+def test_contains_check_reads_the_whole_text(spark):
+    start = "the same first forty characters of an item "
+    rows = [(start + "END, here", f"x {start.upper()} end here!", True), (start + "other", start + "end", True), (None, "page", True), ("a", " ", True), ("a", "a", False)]
+    df = spark.createDataFrame(rows, "i string, p string, h boolean")
+    got = [r.x for r in df.select(sim.contains_check(F.col("i"), F.col("p"), F.col("h")).alias("x")).collect()]
+    assert got == ["Verified (Direct Text Match)", "Failed (Direct Text Mismatch)", "Failed (Invalid Or Empty Content Field)", "Skipped (No Direct Text)", "Not Verified"]
+
+
+def test_whole_tables(spark):
+    from docketry.plans import registry
+
+    at = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    assert registry.QUERIES["g2_union_sources_whole"](spark, at).count() == docs.count()
+    langs = registry.QUERIES["l10_positions_whole"](spark, at).select("doc_id").distinct().join(docs, "doc_id").select("lang").distinct().count()
+    assert langs == docs.select("lang").distinct().count() > 1
+
+
 def test_stream_handles_each_file_once(spark, tmp_path):
     source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     spark.range(5).write.parquet(source)
