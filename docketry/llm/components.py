@@ -9,7 +9,7 @@ from docketry.llm.store import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges: (a, b) with a > b. The result has the same form."""
+    """edges: (a, b) with a > b. The result has the same form; rows may repeat."""
     if large:
         around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -17,19 +17,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         moved = edges.join(least, "a").select(F.explode(F.array("a", "b")).alias("v"), "m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.where("a > b").distinct()
+    return moved.where("a > b")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """links: two long columns a, b in any order. Returns (node, component) for each node other than its
     component's smallest; component is that smallest node. Nodes without links are absent."""
     a, b = links.columns
-    edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+    edges = stored(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "stars")
     seen = None
     for _ in range(most_rounds):
-        edges = stored(_star(_star(edges, True), False), "stars")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen:
+        if now == seen or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = now
+        edges = stored(_star(_star(edges, True), False).distinct(), "stars")
     raise RuntimeError("components did not settle")

@@ -1,13 +1,16 @@
 """MinHash near-duplicates by an LSH forest.
 
-Each document's 5-word shingles give minwise values; a tree is one sorted order of the documents by its
-own run of these values. Documents that agree on a tree's first ``depth`` values form a region of that
-order. In a region the candidates are the neighbours with the longest common prefix; a large region is
-ordered in blocks by further values (the adaptive depth), each block tied to the region's first document.
-Candidates are confirmed on full shingle sets. Last, documents of a region that are still in different
-components are compared too, all that can be alike by their rarest shingles, so that no pair which shares
-a region is left out; with 32 trees of depth 4 a pair of likeness 0.75 shares none with a chance of about
-5 in a million.
+Each document's 5-word shingles give minwise values; a tree is an order of the documents by its own run of
+these values. Documents that agree on a tree's first ``DEPTH`` values form a region. Spark sorts all trees at
+once, by ranges, so that a large region lies over many tasks; a task walks its stretch of the order once. The
+candidates of a document are its neighbour of longest common prefix and the first document of its block: the
+deepest prefix that is needed for a block of at most BLOCK documents, so depth follows the region's size.
+
+The likeliest candidate of each document is confirmed on full shingle sets. These links form trees of
+documents, each with its root. Regions that hold more than one tree are left, mostly since documents are alike
+but not enough; what can be alike across their trees is found exactly by rarest shingles, so that no pair which
+shares a region is left out. With 32 trees of depth 4 a pair of likeness 0.75 shares none with a chance of
+about 5 in a million.
 """
 
 from __future__ import annotations
@@ -40,17 +43,61 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     tree = mix(np.arange(7001, 7001 + TREES, dtype=U))
     for batch in batches:
         rows = []
-        for doc_id, s in zip(batch["doc_id"], shingle_sets(utf8(batch["text"])), strict=True):
+        for doc_id, version, s in zip(batch["doc_id"], batch["version"], shingle_sets(utf8(batch["text"])), strict=True):
             if not len(s):
-                rows.append((doc_id, 0, 0, 0, None, None))
+                rows.append((doc_id, version, 0, 0, 0, None, None))
                 continue
             values = minwise(s).reshape(TREES, DEPTH).astype(U)
             key = tree.copy()
             for d in range(DEPTH):
                 key = mix(key + values[:, d])
-            nxt = np.roll(values, -1, axis=0).astype(np.uint8).reshape(TREES, -1)[:, :4]
-            rows.append((doc_id, len(s), int(s.sum(dtype=U).view(np.int64)), int(mix(s).sum(dtype=U).view(np.int64)), key.view(np.int64), np.ascontiguousarray(nxt).view(np.int32).ravel()))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "regions", "further"])
+            # A byte of each of the next tree's values: the order below DEPTH.
+            deeper = np.ascontiguousarray(np.roll(values, -1, axis=0).astype(np.uint8)[:, :4]).view(">i4").ravel().astype(np.int32)
+            rows.append((doc_id, version, len(s), int(s.sum(dtype=U).view(np.int64)), int(mix(s).sum(dtype=U).view(np.int64)), key.view(np.int64), deeper))
+        yield pd.DataFrame(rows, columns=["doc_id", "version", "n_shingles", "d1", "d2", "regions", "deeper"])
+
+
+def _heads(region: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    """For each place of a sorted stretch the place of its block's first document; for that one itself, the
+    place of its region's first."""
+    place = np.arange(len(region))
+    new = np.r_[True, region[1:] != region[:-1]]
+    differ = np.r_[np.uint32(0), deeper.view(np.uint32)[1:] ^ deeper.view(np.uint32)[:-1]]
+    head, open_ = place.copy(), np.ones(len(region), bool)
+    for depth in range(5):
+        starts = new if depth == 0 else new | (differ >> np.uint32(32 - 8 * depth) != 0)
+        run = np.cumsum(starts) - 1
+        first = np.flatnonzero(starts)[run]
+        if depth == 0:
+            regions = first
+        fits = open_ & ((np.bincount(run)[run] <= BLOCK) | (depth == 4))
+        # Equal in all values and still many: blocks by place.
+        head[fits] = (first + (place - first) // BLOCK * BLOCK)[fits]
+        open_ &= ~fits
+    return np.where(head == place, regions, head)
+
+
+def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rows (region, deeper, doc_id) of one task: those that share their region, with the document
+    before and the head (the document itself where there is none). The first and the last row of the task are
+    kept in any case, as their region may go on in another task."""
+    held, first = None, True
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        if len(batch) < 2:
+            held = batch if len(batch) else held
+            continue
+        region, doc = batch["region"].to_numpy(), batch["doc_id"].to_numpy()
+        same = np.r_[False, region[1:] == region[:-1]]
+        before, head = np.where(same, np.r_[doc[:1], doc[:-1]], doc), doc[_heads(region, batch["deeper"].to_numpy())]
+        kept = same | np.r_[same[1:], True]
+        # The row held from the batch before is there already.
+        kept[0] = first
+        yield pd.DataFrame({"region": region, "doc_id": doc, "before": before, "head": head})[kept]
+        held, first = batch[-1:], False
+    if held is not None and first:
+        yield pd.DataFrame({"region": held["region"], "doc_id": held["doc_id"], "before": held["doc_id"], "head": held["doc_id"]})
 
 
 def _alike(threshold: int):
@@ -76,58 +123,56 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_alike(threshold)("left_text", "right_text")).select("a", "b")
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """parents: (a, b) with a > b and each a once. Returns (node, root) for each a, by pointer jumping."""
+    found = parents
+    while True:
+        up = found.select(F.col("a").alias("b"), F.col("b").alias("up"))
+        step = stored(found.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"), F.col("up").isNotNull().alias("moved")), "roots")
+        found = step.select("a", "b")
+        if step.where("moved").isEmpty():
+            return found.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     """docs: doc_id, text and any others. Returns (doc_id, n_shingles, component_id, kept), a row for each
-    distinct doc_id; rows without doc_id are left out, null and blank texts are linked with nothing,
-    repeated rows count once. An empty table gives an empty result.
+    distinct doc_id; rows without doc_id are left out, null and blank texts are linked with nothing, of rows
+    with the same doc_id one counts (the smallest set, ties by a hash). An empty table gives an empty result.
 
     threshold: least likeness, in hundredths. Documents with equal sets form a class; only its smallest
     doc_id enters the forest."""
-    spark = docs.sparkSession
-    plain = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, regions array<long>, further array<int>"
+    version = F.xxhash64(F.coalesce("text", F.lit("")))
+    plain = docs.where("doc_id IS NOT NULL").select("doc_id", "text", version.alias("version"))
+    schema = "doc_id long, version long, n_shingles long, d1 long, d2 long, regions array<long>, deeper array<int>"
     signed = stored(plain.mapInPandas(_signatures, schema), "minhash")
-    one = signed.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2")).alias("s")).select("doc_id", "s.*")
-    classes = one.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
+    one = signed.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "version")).alias("s")).select("doc_id", "s.*")
+    classes = one.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "version")).alias("s")).select("n_shingles", "d1", "d2", F.col("s.doc_id").alias("class_id"), "s.version")
     placed = (
-        signed.where("n_shingles > 0")
-        .join(classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "d1", "d2"), ["doc_id", "n_shingles", "d1", "d2"], "left_semi")
-        .select("doc_id", F.explode(F.arrays_zip("regions", "further")).alias("x"))
-        .select("doc_id", F.col("x.regions").alias("region"), F.col("x.further").alias("further"))
-    )
-    shared = placed.groupBy("region").agg(F.count("*").alias("members"), F.min("doc_id").alias("head")).where("members > 1")
-    members = stored(placed.join(shared, "region"), "regions")
-    texts = stored(
-        plain.join(members.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "candidates"
-    )
-
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / BLOCK))
-    order = Window.partitionBy("region", "block").orderBy("further", "doc_id")
-    near = (
-        members.withColumn("block", block)
-        .withColumn("before", F.lag("doc_id").over(order))
-        .select("doc_id", F.explode(F.array_distinct(F.array_compact(F.array("before", "head")))).alias("other"))
-        .where("doc_id <> other")
-        .groupBy(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b"))
-        .agg(F.count("*").alias("times"))
+        signed.join(classes.select(F.col("class_id").alias("doc_id"), "version"), ["doc_id", "version"], "left_semi")
+        .select("doc_id", F.explode(F.arrays_zip("regions", "deeper")).alias("x"))
+        .select(F.col("x.regions").alias("region"), F.col("x.deeper").alias("deeper"), "doc_id")
     )
-    near = stored(near, "neighbours")
-    # The likeliest neighbour of each document first: mostly these links already join a whole group.
+    order = ["region", "deeper", "doc_id"]
+    members = stored(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_neighbours, "region long, doc_id long, before long, head long"), "orders")
+    chosen = members.select("doc_id").distinct().join(classes.select(F.col("class_id").alias("doc_id"), "version"), "doc_id")
+    texts = stored(plain.join(chosen, ["doc_id", "version"], "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "candidates")
+
+    near = members.select("doc_id", F.explode(F.array_distinct(F.array("before", "head"))).alias("other")).where("doc_id <> other")
+    near = near.groupBy(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).agg(F.count("*").alias("times"))
+    # The likeliest candidate of each document: mostly these links already join a whole group.
     best = near.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
-    links = stored(_confirmed(best, texts, threshold), "links")
-    found = stored(components(links), "components")
-    rest = _across(near.select("a", "b"), found)
-    links = stored(links.unionByName(_confirmed(rest.join(best, ["a", "b"], "left_anti"), texts, threshold)), "links")
-    found = stored(components(links), "components")
-    # What shares a region and is not joined yet.
-    member = members.select("region", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    roots = _roots(stored(_confirmed(best, texts, threshold), "links"))
+    # Regions of more than one tree.
+    member = members.select("region", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("root", "doc_id").alias("component"))
     mixed = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
     apart = stored(member.join(mixed, "region", "left_semi").select("doc_id", "component").distinct(), "apart")
-    left = _by_rare_shingles(apart, texts, threshold).join(near.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.unionByName(_confirmed(left, texts, threshold))
-    found = components(links)
-    classed = one.join(classes, ["n_shingles", "d1", "d2"], "left").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
-    component = F.coalesce("component", "class_id", "doc_id")
+    met = _confirmed(_by_rare_shingles(apart, texts, threshold), texts, threshold)
+    for end in ("a", "b"):
+        met = met.join(apart.withColumnRenamed("doc_id", end), end).withColumnRenamed("component", f"{end}_in")
+    joined = components(met.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
+    classed = one.join(classes.drop("version"), ["n_shingles", "d1", "d2"], "left").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
+    classed = classed.withColumn("node", F.coalesce("root", "class_id", "doc_id")).join(joined, "node", "left")
+    component = F.coalesce("component", "node")
     return classed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
@@ -143,12 +188,13 @@ def _by_rare_shingles(apart: DataFrame, texts: DataFrame, threshold: int) -> Dat
     each = texts.join(apart, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(sets, "doc_id long, shingles array<long>")
     each = stored(each, "sets").select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     common = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (
+    ranked = stored(
         each.join(common, "shingle")
         .groupBy("doc_id", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
         # Shingles of no other set come first of all.
-        .withColumn("alone", F.col("n") - F.size("shared"))
+        .withColumn("alone", F.col("n") - F.size("shared")),
+        "ranked",
     )
     probing = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
     held = F.col("n") - F.ceil(F.col("n") * 2 * threshold / (100 + threshold)) + 1
@@ -167,14 +213,19 @@ def _by_rare_shingles(apart: DataFrame, texts: DataFrame, threshold: int) -> Dat
     return met.select(F.greatest("doc_id", "doc_y").alias("a"), F.least("doc_id", "doc_y").alias("b")).distinct()
 
 
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """pairs (a, b) whose ends are in different components."""
-    for end in ("a", "b"):
-        pairs = pairs.join(found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
-    return pairs.where("a_in <> b_in").select("a", "b")
-
-
 def keep_one(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """docs without all but the smallest doc_id of each component; all columns stay."""
+    """docs without all but the smallest doc_id of each component; all columns stay. Of rows with the same
+    doc_id the one with the smallest text stays (null first; ties: either). Rows without doc_id can't be told
+    apart and all stay."""
     kept = near_duplicates(docs, threshold).where("kept").select("doc_id")
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
+    mine = _free_name("rank", docs.columns)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
+    unique = docs.join(kept, "doc_id", "left_semi").withColumn(mine, first).where(F.col(mine) == 1).select(*docs.columns)
+    return unique.unionByName(docs.where("doc_id IS NULL"))
+
+
+def _free_name(stem: str, taken: list[str]) -> str:
+    low = {x.lower() for x in taken}
+    while stem.lower() in low:
+        stem += "_"
+    return stem

@@ -15,7 +15,6 @@ from a batch, and answers with a bit for each; no task holds more than its bucke
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.store import shared_dir, shuffle_width, stored
+from docketry.llm.store import shuffle_width, stored, stored_in_buckets
 from docketry.llm.wordhash import U, Spans, mix, slices, utf8
 
 WINDOW, GRAM = 50, 20
@@ -244,9 +243,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     packed = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInPandas(_pack, "doc_id long, n long, packed binary")
     rows = packed.repartitionByRange(width, "doc_id").sortWithinPartitions("doc_id", "packed").mapInPandas(_gather, "batch long, ids array<long>, sizes array<long>, blob binary")
     # Kept in buckets by batch: the answers come to the batches, which don't move again.
-    table = f"docketry_batches_{uuid.uuid4().hex}"
-    rows.write.bucketBy(width, "batch").option("path", f"{shared_dir(spark)}/tables/{table}").option("compression", "none").saveAsTable(table)
-    batches = spark.table(table)
+    batches = stored_in_buckets(rows, "batches", width, "batch")
     size = batches.agg(F.sum(F.length("blob"))).first()[0] or 0
     buckets = max(width, int(size) >> 23)
 

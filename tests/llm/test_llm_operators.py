@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from docketry.llm import chat, fingerprints, licences, ordinal, packing, repeats, secrets
+from docketry.llm import chat, fingerprints, licences, near_dedup, ordinal, packing, repeats, secrets
 from docketry.llm.components import components
 from docketry.llm.decontaminate import clean, contamination
 from docketry.llm.near_dedup import keep_one, near_duplicates
@@ -68,7 +68,27 @@ def test_near_duplicates_awkward(spark):
     got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, AWKWARD)).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 8: 8}
     assert near_duplicates(empty(spark)).count() == 0
-    assert sorted(r.doc_id for r in keep_one(frame(spark, AWKWARD)).collect()) == [1, 2, 3, 4, 6, 8]
+    assert sorted((r.doc_id or -1) for r in keep_one(frame(spark, AWKWARD)).collect()) == [-1, 1, 2, 3, 4, 6, 8]
+
+
+def test_near_duplicates_repeated_ids(spark):
+    """Of rows with the same doc_id one counts, in its set, its links and its text."""
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, b), (1, a), (2, a + " end"), (3, b + " end")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, rows)).collect()}
+    assert got == {1: (26, 1), 2: (27, 1), 3: (37, 3)}
+    assert sorted((r.doc_id, r.text) for r in keep_one(frame(spark, rows)).collect()) == [(1, a), (3, b + " end")]
+
+
+def test_heads_follow_the_size_of_regions():
+    region = np.repeat([5, 7, 9], [3, 200, 70])
+    deeper = np.concatenate([[0, 0, 1 << 24], np.sort(np.repeat(np.arange(4) << 16, 50)), np.zeros(70)]).astype(np.int32)
+    head = near_dedup._heads(region, deeper)
+    assert head[:3].tolist() == [0, 0, 0]
+    # 200 are more than a block: they are split by their deeper values, and block heads go to the region's first.
+    assert (head[3:203].reshape(4, 50)[:, 1:] == np.array([[3], [53], [103], [153]])).all() and (head[[3, 53, 103, 153]] == 3).all()
+    # 70 equal ones are split by place.
+    assert (head[203:267] == 203).all() and head[267] == 203 and (head[268:] == 267).all()
 
 
 def test_components(spark):
