@@ -31,7 +31,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+    return pack(_read(spark, sf_dir, "documents"), tokenizer_path)
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
