@@ -8,6 +8,7 @@ words and distinct lines. The fit takes a bounded sample of the rated rows; scor
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,7 @@ _PLAIN = ~byte_set((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 _CAPITAL, _DIGIT = byte_set((65, 90)), byte_set((48, 57))
 #: Bytes of a word's beginning, bands of a share, and shape features of a text.
 BEGINNING, BANDS, SHAPES = 5, 10, 6
+DIMENSIONS = 1 << 18
 
 
 def features(texts, dimensions: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -60,13 +62,18 @@ class CumulativeLink:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -30, 30)))
 
 
-def fit(texts, grades, dimensions: int = 1 << 18, steps: int = 200, rate: float = 4.0, least_texts: int = 8, least_z: float = 5.0) -> CumulativeLink:
-    """Full-batch Adam on the mean log loss of the cumulative splits grade >= k.
+def fit(texts, grades, **settings) -> CumulativeLink:
+    """The model of a few texts at hand."""
+    return fitted(features(texts, DIMENSIONS), grades, **settings)
+
+
+def fitted(rows: list[tuple[np.ndarray, np.ndarray]], grades, dimensions: int = DIMENSIONS, steps: int = 200, rate: float = 4.0, least_texts: int = 8, least_z: float = 5.0) -> CumulativeLink:
+    """Full-batch Adam on the mean log loss of the cumulative splits grade >= k; rows as ``features`` gives them.
 
     Only words with evidence take part: in at least ``least_texts`` texts, and for some split at least
     ``least_z`` standard deviations from what their number of texts would give by chance. Shape features
     all take part."""
-    rows, grades = features(texts, dimensions), np.asarray(grades, np.int64)
+    grades = np.asarray(grades, np.int64)
     top = int(grades.max(initial=0))
     if top < 1 or len(np.unique(grades)) < 2:
         raise ValueError("ratings of at least two grades are needed")
@@ -103,11 +110,31 @@ def fit(texts, grades, dimensions: int = 1 << 18, steps: int = 200, rate: float
     return CumulativeLink(weights.astype(np.float32), t)
 
 
-def rated_sample(docs: DataFrame, ratings: DataFrame, most: int) -> pd.DataFrame:
-    """At most ``most`` rated texts (text, grade), chosen by a hash of doc_id. ratings: doc_id, grade."""
+def rated_sample(docs: DataFrame, ratings: DataFrame, most: int) -> DataFrame:
+    """The features of at most ``most`` rated documents (words, shape, grade), chosen by a hash of doc_id;
+    of rows with the same doc_id the smallest text counts, and of its ratings the highest. ratings: doc_id, grade."""
     chosen = ratings.select("doc_id", "grade").where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").alias("grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade").toPandas()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").cast("int").alias("grade"))
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = features(batch["text"], DIMENSIONS)
+            yield pd.DataFrame({"words": [w for w, _ in rows], "shape": [s for _, s in rows], "grade": batch["grade"]})
+
+    return texts.mapInPandas(hashed, "words array<int>, shape array<int>, grade int")
+
+
+def fit_rated(docs: DataFrame, ratings: DataFrame, most: int) -> CumulativeLink | None:
+    """The model of the rated sample, of which the driver gets hashed features, no texts. None if its ratings
+    are of one grade only."""
+    parts = rated_sample(docs, ratings, most).toArrow()
+    grades = parts["grade"].to_numpy()
+    if len(np.unique(grades)) < 2:
+        return None
+    words, shapes = (parts[name].combine_chunks() for name in ("words", "shape"))
+    rows = [(words[i].values.to_numpy(), shapes[i].values.to_numpy()) for i in range(len(grades))]
+    return fitted(rows, grades)
 
 
 def graded(model: CumulativeLink, text: Column) -> Column:

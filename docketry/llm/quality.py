@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.ordinal import fit, graded, rated_sample
+from docketry.llm.ordinal import fit_rated, graded
 
 #: Most rated texts that the fit takes.
 SAMPLE = 6000
@@ -22,11 +22,10 @@ def quality(docs: DataFrame, labels: DataFrame, good: int = 2, limit: float = 0.
     """A row for each row of docs: doc_id, expected_grade, p_good (grade ``good`` or more), p_best (the top
     grade), selected (p_good >= limit). Null and empty texts get the model's base rates; without ratings of
     two grades the three numbers are null and nothing is selected."""
-    sample = rated_sample(docs, ratings(labels), most)
-    if sample["grade"].nunique() < 2:
+    model = fit_rated(docs, ratings(labels), most)
+    if model is None:
         nothing = F.lit(None).cast("double")
         return docs.select("doc_id", nothing.alias("expected_grade"), nothing.alias("p_good"), nothing.alias("p_best"), F.lit(False).alias("selected"))
-    top = int(sample["grade"].max())
-    scored = docs.select("doc_id", graded(fit(sample["text"], sample["grade"]), F.col("text")).alias("s"))
-    tail = F.col("s.tails")[min(good, top) - 1]
+    scored = docs.select("doc_id", graded(model, F.col("text")).alias("s"))
+    tail = F.col("s.tails")[min(good, len(model.thresholds)) - 1]
     return scored.select("doc_id", F.col("s.expected").alias("expected_grade"), tail.alias("p_good"), F.element_at("s.tails", -1).alias("p_best"), (tail >= limit).alias("selected"))

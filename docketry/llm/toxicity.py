@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.ordinal import CumulativeLink, fit, graded, rated_sample
+from docketry.llm.ordinal import CumulativeLink, fit_rated, graded
 
 #: Most rated texts that the fit takes; fewer labels are all taken.
 SAMPLE = 6000
@@ -21,8 +21,7 @@ def severity(labels: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> CumulativeLink | None:
     """None if the rated documents aren't of two grades."""
-    sample = rated_sample(docs, severity(labels), most)
-    return fit(sample["text"], sample["grade"]) if sample["grade"].nunique() > 1 else None
+    return fit_rated(docs, severity(labels), most)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limit: float = 0.5, most: int = SAMPLE) -> DataFrame:
