@@ -52,15 +52,15 @@ def _prefixed(found: DataFrame, docs: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame, size: int = 13, percent: int = 5) -> DataFrame:
     """docs: doc_id, text; items: item_id, text; further columns are not read. Returns, for each distinct
     doc_id that isn't null, doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and items, the
-    sorted ids. Null and empty texts have no words and aren't contaminated; repeated rows count once; no
-    documents give no rows, no items leave all documents clean."""
+    sorted ids. Null and empty texts have no words and aren't contaminated; of rows with the same doc_id one
+    counts, by a hash of its text; no documents give no rows, no items leave all documents clean."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")).where("doc_id IS NOT NULL")
     table = stored(windows(items.select("item_id", "text"), size), "windows")
     n = table.count()
     blocks = max(1, -(-n // BLOCK_WINDOWS))
-    ended = docs.select("doc_id", words_of(F.col("text")).alias("words")).select(
-        "doc_id", "words", F.size("words").alias("n_words"), F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word")
+    ended = docs.select("doc_id", "version", words_of(F.col("text")).alias("words")).select(
+        "doc_id", "version", "words", F.size("words").alias("n_words"), F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word")
     )
     nothing = spark.range(1).select(F.lit(None).cast("string").alias("item"), F.lit(None).cast("array<string>").alias("window"), F.lit(0).alias("size"), F.lit(END).alias("word"), F.lit(0).alias("place"))
     parts = []
@@ -74,7 +74,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, percent: in
             (ended["word"] == known["word"])
             & (F.col("window").isNull() | ((start >= 0) & (start + F.col("size") <= F.col("n_words")) & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("size")) == F.col("window")))),
         )
-        parts.append(met.select("doc_id", F.col("n_words").cast("long").alias("n_words"), "item", start.alias("start"), "size"))
+        parts.append(met.select("doc_id", "version", F.col("n_words").cast("long").alias("n_words"), "item", start.alias("start"), "size"))
     met = functools.reduce(DataFrame.unionByName, parts)
     spans = F.array_sort(F.collect_set(F.when(F.col("item").isNotNull(), F.struct("start", "size"))))
     hit = F.aggregate(
@@ -86,8 +86,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, percent: in
         ),
         lambda have: have["n"].cast("long"),
     )
-    found = met.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
-    found = found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "items")
+    found = met.groupBy("doc_id", "version").agg(F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    found = found.groupBy("doc_id").agg(F.min_by(F.struct("n_words", hit.alias("n_hit"), "items"), "version").alias("f")).select("doc_id", "f.*")
+    found = found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "items")
     bad = (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", bad.alias("contaminated"), "items")
 

@@ -107,11 +107,22 @@ def test_contamination(spark):
     assert sorted(r.doc_id for r in clean(frame(spark, rows), items).collect()) == [2, 3, 4, 5, 5]
 
 
+def test_contamination_of_repeated_ids(spark):
+    """Of rows with the same doc_id one counts, whole."""
+    items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    one, two = "alpha beta", "zz alpha beta q q q q q"
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in contamination(frame(spark, [(1, one), (1, two), (2, one), (3, two)]), items).collect()}
+    assert got[2] == (2, 2) and got[3] == (8, 2) and got[1] in (got[2], got[3])
+
+
 def test_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
     texts = ["Hello, World's 12 ½ x!!", "", " \n", "ÀÉß don't we'll ŒUVRE", "東京 \U0001f600 mixed", "a<|endoftext|>b", "İstanbul ΣΑΣ", "non breaking\u0085x\x1cy", "éte"]
+    # Every character below U+0250 in the contexts that split words, and random strings of them.
+    low, r = [chr(k) for k in range(0x250)], random.Random(12)
+    texts += [f"a{x}b {x}{x} {x}'s 1{x}" for x in low] + ["".join(r.choices(low, k=r.randint(1, 30))) for _ in range(4000)] + ["ABŞ Əliyev", "Ɔkɔ Ɛve ȺȾ Ʉ"]
     words = packing._Words(tokenizer)
     assert list(packing.ids_of(texts, tokenizer, words)) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
