@@ -34,7 +34,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, tokenizer_path())
+    return pack(docs, tokenizer_path)
 
 
 STAGES = [
