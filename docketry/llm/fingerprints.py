@@ -4,6 +4,11 @@ A signature is a common word (the anchor) and the chain of the next content word
 no anchor's chain holds start chains of their own, so each content word is in a signature; a text of too few
 words is a signature as a whole. Likeness is taken over all signatures. A printed fingerprint holds their number,
 the smallest SKETCH of their hashes and a digest of all of them.
+
+``fingerprints`` compares given pairs, each document with its edited text and with the next document.
+``near_pairs`` searches all pairs: sets are partitioned by their size into bands, so that alike sets are in the
+same band or in neighbouring ones, and the Jaccard comparison is pruned by size, by the rarest signatures and
+by the place where two sets first meet.
 """
 
 from __future__ import annotations
@@ -13,11 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.store import shuffle_width
+from docketry.llm.store import stored
 from docketry.llm.wordhash import NOT_WORD, U, mix, slices, utf8, words
 
 CHAIN, SKETCH = 2, 256
@@ -98,62 +103,97 @@ def _compared(ids: list[int], texts: list[str], nexts: list[str], own: list[np.n
     )
 
 
-def _unpacked(batch: pd.DataFrame) -> list[str]:
-    plain = zstandard.ZstdDecompressor()
-    return [plain.decompress(x).decode("utf-8", "surrogatepass") for x in batch["packed"]]
-
-
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "packed": [packer.compress(x) for x in utf8(batch["text"])]})
+#: Kinds of rows of a walk: a result, the first and the last document of the stretch.
+_PAIR, _FIRST, _LAST = range(3)
 
 
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each row with the one after it in the partition; the last row has none here."""
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each document of a sorted stretch compared with the one after it; and the two documents at its ends,
+    with their texts and the number of the stretch, as what is before or after them is elsewhere."""
+    part = TaskContext.get().partitionId()
     held: tuple[int, str, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
             continue
-        ids, texts = batch["doc_id"].tolist(), _unpacked(batch)
+        ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
         own = signatures(texts)
         if held is not None:
             ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
+        else:
+            yield _end(_FIRST, part, ids[0], texts[0])
         if len(ids) > 1:
-            yield _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:])
+            yield _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:]).assign(kind=_PAIR, part=part, text=None)[_WALKED]
         held = ids[-1], texts[-1], own[-1]
+    if held is not None:
+        yield _end(_LAST, part, held[0], held[1])
 
 
-def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The first and the last row of the partition."""
-    last = None
-    for batch in batches:
-        if len(batch):
-            if last is None:
-                yield batch[:1].assign(is_first=True)
-            last = batch[-1:]
-    if last is not None:
-        yield last.assign(is_first=False)
+def _end(kind: int, part: int, doc_id: int, text: str) -> pd.DataFrame:
+    return pd.DataFrame([(kind, part, text, doc_id, 0, None, None, None, 0.0, 0.0)], columns=_WALKED)
+
+
+_WALKED = ["kind", "part", "text", *(x.split()[0] for x in _RESULT.split(", "))]
 
 
 def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield _compared(batch["doc_id"].tolist(), _unpacked(batch[["packed"]]), _unpacked(batch[["next_packed"]].rename(columns={"next_packed": "packed"})))
+        yield _compared(batch["doc_id"].tolist(), batch["text"].tolist(), batch["next_text"].tolist())
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each row of docs that has a doc_id; null texts are empty. The next document of the one with
     the smallest doc_id is the one with the largest; of a single document, itself. Rows of the same doc_id
-    follow each other in the order of their packed texts. No documents give no rows."""
-    spark = docs.sparkSession
-    packed = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInPandas(_pack, "doc_id long, packed binary")
-    order = [F.col("doc_id").desc(), F.col("packed")]
-    placed = packed.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
-    inner = placed.mapInPandas(_neighbours, _RESULT)
-    # Where partitions meet: two rows of each, in the same order as all.
-    ends = placed.mapInPandas(_ends, "doc_id long, packed binary, is_first boolean")
-    along = Window.orderBy(F.col("doc_id").desc(), F.col("packed"), F.col("is_first").desc())
+    follow each other in the order of their texts. No documents give no rows."""
+    plain = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Ranges of doc_id alone: no text is sampled for their bounds.
+    placed = plain.repartitionByRange(F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "text")
+    walked = stored(placed.mapInPandas(_walk, f"kind int, part int, text string, {_RESULT}"), "walked")
+    # Where stretches meet: their numbers are put in order, then texts follow by an equal number.
+    first = walked.where(F.col("kind") == _FIRST)
+    along = Window.orderBy("part")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("packed").over(along), F.first("packed").over(whole))
-    met = ends.withColumn("next_packed", following).where("NOT is_first")
-    return inner.unionByName(met.select("doc_id", "packed", "next_packed").mapInPandas(_joined, _RESULT))
+    follows = first.select("part", F.coalesce(F.lead("part").over(along), F.first("part").over(whole)).alias("next_part"))
+    met = (
+        walked.where(F.col("kind") == _LAST).select("doc_id", "text", "part").join(follows, "part")
+        .join(first.select(F.col("part").alias("next_part"), F.col("text").alias("next_text")), "next_part")
+        .select("doc_id", "text", "next_text").mapInPandas(_joined, _RESULT)
+    )
+    return walked.where(F.col("kind") == _PAIR).drop("kind", "part", "text").unionByName(met)
+
+
+def near_pairs(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """Returns (doc_id, class_id, n_links), a row for each distinct doc_id: documents with equal signatures
+    form a class, named by its smallest doc_id; n_links is the number of other classes whose likeness is
+    ``percent`` hundredths or more. Rows without doc_id are left out, null texts are empty, of rows with the
+    same doc_id the smallest text counts. No documents give no rows."""
+
+    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = signatures(batch["text"])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": [hashlib.sha256(s.tobytes()).digest() for s in sets], "n": [len(s) for s in sets], "signatures": [s.view(np.int64) for s in sets]})
+
+    plain = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    sets = stored(plain.mapInPandas(signed, "doc_id long, digest binary, n int, signatures array<long>"), "signatures")
+    classes = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
+    heads = sets.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    each = heads.select("doc_id", "n", F.explode("signatures").alias("signature"))
+    counts = each.groupBy("signature").agg(F.count("*").alias("df")).where("df > 1")
+    # A set's signatures in the order of rarity; those of no other set come first of all.
+    ranked = each.join(counts, "signature").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "signature"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    prefix = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - alone)
+    # Sizes of alike sets differ by at most one band.
+    band = F.floor(F.log("n") / np.log(100 / percent) + 1e-9).cast("int")
+    first = ranked.select("doc_id", "n", band.alias("band"), alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), prefix)).alias("at", "x"))
+    first = stored(first.select("doc_id", "n", "band", (F.col("alone") + F.col("at")).alias("at"), F.col("x.signature").alias("signature")), "prefixes")
+    small = first.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), "signature", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    large = first.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), "signature", "band")
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    enough = (100 + percent) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    met = small.join(large, ["signature", "band"]).where(ordered & (100 * F.col("n_a") >= percent * F.col("n_b")) & enough).select("a", "b").distinct()
+    for end in ("a", "b"):
+        met = met.join(heads.select(F.col("doc_id").alias(end), F.col("signatures").alias(f"of_{end}")), end)
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    links = met.where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select(F.explode(F.array("a", "b")).alias("class_id"))
+    links = links.groupBy("class_id").agg(F.count("*").alias("n_links"))
+    return sets.select("doc_id", "digest").join(classes, "digest").join(links, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))

@@ -1,6 +1,8 @@
 import hashlib
 import itertools
 import random
+import re
+import string
 import zlib
 
 import numpy as np
@@ -204,6 +206,58 @@ def test_fingerprints(spark):
     assert alone.near_next == 1.0
 
 
+def spot_signatures(text):
+    """SpotSigs by plain loops: each anchor with the CHAIN content words after it; content words in no chain
+    start their own (the last ones end with the text); too few words: the text."""
+    found = re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", text)
+    tokens = ["".join(c.lower() if c in string.ascii_uppercase else c for c in w) for w in found]
+    content = [w for w in tokens if w not in fingerprints.ANCHORS]
+    if len(content) < fingerprints.CHAIN:
+        return {("", text)}
+    chains, covered, k = set(), set(), 0
+    for w in tokens:
+        if w not in fingerprints.ANCHORS:
+            k += 1
+        elif k + fingerprints.CHAIN <= len(content):
+            chains.add((w, *content[k : k + fingerprints.CHAIN]))
+            covered |= set(range(k, k + fingerprints.CHAIN))
+    for k in set(range(len(content))) - covered:
+        k = min(k, len(content) - fingerprints.CHAIN)
+        chains.add(("", *content[k : k + fingerprints.CHAIN]))
+    return chains
+
+
+def anchored_copies():
+    r = random.Random(21)
+    return near_copies(2) + [(1000 + i, " ".join(r.choice(WORDS + fingerprints.ANCHORS[:6] * 3) for _ in range(r.randint(1, 60)))) for i in range(60)]
+
+
+def test_fingerprints_against_plain_spotsigs(spark):
+    rows = anchored_copies() + [(900, None), (901, ""), (902, "a\U0001f600b" * 7), (903, "THE Cat Ünï the dog of")]
+    got = {r.doc_id: r for r in fingerprints.fingerprints(frame(spark, rows)).collect()}
+    order = sorted(rows, reverse=True, key=lambda x: x[0])
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True):
+        t, n = t or "", n or ""
+        own, changed, other = (spot_signatures(x) for x in (t, t[: len(t) - len(t) // 2] + n[: len(t) // 2], n))
+        assert got[i].near_edited == pytest.approx(jaccard(own, changed)) and got[i].near_next == pytest.approx(jaccard(own, other))
+        assert got[i].fingerprint.startswith(f"{len(own)}:")
+
+
+def test_near_pairs_against_all_pairs(spark):
+    r = random.Random(22)
+    rows = anchored_copies()
+    rows += [(2000 + i, " ".join(w if r.random() > 0.05 else r.choice(WORDS) for w in t.split())) for i, t in rows] + [(5000, rows[0][1]), (5001, None), (5002, "")]
+    sets = {i: frozenset(spot_signatures(t or "")) for i, t in rows}
+    heads = {}
+    for i in sorted(sets):
+        heads.setdefault(sets[i], i)
+    links = {h: sum(4 * len(s & o) >= 3 * len(s | o) for o in heads if o != s) for s, h in heads.items()}
+    got = {x.doc_id: (x.class_id, x.n_links) for x in fingerprints.near_pairs(frame(spark, rows + rows[:4])).collect()}
+    assert got == {i: (heads[s], links[heads[s]]) for i, s in sets.items()} and sum(links.values()) > 20
+    assert fingerprints.near_pairs(empty(spark)).count() == 0
+
+
 def test_likeness_of_long_texts_is_exact():
     r = random.Random(11)
     names = [a + b + c for a in WORDS for b in WORDS for c in "xyz"]
