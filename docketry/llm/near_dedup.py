@@ -6,11 +6,11 @@ once, by ranges, so that a large region lies over many tasks; a task walks its s
 candidates of a document are its neighbour of longest common prefix and the first document of its block: the
 deepest prefix that is needed for a block of at most BLOCK documents, so depth follows the region's size.
 
-The likeliest candidate of each document is confirmed on full shingle sets. These links form trees of
-documents, each with its root. Regions that hold more than one tree are left, mostly since documents are alike
-but not enough; what can be alike across their trees is found exactly by rarest shingles, so that no pair which
-shares a region is left out. With 32 trees of depth 4 a pair of likeness 0.75 shares none with a chance of
-about 5 in a million.
+The likeliest candidates of each document, by the lengths of the common prefixes over all trees, are confirmed
+on full shingle sets, and these links give components. Regions that hold more than one component are left,
+mostly since documents are alike but not enough; what can be alike across their components is found exactly by
+rarest shingles, so that no pair which shares a region is left out. With 32 trees of depth 4 a pair of likeness
+0.75 shares none with a chance of about 5 in a million.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from docketry.llm.components import components
 from docketry.llm.store import stored
 from docketry.llm.wordhash import U, mix, shingle_sets, utf8
 
-TREES, DEPTH, BLOCK = 32, 4, 64
+TREES, DEPTH, BLOCK, LIKELIEST = 32, 4, 64, 4
 _FACTOR = (mix(np.arange(1, TREES * DEPTH + 1, dtype=U)) >> U(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -57,13 +57,13 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "version", "n_shingles", "d1", "d2", "regions", "deeper"])
 
 
-def _heads(region: np.ndarray, deeper: np.ndarray) -> np.ndarray:
-    """For each place of a sorted stretch the place of its block's first document; for that one itself, the
-    place of its region's first."""
+def _heads(region: np.ndarray, deeper: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each place of a sorted stretch the place of its block's first document (for that one itself, of its
+    region's first), the length of the prefix that they have in common at least, and of that with the place before."""
     place = np.arange(len(region))
     new = np.r_[True, region[1:] != region[:-1]]
     differ = np.r_[np.uint32(0), deeper.view(np.uint32)[1:] ^ deeper.view(np.uint32)[:-1]]
-    head, open_ = place.copy(), np.ones(len(region), bool)
+    head, common, with_before, open_ = place.copy(), np.full(len(region), DEPTH), np.full(len(region), DEPTH), np.ones(len(region), bool)
     for depth in range(5):
         starts = new if depth == 0 else new | (differ >> np.uint32(32 - 8 * depth) != 0)
         run = np.cumsum(starts) - 1
@@ -73,14 +73,20 @@ def _heads(region: np.ndarray, deeper: np.ndarray) -> np.ndarray:
         fits = open_ & ((np.bincount(run)[run] <= BLOCK) | (depth == 4))
         # Equal in all values and still many: blocks by place.
         head[fits] = (first + (place - first) // BLOCK * BLOCK)[fits]
+        common[fits] = DEPTH + depth
+        with_before[~starts] = DEPTH + depth
         open_ &= ~fits
-    return np.where(head == place, regions, head)
+    own = head == place
+    return np.where(own, regions, head), np.where(own, DEPTH, common), with_before
+
+
+_NEIGHBOURS = "region long, doc_id long, before long, before_common int, head long, head_common int"
 
 
 def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted rows (region, deeper, doc_id) of one task: those that share their region, with the document
-    before and the head (the document itself where there is none). The first and the last row of the task are
-    kept in any case, as their region may go on in another task."""
+    before and the head (the document itself where there is none) and the lengths of the common prefixes. The
+    first and the last row of the task are kept in any case, as their region may go on in another task."""
     held, first = None, True
     for batch in batches:
         if held is not None:
@@ -90,14 +96,16 @@ def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         region, doc = batch["region"].to_numpy(), batch["doc_id"].to_numpy()
         same = np.r_[False, region[1:] == region[:-1]]
-        before, head = np.where(same, np.r_[doc[:1], doc[:-1]], doc), doc[_heads(region, batch["deeper"].to_numpy())]
+        head, common, with_before = _heads(region, batch["deeper"].to_numpy())
         kept = same | np.r_[same[1:], True]
         # The row held from the batch before is there already.
         kept[0] = first
-        yield pd.DataFrame({"region": region, "doc_id": doc, "before": before, "head": head})[kept]
+        before = np.where(same, np.r_[doc[:1], doc[:-1]], doc)
+        yield pd.DataFrame({"region": region, "doc_id": doc, "before": before, "before_common": with_before, "head": doc[head], "head_common": common})[kept]
         held, first = batch[-1:], False
     if held is not None and first:
-        yield pd.DataFrame({"region": held["region"], "doc_id": held["doc_id"], "before": held["doc_id"], "head": held["doc_id"]})
+        doc = held["doc_id"]
+        yield pd.DataFrame({"region": held["region"], "doc_id": doc, "before": doc, "before_common": 0, "head": doc, "head_common": 0})
 
 
 def _alike(threshold: int):
@@ -123,17 +131,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_alike(threshold)("left_text", "right_text")).select("a", "b")
 
 
-def _roots(parents: DataFrame) -> DataFrame:
-    """parents: (a, b) with a > b and each a once. Returns (node, root) for each a, by pointer jumping."""
-    found = parents
-    while True:
-        up = found.select(F.col("a").alias("b"), F.col("b").alias("up"))
-        step = stored(found.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"), F.col("up").isNotNull().alias("moved")), "roots")
-        found = step.select("a", "b")
-        if step.where("moved").isEmpty():
-            return found.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
 def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     """docs: doc_id, text and any others. Returns (doc_id, n_shingles, component_id, kept), a row for each
     distinct doc_id; rows without doc_id are left out, null and blank texts are linked with nothing, of rows
@@ -146,32 +143,35 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     schema = "doc_id long, version long, n_shingles long, d1 long, d2 long, regions array<long>, deeper array<int>"
     signed = stored(plain.mapInPandas(_signatures, schema), "minhash")
     one = signed.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "version")).alias("s")).select("doc_id", "s.*")
-    classes = one.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "version")).alias("s")).select("n_shingles", "d1", "d2", F.col("s.doc_id").alias("class_id"), "s.version")
+    classes = one.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "version")).alias("s"), F.count("*").alias("members"))
+    classes = stored(classes.select("n_shingles", "d1", "d2", F.col("s.doc_id").alias("class_id"), "s.version", "members"), "classes")
     placed = (
         signed.join(classes.select(F.col("class_id").alias("doc_id"), "version"), ["doc_id", "version"], "left_semi")
         .select("doc_id", F.explode(F.arrays_zip("regions", "deeper")).alias("x"))
         .select(F.col("x.regions").alias("region"), F.col("x.deeper").alias("deeper"), "doc_id")
     )
     order = ["region", "deeper", "doc_id"]
-    members = stored(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_neighbours, "region long, doc_id long, before long, head long"), "orders")
+    members = stored(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_neighbours, _NEIGHBOURS), "orders")
     chosen = members.select("doc_id").distinct().join(classes.select(F.col("class_id").alias("doc_id"), "version"), "doc_id")
     texts = stored(plain.join(chosen, ["doc_id", "version"], "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "candidates")
 
-    near = members.select("doc_id", F.explode(F.array_distinct(F.array("before", "head"))).alias("other")).where("doc_id <> other")
-    near = near.groupBy(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).agg(F.count("*").alias("times"))
-    # The likeliest candidate of each document: mostly these links already join a whole group.
-    best = near.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
-    roots = _roots(stored(_confirmed(best, texts, threshold), "links"))
-    # Regions of more than one tree.
-    member = members.select("region", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("root", "doc_id").alias("component"))
+    proposed = F.explode(F.array(F.struct(F.col("before").alias("other"), F.col("before_common").alias("common")), F.struct(F.col("head").alias("other"), F.col("head_common").alias("common"))))
+    near = members.select("doc_id", proposed.alias("x")).select("doc_id", "x.*").where("doc_id <> other").repartition("doc_id").groupBy("doc_id", "other").agg(F.sum("common").alias("common"))
+    # At most two for each tree come together here.
+    best = near.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(-F.col("common"), "other"))).alias("x")).select("doc_id", F.explode(F.slice("x", 1, LIKELIEST)).alias("x"))
+    best = best.select(F.greatest("doc_id", "x.other").alias("a"), F.least("doc_id", "x.other").alias("b")).distinct()
+    found = stored(components(_confirmed(best, texts, threshold)), "components")
+    # Regions of more than one component.
+    member = members.select("region", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
     apart = stored(member.join(mixed, "region", "left_semi").select("doc_id", "component").distinct(), "apart")
     met = _confirmed(_by_rare_shingles(apart, texts, threshold), texts, threshold)
     for end in ("a", "b"):
         met = met.join(apart.withColumnRenamed("doc_id", end), end).withColumnRenamed("component", f"{end}_in")
     joined = components(met.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
-    classed = one.join(classes.drop("version"), ["n_shingles", "d1", "d2"], "left").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-    classed = classed.withColumn("node", F.coalesce("root", "class_id", "doc_id")).join(joined, "node", "left")
+    classed = one.join(classes.where("members > 1").drop("version", "members"), ["n_shingles", "d1", "d2"], "left")
+    classed = classed.withColumn("node", F.coalesce("class_id", "doc_id")).join(found, "node", "left")
+    classed = classed.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("node")).join(joined, "node", "left")
     component = F.coalesce("component", "node")
     return classed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
