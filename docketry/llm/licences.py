@@ -1,7 +1,10 @@
-"""License scans: canonical digests of whole texts, hash-joined to the digests of known licences.
+"""License scans: canonical digests of entire texts, hash-joined to the digests of known licences.
 
-Each whole document and each of its lines is a text to look up. All of them are brought to one canonical
-form; SHA-256 of that form is the key. DataFrame functions only.
+A text is brought to a canonical form: lower case, equal spellings, no copyright lines, words with single
+spaces, no blank lines. A known text is found wherever a run of whole lines holds its words, however they are
+wrapped: each line that begins with the first word of a known text is a start, and as many words as that text
+has from there on, ending with a line, are digested and looked up. A whole document is such a run too.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -9,60 +12,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Licence ids and the notices by which texts declare them.
-NOTICES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License").'),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "Licensed under CC0 1.0."),
-]
+from docketry.llm.licence_texts import NOTICES
+
 # Spellings that count as equal, after lower case.
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("organisation", "organization"), ("v.", "version"), ("http:", "https:")]
-#: Longest line that the query's SQL twin looks up by itself; licences() has no limit.
-LONGEST_NOTICE = 400
-#: Most known texts that are broadcast; more are joined by shuffle.
-BROADCAST_TEXTS = 100_000
+#: A line that tells whose work it is and of which year, after lower case.
+COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[<\[]?(?:[0-9]{4}|year|yyyy))|\(c\)[ \t]|©)[^\n]*$"
+#: Most known texts whose first words are looked for in place and whose digests are broadcast; more are joined
+#: by shuffle, and then each line is a start.
+BROADCAST_TEXTS = 10_000
 
 
-def canonical(text: Column) -> Column:
-    """Lower case; equal spellings; no copyright lines; words of ASCII letters and digits, others as they
-    are, with single spaces. Works on one line or many."""
-    plain = F.regexp_replace(F.lower(text), r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$", "")
+def canonical_lines(text: Column) -> Column:
+    """The canonical lines of a text; null has none."""
+    plain = F.regexp_replace(F.lower(text), COPYRIGHT, "")
     for other, usual in SPELLINGS:
         plain = F.regexp_replace(plain, rf"\b{other.replace('.', chr(92) + '.')}(?![a-z])", usual)
-    return F.trim(F.regexp_replace(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    plain = F.regexp_replace(plain, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    lines = F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.coalesce(lines, F.array().cast("array<string>"))
+
+
+def canonical(text: Column) -> Column:
+    return F.array_join(canonical_lines(text), " ")
 
 
 def known_notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(NOTICES, "licence string, notice string")
 
 
+def _first_word(line: Column) -> Column:
+    return F.substring_index(line, " ", 1)
+
+
+def matches(docs: DataFrame, known: DataFrame, text: str = "notice") -> DataFrame:
+    """known: licence and a text column. Returns the places where a known text stands: doc_id, version (a hash
+    of the document's text), line (from 1, canonical lines), n_words, licence, whole (it is all of the document)."""
+    form = known.select("licence", canonical(F.col(text)).alias("form")).where("form <> ''").withColumn("n_words", F.size(F.split("form", " ")))
+    known = form.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("licence").alias("licence"), F.first("n_words").alias("n_words"), F.first(_first_word(F.col("form"))).alias("lead"))
+    size, longest = known.agg(F.count("*"), F.coalesce(F.max("n_words"), F.lit(1))).first()
+    small = size <= BROADCAST_TEXTS
+    shared = F.broadcast if small else (lambda df: df)
+    leads = [x["lead"] for x in known.select("lead").distinct().collect()] if small else None
+    start = (lambda line: _first_word(line).isin(leads)) if small else (lambda line: F.lit(True))
+    lined = docs.where("doc_id IS NOT NULL").select("doc_id", version().alias("version"), canonical_lines(F.col("text")).alias("lines"))
+    # A known text of n words has n lines at most.
+    body = lambda at: F.array_join(F.slice("lines", at + 1, F.lit(longest + 1)), "\n")
+    starts = F.transform("lines", lambda line, at: F.when(start(line), F.struct((at + 1).alias("line"), body(at).alias("body"))))
+    found = lined.select("doc_id", "version", F.explode(F.array_compact(starts)).alias("s")).select("doc_id", "version", "s.line", "s.body")
+    found = found.withColumns({"words": F.split("body", "[ \n]"), "lead": F.regexp_extract("body", "^[^ \n]*", 0)})
+    words = F.array_join(F.slice("words", F.lit(1), F.col("n_words")), " ")
+    sized = found.join(shared(known.select("lead", "n_words").distinct()), "lead").where(F.size("words") >= F.col("n_words"))
+    after = F.substring(F.col("body"), F.length(words) + 1, F.lit(1))
+    ended = sized.where(after.isin("\n", "")).select("doc_id", "version", "line", "n_words", F.sha2(words, 256).alias("digest"), ((F.col("line") == 1) & (after == "")).alias("whole"))
+    return ended.join(shared(known.drop("n_words", "lead")), "digest").select("doc_id", "version", "line", "n_words", "licence", "whole").distinct()
+
+
+def version() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def licences(docs: DataFrame, known: DataFrame, text: str = "notice") -> DataFrame:
-    """known: licence and a text column. Returns, for each row of docs, doc_id, n_matches (texts looked up
-    that are known, the whole document and its lines), licences (sorted, comma-joined, empty if none),
-    whole (the document is one licence text and nothing else). Null and empty texts match nothing; other
-    columns of docs are not read."""
-    known = known.select("licence", F.sha2(canonical(F.col(text)), 256).alias("digest"), F.length(canonical(F.col(text))).alias("size")).where("size > 0").groupBy("digest").agg(F.min("licence").alias("licence"))
-    if known.count() <= BROADCAST_TEXTS:
-        known = F.broadcast(known)
-    body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
-    parts = body.select(
-        "doc_id",
-        F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("part"))), F.transform(F.when(F.contains("text", F.lit("\n")), lines).otherwise(F.array().cast("array<string>")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))).alias("p"),
-    ).select("doc_id", "p.whole", canonical(F.col("p.part")).alias("form"))
-    found = parts.withColumn("digest", F.sha2("form", 256)).join(known, "digest", "left").groupBy("doc_id").agg(
-        F.count("licence").alias("n_matches"),
-        F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
-        F.coalesce(F.max(F.col("whole") & F.col("licence").isNotNull()), F.lit(False)).alias("whole"),
-    )
-    return found
+    """known: licence and a text column. Returns, for each distinct doc_id that isn't null, doc_id, n_matches
+    (places where a known text stands), licences (sorted, comma-joined, empty if none), whole (the document is
+    one licence text and nothing else). Null and empty texts match nothing; of rows with the same doc_id one
+    counts, by a hash of its text; other columns of docs are not read. No documents give no rows."""
+    each = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(version()).alias("version"))
+    met = matches(docs, known, text).groupBy("doc_id", "version").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("licence")).alias("found"), F.max("whole").alias("whole"))
+    joined = each.join(met, ["doc_id", "version"], "left")
+    return joined.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_matches"), F.coalesce(F.array_join("found", ","), F.lit("")).alias("licences"), F.coalesce("whole", F.lit(False)).alias("whole"))

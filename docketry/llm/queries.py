@@ -82,28 +82,28 @@ QUERIES = {
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
 
-
-def _canonical_sql(text: str) -> str:
-    plain = f"regexp_replace(lower({text}), '(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
+def _lines_sql(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), '{licence_scan.COPYRIGHT}', '', 'g')"
     for other, usual in licence_scan.SPELLINGS:
         # RE2 has no look-ahead: the character after the spelling is kept.
         plain = f"regexp_replace({plain}, '\\b{other.replace('.', chr(92) + '.')}([^a-z]|$)', '{usual}\\1', 'g')"
-    return f"trim(regexp_replace({plain}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' ')"
+    plain = f"regexp_replace({plain}, '[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({plain}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
 
 
 _NOTICES_SQL = ", ".join("('{}', '{}')".format(licence, notice.replace("'", "''")) for licence, notice in licence_scan.NOTICES)
 
 ORACLE_SQL = {
     "op3_license_scan": f"""
-WITH known AS (
-  SELECT digest, min(licence) AS licence FROM (SELECT licence, sha256({_canonical_sql('notice')}) AS digest FROM (VALUES {_NOTICES_SQL}) v(licence, notice)) GROUP BY digest),
-parts AS (
-  SELECT doc_id, true AS whole, coalesce(text, '') AS part FROM documents
-  UNION ALL SELECT doc_id, false, part FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents WHERE contains(text, chr(10)))
-  WHERE length(part) BETWEEN 1 AND {licence_scan.LONGEST_NOTICE})
-SELECT doc_id, count(licence) AS n_matches, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences,
-  coalesce(bool_or(whole AND licence IS NOT NULL), false) AS whole
-FROM (SELECT doc_id, whole, sha256({_canonical_sql('part')}) AS digest FROM parts) p LEFT JOIN known USING (digest) GROUP BY doc_id""",
+WITH forms AS (SELECT licence, array_to_string({_lines_sql('notice')}, ' ') AS form FROM (VALUES {_NOTICES_SQL}) v(licence, notice)),
+known AS (SELECT form, min(licence) AS licence, len(string_split(form, ' ')) AS k FROM forms GROUP BY form),
+lined AS (SELECT doc_id, {_lines_sql("coalesce(text, '')")} AS lines FROM documents),
+bodies AS (SELECT doc_id, i, array_to_string(lines[i:], chr(10)) AS body FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined)),
+met AS (
+  SELECT doc_id, i, licence, i = 1 AND length(body) = length(form) AS whole FROM bodies JOIN known ON starts_with(replace(body, chr(10), ' '), form)
+  WHERE length(body) = length(form) OR body[length(form) + 1] = chr(10))
+SELECT doc_id, count(licence) AS n_matches, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences, coalesce(bool_or(whole), false) AS whole
+FROM documents LEFT JOIN met USING (doc_id) GROUP BY doc_id""",
     "op5_decontamination": rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

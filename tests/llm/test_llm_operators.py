@@ -3,6 +3,7 @@ import itertools
 import random
 import re
 import string
+import textwrap
 import zlib
 
 import numpy as np
@@ -85,7 +86,8 @@ def test_near_duplicates_repeated_ids(spark):
 def test_heads_follow_the_size_of_regions():
     region = np.repeat([5, 7, 9], [3, 200, 70])
     deeper = np.concatenate([[0, 0, 1 << 24], np.sort(np.repeat(np.arange(4) << 16, 50)), np.zeros(70)]).astype(np.int32)
-    head = near_dedup._heads(region, deeper)
+    head, common, with_before = near_dedup._heads(region, deeper)
+    assert common[:3].tolist() == [4, 4, 4] and with_before[:3].tolist() == [4, 8, 4] and common[5] == 6 and with_before[53] == 5
     assert head[:3].tolist() == [0, 0, 0]
     # 200 are more than a block: they are split by their deeper values, and block heads go to the region's first.
     assert (head[3:203].reshape(4, 50)[:, 1:] == np.array([[3], [53], [103], [153]])).all() and (head[[3, 53, 103, 153]] == 3).all()
@@ -355,10 +357,25 @@ def test_licences(spark):
     known = licences.known_notices(spark)
     rows = [(1, "LICENSED under the  Apache Licence, version 2.0!\nprose"), (2, "Released under the MIT License."), (3, None), (4, "prose"), (5, "Copyright 2020 me\nReleased under the MIT license")]
     got = {r.doc_id: (r.n_matches, r.licences, r.whole) for r in licences.licences(frame(spark, rows), known).collect()}
-    assert got == {1: (1, "Apache-2.0", False), 2: (1, "MIT", True), 3: (0, "", False), 4: (0, "", False), 5: (2, "MIT", True)}
+    assert got == {1: (1, "Apache-2.0", False), 2: (1, "MIT", True), 3: (0, "", False), 4: (0, "", False), 5: (1, "MIT", True)}
     assert licences.licences(empty(spark), known).count() == 0
 
 
+def test_licence_texts_of_many_lines(spark, monkeypatch):
+    texts = dict(reversed(licences.NOTICES))
+    known = licences.known_notices(spark)
+    rows = [(k, text) for k, (_, text) in enumerate(licences.NOTICES)]
+    want = {k: (name, True) for k, (name, _) in enumerate(licences.NOTICES)}
+    wrapped = textwrap.fill(" ".join(texts["MIT"].split()), 40)
+    rows += [(100, "Tool 1.0\n\nThe MIT Licence\n\nCopyright (c) 2020 Someone\n\n" + wrapped + "\n\nThe rest of a README."), (101, wrapped.replace("granted", "given")), (102, wrapped + " and more"), (103, "x " + wrapped)]
+    rows += [(104, "y\n" * 500 + " ".join(texts["ISC"].split()) + "\n" + texts["Zlib"].replace("This", "  * This")), (105, None), (105, texts["MIT"]), (106, wrapped), (106, wrapped)]
+    want |= {100: ("MIT", False), 101: ("", False), 102: ("", False), 103: ("", False), 104: ("ISC,Zlib", False), 106: ("MIT", True)}
+    got = {r.doc_id: (r.licences, r.whole) for r in licences.licences(frame(spark, rows), known).collect()}
+    assert got.pop(105) in (("", False), ("MIT", True)) and got == want
+    monkeypatch.setattr(licences, "BROADCAST_TEXTS", 0)
+    assert {r.doc_id: (r.licences, r.whole) for r in licences.licences(frame(spark, rows[-12:-6]), known).collect()} == {k: want[k] for k, _ in rows[-12:-6]}
+
+
 def test_licence_on_a_long_line(spark):
     grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, " + "to deal in it without restriction, " * 20
     known = spark.createDataFrame([("MIT", grant)], "licence string, notice string")
