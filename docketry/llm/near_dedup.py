@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.components import components
-from docketry.llm.store import stored
+from docketry.llm.store import free_name, stored
 from docketry.llm.wordhash import U, mix, shingle_sets, utf8
 
 TREES, DEPTH, BLOCK, LIKELIEST = 32, 4, 64, 4
@@ -218,14 +218,7 @@ def keep_one(docs: DataFrame, threshold: int = 75) -> DataFrame:
     doc_id the one with the smallest text stays (null first; ties: either). Rows without doc_id can't be told
     apart and all stay."""
     kept = near_duplicates(docs, threshold).where("kept").select("doc_id")
-    mine = _free_name("rank", docs.columns)
+    mine = free_name("rank", docs.columns)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
     unique = docs.join(kept, "doc_id", "left_semi").withColumn(mine, first).where(F.col(mine) == 1).select(*docs.columns)
     return unique.unionByName(docs.where("doc_id IS NULL"))
-
-
-def _free_name(stem: str, taken: list[str]) -> str:
-    low = {x.lower() for x in taken}
-    while stem.lower() in low:
-        stem += "_"
-    return stem

@@ -4,18 +4,27 @@ DataFrame functions and Spark's own tree ensemble only. A text is split at white
 run of at least 16 letters, digits and ``_ + / -`` in one of its tokens, so its neighbouring words are the
 tokens around it. Of any length and with any symbols, the value assigned to a name with one of KEY_WORDS and
 the password or token in the user part of a URL are candidates too.
+
+The forest looks at a candidate's length, at how likely its character transitions are in the corpus's words,
+at the share of it that the corpus's dictionary covers, at the path and at the neighbouring words. It is trained
+from labelled findings: reviewed ones where there are any, else planted ones, strings of known kind set into
+passages of the corpus, so that their labels come from how they were made and not from what the forest sees.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.store import free_name, stored
+
 RUN = r"[A-Za-z0-9_+/-]{16,}={0,2}"
-#: Most labelled findings that the forest is trained on.
+#: Most labelled findings that the forest is trained on, and most passages that findings are planted in.
 SAMPLE = 10_000
 MASK = "[SECRET]"
 #: A name with a key word, a sign of assignment on the same line, and the value: quoted, or up to white space
@@ -27,10 +36,16 @@ ASSIGNED = (
 )
 #: The user part of a URL: the password if there is one, else the name, which may be a token.
 IN_URL = r"([A-Za-z][A-Za-z0-9+.-]{0,30}+://(?:[^\s/:@]*+:)?)([^\s/]+)@"
-#: Words beside a secret that tell of one, and pieces of ordinary words, which secrets rarely hold.
+#: Words beside a secret that tell of one.
 KEY_WORDS = r"(?i)(pass|pwd|token|secret|api|key|auth|credential|bearer)"
-WORD_PIECES = "(the|ing|tion|and|ent|ment|er|en|in|re|on|ou|an|de|que|sch|ein|ado|ión|ung|lich)"
-FEATURES = ["length", "digits", "capitals", "vowels", "changes", "covered", "distinct", "hexadecimal", "key_before", "key_beside", "assigned", "quoted", "path_depth", "path_test", "symbols", "in_url"]
+#: How often a word must stand in the corpus to be in its dictionary.
+LEAST = 5
+#: Kinds of characters for transitions: other, a to z, digits.
+KINDS = 28
+FEATURES = [
+    "length", "digits", "capitals", "vowels", "changes", "transitions", "covered", "distinct", "hexadecimal", "key_before", "key_beside", "assigned", "quoted", "path_depth",
+    "path_test", "symbols", "in_url",
+]
 
 
 def _at_places(pattern: str, lead: Column, value: Column) -> Column:
@@ -85,19 +100,44 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
     return runs.unionByName(values)
 
 
-def described(found: DataFrame) -> DataFrame:
+def dictionary(docs: DataFrame) -> DataFrame:
+    """(word, n): the words of three letters or more that stand LEAST times or more in all documents."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,})"), F.lit(1))).alias("word"))
+    return stored(words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST), "dictionary")
+
+
+def _kind(letter: Column) -> Column:
+    return F.when(letter.between("a", "z") & (F.octet_length(letter) == 1), F.ascii(letter) - 96).when(letter.between("0", "9") & (F.octet_length(letter) == 1), 27).otherwise(0)
+
+
+def transitions(words: DataFrame) -> list[float]:
+    """log P(next kind | kind) over the dictionary, kind by kind; KINDS squared numbers, whatever the corpus."""
+    pairs = words.select("n", "word", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("i")).select(
+        _kind(F.substring(F.col("word"), F.col("i"), F.lit(1))).alias("x"), _kind(F.substring(F.col("word"), F.col("i") + 1, F.lit(1))).alias("y"), "n"
+    )
+    counts = {(r["x"], r["y"]): r["n"] for r in pairs.groupBy("x", "y").agg(F.sum("n").alias("n")).collect()}
+    rows = [[counts.get((x, y), 0) + 1 for y in range(KINDS)] for x in range(KINDS)]
+    return [math.log(n / sum(row)) for row in rows for n in row]
+
+
+def described(found: DataFrame, words: DataFrame, likely: list[float]) -> DataFrame:
     """found with FEATURES."""
+    parts = found.select("secret").distinct().select("secret", F.explode(F.regexp_extract_all("secret", F.lit(r"(\p{Lu}?\p{Ll}{2,}|\p{Lu}{3,})"), F.lit(1))).alias("part"))
+    covered = parts.select("secret", F.lower("part").alias("word")).join(words.select("word"), "word").groupBy("secret").agg(F.sum(F.length("word")).alias("_covered"))
     s, n = F.col("secret"), F.length("secret").cast("double")
     count = lambda pattern: F.regexp_count(s, F.lit(pattern)) / n
     lead = F.col("lead")
     yes = lambda c: c.cast("double")
+    kinds = F.transform(F.split(F.lower(s), ""), _kind)
+    steps = F.zip_with(F.slice(kinds, 1, F.size(kinds) - 1), F.slice(kinds, 2, F.size(kinds)), lambda x, y: F.element_at(F.lit(likely), x * KINDS + y + 1))
     columns = {
         "length": n,
         "digits": count("[0-9]"),
         "capitals": count("[A-Z]"),
         "vowels": count("[aeiouAEIOU]"),
         "changes": count("(?<=[a-z])[0-9A-Z]|(?<=[0-9])[A-Za-z]|(?<=[A-Z])[0-9a-z]"),
-        "covered": (n - F.length(F.regexp_replace(F.lower(s), WORD_PIECES, ""))) / n,
+        "transitions": F.when(n > 1, F.aggregate(steps, F.lit(0.0), lambda have, x: have + x) / (n - 1)),
+        "covered": F.col("_covered") / n,
         "distinct": F.size(F.array_distinct(F.split(s, ""))) / n,
         "hexadecimal": yes(s.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         "key_before": yes(F.col("before").rlike(KEY_WORDS)),
@@ -109,57 +149,106 @@ def described(found: DataFrame) -> DataFrame:
         "symbols": count("[^A-Za-z0-9_+/=-]"),
         "in_url": yes(lead.rlike("://[^/]*$")),
     }
-    return found.withColumns({f"f_{k}": F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in columns.items()})
-
-
-def by_format(found: DataFrame) -> Column:
-    """Labels of findings whose format or context settles them; null where neither does. It stands in for
-    reviewed findings where there are none."""
-    assigned = F.concat(F.col("before"), F.lit(" "), F.col("lead")).rlike(r"(?i)(password|token|secret|api_?key)\W*[=:]\W*$")
-    mixed = F.col("secret").rlike("[0-9!@#$%^&*]") & F.col("secret").rlike("[A-Za-z]")
-    return F.when(F.col("secret").rlike("^(AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$") | (assigned & mixed) | F.col("lead").rlike("://[^/]*:$"), 1.0).when(~F.col("secret").rlike("[0-9]"), 0.0)
+    return found.join(covered, "secret", "left").withColumns({f"f_{k}": F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in columns.items()})
+
+
+# What is planted. X and Y stand for words of the passage, NAME for one of the names; the rest in
+# braces for random strings: hexadecimal, digits, letters and digits of either case or capitals, a password.
+NAMES = ["token", "api_key", "SECRET", "access_token", "auth-token", "password"]
+SECRET_KINDS = [
+    ('{NAME} = "', "{hex40}", '"'), ("{NAME}: ", "{mixed32}", ""), ("{NAME}=", "{hex32}", ""), ("https://{X}:", "{mixed16}", "@{Y}.example/"), ("", "AKIA{capitals16}", ""), ("", "ghp_{mixed36}", ","),
+    ('{NAME} = "', "{password}", '"'), ("Authorization: Bearer ", "{mixed40}", ""), ('{X}="', "{mixed40}", '"'), ("{NAME} = '", "{hex64}", "'"), ('"{NAME}": "', "{capitals32}", '"'),
+]
+OTHER_KINDS = [
+    ("commit ", "{hex40}", ""), ("", "{digits16}", ""), ("id ", "{uuid}", ""), ("", "{X}{Y}{X}{Y}", ","), ("{X}/", "{Y}/{X}/{Y}/{X}", "/{Y}"), ("sha256:", "{hex64}", ""), ("{NAME}: ", "{X}", ","),
+    ('key = "', "{X} {Y}", '"'), ("checksum ", "{hex32}", "."), ("", "{X}-{Y}-{X}-{Y}-2024", ""), ("{NAME} = ", "{Y}", ""), ("call ", "{digits20}", ""), ("", "{X}_{Y}_{X}_{Y}", "()"),
+]
+
+
+def _filled(pattern: Column, x: Column, y: Column, salt: Column) -> Column:
+    """pattern with its braces filled; random strings follow from salt."""
+    hexadecimal = F.sha2(salt, 256)
+    mixed = F.regexp_replace(F.base64(F.unhex(F.concat(hexadecimal, F.sha2(hexadecimal, 256)))), "[+/=]", "")
+    digits = F.translate(hexadecimal, "abcdef", "012345")
+    capitals = F.regexp_replace(F.upper(mixed), "[^0-9A-Z]", "")
+    part = lambda *at: F.concat_ws("-", *(F.substring(hexadecimal, i, n) for i, n in at))
+    values = {
+        "X": x, "Y": y, "NAME": F.element_at(F.lit(NAMES), F.pmod(F.xxhash64(salt), F.lit(len(NAMES))).cast("int") + 1), "uuid": part((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)),
+        "hex32": F.left(hexadecimal, F.lit(32)), "hex40": F.left(hexadecimal, F.lit(40)), "hex64": hexadecimal, "digits16": F.left(digits, F.lit(16)), "digits20": F.left(digits, F.lit(20)),
+        "mixed16": F.left(mixed, F.lit(16)), "mixed32": F.left(mixed, F.lit(32)), "mixed36": F.left(mixed, F.lit(36)), "mixed40": F.left(mixed, F.lit(40)), "capitals16": F.left(capitals, F.lit(16)), "capitals32": F.left(capitals, F.lit(32)),
+        "password": F.concat(F.left(mixed, F.lit(5)), F.translate(F.substring(hexadecimal, 1, 1), "0123456789abcdef", "!@#$%^&*!@#$%^&*"), F.substring(mixed, 9, 4)),
+    }
+    for name, value in values.items():
+        pattern = F.replace(pattern, F.lit("{" + name + "}"), value)
+    return pattern
+
+
+def planted(docs: DataFrame, path: str | None = "source", most: int = SAMPLE, seed: int = 1) -> DataFrame:
+    """Labelled findings made from at most ``most`` passages of the corpus, chosen by a hash: candidates with
+    label 1.0 for the secrets set into them and 0.0 for other strings."""
+    place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
+    chance = F.xxhash64("doc_id", F.lit(seed))
+    begin = F.pmod(chance, F.greatest(F.length("text") - 160, F.lit(1))).cast("int") + 1
+    passages = docs.where("doc_id IS NOT NULL AND length(text) > 0").select("doc_id", place.alias("path"), F.substring(F.col("text"), begin, F.lit(160)).alias("passage"), chance.alias("chance"))
+    passages = passages.orderBy("chance", "doc_id", "passage").limit(most).withColumn("tokens", F.filter(F.split("passage", r"\s+"), lambda x: x != "")).where(F.size("tokens") > 3)
+    patterns = [(*p, 1.0) for p in SECRET_KINDS] + [(*p, 0.0) for p in OTHER_KINDS]
+    kind = F.pmod(F.xxhash64("chance", F.lit(seed)), F.lit(len(patterns))).cast("int") + 1
+    chosen = F.element_at(F.array(*(F.struct(F.lit(a).alias("lead"), F.lit(v).alias("value"), F.lit(z).alias("rest"), F.lit(y).alias("label")) for a, v, z, y in patterns)), kind)
+    letters = F.filter(F.transform("tokens", lambda t: F.regexp_replace(t, r"[^\p{L}]", "")), lambda t: t != "")
+    word = lambda i: F.coalesce(F.get(letters, F.lit(i)), F.lit("word"))
+    salt = F.concat_ws(" ", "chance", "passage")
+    fill = lambda field: _filled(F.col("k")[field], word(1), word(2), salt)
+    made = passages.withColumn("k", chosen).withColumns({"lead": fill("lead"), "value": fill("value"), "rest": fill("rest")})
+    text = F.concat_ws(" ", F.array_join(F.slice("tokens", 1, 3), " "), F.concat("lead", "value", "rest"), F.array_join(F.slice("tokens", 4, 100), " "))
+    made = stored(made.select(F.col("chance").alias("doc_id"), "path", text.alias("text"), "value", F.col("k.label").alias("label")), "planted")
+    return candidates(made.select("doc_id", "path", "text"), "path").join(made.select("doc_id", F.col("value").alias("secret"), "label"), ["doc_id", "secret"])
+
+
+def train(found: DataFrame, words: DataFrame, likely: list[float]) -> RandomForestClassificationModel | None:
+    """found: labelled findings (label 1.0 for secrets). None if there is only one kind."""
+    assemble = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
+    rows = stored(assemble.transform(described(found, words, likely)).select("features", "label"), "labelled")
+    if rows.select("label").distinct().count() < 2:
+        return None
+    return RandomForestClassifier(numTrees=20, maxDepth=8, seed=7, featureSubsetStrategy="sqrt").fit(rows)
 
 
-def train(found: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE) -> RandomForestClassificationModel | None:
-    """labels: doc_id, at, is_secret (reviewed findings). Of each label at most half of ``most`` are used, by
-    a hash. None if there is only one kind."""
-    known = found.withColumn("label", by_format(found)) if labels is None else found.join(labels.select("doc_id", "at", F.col("is_secret").cast("double").alias("label")), ["doc_id", "at"])
-    assemble = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
+def _reviewed(found: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """The candidates of reviewed findings (doc_id, at, is_secret); of each label at most half of ``most``, by a hash."""
+    known = found.join(labels.select("doc_id", "at", F.col("is_secret").cast("double").alias("label")), ["doc_id", "at"])
     parts = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id", "at", "secret"), "doc_id", "at", "secret").limit(most // 2) for k in (0.0, 1.0)]
-    rows = assemble.transform(described(parts[0].unionByName(parts[1]))).select("features", "label").persist()
-    try:
-        if rows.select("label").distinct().count() < 2:
-            return None
-        return RandomForestClassifier(numTrees=20, maxDepth=6, seed=7, featureSubsetStrategy="sqrt").fit(rows)
-    finally:
-        rows.unpersist()
+    return parts[0].unionByName(parts[1])
 
 
 def _scored(docs: DataFrame, labels: DataFrame | None, path: str | None, most: int) -> DataFrame:
-    found = candidates(docs, path)
-    model = train(found, labels, most)
+    words = dictionary(docs)
+    likely = transitions(words)
+    found = stored(candidates(docs, path), "found")
+    model = train(planted(docs, path, most) if labels is None else _reviewed(found, labels, most), words, likely)
     if model is None:
-        p = F.coalesce(by_format(found), F.lit(0.0))
-        return found.select("doc_id", "at", "secret", "context", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
+        return found.select("doc_id", "at", "secret", "context", F.lit(0.0).alias("p_secret"), F.lit(False).alias("is_secret"))
     assemble = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
-    scored = model.transform(assemble.transform(described(found)))
+    scored = model.transform(assemble.transform(described(found, words, likely)))
     p = F.round(vector_to_array("probability")[1], 6)
     return scored.select("doc_id", "at", "secret", "context", p.alias("p_secret"), (p >= 0.5).alias("is_secret"))
 
 
 def findings(docs: DataFrame, labels: DataFrame | None = None, path: str | None = "source", most: int = SAMPLE) -> DataFrame:
-    """Each candidate of docs: doc_id, at, secret, p_secret, is_secret (p_secret >= 0.5). Without labels of
-    both kinds p_secret is 1 for what its format settles, else 0."""
+    """Each candidate of docs: doc_id, at, secret, p_secret, is_secret (p_secret >= 0.5). labels: reviewed
+    findings (doc_id, at, is_secret); without them planted ones are made. If there are labels of one kind only,
+    or no documents to plant in, p_secret is 0. Repeated rows are scanned each."""
     return _scored(docs, labels, path, most).drop("context")
 
 
 def masked(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """docs with each secret in the text replaced by MASK, a run wherever it stands and a value after what leads
-    to it; all columns and all documents stay."""
+    to it; all columns and all documents stay. Rows with the same doc_id share their secrets; rows without
+    doc_id aren't scanned."""
     secret = F.struct("context", F.length("secret").alias("n"))
-    found = _scored(docs, labels, "source", SAMPLE).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(secret)).alias("_secrets"))
+    mine = free_name("secrets", docs.columns)
+    found = _scored(docs, labels, "source", SAMPLE).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(secret)).alias(mine))
     # Longer ones first: one may hold another.
     size = lambda x: F.length(x["context"])
-    order = F.array_sort(F.coalesce("_secrets", F.array().cast("array<struct<context:string,n:int>>")), lambda a, b: F.when(size(a) > size(b), -1).when(size(a) < size(b), 1).otherwise(0))
+    order = F.array_sort(F.coalesce(mine, F.array().cast("array<struct<context:string,n:int>>")), lambda a, b: F.when(size(a) > size(b), -1).when(size(a) < size(b), 1).otherwise(0))
     text = F.aggregate(order, F.col("text"), lambda t, s: F.replace(t, s["context"], F.concat(F.left(s["context"], size(s) - s["n"]), F.lit(MASK))))
     return docs.join(found, "doc_id", "left").withColumn("text", text).select(*docs.columns)

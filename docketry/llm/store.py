@@ -62,3 +62,11 @@ def _forget_tables() -> None:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(stem: str, taken: list[str]) -> str:
+    """A column name like ``stem`` that isn't taken."""
+    low = {x.lower() for x in taken}
+    while stem.lower() in low:
+        stem += "_"
+    return stem

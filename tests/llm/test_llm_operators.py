@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 
 from docketry.llm import chat, fingerprints, licences, near_dedup, ordinal, packing, repeats, secrets
 from docketry.llm.components import components
@@ -403,6 +404,38 @@ def test_secrets_held_out(spark):
     assert secrets.findings(empty(spark)).count() == 0
 
 
+def test_secrets_from_planted_findings(spark):
+    """Trained on planted findings of one seed, held against those of another and against hand-made lines."""
+    r = random.Random(31)
+    words = [a + b for a in WORDS for b in ("", "el", "tor", "ing")]
+    docs = frame(spark, [(i, " ".join(r.choice(words) for _ in range(120))) for i in range(1500)])
+    known = secrets.dictionary(docs)
+    likely = secrets.transitions(known)
+    model = secrets.train(secrets.planted(docs), known, likely)
+    assemble = VectorAssembler(inputCols=[f"f_{k}" for k in secrets.FEATURES], outputCol="features")
+
+    def judged(found):
+        return model.transform(assemble.transform(secrets.described(found, known, likely)))
+
+    held = judged(secrets.planted(docs, seed=2)).groupBy("label", "prediction").count().collect()
+    n = {(x["label"], x["prediction"]): x["count"] for x in held}
+    assert n[1.0, 1.0] / (n[1.0, 1.0] + n.get((0.0, 1.0), 0)) > 0.95 and n[1.0, 1.0] / (n[1.0, 1.0] + n.get((1.0, 0.0), 0)) > 0.95
+    value = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    # The same string is a secret or not by its neighbours, and a key word alone makes no secret.
+    lines = [f'ban gel token = "{value}" cut', f"ban gel commit {value} cut", "ban password: required cut", "ban gel 9807915762804490 cut", "ban " + "fanelgorutbim" * 2 + " cut", 'the password = "Tr0u$4dor" cut']
+    got = {x.doc_id: x.prediction for x in judged(secrets.candidates(frame(spark, list(enumerate(lines))))).collect()}
+    assert got == {0: 1.0, 1: 0.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 1.0}
+
+
+def test_secrets_awkward(spark):
+    """Columns that clash, repeated rows, long texts, nulls, empty tables."""
+    rows = [*AWKWARD, (9, 'a token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" b'), (9, 'a token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" b')]
+    docs = spark.createDataFrame([(i, t, "s", "x", "y", 1) for i, t in rows], "doc_id long, text string, secrets string, secret string, context string, at int")
+    assert secrets.masked(docs).columns == docs.columns and secrets.masked(docs).count() == len(rows)
+    assert secrets.findings(docs).where("doc_id = 9").count() == 2
+    assert secrets.findings(docs.limit(0)).count() == 0 and secrets.masked(docs.limit(0)).count() == 0
+
+
 def test_short_secrets(spark):
     texts = [
         'a\n password = "Tr0ub4dor3" end', "pwd: h!u@n$t.e4r, then", 'say "api_key" : \'two words 7\'  and', "see postgres://bob:s3c!ret@db.example/x now", "https://t0ken@host/", "Authorization: Bearer ab12 x",
