@@ -8,15 +8,25 @@ from pyspark.sql import functions as F
 from docketry.llm.store import stored
 
 
+#: A node may have a third of all edges: its edges are dealt to so many tasks.
+SALTS = 16
+
+
+def _to_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges (a, v) with m, the least neighbour of a."""
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("a", "v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["a", "salt"])
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges: (a, b) with a > b. The result has the same form; rows may repeat."""
     if large:
         around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        moved = _to_least(edges.select(F.col("b").alias("a"), F.col("a").alias("v")), least).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        moved = edges.join(least, "a").select(F.explode(F.array("a", "b")).alias("v"), "m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        moved = _to_least(edges.select("a", F.col("b").alias("v")), least).select(F.explode(F.array("a", "v")).alias("a"), F.col("m").alias("b"))
     return moved.where("a > b")
 
 

@@ -157,10 +157,14 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
 
     proposed = F.explode(F.array(F.struct(F.col("before").alias("other"), F.col("before_common").alias("common")), F.struct(F.col("head").alias("other"), F.col("head_common").alias("common"))))
     near = members.select("doc_id", proposed.alias("x")).select("doc_id", "x.*").where("doc_id <> other").repartition("doc_id").groupBy("doc_id", "other").agg(F.sum("common").alias("common"))
+    near = stored(near, "neighbours")
     # At most two for each tree come together here.
     best = near.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(-F.col("common"), "other"))).alias("x")).select("doc_id", F.explode(F.slice("x", 1, LIKELIEST)).alias("x"))
-    best = best.select(F.greatest("doc_id", "x.other").alias("a"), F.least("doc_id", "x.other").alias("b")).distinct()
-    found = stored(components(_confirmed(best, texts, threshold)), "components")
+    best = stored(best.select(F.greatest("doc_id", "x.other").alias("a"), F.least("doc_id", "x.other").alias("b")).distinct(), "likeliest")
+    links = stored(_confirmed(best, texts, threshold), "links")
+    # Then all other candidates of documents that these links leave in different components.
+    rest = _across(near.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct(), components(links)).join(best, ["a", "b"], "left_anti")
+    found = stored(components(links.unionByName(_confirmed(rest, texts, threshold))), "components")
     # Regions of more than one component.
     member = members.select("region", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
@@ -176,6 +180,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     return classed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """pairs (a, b) whose ends are in different components."""
+    for end in ("a", "b"):
+        pairs = pairs.join(found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
+    return pairs.where("a_in <> b_in").select("a", "b")
+
+
 def _by_rare_shingles(apart: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of ``apart`` in different components that can still be alike, by necessary conditions
     only: with the shingles of each set in order of rarity, two alike sets share one among the first few,
