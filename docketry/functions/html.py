@@ -37,3 +37,27 @@ def escaped(c: Column) -> Column:
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         c = F.replace(c, F.lit(plain), F.lit(entity))
     return c
+
+
+def _part(c: Column, pattern: str, group: int) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+
+
+def link_ids(href: Column) -> Column:
+    """(article, section) of ``/article/1`` or ``/article/1/section/2``; null where absent."""
+    pattern = r"/article/(\d+)(?:/section/(\d+))?"
+    return F.struct(_part(href, pattern, 1).alias("article"), _part(href, pattern, 2).alias("section"))
+
+
+def anchor_ids(anchor: Column) -> Column:
+    """(parent_id, section_id) of ``bnj_a_1_sr_2``; null if it is none."""
+    pattern = r"bnj_a_(\d+)_[a-zA-Z]+_(\d+)"
+    return F.struct(_part(anchor, pattern, 1).alias("parent_id"), _part(anchor, pattern, 2).alias("section_id"))
+
+
+def section_anchors(html: Column) -> Column:
+    """(anchor, text) of each section anchor that stands in a paragraph without other elements; text is the
+    paragraph's."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?s)(<p\b[^>]*>[^<]*<a\b[^>]*\bid="bnj_a_\d+_[a-zA-Z]+_\d+[^"]*"[^>]*>[^<]*</a>[^<]*</p>)"""), F.lit(1))
+    shown = lambda x: F.btrim(F.regexp_replace(x, "<[^>]*>", ""))
+    return F.transform(found, lambda x: F.struct(F.regexp_extract(x, r'\bid="(bnj_a_[^"]*)"', 1).alias("anchor"), shown(x).alias("text")))

@@ -103,6 +103,33 @@ def tag_bucket(c: Column, palette: int) -> Column:
     return F.aggregate(F.transform(F.split(c, ""), F.ascii), F.lit(0), lambda a, x: a + x) % palette
 
 
+def label_parts(c: Column, palette: int) -> Column:
+    """(tag, shown, bucket) of ``Tag: title``, cut at the first colon; without a tag and a title all is shown."""
+    parts = F.transform(F.split(c, ":", 2), lambda x: F.trim(x))
+    two = (F.size(parts) == 2) & (F.get(parts, F.lit(0)) != "") & (F.get(parts, F.lit(1)) != "")
+    tag = F.when(two, F.get(parts, F.lit(0)))
+    return F.struct(tag.alias("tag"), F.when(two, F.get(parts, F.lit(1))).otherwise(c).alias("shown"), tag_bucket(tag, palette).alias("bucket"))
+
+
+def summary_refs(c: Column) -> Column:
+    """Numbers of all groups like ``[1, 2]``, in order."""
+    groups = F.regexp_extract_all(c, F.lit(r"(\[[\d,\s]+\])"), F.lit(1))
+    return F.flatten(F.transform(groups, lambda g: F.transform(F.regexp_extract_all(g, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("int"))))
+
+
+def nav_path(parts: list[Column], page: Column, joined: str = "/") -> Column:
+    """parts and the page, ``a/b/Page/3``, or ``a/b/Page-3`` with a dash."""
+    return F.concat_ws("/", *parts, F.concat(F.lit(f"Page{joined}"), page.cast("string")))
+
+
+def model_input(instruction: str, document: Column) -> Column:
+    return F.concat(F.lit(f"{instruction}\n---\n"), document)
+
+
+def question_input(question: str, name: Column, document: Column) -> Column:
+    return F.concat(F.lit(f"{question}\nFile: "), name, F.lit("\n"), document)
+
+
 #: Letters of the Latin blocks that are an ASCII letter with a mark, and these ASCII letters.
 _MARKED = [(chr(i), unicodedata.normalize("NFD", chr(i))[0]) for i in range(0xC0, 0x250)]
 MARKED, PLAIN = ("".join(x) for x in zip(*((a, b) for a, b in _MARKED if b.isascii()), strict=True))

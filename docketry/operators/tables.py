@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docketry.functions.text import word_count
+
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch whose keys the target lacks, each key once; rows with a null key are skipped."""
@@ -71,3 +74,28 @@ def pair_pages(pages: DataFrame, *readings: DataFrame, key: Sequence[str]) -> Da
     for reading in readings:
         pages = pages.join(reading, list(key), "left")
     return pages
+
+
+def map_folders(ids: DataFrame, sources: Sequence[tuple[DataFrame, str]], key: str) -> DataFrame:
+    """The folder of each id: that of the last of the sources (ids, folder) that holds it; status ``pass``, or
+    ``fail_mapping`` for ids of no source."""
+    held = [df.select(key, F.struct(F.lit(k).alias("place"), F.lit(folder).alias("folder")).alias("f")) for k, (df, folder) in enumerate(sources)]
+    best = functools.reduce(DataFrame.unionByName, held).groupBy(key).agg(F.max("f").alias("f"))
+    return ids.join(best, key, "left").select(key, F.col("f.folder").alias("folder"), F.when(F.col("f").isNotNull(), "pass").otherwise("fail_mapping").alias("status"))
+
+
+def upsert_counts(target: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """target (key, count_char, count_word) with the counts of docs' texts written over."""
+    counts = docs.select(key, F.length(text).cast("long").alias("count_char"), word_count(F.col(text)).cast("long").alias("count_word"))
+    return upsert_replace(target, counts, key, ["count_char", "count_word"])
+
+
+def project(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The configured columns under their new names; a table's alias before a column's name is dropped."""
+    return df.select(*(F.col(column.rsplit(".", 1)[-1]).alias(name) for column, name in names.items()))
+
+
+def one_by_key(df: DataFrame, key: str, *order) -> DataFrame:
+    """One row for each key, the first in the order."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")

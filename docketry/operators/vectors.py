@@ -37,3 +37,8 @@ def knn(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -
     scored = functools.reduce(DataFrame.unionByName, met)
     order = Window.partitionBy("query").orderBy(F.col("cosine").desc(), key)
     return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+
+
+def vector_docs(df: DataFrame, doc_id: Column, doc_type: Column, vector: Column) -> DataFrame:
+    """Rows of a vector index."""
+    return df.select(doc_id.cast("string").alias("doc_id"), doc_type.alias("doc_type"), vector.alias("vector"))

@@ -4,8 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CODE = "CASE o_orderkey % 7 WHEN 0 THEN 'HCA' WHEN 1 THEN 'NSWSC' WHEN 2 THEN 'NSWCA' WHEN 3 THEN 'FCAFC' WHEN 4 THEN 'VSC' WHEN 5 THEN 'NZHC' ELSE 'QCATA' END"
-_MEMBER = "CASE o_orderkey % 5 WHEN 0 THEN 'Justice Brown J' WHEN 1 THEN 'Ms Ann Grey, Senior Member' WHEN 2 THEN 'Deputy President Lee DP' WHEN 3 THEN 'Dr Kim Vo' ELSE 'Magistrate Hill' END"
+_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+
+
+def _choice(number: str, values: list[str]) -> str:
+    return f"CASE {number} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(values[:-1])) + f" ELSE '{values[-1]}' END"
+
+
+_SPOKEN = ["HCA", "NSWSC", "NSWCA", "FCAFC", "VSC", "NZHC", "QCATA", "FamCAFC", "WASAT", "NSWCATAP", "JULY", "SAERD", "VCAT", "XYZ", "TRA", "QIRCX"]
+_CODE = _choice("o_orderkey % 16", _SPOKEN)
+_MEMBER = _choice("o_orderkey % 8", ["Justice Brown J", "Ms Ann Grey, Senior Member", "Deputy President Lee DP", "Dr Kim Vo", "The Honourable Justice Cronin", "Member J Prentice", "K Dordevic SM", "Vice-President Hill VP"])
+_YEAR = "CAST(year(o_orderdate) AS VARCHAR(4))"
+_KEY = "CAST(o_orderkey AS VARCHAR(20))"
+_DAY = "CAST(day(o_orderdate) AS VARCHAR(2))"
+_LONG = f"{_DAY}, ' ', {_choice('month(o_orderdate) - 1', _MONTHS)}, ' ', {_YEAR}"
+_SLASHED = f"{_DAY}, '/', CAST(month(o_orderdate) AS VARCHAR(2)), '/', {_YEAR}"
+#: (code, type): the codes that the queries know; a stand-in for the code lists of an installation.
+CODES = [(x, "jurisdiction") for x in ("NSW", "VIC", "QLD", "WA", "SA", "TAS", "ACT", "NT", "NZ")]
+CODES += [(x, "tribunal") for x in ("HCA", "FCA", "FCAFC", "FamCA", "FamCAFC", "SC", "CA", "HC", "CAT", "SAT", "WCC", "VSC", "VSCA", "QCA", "QCAT", "TRA")]
+CODES += [(x, "panel_or_division") for x in ("AP", "PD", "FC", "A")]
 
 #: name: (table, columns, condition)
 VIEWS: dict[str, tuple[str, list[str], str | None]] = {
@@ -30,8 +47,10 @@ VIEWS: dict[str, tuple[str, list[str], str | None]] = {
         "orders",
         [
             "o_orderkey AS source_id",
-            f"CASE WHEN o_orderkey % 23 = 0 THEN 'null' WHEN o_orderkey % 19 = 0 THEN 'no citation here' WHEN o_orderkey % 11 = 0 THEN concat('[[', CAST(year(o_orderdate) AS VARCHAR(4)), ']] ', {_CODE}, ' ', CAST(o_orderkey AS VARCHAR(20)), ' (', CAST(day(o_orderdate) AS VARCHAR(2)), '/', CAST(month(o_orderdate) AS VARCHAR(2)), '/', CAST(year(o_orderdate) AS VARCHAR(4)), ')')"
-            f" ELSE concat('[', CAST(year(o_orderdate) AS VARCHAR(4)), '] ', {_CODE}, ' ', CAST(o_orderkey AS VARCHAR(20)), ' (', CAST(day(o_orderdate) AS VARCHAR(2)), ' ', CASE month(o_orderdate) WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March' WHEN 4 THEN 'April' WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' WHEN 9 THEN 'September' WHEN 10 THEN 'October' WHEN 11 THEN 'November' ELSE 'December' END, ' ', CAST(year(o_orderdate) AS VARCHAR(4)), ') (', {_MEMBER}, ')') END AS citation",
+            f"CASE WHEN o_orderkey % 23 = 0 THEN 'null' WHEN o_orderkey % 29 = 0 THEN concat('[', {_YEAR}, '] null ', {_KEY}, ' (', {_LONG}, ')') WHEN o_orderkey % 19 = 0 THEN 'no citation here'"
+            f" WHEN o_orderkey % 11 = 0 THEN concat('[[', {_YEAR}, ']] ', {_CODE}, ' ', {_KEY}, ' (', {_SLASHED}, ')') WHEN o_orderkey % 17 = 0 THEN concat('[', {_YEAR}, '] NSW WCC PD ', {_KEY}, ' (', {_LONG}, ') (', {_MEMBER}, ')')"
+            f" WHEN o_orderkey % 13 = 0 THEN concat('[', {_YEAR}, '] ', {_KEY}, ' ', {_CODE}, ' (', {_LONG}, ')') WHEN o_orderkey % 31 = 0 THEN concat('[', {_YEAR}, '] ', {_CODE}, ' unreported (', {_LONG}, ') (', {_MEMBER}, ')')"
+            f" ELSE concat('[', {_YEAR}, '] ', {_CODE}, ' ', {_KEY}, ' (', {_LONG}, ') (', {_MEMBER}, ')') END AS citation",
         ],
         None,
     ),
@@ -40,12 +59,12 @@ VIEWS: dict[str, tuple[str, list[str], str | None]] = {
         "orders",
         [
             "o_orderkey AS id",
-            "concat('Version 00', CAST(o_orderkey % 10 AS VARCHAR(2)), ' - ', CASE o_orderkey % 5 WHEN 0 THEN 'Start date' WHEN 1 THEN 'Effective' WHEN 2 THEN 'Effective date' WHEN 3 THEN 'Commenced' ELSE 'In force' END, ': ', CAST(day(o_orderdate) AS VARCHAR(2)), '/', CAST(month(o_orderdate) AS VARCHAR(2)), '/', CAST(year(o_orderdate) AS VARCHAR(4))) AS context",
+            f"concat({_choice('o_orderkey % 4', ['Version 00', 'VERSION  1', 'version', 'Edition '])}, CAST(o_orderkey % 10 AS VARCHAR(2)), ' - ', {_choice('o_orderkey % 7', ['Start date', 'Currency date', 'Date published', 'Date of assent', 'Date made', 'START DATE', 'Effective'])}, ': ', CASE WHEN o_orderkey % 3 = 0 THEN concat({_LONG}) ELSE concat({_SLASHED}) END) AS context",
         ],
         None,
     ),
     "inventory_v": (
-        "(SELECT page_id, html, 'excerpt.html' AS name FROM pages UNION ALL SELECT page_id, html, 'miniviewer.html' AS name FROM pages UNION ALL SELECT page_id, html, 'summary.html' AS name FROM pages UNION ALL SELECT page_id, html, 'juriscontent.html' AS name FROM pages WHERE page_id % 3 = 0)",
+        "(SELECT page_id, html, 'excerpt.html' AS name FROM pages UNION ALL SELECT page_id, html, 'reading.html' AS name FROM pages UNION ALL SELECT page_id, html, 'summary.html' AS name FROM pages UNION ALL SELECT page_id, html, 'structured.html' AS name FROM pages WHERE page_id % 3 = 0)",
         ["page_id AS source_id", "name", "CASE WHEN page_id % 7 = 0 AND name = 'summary.html' THEN 0 ELSE length(html) END AS size", "html AS body"],
         "NOT (page_id % 13 = 0 AND name = 'excerpt.html')",
     ),
@@ -61,8 +80,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table, columns, where = VIEWS[name]
     if table.startswith("("):
         pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-        names = ["excerpt.html", "miniviewer.html", "summary.html"]
-        parts = [pages.selectExpr("page_id", "html", f"'{n}' AS name") for n in names] + [pages.where("page_id % 3 = 0").selectExpr("page_id", "html", "'juriscontent.html' AS name")]
+        names = ["excerpt.html", "reading.html", "summary.html"]
+        parts = [pages.selectExpr("page_id", "html", f"'{n}' AS name") for n in names] + [pages.where("page_id % 3 = 0").selectExpr("page_id", "html", "'structured.html' AS name")]
         df = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     else:
         df = spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import citations as cite
+from docketry.functions import headings as head
 from docketry.functions import html as page
 from docketry.functions import text as txt
 from docketry.operators import search as index
@@ -16,7 +17,7 @@ from docketry.operators import similarity as sim
 from docketry.operators import tables as tab
 from docketry.operators import vectors as vec
 from docketry.operators import windows as win
-from docketry.plans.fixtures import view, with_views
+from docketry.plans.fixtures import CODES, view, with_views
 from docketry.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,14 +66,14 @@ def _(read):
 
 @query("a5_list_sections", "SELECT source_id, array_to_string(list(section_id ORDER BY section_id), ',') AS ids FROM (SELECT DISTINCT source_id, section_id FROM sections_v WHERE role <> 'system') GROUP BY source_id")
 def _(read):
-    names = read("sections_v").select("source_id", F.concat(F.when(c("role") == "system", "other_").otherwise("miniviewer_"), c("section_id"), F.lit(".txt")).alias("name"))
-    ids = names.select("source_id", F.regexp_extract("name", r"^miniviewer_(\d+)\.txt$", 1).alias("id")).where("id <> ''")
+    names = read("sections_v").select("source_id", F.concat(F.when(c("role") == "system", "other_").otherwise("section_"), c("section_id"), F.lit(".txt")).alias("name"))
+    ids = names.select("source_id", F.regexp_extract("name", r"^section_(\d+)\.txt$", 1).alias("id")).where("id <> ''")
     return ids.groupBy("source_id").agg(F.array_join(F.array_sort(F.collect_set(c("id").cast("int"))), ",").alias("ids"))
 
 
-@query("a6_content_complete", "SELECT source_id, CASE WHEN count(*) FILTER (WHERE name IN ('excerpt.html', 'miniviewer.html', 'summary.html') AND size > 0) = 3 THEN 'pass' ELSE 'failed' END AS status_content FROM inventory_v GROUP BY source_id")
+@query("a6_content_complete", "SELECT source_id, CASE WHEN count(*) FILTER (WHERE name IN ('excerpt.html', 'reading.html', 'summary.html') AND size > 0) = 3 THEN 'pass' ELSE 'failed' END AS status_content FROM inventory_v GROUP BY source_id")
 def _(read):
-    return files.content_complete(read("inventory_v"), ["excerpt.html", "miniviewer.html", "summary.html"])
+    return files.content_complete(read("inventory_v"), ["excerpt.html", "reading.html", "summary.html"])
 
 
 @query("a10_record_json", """SELECT o_orderkey, concat('{"id":', o_orderkey, CASE WHEN o_orderstatus = 'O' THEN '' ELSE concat(',"status":"', o_orderstatus, '"') END, ',"date":"', strftime(o_orderdate, '%Y-%m-%d'), '","kind":"order"}') AS record FROM orders""")
@@ -91,9 +92,9 @@ def _(read):
     return read("embeddings").groupBy("label").agg(F.count("*").alias("vectors"), F.sum(F.size("embedding").cast("long")).alias("numbers"))
 
 
-@query("a16_resolve_artifact", "SELECT source_id, CASE WHEN bool_or(name = 'juriscontent.html') THEN 'juriscontent.html' ELSE 'miniviewer.html' END AS name FROM inventory_v WHERE name IN ('juriscontent.html', 'miniviewer.html') GROUP BY source_id")
+@query("a16_resolve_artifact", "SELECT source_id, CASE WHEN bool_or(name = 'structured.html') THEN 'structured.html' ELSE 'reading.html' END AS name FROM inventory_v WHERE name IN ('structured.html', 'reading.html') GROUP BY source_id")
 def _(read):
-    return files.resolve_artifact(read("inventory_v"), ["juriscontent.html", "miniviewer.html"])
+    return files.resolve_artifact(read("inventory_v"), ["structured.html", "reading.html"])
 
 
 @query("a17_site_rows", r"SELECT url AS base_url, 'pending' AS crawl_status, concat(replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '^www\.', ''), '.', '_'), '.txt') AS robots_file_name, concat(replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '^www\.', ''), '.', '_'), '.xml') AS sitemap_file_name FROM pages")
@@ -466,23 +467,31 @@ def _(read):
 
 # ---- citations
 
-_STD = r"^\[{1,2}(\d{4})\]{1,2}\s+([A-Za-z][A-Za-z0-9_]*)\s+(\d+)(?:\s*\(([^)]*)\))?(?:\s*\(([^)]*)\))?"
-_PART = lambda g: f"nullif(regexp_extract(citation, '{_STD}', {g}), '')"
+_FORM = "CASE WHEN contains(lower(citation), ' null ') THEN NULL " + " ".join(f"WHEN regexp_matches(citation, '{f}') THEN {k}" for k, f in enumerate(cite.FORMS)) + " END"
+_PARTS = ", ".join(
+    "CASE form " + " ".join(f"WHEN {k} THEN nullif(trim(regexp_extract(citation, '{f}', {parts[x]})), '')" for k, (f, parts) in enumerate(zip(cite.FORMS, cite.PARTS, strict=True)) if x in parts) + f" END AS {x}"
+    for x in cite.CITATION
+)
+_PARSED = f"(SELECT source_id, citation, {_PARTS} FROM (SELECT source_id, citation, {_FORM} AS form FROM citations_v))"
 
 
-@query("h1_parse_citation", f"SELECT source_id, {_PART(1)} AS year, {_PART(2)} AS code, {_PART(3)} AS number, {_PART(4)} AS date_text, {_PART(5)} AS members FROM citations_v")
+def _parsed(read) -> DataFrame:
+    parsed = read("citations_v").select("source_id", "citation", cite.parse_citation(c("citation")).alias("p"))
+    return parsed.select("source_id", "citation", *(c("p")[x].alias(x) for x in cite.CITATION))
+
+
+@query("h1_parse_citation", f"SELECT source_id, {', '.join(cite.CITATION)} FROM {_PARSED}")
 def _(read):
-    part = lambda g: cite.citation_part(c("citation"), g)
-    return read("citations_v").select("source_id", part(1).alias("year"), part(2).alias("code"), part(3).alias("number"), part(4).alias("date_text"), part(5).alias("members"))
+    return _parsed(read).drop("citation")
 
 
-_DATE = f"coalesce(try_strptime({_PART(4)}, '%-d %B %Y'), try_strptime({_PART(4)}, '%-d/%-m/%Y'))"
+_DATE = "coalesce(" + ", ".join(f"try_strptime(date_text, '{x}')" for x in ("%-d %B %Y", "%-d %b %Y", "%-d/%-m/%Y", "%Y-%m-%d")) + ")"
 
 
-@query("h2_citation_date", f"SELECT source_id, strftime({_DATE}, '%Y-%m-%d') AS decided, strftime({_DATE}, '%Y') AS decided_year FROM citations_v")
+@query("h2_citation_date", f"SELECT source_id, strftime({_DATE}, '%Y-%m-%d') AS decided, strftime({_DATE}, '%Y') AS decided_year FROM {_PARSED}")
 def _(read):
-    day = cite.to_date(cite.citation_part(c("citation"), 4))
-    return read("citations_v").select("source_id", F.date_format(day, "yyyy-MM-dd").alias("decided"), F.year(day).cast("string").alias("decided_year"))
+    day = cite.to_date(c("date_text"))
+    return _parsed(read).select("source_id", F.date_format(day, "yyyy-MM-dd").alias("decided"), F.year(day).cast("string").alias("decided_year"))
 
 
 @query("h3_parties", "SELECT s_suppkey, s_name AS second, c_name AS first FROM supplier JOIN customer ON c_custkey = s_suppkey")
@@ -492,44 +501,104 @@ def _(read):
     return titled.select("s_suppkey", first.alias("first"), second.alias("second"))
 
 
-_MEMBER = _PART(5)
+def _quoted(values) -> str:
+    return ", ".join(f"'{x}'" for x in values)
+
+
+_TITLE = "CASE " + " ".join(f"WHEN contains(b, '{t}') THEN '{t}'" for t in cite.TITLES) + " END"
+
 
+@query("h4_parse_member", f"""SELECT source_id, CASE WHEN contains(m, '{cite.HONORIFIC}') THEN '{cite.HONORIFIC}' END AS honorific, title, nullif(trim(CASE WHEN role IS NULL THEN e ELSE replace(e, role, '') END), '') AS name, post_nominal, role FROM (
+SELECT *, nullif(regexp_extract(e, '(?i)({cite.ROLES})', 1), '') AS role FROM (
+SELECT *, nullif(regexp_extract(d, '\\s+([A-Z]{{1,3}})$', 1), '') AS post_nominal, trim(regexp_replace(d, '\\s+[A-Z]{{1,3}}$', '')) AS e FROM (
+SELECT *, CASE WHEN title IS NULL THEN b ELSE trim(replace(b, title, '')) END AS d FROM (
+SELECT *, {_TITLE} AS title FROM (SELECT source_id, members AS m, trim(replace(members, '{cite.HONORIFIC}', '')) AS b FROM {_PARSED})))))""")
+def _(read):
+    return _parsed(read).select("source_id", cite.parse_member(c("members")).alias("m")).select("source_id", *(c("m")[x].alias(x) for x in ("honorific", "title", "name", "post_nominal", "role")))
+
+
+_VALID = lambda x: f"coalesce(regexp_matches({x}, '^[A-Za-z][A-Za-z0-9_]*$') AND (length({x}) > 1 OR {x} = 'O') AND upper({x}) NOT IN ({_quoted(cite.NOT_CODES)}), false)"
 
-@query("h4_parse_member", f"SELECT source_id, nullif(regexp_extract(m, '^(Mr|Mrs|Ms|Dr|Prof)\\.?\\s', 1), '') AS honorific, CASE WHEN contains(m, 'Justice') THEN 'Justice' WHEN contains(m, 'Member') THEN 'Member' WHEN contains(m, 'President') THEN 'President' WHEN contains(m, 'Magistrate') THEN 'Magistrate' END AS title, nullif(regexp_extract(m, '\\s([A-Z]{{1,3}})$', 1), '') AS post_nominal FROM (SELECT source_id, {_MEMBER} AS m FROM citations_v)")
+
+@query("h5_valid_code", f"SELECT source_id, {_VALID('code')} AS valid FROM {_PARSED}")
 def _(read):
-    m = cite.citation_part(c("citation"), 5)
-    return read("citations_v").select("source_id", cite.honorific(m).alias("honorific"), cite.title(m).alias("title"), cite.post_nominal(m).alias("post_nominal"))
+    return _parsed(read).select("source_id", cite.valid_code(c("code")).alias("valid"))
+
 
+_INFER = lambda x, hint: f"CASE WHEN {x} IN ({_quoted(cite.FEDERAL)}) THEN 'FED' " + " ".join(f"WHEN starts_with({x}, '{n}') OR {x} IN ({_quoted(courts)}) THEN '{n}'" for n, courts in cite.COURTS) + f" ELSE {hint} END"
 
-@query("h5_valid_code", f"SELECT source_id, coalesce(regexp_matches({_PART(2)}, '^[A-Za-z][A-Za-z0-9_]*$') AND (length({_PART(2)}) > 1 OR {_PART(2)} = 'O'), false) AS valid FROM citations_v")
+
+@query("h7_infer_jurisdiction", f"SELECT source_id, {_INFER('code', chr(39) + 'NSW' + chr(39))} AS jurisdiction FROM {_PARSED}")
 def _(read):
-    return read("citations_v").select("source_id", cite.valid_code(cite.citation_part(c("citation"), 2)).alias("valid"))
+    return _parsed(read).select("source_id", cite.infer_jurisdiction(c("code"), F.lit("NSW")).alias("jurisdiction"))
+
+
+_LETTER = "CASE code[1] " + " ".join(f"WHEN '{x}' THEN '{name}'" for x, name in cite.LETTERS.items()) + " END"
+_KNOWN = f"(SELECT code, type FROM (VALUES {', '.join(f'({_quoted(x)})' for x in CODES)}) v(code, type))"
+_CUT = f"""(WITH k AS {_KNOWN}, codes AS (SELECT DISTINCT code FROM {_PARSED} WHERE code <> ''),
+t AS (SELECT o.code, k.code AS tribunal, '' AS jurisdiction FROM codes o JOIN k ON k.type = 'tribunal' AND starts_with(o.code, k.code)
+  UNION ALL SELECT o.code, k.code, j.code FROM codes o JOIN k j ON j.type = 'jurisdiction' AND starts_with(o.code, j.code) JOIN k ON k.type = 'tribunal' AND starts_with(o.code[length(j.code) + 1:], k.code)),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY jurisdiction = '' DESC, length(jurisdiction) DESC, length(tribunal) DESC) AS n FROM t) WHERE n = 1),
+f AS (SELECT o.code, CASE WHEN jurisdiction = '' THEN {{'j': {_INFER('tribunal', 'NULL')}, 't': tribunal, 'r': o.code[length(tribunal) + 1:]}}
+  WHEN tribunal IS NOT NULL THEN {{'j': jurisdiction, 't': tribunal, 'r': o.code[length(jurisdiction) + length(tribunal) + 1:]}}
+  {" ".join(f"WHEN starts_with(o.code, '{n + x}') THEN {{'j': '{n}', 't': '{x}', 'r': o.code[{len(n + x) + 1}:]}}" for n, courts in cite.AFTER_CODE for x in courts)}
+  WHEN {_LETTER.replace('code[1]', 'o.code[1]')} IS NOT NULL AND o.code[2:] IN (SELECT code FROM k WHERE type = 'tribunal') THEN {{'j': {_LETTER.replace('code[1]', 'o.code[1]')}, 't': o.code[2:], 'r': ''}}
+  {" ".join(f"WHEN {_LETTER.replace('code[1]', 'o.code[1]')} IS NOT NULL AND starts_with(o.code[2:], '{x}') THEN {{'j': {_LETTER.replace('code[1]', 'o.code[1]')}, 't': '{x}', 'r': o.code[{len(x) + 2}:]}}" for x in cite.AFTER_LETTER)}
+  ELSE {{'j': NULL, 't': o.code, 'r': ''}} END AS f FROM codes o LEFT JOIN b ON b.code = o.code)
+SELECT code, f.j AS jurisdiction_code, f.t AS tribunal_code, CASE WHEN f.r IN (SELECT code FROM k WHERE type = 'panel_or_division') THEN f.r END AS panel_or_division FROM f)"""
 
 
-_JUR = f"(SELECT source_id, {_PART(2)} AS code FROM citations_v)"
-_CHAIN = "CASE WHEN code IN ('HCA', 'FCA', 'FCAFC', 'FCCA', 'FamCA') THEN 'CTH' WHEN starts_with(code, 'NZ') THEN 'NZ' WHEN starts_with(code, 'NSW') THEN 'NSW' WHEN starts_with(code, 'V') THEN 'VIC' WHEN starts_with(code, 'Q') THEN 'QLD' WHEN starts_with(code, 'WA') THEN 'WA' WHEN starts_with(code, 'SA') THEN 'SA' WHEN starts_with(code, 'T') THEN 'TAS' WHEN starts_with(code, 'ACT') THEN 'ACT' WHEN starts_with(code, 'NT') THEN 'NT' ELSE 'NSW' END"
+def _known_codes(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame(CODES, "code string, type string")
 
 
-@query("h7_infer_jurisdiction", f"SELECT source_id, {_CHAIN} AS jurisdiction FROM {_JUR}")
+@query("h6_deconstruct", f"SELECT source_id, code, jurisdiction_code, tribunal_code, panel_or_division FROM {_PARSED} LEFT JOIN {_CUT} USING (code)")
 def _(read):
-    return read("citations_v").select("source_id", cite.infer_jurisdiction(cite.citation_part(c("citation"), 2), F.lit("NSW")).alias("jurisdiction"))
+    parsed = _parsed(read).select("source_id", "code")
+    return parsed.join(cite.deconstruct(parsed, _known_codes(parsed)), "code", "left").select("source_id", "code", "jurisdiction_code", "tribunal_code", "panel_or_division")
 
 
-@query("registration", f"WITH p AS (SELECT source_id, citation, {_PART(1)} AS y, {_PART(2)} AS code, {_DATE} AS d FROM citations_v), j AS (SELECT *, {_CHAIN} AS jurisdiction, CASE WHEN contains(lower(citation), 'null') THEN 'bad source' ELSE concat_ws(', ', CASE WHEN y IS NULL THEN 'year' END, CASE WHEN code IS NULL THEN 'code' END, CASE WHEN d IS NULL THEN 'decided' END) END AS reason FROM p) SELECT jurisdiction, code, y AS year, reason, count(*) AS documents FROM j GROUP BY ALL")
+@query("registration", f"""SELECT court_jurisdiction AS jurisdiction, court, panel, year, reason, count(*) AS documents FROM (
+SELECT *, CASE WHEN contains(lower(citation), 'null') THEN 'bad source' ELSE concat_ws(', ', CASE WHEN year IS NULL THEN 'year' END, CASE WHEN court IS NULL THEN 'court' END, CASE WHEN {_DATE} IS NULL THEN 'decided' END) END AS reason FROM (
+SELECT citation, year, date_text, coalesce(p.jurisdiction, x.jurisdiction_code) AS court_jurisdiction, coalesce(p.panel, x.panel_or_division) AS panel,
+  CASE WHEN p.jurisdiction IS NOT NULL AND {_VALID('p.code')} THEN p.code WHEN p.jurisdiction IS NULL AND {_VALID('x.tribunal_code')} THEN x.tribunal_code END AS court
+FROM {_PARSED} p LEFT JOIN {_CUT} x ON x.code = p.code)) GROUP BY ALL""")
 def _(read):
-    """Citations to court, year and date; what fails keeps its reason."""
-    part = lambda g: cite.citation_part(c("citation"), g)
-    parsed = read("citations_v").select("source_id", "citation", part(1).alias("year"), part(2).alias("code"), cite.to_date(part(4)).alias("decided"))
-    reason = F.when(sel.bad_source(c("citation")), "bad source").otherwise(sel.missing_fields(["year", "code", "decided"]))
-    court = cite.infer_jurisdiction(c("code"), F.lit("NSW"))
-    return parsed.select(court.alias("jurisdiction"), "code", "year", reason.alias("reason")).groupBy("jurisdiction", "code", "year", "reason").agg(F.count("*").alias("documents"))
+    """Citations to court, year and date; what fails keeps its reason. A form with three words tells the
+    jurisdiction and the panel itself."""
+    parsed = _parsed(read)
+    cut = cite.deconstruct(parsed, _known_codes(parsed))
+    court = F.when(c("jurisdiction").isNotNull(), c("code")).otherwise(c("tribunal_code"))
+    courts = parsed.join(cut, "code", "left").select(
+        "citation", "year", cite.to_date(c("date_text")).alias("decided"), F.coalesce("jurisdiction", "jurisdiction_code").alias("jurisdiction"), F.coalesce("panel", "panel_or_division").alias("panel"),
+        F.when(cite.valid_code(court), court).alias("court"),
+    )
+    reason = F.when(sel.bad_source(c("citation")), "bad source").otherwise(sel.missing_fields(["year", "court", "decided"]))
+    return courts.groupBy("jurisdiction", "court", "panel", "year", reason.alias("reason")).agg(F.count("*").alias("documents"))
+
 
+_CONTEXT_DATE = rf"regexp_extract(context, '(?i)(?:{cite.DATE_LABELS}):\s*(\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}}\s+\w+\s+\d{{4}})', 1)"
 
-@query("h8_parse_context", "SELECT id, regexp_extract(context, 'Version (\\d+)', 1) AS version, strftime(strptime(regexp_extract(context, ': (.*)$', 1), '%-d/%-m/%Y'), '%Y-%m-%d') AS start_date FROM contexts_v")
+
+@query("h8_parse_context", rf"SELECT id, nullif(regexp_extract(context, '(?i)Version\s*(\d+)', 1), '') AS version, strftime(coalesce(try_strptime({_CONTEXT_DATE}, '%-d/%-m/%Y'), try_strptime({_CONTEXT_DATE}, '%-d %B %Y')), '%Y-%m-%d') AS start_date FROM contexts_v")
 def _(read):
     return read("contexts_v").select("id", cite.context_version(c("context")).alias("version"), F.date_format(cite.context_date(c("context")), "yyyy-MM-dd").alias("start_date"))
 
 
+_DATED = """(SELECT o_orderkey, CASE o_orderkey % 12 WHEN 0 THEN strftime(o_orderdate, '%-d %B %Y') WHEN 1 THEN strftime(o_orderdate, '%d %b %Y') WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 3 THEN strftime(o_orderdate, '%b %d, %Y')
+WHEN 4 THEN strftime(o_orderdate, '%-d/%-m/%Y') WHEN 5 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 6 THEN strftime(o_orderdate, '%d-%m-%Y') WHEN 7 THEN strftime(o_orderdate, '%-d-%b-%Y') WHEN 8 THEN strftime(o_orderdate, '%-d %B %Y 14:30:00')
+WHEN 9 THEN strftime(o_orderdate, '%Y-%m-%dT08:05:09Z') WHEN 10 THEN concat('Unknown ', strftime(o_orderdate, '%Y-%m-%d')) ELSE concat('circa ', strftime(o_orderdate, '%Y')) END AS written, o_orderdate FROM orders)"""
+
+
+@query("h9_iso_date", f"SELECT o_orderkey, CASE WHEN o_orderkey % 12 < 10 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM {_DATED}")
+def _(read):
+    forms = ["d MMMM yyyy", "dd MMM yyyy", "MMMM d, yyyy", "MMM dd, yyyy", "d/M/yyyy", "yyyy/MM/dd", "dd-MM-yyyy", "d-MMM-yyyy", "d MMMM yyyy '14:30:00'", "yyyy-MM-dd'T08:05:09Z'", "'Unknown' yyyy-MM-dd", "'circa' yyyy"]
+    kind, written = c("o_orderkey") % len(forms), F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        written = F.when(kind == k, F.date_format("o_orderdate", form)).otherwise(written)
+    return read("orders").select("o_orderkey", cite.to_iso_date(written).alias("day"))
+
+
 @query("h11_link_ids", f"SELECT page_id, href, nullif(regexp_extract(href, '/([a-z]+)(/([0-9]+))?', 1), '') AS part, nullif(regexp_extract(href, '/([a-z]+)(/([0-9]+))?', 3), '') AS number FROM ({_HREFS})")
 def _(read):
     links = read("pages").select("page_id", F.explode(page.hrefs(c("html"))).alias("href"))
@@ -537,6 +606,12 @@ def _(read):
     return links.select("page_id", "href", part(1).alias("part"), part(3).alias("number"))
 
 
+@query("h11_article_ids", "SELECT page_id, CAST(page_id AS VARCHAR) AS article, CASE WHEN page_id % 2 = 0 THEN CAST(length(html) AS VARCHAR) END AS section FROM pages WHERE page_id % 3 <> 0")
+def _(read):
+    href = F.concat("url", F.when(c("page_id") % 3 == 0, "/about/").otherwise("/article/"), c("page_id"), F.when(c("page_id") % 2 == 0, F.concat(F.lit("/section/"), F.length("html"))).otherwise("/text"))
+    return read("pages").select("page_id", page.link_ids(href).alias("ids")).where("ids.article IS NOT NULL").select("page_id", "ids.article", "ids.section")
+
+
 @query("h55_cast_scraped", "SELECT o_orderkey, coalesce(try_cast(CASE WHEN o_orderkey % 3 = 0 THEN 'n.d.' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS INT), 0) AS year, CASE WHEN o_orderkey % 2 = 0 THEN o_clerk END AS clerk FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)")
 def _(read):
     scraped = read("orders").select("o_orderkey", F.when(c("o_orderkey") % 3 == 0, "n.d.").otherwise(F.year("o_orderdate").cast("string")).alias("year"), F.when(c("o_orderkey") % 2 == 0, c("o_custkey").cast("string")).otherwise("  ").alias("clerk"))
@@ -602,9 +677,9 @@ def _(read):
     return read("part").select("p_partkey", txt.tag_bucket(c("p_name"), 7).cast("int").alias("bucket"))
 
 
-@query("h31_doc_key", "SELECT source_id, section_id, concat_ws('_', source_id, CASE WHEN is_head = 1 THEN section_id END) AS key, concat('base/', role, '/', source_id, '/miniviewer.txt') AS path FROM sections_v")
+@query("h31_doc_key", "SELECT source_id, section_id, concat_ws('_', source_id, CASE WHEN is_head = 1 THEN section_id END) AS key, concat('base/', role, '/', source_id, '/reading.txt') AS path FROM sections_v")
 def _(read):
-    return read("sections_v").select("source_id", "section_id", txt.doc_key(c("source_id"), F.when(c("is_head") == 1, c("section_id"))).alias("key"), txt.doc_path(F.lit("base"), c("role"), c("source_id"), F.lit("miniviewer.txt")).alias("path"))
+    return read("sections_v").select("source_id", "section_id", txt.doc_key(c("source_id"), F.when(c("is_head") == 1, c("section_id"))).alias("key"), txt.doc_path(F.lit("base"), c("role"), c("source_id"), F.lit("reading.txt")).alias("path"))
 
 
 @query("h33_norm_status", "SELECT source_id, CASE status_step WHEN 'pass' THEN 'pass' WHEN 'failed' THEN 'failed' ELSE 'not started' END AS status FROM status_v")
@@ -948,3 +1023,120 @@ def _matched(text: str) -> str:
 def _(read):
     met = read("documents").join(read("pages"), c("page_id") == c("doc_id"), "left")
     return met.select("doc_id", sim.contains_check(c("text"), c("html")).alias("flag"))
+
+
+# ---- headings, anchors, index documents
+
+
+_LABELLED = "(SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN concat(p_brand, ': ', p_name, ': ', p_type) WHEN 1 THEN p_name ELSE concat(p_name, ': ') END AS title FROM part)"
+
+
+@query("h30_label_split", f"SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN trim(title[:strpos(title, ':') - 1]) END AS tag, CASE WHEN p_partkey % 3 = 0 THEN trim(title[strpos(title, ':') + 1:]) ELSE title END AS shown, CASE WHEN p_partkey % 3 = 0 THEN CAST(list_sum(list_transform(string_split(trim(title[:strpos(title, ':') - 1]), ''), lambda x: ascii(x))) % 7 AS INT) END AS bucket FROM {_LABELLED}")
+def _(read):
+    kind = c("p_partkey") % 3
+    title = F.when(kind == 0, F.concat_ws(": ", "p_brand", "p_name", "p_type")).when(kind == 1, c("p_name")).otherwise(F.concat("p_name", F.lit(": ")))
+    return read("part").select("p_partkey", txt.label_parts(title, 7).alias("l")).select("p_partkey", "l.tag", "l.shown", "l.bucket")
+
+
+_LINES = "(SELECT doc_id, i, trim(l[i], ' ' || chr(9) || chr(13)) AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)))"
+_WORDED = f"(SELECT doc_id, i, concat({'CASE (doc_id + i) % 8 ' + ' '.join(f'WHEN {k} THEN {chr(39)}{w}{chr(39)}' for k, w in enumerate(['PART 2A', 'Division 3 ', 'Definitions', '(a) ', '12 ', '1.1 ', 'Paragraph 4'])) + ' ELSE ' + chr(39) * 2 + ' END'}, CASE WHEN (doc_id + i) % 8 = 2 THEN '' ELSE line END) AS line FROM {_LINES})"
+_LEVEL = f"CASE WHEN length(line) NOT BETWEEN {head.SHORTEST} AND {head.LONGEST} OR regexp_matches(line, '{head.any_of(head.ENUMERATIONS)}') THEN NULL " + " ".join(f"WHEN regexp_matches(line, '{head.any_of(p, cased)}') THEN '{level}'" for level, cased, p in head.RULES) + " END"
+
+
+def _worded(read) -> DataFrame:
+    """Lines of documents, most of them after words that headings begin with."""
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).alias("i"), F.btrim("line", F.lit(" \t\r")).alias("line"))
+    kind, words = (c("doc_id") + c("i")) % 8, F.lit("")
+    for k, word in enumerate(["PART 2A", "Division 3 ", "Definitions", "(a) ", "12 ", "1.1 ", "Paragraph 4"]):
+        words = F.when(kind == k, word).otherwise(words)
+    return lines.select("doc_id", "i", F.concat(words, F.when(kind == 2, "").otherwise(c("line"))).alias("line"))
+
+
+@query("h34_heading_level", f"SELECT doc_id, i, {_LEVEL} AS level FROM {_WORDED}")
+def _(read):
+    return _worded(read).select("doc_id", c("i").cast("long").alias("i"), head.heading_level(c("line")).alias("level"))
+
+
+@query("h37_likely_heading", "SELECT doc_id, i, length(line) BETWEEN 2 AND 250 AND i % 5 <= 2 AND NOT (i % 3 < 2 AND length(text) > 3 * length(line)) AS likely FROM (SELECT l.*, d.text FROM " + _LINES + " l JOIN documents d USING (doc_id))")
+def _(read):
+    lines = read("documents").select("doc_id", F.length("text").alias("whole"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", "whole", (c("at") + 1).alias("i"), F.btrim("line", F.lit(" \t\r")).alias("line"))
+    parent = F.element_at(F.array(F.lit("p"), F.lit("li"), F.lit("div")), (c("i") % 3 + 1).cast("int"))
+    return lines.select("doc_id", c("i").cast("long").alias("i"), head.likely_heading(c("line"), c("i") % 5, parent, F.rpad(F.lit("x"), c("whole"), F.lit("x"))).alias("likely"))
+
+
+@query("h38_structuring_path", "SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'original' WHEN page_id % 4 = 1 AND length(html) // 4 <= 400 THEN 'model' WHEN length(html) < 1500 THEN 'no rules applied' WHEN page_id % 5 <> 0 THEN 'rulebased' ELSE 'no rules applied' END AS path FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN concat('<h2 id=x>', html) ELSE replace(html, 'h1', 'b') END AS html FROM pages)")
+def _(read):
+    html = F.when(c("page_id") % 4 == 0, F.concat(F.lit("<h2 id=x>"), "html")).otherwise(F.replace("html", F.lit("h1"), F.lit("b")))
+    path = head.structuring_path(html, c("page_id") % 4 == 1, F.length(html), F.when(c("page_id") % 5 != 0, 3).otherwise(0), most_tokens=400, least_chars=1500)
+    return read("pages").select("page_id", path.alias("path"))
+
+
+@query("i2_anchors", "SELECT page_id, concat('bnj_a_', page_id, '_sr_', length(html)) AS anchor, concat('Section ', page_id, ' of') AS shown, CAST(page_id AS VARCHAR) AS parent_id, CAST(length(html) AS VARCHAR) AS section_id FROM pages WHERE page_id % 3 <> 0")
+def _(read):
+    anchor = F.concat(F.lit("bnj_a_"), "page_id", F.lit("_sr_"), F.length("html"))
+    html = F.concat(F.lit("<p class='s'>Section "), F.when(c("page_id") % 3 != 0, F.concat(F.lit('<a class="x" id="'), anchor, F.lit('">'))).otherwise("<a>"), "page_id", F.lit("</a> of</p>"), "html")
+    found = read("pages").select("page_id", F.explode(page.section_anchors(html)).alias("a"))
+    return found.select("page_id", "a.anchor", c("a.text").alias("shown"), page.anchor_ids(c("a.anchor")).alias("ids")).select("page_id", "anchor", "shown", "ids.parent_id", "ids.section_id")
+
+
+@query("h28_summary_refs", "SELECT o_orderkey, concat_ws(',', o_orderkey % 5, o_orderkey % 7, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 3 END) AS refs FROM orders")
+def _(read):
+    n = lambda k: (c("o_orderkey") % k).cast("string")
+    text = F.concat(F.lit("as held [see] in ["), n(5), F.lit(",  "), n(7), F.lit("]"), F.when(c("o_orderkey") % 2 == 0, F.concat(F.lit(" and ["), n(3), F.lit("]."))).otherwise(" []"))
+    return read("orders").select("o_orderkey", F.array_join(F.transform(txt.summary_refs(text), lambda x: x.cast("string")), ",").alias("refs"))
+
+
+@query("h32_to_document", """SELECT doc_id, to_json(struct_pack(source_id := CAST(doc_id AS VARCHAR), document_type := 'caselaw', content_length := length(text))) AS required, CASE WHEN lang <> 'en' THEN lang END AS language, CASE WHEN doc_id % 4 <> 0 THEN 'a|b c' END AS areas FROM documents""")
+def _(read):
+    areas = F.when(c("doc_id") % 4 != 0, " a,, b c ,").otherwise("")
+    docs = read("documents").select(c("doc_id").cast("string").alias("source_id"), c("text").alias("content"), F.when(c("lang") != "en", c("lang")).otherwise("").alias("language"), areas.alias("areas"), "doc_id")
+    made = files.to_document(docs, "caselaw", ["source_id"], optional=["language"], lists=["areas"])
+    parsed = made.select("doc_id", F.from_json("document", "source_id string, document_type string, content_length long, language string, areas array<string>").alias("d"))
+    return parsed.select("doc_id", F.to_json(F.struct("d.source_id", "d.document_type", "d.content_length")).alias("required"), "d.language", F.array_join("d.areas", "|").alias("areas"))
+
+
+@query("h56_nav_path", "SELECT n_nationkey, concat_ws('/', r_name, n_name, 'Page', n_nationkey) AS path, concat_ws('/', r_name, 'Page-' || n_nationkey) AS flat FROM nation JOIN region ON r_regionkey = n_regionkey")
+def _(read):
+    met = read("nation").join(read("region"), c("r_regionkey") == c("n_regionkey"))
+    return met.select("n_nationkey", txt.nav_path([c("r_name"), c("n_name")], c("n_nationkey")).alias("path"), txt.nav_path([c("r_name")], c("n_nationkey"), joined="-").alias("flat"))
+
+
+@query("h57_model_input", "SELECT doc_id, md5(concat('Extract the parties.', chr(10), '---', chr(10), text)) AS asked, md5(concat('Who?', chr(10), 'File: ', source, chr(10), text)) AS questioned FROM documents")
+def _(read):
+    return read("documents").select("doc_id", F.md5(txt.model_input("Extract the parties.", c("text"))).alias("asked"), F.md5(txt.question_input("Who?", c("source"), c("text"))).alias("questioned"))
+
+
+@query("c6_map_folders", "SELECT source_id, CASE WHEN source_id % 3 = 0 THEN 'late' WHEN source_id % 2 = 0 THEN 'early' END AS folder, CASE WHEN source_id % 3 = 0 OR source_id % 2 = 0 THEN 'pass' ELSE 'fail_mapping' END AS status FROM registry_v")
+def _(read):
+    ids = read("registry_v").select("source_id")
+    return tab.map_folders(ids, [(ids.where("source_id % 2 = 0"), "early"), (ids.where("source_id % 3 = 0"), "late")], "source_id")
+
+
+@query("g7_upsert_counts", f"SELECT doc_id, length(text) AS count_char, len(regexp_extract_all(text, '{NOT_WHITE}')) AS count_word FROM documents")
+def _(read):
+    docs = read("documents")
+    old = docs.where("doc_id % 3 <> 0").select("doc_id", F.lit(0).cast("long").alias("count_char"), F.lit(None).cast("long").alias("count_word"))
+    return tab.upsert_counts(old, docs.select("doc_id", "text"), "doc_id", "text")
+
+
+@query("k4_vector_rows", "SELECT CAST(vec_id AS VARCHAR) AS doc_id, CASE WHEN label % 2 = 0 THEN 'caselaw' ELSE 'legislation' END AS doc_type, round(embedding[1], 4) AS first_number FROM embeddings")
+def _(read):
+    rows = vec.vector_docs(read("embeddings"), c("vec_id"), F.when(c("label") % 2 == 0, "caselaw").otherwise("legislation"), c("embedding"))
+    return rows.select("doc_id", "doc_type", F.round(F.get("vector", F.lit(0)).cast("double"), 4).alias("first_number"))
+
+
+@query("b18_project", "SELECT o_orderkey AS source_id, o_orderstatus AS status FROM orders")
+def _(read):
+    return tab.project(read("orders"), {"r.o_orderkey": "source_id", "o.o_orderstatus": "status"})
+
+
+@query("f3_one_by_key", "SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey")
+def _(read):
+    return tab.one_by_key(read("orders").select("o_custkey", "o_orderkey"), "o_custkey", c("o_orderkey").desc())
+
+
+@query("j5_heading_overlap", r"""WITH i AS (SELECT item_id, list_distinct(string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ')) AS w FROM benchmark), l AS (SELECT doc_id, i, list_distinct(string_split(trim(regexp_replace(lower(line), '\s+', ' ', 'g')), ' ')) AS w FROM """ + _LINES + r""" WHERE line <> '')
+SELECT item_id, min(doc_id * 1000000 + i) // 1000000 AS doc_id, min(doc_id * 1000000 + i) % 1000000 AS i FROM i JOIN l ON len(list_intersect(i.w, l.w)) >= 0.85 * len(i.w) WHERE len(i.w) > 4 GROUP BY item_id""")
+def _(read):
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), "line")
+    return sim.overlap_match(read("benchmark"), lines, "item_id", "text", "line", ["doc_id", "i"])

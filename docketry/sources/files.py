@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.functions.citations import to_iso_date
+from docketry.functions.text import csv_array, doc_key
+
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -20,12 +23,30 @@ def read_bodies(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-def export_jsonl(df: DataFrame, path: str, most_records: int = 5000) -> None:
-    df.write.option("maxRecordsPerFile", most_records).mode("errorifexists").json(path)
+def export_jsonl(df: DataFrame, path: str, most_records: int = 5000, longest_line: int | None = None) -> None:
+    """A JSON object a line, ``most_records`` a file; lines of more characters than ``longest_line`` are left out."""
+    lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    kept = lines if longest_line is None else lines.where(F.length("value") <= longest_line)
+    kept.write.option("maxRecordsPerFile", most_records).mode("errorifexists").text(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    df.write.option("header", True).option("escape", '"').csv(path)
+
+
+def write_index(df: DataFrame, path: str, source_id: str, section_id: str | None = None, batch: int = 100) -> DataFrame:
+    """Bulk files of a search index, ``batch`` documents a file: an action line with the id, then the document of
+    the column ``document``. Returns what was written: (id, indexed), where documents without JSON aren't."""
+    key = doc_key(F.col(source_id), F.col(section_id) if section_id else F.lit(None))
+    keyed = df.select(key.alias("id"), F.try_parse_json("document").isNotNull().alias("indexed"), "document")
+    action = F.to_json(F.struct(F.struct(F.col("id").alias("_id")).alias("index")))
+    keyed.where("indexed").select(F.concat(action, F.lit("\n"), "document").alias("value")).write.option("maxRecordsPerFile", batch).text(path)
+    return keyed.select("id", "indexed")
+
+
+def write_vectors(df: DataFrame, path: str) -> None:
+    """Rows of ``vector_docs`` as a table; their vectors are arrays of floats."""
+    df.select("doc_id", "doc_type", F.col("vector").cast("array<float>").alias("vector")).write.mode("append").parquet(path)
 
 
 def write_artifact(df: DataFrame, path: str, partition: str) -> None:
@@ -57,3 +78,12 @@ def row_text(columns: list[str], number: Column) -> Column:
     """``Row i: header=value, ...``."""
     parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]
     return F.concat(F.lit("Row "), number.cast("string"), F.lit(": "), F.concat_ws(", ", *parts))
+
+
+def to_document(df: DataFrame, kind: str, required: list[str], optional: list[str] = (), lists: list[str] = (), dates: list[str] = ()) -> DataFrame:
+    """df with a column ``document``, JSON for a search index: the required fields, the kind, the content and its
+    length; optional fields only where they aren't empty, comma lists as arrays, dates as ``yyyy-MM-dd``."""
+    fields = [F.col(x) for x in required] + [F.lit(kind).alias("document_type"), F.col("content"), F.coalesce(F.length("content"), F.lit(0)).alias("content_length")]
+    fields += [F.nullif(F.col(x), F.lit("")).alias(x) for x in optional]
+    fields += [F.when(F.size(csv_array(F.col(x))) > 0, csv_array(F.col(x))).alias(x) for x in lists] + [to_iso_date(F.col(x)).alias(x) for x in dates]
+    return df.withColumn("document", F.to_json(F.struct(*fields)))

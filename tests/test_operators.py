@@ -1,16 +1,20 @@
 import difflib
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.functions import citations as cite
+from docketry.functions import headings as head
 from docketry.functions import html as page
 from docketry.functions import text as txt
 from docketry.operators import selection as sel
 from docketry.operators import similarity as sim
 from docketry.operators import tables as tab
+from docketry.operators import vectors as vec
 from docketry.operators import windows as win
+from docketry.sources import files
 from docketry.streaming.arrivals import stream_documents
 
 
@@ -36,14 +40,145 @@ def test_conditions_reject_unknown_operators(spark):
 @pytest.mark.parametrize(
     ("text", "parts"),
     [
-        ("[2022] NSWSC 12 (1 March 2022) (Brown J)", ("2022", "NSWSC", "12", "1 March 2022", "Brown J")),
-        ("[[2021]] HCA 7", ("2021", "HCA", "7", None, None)),
-        ("nothing", (None,) * 5),
-        ("", (None,) * 5),
+        ("[2022] AATA 2108 (20 April 2022) (Member J Prentice)", ("2022", None, "AATA", None, "2108", "20 April 2022", "Member J Prentice")),
+        ("[[2021]] HCA 7 (1/2/2021)", ("2021", None, "HCA", None, "7", "1/2/2021", None)),
+        ("[2010] NSW WCC PD 12 (1 March 2010) (Roche DP)", ("2010", "NSW", "WCC", "PD", "12", "1 March 2010", "Roche DP")),
+        ("[1999] 14 VSC (2 May 1999)", ("1999", None, "VSC", None, "14", "2 May 1999", None)),
+        ("[2003] FamCA unreported (2 May 2003) (Kay J)", ("2003", None, "FamCA", None, None, "2 May 2003", "Kay J")),
+        ("[2003] null 7 (2 May 2003)", None),
+        ("[2021] HCA 7", None),
+        ("nothing", None),
+        ("", None),
     ],
 )
 def test_citation(spark, text, parts):
-    assert tuple(one(spark, cite.citation_part(F.col("t"), g), t=text) for g in range(1, 6)) == parts
+    found = one(spark, cite.parse_citation(F.col("t")), t=text)
+    assert (tuple(found) if found else None) == parts
+
+
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("Member J Prentice", (None, "Member", "J Prentice", None, None)),
+        ("The Honourable Justice Cronin", ("The Honourable", "Justice", "Cronin", None, None)),
+        ("K Dordevic SM", (None, None, "K Dordevic", "SM", None)),
+        ("Deputy President Lee DP", (None, "Deputy President", "Lee", "DP", None)),
+        ("Senior Member Ann Grey", (None, "Member", "Senior  Ann Grey", None, None)),
+        ("Vice-president Hill VP", (None, None, "Hill", "VP", "Vice-president")),
+        ("  ", None),
+    ],
+)
+def test_member(spark, text, parts):
+    found = one(spark, cite.parse_member(F.col("t")), t=text)
+    assert (tuple(found) if found else None) == parts
+
+
+def test_jurisdictions_and_codes(spark):
+    want = {"FCA": "FED", "FamCa": "FED", "NZHC": "NZ", "TRA": "NZ", "SC": "NZ", "NSWSC": "NSW", "MHRT": "NSW", "VSC": "VIC", "VICX": "VIC", "VX": "hint", "QCAT": "QLD", "QX": "hint", "WASAT": "WA", "SAERD": "SA", "TASSC": "TAS", "TX": "hint", "ACAT": "ACT", "NTSC": "NT"}
+    frame = spark.createDataFrame([(x,) for x in want], "t string")
+    assert {r.t: r.j for r in frame.select("t", cite.infer_jurisdiction(F.col("t"), F.lit("hint")).alias("j")).collect()} == want
+    valid = {"JULY": False, "July": False, "Qd": False, "X": False, "O": True, "HCA": True, "9A": False, "A B": False, "A_B": True, "": False}
+    frame = spark.createDataFrame([(x,) for x in valid], "t string")
+    assert {r.t: r.v for r in frame.select("t", cite.valid_code(F.col("t")).alias("v")).collect()} == valid
+
+
+def test_deconstruct(spark):
+    known = [("NSW", "jurisdiction"), ("WA", "jurisdiction"), ("NSWX", "jurisdiction"), ("CAT", "tribunal"), ("CATA", "tribunal"), ("HCA", "tribunal"), ("SAT", "tribunal"), ("FamCA", "tribunal"), ("AP", "panel_or_division"), ("FC", "panel_or_division")]
+    want = {
+        "HCA": ("FED", "HCA", None), "FamCAFC": ("FED", "FamCA", "FC"), "FamCAX": ("FED", "FamCA", None), "NSWCATAP": ("NSW", "CATA", None), "NSWXCAT": ("NSWX", "CAT", None), "WASAT": ("WA", "SAT", None),
+        "NSWCTTAP": ("NSW", "CTT", "AP"), "VICSCAX": ("VIC", "SCA", None), "QLDQCAT": ("QLD", "QCAT", None), "VCAT": ("VIC", "CAT", None), "VSCAP": ("VIC", "SCA", None), "VDCAP": ("VIC", "DC", "AP"), "QIRC": ("QLD", "IRC", None), "XYZ": (None, "XYZ", None), "V": (None, "V", None),
+    }
+    codes = spark.createDataFrame([(x,) for x in [*want, "HCA", None, ""]], "code string")
+    got = {r.code: tuple(r)[1:] for r in cite.deconstruct(codes, spark.createDataFrame(known, "code string, type string")).collect()}
+    assert got == want
+    assert {r.jurisdiction_code for r in cite.deconstruct(codes, spark.createDataFrame(known, "code string, type string"), "TAS").where("code = 'XYZ'").collect()} == {"TAS"}
+
+
+def test_contexts_and_dates(spark):
+    rows = [
+        ("Start date: 08/08/2025", None, "2025-08-08"), ("Currency date: 01 January 2005", None, "2005-01-01"), ("Version 003 - Start date: 23/11/2019", "003", "2019-11-23"), ("Date of assent: 23/07/2025", None, "2025-07-23"),
+        ("date made: 01/01/2021 version7", "7", "2021-01-01"), ("Effective: 01/01/2021", None, None), ("Start date: 31/02/2021", None, None),
+    ]
+    frame = spark.createDataFrame([(x,) for x, _, _ in rows], "t string")
+    got = {r.t: (r.v, r.d and str(r.d)) for r in frame.select("t", cite.context_version(F.col("t")).alias("v"), cite.context_date(F.col("t")).alias("d")).collect()}
+    assert got == {t: (v, d) for t, v, d in rows}
+    days = {
+        "21 December 2018": "2018-12-21", "21 Dec 2018": "2018-12-21", "December 21, 2018": "2018-12-21", "Dec 21, 2018": "2018-12-21", "21/12/2018": "2018-12-21", "12/21/2018": "2018-12-21", "03/04/2018": "2018-04-03", "2018-12-21": "2018-12-21",
+        "2018/12/21": "2018-12-21", "21-12-2018": "2018-12-21", "21-Dec-2018": "2018-12-21", "21 December 2018 14:30:00": "2018-12-21", "2018-12-21T14:30:00Z": "2018-12-21", " 2018-12-21 14:30:00 ": "2018-12-21", "TBA": None, "Not Provided": None, "": None, "soon": None,
+    }
+    frame = spark.createDataFrame([(x,) for x in days], "t string")
+    assert {r.t: r.d for r in frame.select("t", cite.to_iso_date(F.col("t")).alias("d")).collect()} == days
+
+
+def test_heading_levels(spark):
+    want = {
+        "Chapter 1": "h1", "PART 5": "h1", "Part 2A Introduction": "h1", "Schedule 2A": "h1", "Appendix B": "h1", "Division 2A": "h2", "SUBDIVISION B": "h2", "Rule 10A": "h2", "Objects of this Act": "h2", "Definitions": "h2", "Name of this Policy": "h2",
+        "Aims, objectives etc.": "h2", "Table of Contents": "h2", "Subsection 2A": "h3", "ITEM 100": "h3", "1 Name of Act": "h3", "2A Proceedings": "h3", "1. This Act": "h3", "Subparagraph 2A": "h4", "(a) x": None, "1.1 x": None, "a.": None, "x": None, "Chapter 1 " + "x" * 250: None,
+        "Some prose": None,
+    }
+    frame = spark.createDataFrame([(x,) for x in want], "t string")
+    assert {r.t: r.h for r in frame.select("t", head.heading_level(F.col("t")).alias("h")).collect()} == want
+
+
+def test_labels_and_references(spark):
+    assert tuple(one(spark, txt.label_parts(F.col("t"), 5), t="Tag : title: x")) == ("Tag", "title: x", sum(map(ord, "Tag")) % 5)
+    assert tuple(one(spark, txt.label_parts(F.col("t"), 5), t="no tag:")) == (None, "no tag:", None)
+    assert one(spark, txt.summary_refs(F.col("t")), t="a [1, 2] b [x] [3] []") == [1, 2, 3]
+    assert tuple(one(spark, page.anchor_ids(F.col("t")), t="bnj_a_403369_sr_2168")) == ("403369", "2168")
+    assert tuple(one(spark, page.link_ids(F.col("t")), t="/article/5/section/9")) == ("5", "9") and tuple(one(spark, page.link_ids(F.col("t")), t="/x/5")) == (None, None)
+
+
+def test_overlap_match_against_all_pairs(spark):
+    words = ["one", "two", "three", "four", "five", "six", "seven", "eight"]
+    heads = [(1, "One two three four five six seven"), (2, "one two three four"), (3, "eight seven six five four"), (4, "nine ten eleven twelve thirteen")]
+    lines = [(d, i, " ".join(w for k, w in enumerate(words) if (d * 7 + i * 3 + k * k) % 5)) for d in range(6) for i in range(8)] + [(9, 1, "one two three four five six"), (8, 1, "EIGHT seven six five four")]
+    want = {}
+    for key, text in heads:
+        w = set(text.lower().split())
+        fit = [(d, i) for d, i, t in lines if len(w) > 4 and len(w & set(t.lower().split())) / len(w) >= 0.85]
+        if fit:
+            want[key] = min(fit)
+    got = sim.overlap_match(spark.createDataFrame(heads, "id int, h string"), spark.createDataFrame(lines, "d int, i int, t string"), "id", "h", "t", ["d", "i"])
+    assert {r.id: (r.d, r.i) for r in got.collect()} == want and want
+
+
+def test_folders_and_counts(spark):
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    got = tab.map_folders(ids, [(ids.where("id < 3"), "a"), (ids.where("id = 2"), "b")], "id").collect()
+    assert {r.id: (r.folder, r.status) for r in got} == {1: ("a", "pass"), 2: ("b", "pass"), 3: (None, "fail_mapping")}
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\nb", 2.5), (2, "c, \"d\"", None)], "id int, text string, x double")
+    files.export_jsonl(rows, str(tmp_path / "j"))
+    assert sorted(map(tuple, spark.read.schema(rows.schema).json(str(tmp_path / "j")).collect())) == sorted(map(tuple, rows.collect()))
+    files.export_jsonl(rows, str(tmp_path / "short"), longest_line=29)
+    assert [r.id for r in spark.read.json(str(tmp_path / "short")).collect()] == [2]
+    files.export_csv(rows, str(tmp_path / "c"))
+    assert sorted(map(tuple, spark.read.schema(rows.schema).csv(str(tmp_path / "c"), header=True, multiLine=True, escape='"').collect())) == sorted(map(tuple, rows.collect()))
+    files.append(rows, str(tmp_path / "a"))
+    files.append(rows, str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 4
+    files.write_artifact(rows, str(tmp_path / "p"), "id")
+    assert spark.read.parquet(str(tmp_path / "p")).where("id = 2").first().text == 'c, "d"'
+
+
+def test_index_and_vector_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([(k, k % 3, f'{{"n": {k}}}' if k else "{") for k in range(250)], "source int, section int, document string")
+    report = files.write_index(docs, str(tmp_path / "i"), "source", "section")
+    assert {r.id for r in report.where("NOT indexed").collect()} == {"0_0"} and report.count() == 250
+    lines = [line for f in (tmp_path / "i").glob("part-*") for line in f.read_text().splitlines()]
+    assert max(len(f.read_text().splitlines()) for f in (tmp_path / "i").glob("part-*")) <= 200
+    assert dict(zip(lines[::2], lines[1::2], strict=True)) == {f'{{"index":{{"_id":"{k}_{k % 3}"}}}}': f'{{"n": {k}}}' for k in range(1, 250)}
+    rows = vec.vector_docs(spark.createDataFrame([(1, [0.5, 1.0])], "id int, v array<double>"), F.col("id"), F.lit("caselaw"), F.col("v"))
+    files.write_vectors(rows, str(tmp_path / "v"))
+    assert tuple(spark.read.parquet(str(tmp_path / "v")).first()) == ("1", "caselaw", [0.5, 1.0])
+
+
+def test_index_documents(spark):
+    df = spark.createDataFrame([("1", "text", "", "a,, b", "21 Dec 2018"), ("2", None, "x", "", "TBA")], "source_id string, content string, court string, areas string, day string")
+    got = [json.loads(r.document) for r in files.to_document(df, "caselaw", ["source_id"], ["court"], ["areas"], ["day"]).orderBy("source_id").collect()]
+    assert got == [{"source_id": "1", "document_type": "caselaw", "content": "text", "content_length": 4, "areas": ["a", "b"], "day": "2018-12-21"}, {"source_id": "2", "document_type": "caselaw", "content_length": 0, "court": "x"}]
 
 
 def test_dates_and_text(spark):
