@@ -30,6 +30,8 @@ WINDOW, GRAM = 50, 20
 #: Bytes of text in a batch of documents; a longer document is a batch by itself.
 BATCH = 4 << 20
 _PLACE = (1 << 24) - 1
+#: Another order of the bytes, for second names.
+_TURNED = np.argsort(mix(np.arange(7, 263, dtype=U))).astype(np.uint8)
 
 
 class Cover:
@@ -76,8 +78,8 @@ class Cover:
         first, last = np.r_[0, new], np.r_[new, len(place)] - 1
         return place[first], place[last], grams[at[first]], spans.hash(place[first], place[last] + WINDOW)
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(part, place, doc, name) of all windows of the chosen ranges."""
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(part, place, doc, name, second name) of all windows of the chosen ranges."""
         found = []
         for k, (i, j, begin) in enumerate(self.parts):
             own = np.flatnonzero(chosen & (self.part == k))
@@ -86,8 +88,9 @@ class Cover:
             data = np.frombuffer(b"".join(self.texts[i:j])[begin : begin + _PLACE], np.uint8)
             counts = self.high[own] - self.low[own] + 1
             place = np.repeat(self.low[own] - np.cumsum(np.r_[0, counts[:-1]]), counts) + np.arange(counts.sum())
-            found.append((np.full(len(place), k), place, np.repeat(self.doc[own], counts), Spans(data).hash(place, place + WINDOW)))
-        empty = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]
+            name, second = Spans(data).hash(place, place + WINDOW), Spans(_TURNED[data]).hash(place, place + WINDOW) & U(0xFFFFFFFF)
+            found.append((np.full(len(place), k), place, np.repeat(self.doc[own], counts), name, second))
+        empty = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)] * 2
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else tuple(empty)
 
     def removed(self, part: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
@@ -157,7 +160,10 @@ def _sent(batch: int, bucket: np.ndarray, payload: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"batch": [batch] * len(found), "bucket": found.astype(np.int64), "payload": [x.tobytes() for x in parts]})
 
 
-_NAME = np.dtype([("name", "<u4"), ("around", "<u4"), ("more", "u1")])
+#: Sent names: with the bucket, which follows from a name's upper half, 96 bits and more tell a range's bytes apart, and
+#: a suffix's; at 100 TB the expected number of chance pairs is below one in a thousand.
+_NAME = np.dtype([("name", "<u4"), ("around", "<u8")])
+_SUFFIX = np.dtype([("name", "<u8"), ("second", "<u4")])
 
 
 class _Sample:
@@ -174,8 +180,7 @@ class _Sample:
 
     def payload(self) -> tuple[np.ndarray, np.ndarray]:
         out = np.zeros(len(self.order), _NAME)
-        out["name"], out["around"] = self.name[self.order] & U(0xFFFFFFFF), self.around[self.order] & U(0xFFFFFFFF)
-        out["more"] = (self.around[self.order] >> U(32)) & U(0xFF)
+        out["name"], out["around"] = self.name[self.order] & U(0xFFFFFFFF), self.around[self.order]
         return self.bucket[self.order], out
 
     def settle(self, answers) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +215,7 @@ def _reply(group: pd.DataFrame, bits: np.ndarray, ends: np.ndarray) -> pd.DataFr
 
 def _sort_names(group: pd.DataFrame) -> pd.DataFrame:
     group, names, batch, ends = _answered(group, _NAME)
-    around = names["around"].astype(U) | (names["more"].astype(U) << U(32))
+    around = names["around"]
     order = np.lexsort((batch, around, names["name"]))
     n, a = names["name"][order], around[order]
     new_name = np.r_[True, n[1:] != n[:-1]]
@@ -223,8 +228,8 @@ def _sort_names(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sort_suffixes(group: pd.DataFrame) -> pd.DataFrame:
-    group, names, batch, ends = _answered(group, "<u8")
-    order = np.lexsort((batch, names))
+    group, names, batch, ends = _answered(group, _SUFFIX)
+    order = np.lexsort((batch, names["second"], names["name"]))
     bits = np.zeros((len(names), 1), bool)
     bits[order, 0] = np.r_[False, names[order][1:] == names[order][:-1]]
     return _reply(group, bits, ends)
@@ -253,18 +258,20 @@ def repeats(docs: DataFrame) -> DataFrame:
                 yield _sent(row.batch, *_Sample(row, buckets).payload())
 
     def suffixes(sample: _Sample, sorted_too: np.ndarray):
-        part, place, doc, name = sample.cover.windows(sorted_too)
-        index, first, inverse = _distinct(name, doc)
+        part, place, doc, name, second = sample.cover.windows(sorted_too)
+        index, first, inverse = _distinct(mix(name + mix(second)), doc)
         bucket = ((name[index] >> U(40)) % U(buckets)).astype(np.int64)
         order = np.lexsort((name[index], bucket))
-        return part, place, doc, name[index][order], bucket[order], order, first, inverse
+        sent = np.zeros(len(order), _SUFFIX)
+        sent["name"], sent["second"] = name[index][order], second[index][order]
+        return part, place, doc, sent, bucket[order], order, first, inverse
 
     def send_suffixes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row in part.itertuples():
                 sample = _Sample(row, buckets)
-                _, _, _, name, bucket, *_ = suffixes(sample, sample.settle(row.names)[1])
-                yield _sent(row.batch, bucket, name.astype("<u8"))
+                _, _, _, sent, bucket, *_ = suffixes(sample, sample.settle(row.names)[1])
+                yield _sent(row.batch, bucket, sent)
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -272,7 +279,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                 sample = _Sample(row, buckets)
                 whole, sorted_too = sample.settle(row.names)
                 cover = sample.cover
-                at, place, doc, name, bucket, order, first, inverse = suffixes(sample, sorted_too)
+                at, place, doc, _, bucket, order, first, inverse = suffixes(sample, sorted_too)
                 seen = np.zeros(len(order), bool)
                 seen[order] = _bits(row.suffixes, bucket, 1)[:, 0]
                 again = seen[inverse] | (doc > first[inverse])
