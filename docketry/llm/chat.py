@@ -152,7 +152,7 @@ def _line(role: Column, action: Column | str, opened: Column, text: Column, slot
     """A rendered turn of the result."""
     action = F.lit(action) if isinstance(action, str) else action
     name = F.element_at(F.array(*map(F.lit, NAMES)), role + 1)
-    begin = F.when(action == "merge", "\n").otherwise(F.concat(F.when(opened, "<|end|>\n").otherwise(""), F.lit("<|"), name, F.lit("|>\n")))
+    begin = F.when(action.isin("merge", "relabel+merge"), "\n").otherwise(F.concat(F.when(opened, "<|end|>\n").otherwise(""), F.lit("<|"), name, F.lit("|>\n")))
     turn = F.lit(None).cast("long") if slot != 1 else F.col("turn")
     return F.struct(F.lit(slot).alias("slot"), turn.alias("turn"), name.alias("role"), action.alias("action"), text.alias("text"), F.concat(begin, text).alias("rendered"))
 
@@ -184,7 +184,8 @@ def repaired(turns: DataFrame) -> DataFrame:
     rows = plain.withColumn("number", F.row_number().over(order.orderBy(F.col("turn").asc_nulls_last(), "role", "text"))).join(steps, keys)
     rows = rows.withColumn("step", F.element_at("steps", F.col("number"))).drop("steps")
     step = {x: F.col(f"step.{x}") for x in ("code", "given", "gap", "ends", "merged", "opened")}
-    action = F.when(step["merged"], "merge").when(step["given"] == step["code"], "keep").otherwise("relabel")
+    same = step["given"] == step["code"]
+    action = F.when(step["merged"] & same, "merge").when(step["merged"], "relabel+merge").when(same, "keep").otherwise("relabel")
     nothing, none = F.lit(None), F.lit("")
     lines = F.array(
         F.when(step["gap"] > 0, _line(step["gap"], "insert", step["opened"], none, 0)).otherwise(nothing),
