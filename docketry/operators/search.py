@@ -11,7 +11,8 @@ K1, B = 1.2, 0.75
 
 
 def tokens(c: Column) -> Column:
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(r"[a-z0-9]+"), F.lit(0)), lambda t: ~t.isin(STOP_WORDS))
+    """Runs of letters and digits of any script in lower case, without stop words."""
+    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda t: ~t.isin(STOP_WORDS))
 
 
 def positions(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -24,17 +25,17 @@ def postings(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def search(docs: DataFrame, queries: DataFrame, key: str, query_key: str, text: str, k: int = 20) -> DataFrame:
     """The k best documents of each query by BM25, ties by key. Only terms of the queries are counted, so the
-    index that is shuffled holds no others."""
+    index that is shuffled holds no others; the terms' weights, which are as many as the queries' terms, come to
+    it, and Spark broadcasts them where they are small."""
     wanted = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    sized = docs.select(key, text, F.size(tokens(F.col(text))).alias("size"))
+    sized = docs.select(key, tokens(F.col(text)).alias("terms")).select(key, F.size("terms").alias("size"), "terms")
     whole = sized.agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
-    met = sized.select(key, "size", F.explode(tokens(F.col(text))).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
+    met = sized.select(key, "size", F.explode("terms").alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
     posted = met.groupBy(key, "size", "term").agg(F.count("*").alias("tf"))
-    rarity = posted.groupBy("term").agg(F.count("*").alias("df"))
-    scored = posted.join(rarity, "term").join(wanted, "term").crossJoin(F.broadcast(whole))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
-    total = scored.groupBy(query_key, key).agg(F.round(F.sum(part), 6).alias("score"))
+    weights = wanted.join(posted.groupBy("term").agg(F.count("*").alias("df")), "term").crossJoin(F.broadcast(whole))
+    weights = weights.select(query_key, "term", "mean", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
+    total = posted.join(weights, "term").groupBy(query_key, key).agg(F.round(F.sum(part), 6).alias("score"))
     order = Window.partitionBy(query_key).orderBy(F.col("score").desc(), key)
     return total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 

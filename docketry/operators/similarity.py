@@ -109,6 +109,20 @@ def word_overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(wanted, F.split(norm_match(b), " "))) / F.size(wanted)
 
 
+def word_hashes(c: Column) -> Column:
+    """Hashes of the distinct normalised words, to be joined in place of the text."""
+    return F.transform(F.array_distinct(F.split(norm_match(c), " ")), lambda w: F.xxhash64(w))
+
+
+def hashed_overlap(a: Column, b: Column) -> Column:
+    """``word_overlap`` of two columns of ``word_hashes``."""
+    return F.size(F.array_intersect(a, b)) / F.size(a)
+
+
+def sentence_hashes(c: Column) -> Column:
+    return F.transform(F.array_distinct(sentences(c)), lambda x: F.xxhash64(x))
+
+
 def verify(df: DataFrame, original: str, rebuilt: str, threshold: float = 0.9) -> DataFrame:
     """score and status of a rebuilt text; without original ``not started``, empty texts fail."""
     a, b = norm_verify(F.col(original)), norm_verify(F.coalesce(F.col(rebuilt), F.lit("")))

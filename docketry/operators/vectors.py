@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Query vectors that are broadcast at once; more are taken in blocks.
+#: Query vectors that tasks get at once; more are taken in blocks, each a pass over the vectors.
 BLOCK_QUERIES = 10_000
 
 
@@ -22,21 +25,46 @@ def dim_gate(df: DataFrame, vector: str, dimension: int) -> DataFrame:
     return df.withColumn("indexed", F.coalesce(F.size(vector) == dimension, F.lit(False)))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+def _nearest(wanted: np.ndarray, ids: np.ndarray, key: str, vector: str, k: int):
+    """A task over vectors that gives, for each query and batch, the k of largest cosine and what ties with the last."""
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least = np.full(len(ids), -np.inf)
+        for batch in batches:
+            rows = np.array(batch[vector].tolist(), np.float64).reshape(len(batch), -1)
+            if not rows.size:
+                continue
+            keys, sizes = batch[key].to_numpy(), np.linalg.norm(rows, axis=1)
+            cosine = np.round(wanted @ (rows / np.where(sizes, sizes, np.nan)[:, None]).T, 6)
+            cosine[ids[:, None] == keys[None, :]] = np.nan
+            ranked = np.where(np.isnan(cosine), -np.inf, cosine)
+            if ranked.shape[1] > k:
+                # Only what can be among the task's k best goes on.
+                least = np.maximum(least, np.partition(ranked, -k, axis=1)[:, -k])
+            query, at = np.nonzero((ranked >= least[:, None]) & ~np.isnan(cosine))
+            yield pd.DataFrame({"query": ids[query], key: keys[at], "cosine": cosine[query, at]})
+
+    return near
 
 
 def knn(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The k vectors of largest cosine for each query, itself left out; ties by key. queries are a stated set
-    that is broadcast in blocks; each partition keeps its k best before the shuffle."""
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("query_vector"))
-    cosine = dot(F.col("query_vector"), F.col(vector)) / F.sqrt(dot(F.col("query_vector"), F.col("query_vector")) * dot(F.col(vector), F.col(vector)))
+    """The k vectors of largest cosine for each query, itself left out; ties by key. queries are a stated set of
+    which a block goes to the tasks at once; a task multiplies block by batch and keeps what can be among its k
+    best. Vectors of no length have no neighbours. Keys are integers."""
+    q = queries.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+    v = vectors.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
     blocks = max(1, -(-q.count() // BLOCK_QUERIES))
-    parts = [q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b) if blocks > 1 else q for b in range(blocks)]
-    met = [vectors.join(F.broadcast(part), F.col(key) != F.col("query")).select("query", key, F.round(cosine, 6).alias("cosine")) for part in parts]
-    scored = functools.reduce(DataFrame.unionByName, met)
+    met = []
+    for b in range(blocks):
+        own = q.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == b).toPandas()
+        if len(own):
+            wanted = np.array(own[vector].tolist(), np.float64)
+            sizes = np.linalg.norm(wanted, axis=1)
+            met.append(v.mapInPandas(_nearest(wanted / np.where(sizes, sizes, np.nan)[:, None], own[key].to_numpy(), key, vector, k), f"query long, {key} long, cosine double"))
+    if not met:
+        return v.sparkSession.createDataFrame([], f"query long, {key} long, cosine double, place int")
     order = Window.partitionBy("query").orderBy(F.col("cosine").desc(), key)
-    return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return functools.reduce(DataFrame.unionByName, met).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
 def vector_docs(df: DataFrame, doc_id: Column, doc_type: Column, vector: Column) -> DataFrame:

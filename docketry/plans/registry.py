@@ -768,9 +768,9 @@ def _(read):
 
 @query("j5_overlap", r"""WITH n AS (SELECT doc_id, source, list_distinct(string_split(trim(regexp_replace(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+', ' ', 'g')), ' ')) AS w FROM documents) SELECT a.doc_id, round(len(list_intersect(a.w, b.w)) / len(a.w), 6) AS overlap FROM n a JOIN n b ON b.doc_id = a.doc_id + 1""")
 def _(read):
-    docs = read("documents").select("doc_id", "text")
-    other = docs.select((c("doc_id") - 1).alias("doc_id"), c("text").alias("other"))
-    return docs.join(other, "doc_id").select("doc_id", F.round(sim.word_overlap(c("text"), c("other")), 6).alias("overlap"))
+    docs = read("documents").select("doc_id", sim.word_hashes(c("text")).alias("words"))
+    other = docs.select((c("doc_id") - 1).alias("doc_id"), c("words").alias("other"))
+    return docs.join(other, "doc_id").select("doc_id", F.round(sim.hashed_overlap(c("words"), c("other")), 6).alias("overlap"))
 
 
 @query("j7_choose_text", "SELECT doc_id, CASE WHEN length(a) > 20 THEN 'direct' WHEN length(b) > 20 THEN 'ocr' WHEN a <> '' THEN 'direct' ELSE 'ocr' END AS used FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS a, CASE WHEN doc_id % 2 = 0 THEN left(text, 15) ELSE text END AS b FROM documents)")
@@ -794,7 +794,7 @@ def _(read):
 
 
 _STOP = ", ".join(f"'{w}'" for w in index.STOP_WORDS)
-_TOK = f"list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda t: t NOT IN ({_STOP}))"
+_TOK = f"list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: t NOT IN ({_STOP}))"
 
 
 @query("l1_analyze", f"SELECT doc_id, len({_TOK}) AS tokens, len(list_distinct({_TOK})) AS terms FROM documents")
@@ -950,10 +950,9 @@ def _(read):
 
 @query("j8_sentence_diff", r"""WITH n AS (SELECT doc_id, list_distinct(string_split(replace(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), '. ', '.' || chr(1)), chr(1))) AS s FROM documents) SELECT a.doc_id, CAST(len(list_filter(b.s, lambda x: NOT list_contains(a.s, x))) AS BIGINT) AS added, CAST(len(list_filter(a.s, lambda x: NOT list_contains(b.s, x))) AS BIGINT) AS removed FROM n a JOIN n b ON b.doc_id = a.doc_id + 1""")
 def _(read):
-    docs = read("documents").select("doc_id", "text")
-    added, removed = sim.sentence_diff(c("text"), c("other"))
-    both = docs.join(docs.select((c("doc_id") - 1).alias("doc_id"), c("text").alias("other")), "doc_id")
-    return both.select("doc_id", F.size(added).cast("long").alias("added"), F.size(removed).cast("long").alias("removed"))
+    docs = read("documents").select("doc_id", sim.sentence_hashes(c("text")).alias("old"))
+    both = docs.join(docs.select((c("doc_id") - 1).alias("doc_id"), c("old").alias("new")), "doc_id")
+    return both.select("doc_id", F.size(F.array_except("new", "old")).cast("long").alias("added"), F.size(F.array_except("old", "new")).cast("long").alias("removed"))
 
 
 @query("l5_suggestion", f"SELECT doc_id, translate(lower(text), '{txt.MARKED}', '{txt.PLAIN}')[1:100] AS suggestion FROM documents")
