@@ -29,6 +29,13 @@ def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r'<a[^>]*href="([^"]+)"'), F.lit(1))
 
 
+def links(html: Column) -> Column:
+    """(href, text) of each link with an address in either quotes; text without tags, trimmed."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?is)(<a\b[^>]*\bhref=["'][^"'>]*["'][^>]*>.*?</a>)"""), F.lit(1))
+    href = lambda x: F.regexp_extract(x, r"""(?is)^<a\b[^>]*\bhref=["']([^"'>]*)["']""", 1)
+    return F.transform(found, lambda x: F.struct(href(x).alias("href"), F.btrim(F.regexp_replace(x, "(?s)<[^>]*>", ""), F.lit(" \t\r\n")).alias("text")))
+
+
 def heading_count(html: Column, level: int = 1) -> Column:
     return F.regexp_count(html, F.lit(f"(?i)<h{level}[ >]"))
 

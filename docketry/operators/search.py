@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # English stop words that analysis drops.
 STOP_WORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
@@ -15,6 +19,80 @@ def tokens(c: Column) -> Column:
     return F.filter(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda t: ~t.isin(STOP_WORDS))
 
 
+# Endings of the published algorithm's second, third and fourth steps.
+_SECOND = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "abli": "able", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al",
+    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
+}
+_THIRD = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+_FOURTH = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
+
+
+def _kinds(word: str) -> str:
+    """c for a consonant and v for a vowel; y is a vowel after a consonant."""
+    found = ""
+    for i, letter in enumerate(word):
+        found += "v" if letter in "aeiou" or (letter == "y" and i and found[-1] == "c") else "c"
+    return found
+
+
+def _measure(word: str) -> int:
+    return len(re.findall("v+c", _kinds(word)))
+
+
+def _short(word: str) -> bool:
+    return _kinds(word).endswith("cvc") and word[-1] not in "wxy"
+
+
+def _swapped(word: str, endings: dict[str, str], least: int) -> str:
+    ending = max((e for e in endings if word.endswith(e)), key=len, default=None)
+    return word[: -len(ending)] + endings[ending] if ending and _measure(word[: -len(ending)]) >= least else word
+
+
+def porter_stem(word: str) -> str:
+    """The published stemmer; words of other letters than a to z, or of two at most, stay as they are."""
+    if len(word) < 3 or not re.fullmatch("[a-z]+", word):
+        return word
+    if word.endswith(("sses", "ies")):
+        word = word[:-2]
+    elif word.endswith("s") and not word.endswith("ss"):
+        word = word[:-1]
+    cut = None
+    if word.endswith("eed"):
+        word = word[:-1] if _measure(word[:-3]) else word
+    else:
+        cut = next((word[: -len(e)] for e in ("ed", "ing") if word.endswith(e) and "v" in _kinds(word[: -len(e)])), None)
+    if cut is not None:
+        word = cut
+        if word.endswith(("at", "bl", "iz")):
+            word += "e"
+        elif len(word) > 1 and word[-1] == word[-2] and _kinds(word)[-1] == "c" and word[-1] not in "lsz":
+            word = word[:-1]
+        elif _measure(word) == 1 and _short(word):
+            word += "e"
+    if word.endswith("y") and "v" in _kinds(word[:-1]):
+        word = word[:-1] + "i"
+    word = _swapped(_swapped(word, _SECOND, 1), _THIRD, 1)
+    ending = max((e for e in _FOURTH if word.endswith(e)), key=len, default=None)
+    if ending and _measure(word[: -len(ending)]) > 1 and (ending != "ion" or word[-4] in "st"):
+        word = word[: -len(ending)]
+    if word.endswith("e") and (_measure(word[:-1]) > 1 or (_measure(word[:-1]) == 1 and not _short(word[:-1]))):
+        word = word[:-1]
+    return word[:-1] if word.endswith("ll") and _measure(word) > 1 else word
+
+
+@F.pandas_udf(StringType())
+def stem(term: pd.Series) -> pd.Series:
+    return term.map(porter_stem, na_action="ignore")
+
+
+def analyzed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, position, term): tokens without stop words, stemmed. Each distinct token is stemmed once."""
+    each = positions(df, key, text)
+    stems = each.select("term").distinct().select("term", stem("term").alias("stemmed"))
+    return each.join(stems, "term").select(key, "position", F.col("stemmed").alias("term"))
+
+
 def positions(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(tokens(F.col(text))).alias("position", "term"))
 

@@ -27,6 +27,37 @@ def segments(df: DataFrame, key: str, position: str, is_head: Column) -> DataFra
     return df.withColumn("section", F.sum(is_head.cast("long")).over(Window.partitionBy(key).orderBy(position)))
 
 
+#: Text of a section that holds none.
+NO_TEXT = "[No content]"
+
+
+def sections(df: DataFrame, key: str, position: str, level: str, text: str, placeholder: str = NO_TEXT) -> DataFrame:
+    """Sections of each document's elements (level: 1 to 6 of a heading, else null): each heading of the first level
+    starts one; without such, each of the second; without both, all is one. What stands before the first heading is
+    a section if it isn't blank. Returns key, section (from 1), body (the elements' texts, a line each; the
+    placeholder if they are blank)."""
+    whole, order = Window.partitionBy(key), Window.partitionBy(key).orderBy(position)
+    head = F.min(F.when(F.col(level) <= 2, F.col(level))).over(whole)
+    parts = df.withColumn("_head", F.coalesce(F.col(level) == head, F.lit(False))).withColumn("_part", F.sum(F.col("_head").cast("long")).over(order))
+    ordered = F.array_sort(F.collect_list(F.struct(position, text)))
+    bodies = parts.groupBy(key, "_part").agg(F.array_join(F.transform(ordered, lambda x: F.coalesce(x[text], F.lit(""))), "\n").alias("body"), F.count_if("_head").alias("_heads"))
+    blank = F.btrim("body", F.lit(" \t\r\n")) == ""
+    many = F.count("*").over(whole) > 1
+    kept = bodies.withColumn("_drop", (F.col("_heads") == 0) & blank & many).where("NOT _drop")
+    section = F.row_number().over(Window.partitionBy(key).orderBy("_part")).cast("long")
+    return kept.select(key, section.alias("section"), F.when(blank, placeholder).otherwise(F.col("body")).alias("body"))
+
+
+def anchor_ids(df: DataFrame, key: str, position: str, level: str, anchor: str) -> DataFrame:
+    """df of headings with the anchors that they lack: ``section_<n>`` by the place among all of the first level,
+    ``section-h<level>-<n>`` by the place among those of a lower level without anchor; anchors that are there stay."""
+    there = F.col(anchor).isNotNull() & (F.col(anchor) != "")
+    n = F.row_number().over(Window.partitionBy(key, level).orderBy(position))
+    missing = F.row_number().over(Window.partitionBy(key, level, there).orderBy(position))
+    made = F.when(F.col(level) == 1, F.concat(F.lit("section_"), n)).otherwise(F.concat(F.lit("section-h"), level, F.lit("-"), missing))
+    return df.withColumn("_made", F.when(there, F.col(anchor)).otherwise(made)).withColumn(anchor, F.col("_made")).drop("_made")
+
+
 def promote_levels(df: DataFrame, key: str, level: str) -> DataFrame:
     lift = F.col(level) - F.min(level).over(Window.partitionBy(key)) + 1
     return df.withColumn("promoted", F.least(F.lit(5), F.greatest(F.lit(1), lift)))

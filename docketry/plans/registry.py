@@ -1139,3 +1139,40 @@ SELECT item_id, min(doc_id * 1000000 + i) // 1000000 AS doc_id, min(doc_id * 100
 def _(read):
     lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), "line")
     return sim.overlap_match(read("benchmark"), lines, "item_id", "text", "line", ["doc_id", "i"])
+
+
+_ELEMENTS = "(SELECT source_id, section_id, text, CASE WHEN is_head = 1 THEN CASE WHEN source_id % 3 = 0 THEN 1 WHEN source_id % 3 = 1 THEN 2 ELSE 3 END END AS lvl FROM sections_v)"
+
+
+def _elements(read) -> DataFrame:
+    kind = c("source_id") % 3
+    return read("sections_v").select("source_id", "section_id", "text", F.when(c("is_head") == 1, F.when(kind == 0, 1).when(kind == 1, 2).otherwise(3)).alias("lvl"))
+
+
+@query("e3_sections", f"""WITH p AS (SELECT *, sum(CASE WHEN lvl <= 2 THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY section_id) AS part FROM {_ELEMENTS}),
+b AS (SELECT source_id, part, string_agg(coalesce(text, ''), chr(10) ORDER BY section_id, text) AS body FROM p GROUP BY ALL),
+m AS (SELECT *, count(*) OVER (PARTITION BY source_id) AS parts, trim(body, ' ' || chr(9) || chr(13) || chr(10)) = '' AS blank FROM b)
+SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY part) AS section, md5(CASE WHEN blank THEN '{win.NO_TEXT}' ELSE body END) AS digest FROM m WHERE NOT (part = 0 AND blank AND parts > 1)""")
+def _(read):
+    return win.sections(_elements(read), "source_id", "section_id", "lvl", "text").select("source_id", "section", F.md5("body").alias("digest"))
+
+
+_HEADS = "(SELECT source_id, section_id, section_id % 4 + 1 AS lvl, CASE WHEN section_id % 3 = 1 THEN concat('own-', section_id) END AS anchor FROM sections_v)"
+
+
+@query("e6_anchor_numbers", f"SELECT source_id, section_id, lvl, coalesce(anchor, CASE WHEN lvl = 1 THEN concat('section_', row_number() OVER (PARTITION BY source_id, lvl ORDER BY section_id)) ELSE concat('section-h', lvl, '-', row_number() OVER (PARTITION BY source_id, lvl, anchor IS NULL ORDER BY section_id)) END) AS anchor FROM {_HEADS}")
+def _(read):
+    heads = read("sections_v").select("source_id", "section_id", (c("section_id") % 4 + 1).alias("lvl"), F.when(c("section_id") % 3 == 1, F.concat(F.lit("own-"), "section_id")).alias("anchor"))
+    return win.anchor_ids(heads, "source_id", "section_id", "lvl", "anchor")
+
+
+@query("i1_links_with_text", "SELECT page_id, link[1] AS href, trim(link[2]) AS shown FROM (SELECT page_id, unnest(list_zip(regexp_extract_all(html, '<a[^>]*href=\"([^\"]+)\"[^>]*>([^<]*)</a>', 1), regexp_extract_all(html, '<a[^>]*href=\"([^\"]+)\"[^>]*>([^<]*)</a>', 2))) AS link FROM pages)")
+def _(read):
+    return read("pages").select("page_id", F.explode(page.links(c("html"))).alias("l")).select("page_id", "l.href", c("l.text").alias("shown"))
+
+
+# SQL can't express the stemmer: its words and the published examples are the test.
+@query("l1_analyze_stems")
+def _(read):
+    found = index.analyzed(read("documents"), "doc_id", "text")
+    return found.groupBy("doc_id").agg(F.count("*").alias("tokens"), F.countDistinct("term").alias("stems"))

@@ -9,6 +9,7 @@ from docketry.functions import citations as cite
 from docketry.functions import headings as head
 from docketry.functions import html as page
 from docketry.functions import text as txt
+from docketry.operators import search as index
 from docketry.operators import selection as sel
 from docketry.operators import similarity as sim
 from docketry.operators import tables as tab
@@ -128,6 +129,45 @@ def test_labels_and_references(spark):
     assert tuple(one(spark, page.link_ids(F.col("t")), t="/article/5/section/9")) == ("5", "9") and tuple(one(spark, page.link_ids(F.col("t")), t="/x/5")) == (None, None)
 
 
+def test_porter_stems():
+    # The published examples, step by step.
+    want = {
+        "caresses": "caress", "ponies": "poni", "ties": "ti", "caress": "caress", "cats": "cat", "feed": "feed", "agreed": "agre", "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing", "conflated": "conflat", "troubled": "troubl",
+        "sized": "size", "hopping": "hop", "tanned": "tan", "falling": "fall", "hissing": "hiss", "fizzed": "fizz", "failing": "fail", "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat", "conditional": "condit", "rational": "ration",
+        "valenci": "valenc", "hesitanci": "hesit", "digitizer": "digit", "conformabli": "conform", "radicalli": "radic", "differentli": "differ", "vileli": "vile", "analogousli": "analog", "vietnamization": "vietnam", "predication": "predic", "operator": "oper",
+        "feudalism": "feudal", "decisiveness": "decis", "hopefulness": "hope", "callousness": "callous", "formaliti": "formal", "sensitiviti": "sensit", "sensibiliti": "sensibl", "triplicate": "triplic", "formative": "form", "formalize": "formal",
+        "electriciti": "electr", "electrical": "electr", "hopeful": "hope", "goodness": "good", "revival": "reviv", "allowance": "allow", "inference": "infer", "airliner": "airlin", "gyroscopic": "gyroscop", "adjustable": "adjust", "defensible": "defens",
+        "irritant": "irrit", "replacement": "replac", "adjustment": "adjust", "dependent": "depend", "adoption": "adopt", "homologou": "homolog", "communism": "commun", "activate": "activ", "angulariti": "angular", "homologous": "homolog", "effective": "effect",
+        "bowdlerize": "bowdler", "probate": "probat", "rate": "rate", "cease": "ceas", "controll": "control", "roll": "roll", "für": "für", "at": "at",
+    }
+    assert {w: index.porter_stem(w) for w in want} == want
+
+
+def test_sections_and_anchors(spark):
+    rows = [(1, 0, None, " "), (1, 1, 1, "A"), (1, 2, 2, "a"), (1, 3, 1, "B"), (2, 0, None, "lead"), (2, 1, 2, "C"), (2, 2, 3, "c"), (3, 0, None, ""), (3, 1, None, None), (4, 0, 3, "x"), (4, 1, None, "y")]
+    df = spark.createDataFrame(rows, "d int, p int, l int, t string")
+    got = {(r.d, r.section): r.body for r in win.sections(df, "d", "p", "l", "t").collect()}
+    assert got == {(1, 1): "A\na", (1, 2): "B", (2, 1): "lead", (2, 2): "C\nc", (3, 1): win.NO_TEXT, (4, 1): "x\ny"}
+    heads = spark.createDataFrame([(1, 0, 1, None), (1, 1, 2, None), (1, 2, 2, "own"), (1, 3, 2, ""), (1, 4, 1, "mine"), (1, 5, 1, None)], "d int, p int, l int, a string")
+    assert {r.p: r.a for r in win.anchor_ids(heads, "d", "p", "l", "a").collect()} == {0: "section_1", 1: "section-h2-1", 2: "own", 3: "section-h2-2", 4: "mine", 5: "section_3"}
+    found = one(spark, page.links(F.col("t")), t="<a class='x' href='/a'> A <b>b</b></a><a>no</a><A HREF=\"/c\">C</A>")
+    assert [tuple(x) for x in found] == [("/a", "A b"), ("/c", "C")]
+
+
+def test_nearest_against_all_pairs(spark):
+    r = random.Random(3)
+    rows = [(k, [float(r.randint(-3, 3)) for _ in range(3)]) for k in range(120)] + [(500, None)]
+    df = spark.createDataFrame(rows, "id long, v array<float>").repartition(5)
+    size = lambda x: sum(a * a for a in x) ** 0.5
+    want = {}
+    for i, x in rows:
+        if i % 10 == 0 and x and size(x):
+            near = sorted((-round(sum(a * b for a, b in zip(x, y, strict=True)) / size(x) / size(y), 6), j) for j, y in rows if y and size(y) and j != i)
+            want |= {(i, k + 1): (j, -s) for k, (s, j) in enumerate(near[:4])}
+    got = {(x.query, x.place): (x.id, x.cosine) for x in vec.knn(df.where("id % 10 = 0"), df, "id", "v", 4).collect()}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
 def test_overlap_match_against_all_pairs(spark):
     words = ["one", "two", "three", "four", "five", "six", "seven", "eight"]
     heads = [(1, "One two three four five six seven"), (2, "one two three four"), (3, "eight seven six five four"), (4, "nine ten eleven twelve thirteen")]
