@@ -461,3 +461,63 @@ def test_pipeline_keeps_the_columns(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and 0.5 * n < docs.count() <= n
     last = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert last.select("doc_id").distinct().count() == docs.count()
+
+
+def pipeline_tables(spark, folder, rows):
+    r = random.Random(41)
+    rated = [(10_000 + i, " ".join([r.choice(WORDS) + r.choice(WORDS) for _ in range(40)] + ["vile"] * (2 * (i % 4 == 0)))) for i in range(160)]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or ""), "x", 1) for i, t in [*rows, *rated]], "doc_id long, text string, lang string, source string, n_chars long, component_id string, kept int")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(10_000 + i, 1, int(i % 4 == 0)) for i in range(160)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(f"q{k}" for k in range(20))), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return docs
+
+
+def test_pipeline_on_an_awkward_table(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, copies, clashing columns, through all stages."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    copied = " ".join(WORDS[k % 30] + str(k) for k in range(60))
+    value = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    rows = [*AWKWARD, (20, copied), (21, copied), (22, copied + " end"), (23, "so " + " ".join(f"q{k}" for k in range(20))), (24, f'ban gel token = "{value}" cut and some more words here'), (25, "a vile vile " + "x " * 30)]
+    docs = pipeline_tables(spark, str(tmp_path), rows)
+    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    kept = {x for x in got["doc_id"]}
+    # Packing leaves out rows without doc_id; of the copies the smallest stays; the benchmark's passage and toxic ones go.
+    want = {1, 2, 3, 4, 6, 8, 20, 24} | {10_000 + i for i in range(160) if i % 4}
+    assert kept == want
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    ids = np.array([*tokenizer.encode("ban gel token = \"[SECRET]\" cut and some more words here", add_special_tokens=False).ids, 1], "<u4")
+    assert got.set_index("doc_id").loc[24, "ids_crc32"] == zlib.crc32(ids.tobytes())
+    for _, s in got.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]] and s["length"].sum() <= packing.CAPACITY
+    stage = docs
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        stage = step(spark, stage, str(tmp_path))
+        assert stage.columns == docs.columns
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = pipeline_tables(spark, str(tmp_path), []).limit(0)
+    for _, step in corpus_pipeline.STAGES:
+        out = step(spark, docs, str(tmp_path))
+        assert out.count() == 0
+
+
+def test_quality_on_held_out(spark):
+    """Grades of documents that the fit didn't see; tails fall and add up to the expected grade."""
+    r = random.Random(51)
+    marks = [["junk", "vile"], ["junk"], ["good", "vile"], ["good"]]
+    truth = {i: r.randrange(4) for i in range(800)}
+    docs = frame(spark, [(i, " ".join(r.sample([r.choice(WORDS) for _ in range(40)] + 2 * marks[g], 40 + 2 * len(marks[g])))) for i, g in truth.items()] + [(900, None), (901, ""), (5, "x " * 30_000)])
+    labels = spark.createDataFrame([(i, int(g >= 2), int(g % 2 == 0)) for i, g in truth.items() if i < 500] + [(3, 0, 1), (None, 1, 0), (950, None, None)], "doc_id long, quality int, toxic int")
+    got = quality(docs, labels).toPandas()
+    held = got[(got["doc_id"] >= 500) & (got["doc_id"] < 800)].set_index("doc_id")
+    assert len(got) == 803 and len(held) == 300
+    assert sum(held.loc[i, "selected"] == (truth[i] >= 2) for i in held.index) >= 285
+    assert sum(abs(held.loc[i, "expected_grade"] - truth[i]) < 1 for i in held.index) >= 270
+    assert (got["p_best"] <= got["p_good"] + 1e-9).all() and (got["expected_grade"] >= got["p_good"] + got["p_best"] - 1e-9).all()
