@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
             continue
-        ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
+        ids, texts = batch["doc_id"].tolist(), _unpacked(batch["packed"])
         own = signatures(texts)
         if held is not None:
             ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
@@ -128,6 +129,17 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _end(_LAST, part, held[0], held[1])
 
 
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "packed": [packer.compress(x) for x in utf8(batch["text"])]})
+
+
+def _unpacked(packed: pd.Series) -> list[str]:
+    plain = zstandard.ZstdDecompressor()
+    return [plain.decompress(x).decode("utf-8", "surrogatepass") for x in packed]
+
+
 def _end(kind: int, part: int, doc_id: int, text: str) -> pd.DataFrame:
     return pd.DataFrame([(kind, part, text, doc_id, 0, None, None, None, 0.0, 0.0)], columns=_WALKED)
 
@@ -143,10 +155,10 @@ def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each row of docs that has a doc_id; null texts are empty. The next document of the one with
     the smallest doc_id is the one with the largest; of a single document, itself. Rows of the same doc_id
-    follow each other in the order of their texts. No documents give no rows."""
-    plain = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    follow each other in the order of their compressed texts. No documents give no rows."""
+    packed = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(_pack, "doc_id long, packed binary")
     # Ranges of doc_id alone: no text is sampled for their bounds.
-    placed = plain.repartitionByRange(F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "text")
+    placed = packed.repartitionByRange(F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "packed")
     walked = stored(placed.mapInPandas(_walk, f"kind int, part int, text string, {_RESULT}"), "walked")
     # Where stretches meet: their numbers are put in order, then texts follow by an equal number.
     first = walked.where(F.col("kind") == _FIRST)
