@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.store import stored
+from docketry.llm.store import shuffle_width, stored
 from docketry.llm.wordhash import NOT_WORD, U, mix, slices, utf8, words
 
 CHAIN, SKETCH = 2, 256
@@ -104,14 +104,8 @@ def _compared(ids: list[int], texts: list[str], nexts: list[str], own: list[np.n
     )
 
 
-#: Kinds of rows of a walk: a result, the first and the last document of the stretch.
-_PAIR, _FIRST, _LAST = range(3)
-
-
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each document of a sorted stretch compared with the one after it; and the two documents at its ends,
-    with their texts and the number of the stretch, as what is before or after them is elsewhere."""
-    part = TaskContext.get().partitionId()
+def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each document of a sorted stretch compared with the one after it; the last has none here."""
     held: tuple[int, str, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
@@ -120,13 +114,20 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = signatures(texts)
         if held is not None:
             ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
-        else:
-            yield _end(_FIRST, part, ids[0], texts[0])
         if len(ids) > 1:
-            yield _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:]).assign(kind=_PAIR, part=part, text=None)[_WALKED]
+            yield _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:])
         held = ids[-1], texts[-1], own[-1]
-    if held is not None:
-        yield _end(_LAST, part, held[0], held[1])
+
+
+def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The number of a stretch that isn't empty, its first text and its last document."""
+    first = last = None
+    for batch in batches:
+        if len(batch):
+            first = batch["packed"].iloc[0] if first is None else first
+            last = batch.iloc[-1]
+    if last is not None:
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "first": [first], "doc_id": [int(last["doc_id"])], "packed": [last["packed"]]})
 
 
 def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,16 +141,9 @@ def _unpacked(packed: pd.Series) -> list[str]:
     return [plain.decompress(x).decode("utf-8", "surrogatepass") for x in packed]
 
 
-def _end(kind: int, part: int, doc_id: int, text: str) -> pd.DataFrame:
-    return pd.DataFrame([(kind, part, text, doc_id, 0, None, None, None, 0.0, 0.0)], columns=_WALKED)
-
-
-_WALKED = ["kind", "part", "text", *(x.split()[0] for x in _RESULT.split(", "))]
-
-
 def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield _compared(batch["doc_id"].tolist(), batch["text"].tolist(), batch["next_text"].tolist())
+        yield _compared(batch["doc_id"].tolist(), _unpacked(batch["packed"]), _unpacked(batch["next"]))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -157,20 +151,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     the smallest doc_id is the one with the largest; of a single document, itself. Rows of the same doc_id
     follow each other in the order of their compressed texts. No documents give no rows."""
     packed = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(_pack, "doc_id long, packed binary")
-    # Ranges of doc_id alone: no text is sampled for their bounds.
-    placed = packed.repartitionByRange(F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "packed")
-    walked = stored(placed.mapInPandas(_walk, f"kind int, part int, text string, {_RESULT}"), "walked")
-    # Where stretches meet: their numbers are put in order, then texts follow by an equal number.
-    first = walked.where(F.col("kind") == _FIRST)
+    # Ranges of doc_id alone: no text is sampled for their bounds. The number of ranges is stated, so that all that
+    # reads this one exchange reads the same stretches.
+    placed = packed.repartitionByRange(shuffle_width(docs.sparkSession), F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "packed")
+    inner = placed.mapInPandas(_neighbours, _RESULT)
+    # Where stretches meet: their numbers are put in order; then the last document of each and the first text of
+    # the one after it come to an equal number.
+    ends = placed.mapInPandas(_ends, "part int, first binary, doc_id long, packed binary")
     along = Window.orderBy("part")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follows = first.select("part", F.coalesce(F.lead("part").over(along), F.first("part").over(whole)).alias("next_part"))
-    met = (
-        walked.where(F.col("kind") == _LAST).select("doc_id", "text", "part").join(follows, "part")
-        .join(first.select(F.col("part").alias("next_part"), F.col("text").alias("next_text")), "next_part")
-        .select("doc_id", "text", "next_text").mapInPandas(_joined, _RESULT)
-    )
-    return walked.where(F.col("kind") == _PAIR).drop("kind", "part", "text").unionByName(met)
+    order = ends.select("part", F.coalesce(F.lag("part").over(along), F.last("part").over(whole)).alias("before"))
+    none = F.lit(None)
+    sides = F.array(F.struct(F.col("part").alias("at"), "doc_id", "packed", none.cast("binary").alias("next")), F.struct(F.col("before").alias("at"), none.cast("long").alias("doc_id"), none.cast("binary").alias("packed"), F.col("first").alias("next")))
+    each = ends.join(order, "part").select(F.explode(sides).alias("x")).select("x.*")
+    met = each.groupBy("at").agg(*(F.first(x, ignorenulls=True).alias(x) for x in ("doc_id", "packed", "next"))).drop("at")
+    return inner.unionByName(met.mapInPandas(_joined, _RESULT))
 
 
 def near_pairs(docs: DataFrame, percent: int = 75) -> DataFrame:
