@@ -15,7 +15,7 @@ SALTS = 16
 def _to_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     """edges (a, v) with m, the least neighbour of a."""
     dealt = edges.withColumn("salt", F.pmod(F.xxhash64("a", "v"), F.lit(SALTS)).cast("int"))
-    return dealt.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["a", "salt"])
+    return dealt.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge"), ["a", "salt"])
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,16 +30,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a > b")
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one edge to a smaller one at most, and then no larger ones."""
+    ends = edges.select("a", F.lit(1).alias("down")).unionByName(edges.select(F.col("b").alias("a"), F.lit(0).alias("down")))
+    return ends.groupBy("a").agg(F.sum("down").alias("down"), F.count("*").alias("n")).where("down > 1 OR (down > 0 AND n > down)").isEmpty()
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """links: two long columns a, b in any order. Returns (node, component) for each node other than its
     component's smallest; component is that smallest node. Nodes without links are absent."""
     a, b = links.columns
     edges = stored(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "stars")
-    seen = None
     for _ in range(most_rounds):
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
+        if _settled(edges):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        seen = now
         edges = stored(_star(_star(edges, True), False).distinct(), "stars")
     raise RuntimeError("components did not settle")
