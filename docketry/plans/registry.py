@@ -448,10 +448,10 @@ def _(read):
     return tab.upsert_replace(customers.where("c_custkey % 3 <> 0"), batch, "c_custkey", ["c_name"])
 
 
-@query("g8_replace_children", "SELECT source_id, section_id, text FROM sections_v WHERE source_id % 4 <> 0 UNION ALL SELECT source_id, section_id, upper(text) FROM sections_v WHERE source_id % 4 = 0 AND section_id < 2")
+@query("g8_replace_children", "SELECT source_id, section_id, text FROM sections_v WHERE source_id % 4 <> 0 UNION ALL SELECT source_id, section_id, concat(text, ' (new)') FROM sections_v WHERE source_id % 4 = 0 AND section_id < 2")
 def _(read):
     target = read("sections_v").select("source_id", "section_id", "text")
-    batch = target.where("source_id % 4 = 0 AND section_id < 2").withColumn("text", F.upper("text"))
+    batch = target.where("source_id % 4 = 0 AND section_id < 2").withColumn("text", F.concat("text", F.lit(" (new)")))
     return tab.replace_children(target, batch, "source_id")
 
 
