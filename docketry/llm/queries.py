@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docketry.llm import licences as licence_scan
 from docketry.llm.chat import repaired
 from docketry.llm.decontaminate import contamination
 from docketry.llm.fingerprints import fingerprints
+from docketry.llm.hard_negatives import hard_negatives
 from docketry.llm.near_dedup import near_duplicates
 from docketry.llm.packing import pack
+from docketry.llm.periodic import periodic
 from docketry.llm.quality import quality
 from docketry.llm.repeats import repeats
 from docketry.llm.secrets import findings
+from docketry.llm.sentencepieces import round_trip
 from docketry.llm.toxicity import toxicity
 
 
@@ -66,7 +70,48 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """In one of ten documents, by the checksum of doc_id, the words from one place on repeat with a period."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(check / 10)
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda x: x != "")
+    chosen = F.when(check % 10 == 0, words)
+    n = F.size("w")
+    put = docs.select("doc_id", "text", chosen.alias("w"), g.alias("g"))
+    put = put.select("doc_id", "text", "w", "g", F.when(n > 0, F.col("g") % n).alias("a"))
+    put = put.select("doc_id", "text", "w", "a", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    periods = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", at(i))), " ")
+    return put.select("doc_id", F.when(n > 0, periods).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic(_with_periods(_read(spark, sf_dir, "documents")))
+    # The exponents of two runs are compared exactly.
+    order = lambda x, y: F.when(x.length * y.period != y.length * x.period, F.when(x.length * y.period > y.length * x.period, -1).otherwise(1)).when(x.start != y.start, F.when(x.start < y.start, -1).otherwise(1)).otherwise(F.signum(x.period - y.period).cast("int"))  # noqa: E731, E501
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    digests = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return digests.select("doc_id", "n_runs", "b.start", "b.length", "b.period", F.floor(1000 * F.col("b.length") / F.col("b.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = round_trip(_read(spark, sf_dir, "documents"), lambda: tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hard_negatives(rows.where(finite).select("vec_id", label.alias("label"), vector.alias("vector"), (F.col("vec_id") % 50 == 0).alias("anchor")))
+
+
 QUERIES = {
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_hard_negatives": op13_hard_negatives,
     "op1_chat_formatting": op1_chat_formatting,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op6_secret_scan": op6_secret_scan,
