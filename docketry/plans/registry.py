@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from docketry.functions import citations as cite
 from docketry.functions import headings as head
 from docketry.functions import html as page
+from docketry.functions import replies
 from docketry.functions import text as txt
+from docketry.operators import fuzzy
+from docketry.operators import items as lay
+from docketry.operators import pages as tree
 from docketry.operators import search as index
 from docketry.operators import selection as sel
 from docketry.operators import similarity as sim
@@ -19,6 +23,8 @@ from docketry.operators import vectors as vec
 from docketry.operators import windows as win
 from docketry.plans.fixtures import CODES, view, with_views
 from docketry.sources import files
+from docketry.sources.nodes import page_nodes
+from docketry.sources.sitemaps import expand_sitemaps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -1176,3 +1182,198 @@ def _(read):
 def _(read):
     found = index.analyzed(read("documents"), "doc_id", "text")
     return found.groupBy("doc_id").agg(F.count("*").alias("tokens"), F.countDistinct("term").alias("stems"))
+
+
+# ---- pages as nodes, layout items, replies
+
+
+# SQL can't express the best window: a plain comparison of all windows is the test.
+@query("j3_fuzzy_check")
+def _(read):
+    """Each document with the item whose number is doc_id modulo the number of items."""
+    items = read("benchmark")
+    n = items.agg(F.max("item_id") + 1).first()[0] or 1
+    pairs = read("documents").join(items.select("item_id", c("text").alias("item")), F.pmod("doc_id", F.lit(n)) == c("item_id"))
+    return pairs.select("doc_id", "item_id", fuzzy.fuzzy_check(c("item"), c("text")).alias("label"))
+
+
+_NOTED = '<div class="Side-Note x">no <div>no <p>no</div> no</div><div id="note-1">own<b>kept in a note</b></div><article>'
+
+
+@query("h41_content_text", r"""SELECT page_id, md5(trim(regexp_replace(array_to_string(list_filter(list_transform(string_split(replace(replace(replace(replace(
+regexp_replace(regexp_replace(replace(html, '<article>', '<b>kept in a note</b><article>'), '<head>.*?</head>|<nav>.*?</nav>|<script.*?</script>|<!--.*?-->|<![^>]*>', chr(1), 'gs'), '<[^>]*>', chr(1), 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'),
+chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: length(x) > 1), chr(10)), ' {2,}', ' ', 'g'))) AS digest FROM pages""")
+def _(read):
+    noted = read("pages").select("page_id", F.replace("html", F.lit("<article>"), F.lit(_NOTED)).alias("html"))
+    return tree.content_text(page_nodes(noted, "page_id", "html"), "page_id").select("page_id", F.md5("text").alias("digest"))
+
+
+_STYLED = "<style>.big {font-size: 22px; font-weight : bold}\n.mid{font-weight:bold;font-size:18px}.low{font-size:15px;font-weight:bold}.thin{font-size:30px}.big2{color:red}.small{font-size:14px;font-weight:bold}</style>"
+
+
+@query("h35_style_levels", """SELECT page_id, place, level, text FROM pages, LATERAL (VALUES (1, CASE WHEN page_id % 3 = 0 THEN 'h2' ELSE 'h1' END, concat('A ', page_id)), (2, CASE WHEN page_id % 3 = 0 THEN 'h1' ELSE 'h2' END, 'B & co'), (3, 'h2', 'C'), (4, 'h4', concat('in', 'D ', page_id))) v(place, level, text)""")
+def _(read):
+    """Styles and five kinds of elements before each page."""
+    first = F.when(c("page_id") % 3 == 0, "mid").otherwise("big")
+    html = F.concat(F.lit(_STYLED + "<p class='big2 x "), first, F.lit("'>A "), "page_id", F.lit("</p><div class=big>B &amp; co</div><p class=big></p><span class='mid big'>C</span><p class=thin>no</p><p class=small>no</p><div class=low><span class=big>in</span> D "), "page_id", F.lit("</div>"), "html")
+    found = tree.style_levels(page_nodes(read("pages").select("page_id", html.alias("html")), "page_id", "html", tuple(tree.STYLED)), "page_id")
+    return found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("node")).alias("place"), "level", "text")
+
+
+@query("h36_inline_levels", r"""SELECT page_id, place, tag, level, text FROM pages, LATERAL (VALUES (1, 'p', 1, concat('T ', page_id)), (2, 'p', 1, concat('PART ', page_id)), (3, 'p', 2, concat('Division ', page_id)), (4, 'p', 2, concat(page_id, '.2 Names')), (5, 'div', 1, 'Big'), (6, 'p', 4, concat(page_id, '.1.2 Name')), (7, 'p', 1, 'Schedule 4'), (8, 'h3', 3, 'x'), (9, 'h1', 1, trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')))) v(place, tag, level, text)""")
+def _(read):
+    parts = ["<p style='font-size:180%'>T ", "</p><p style='font-size:147%'>PART ", "</p><p style='font-size:127%'>Division ", "</p><p style='font-size:107%'>", ".2 Names</p><div style='font-size: 150%'>Big</div><p>see <b>", ".1.2 Name</b></p><p><i>and</i><b>Schedule 4</b></p><h3> x </h3><p>none"]
+    html = F.concat(*(x for part in parts for x in (F.lit(part), c("page_id"))), F.lit("</p>"), "html")
+    tags = ["p", "div", "h1", "h3"]
+    found = tree.inline_levels(page_nodes(read("pages").select("page_id", html.alias("html")), "page_id", "html", (*tags, "b")), "page_id", tags)
+    return found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("node")).alias("place"), "tag", "level", "text")
+
+
+def wanted_headings(read) -> DataFrame:
+    """(page_id, number, heading): a page's title, the beginning of its second paragraph, its third and fourth in a row,
+    and its last with a word changed."""
+    p = F.regexp_extract_all("html", F.lit("<p>([^<]+)</p>"), F.lit(1))
+    own = read("pages").select("page_id", F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("title"), p.alias("p"))
+    at = lambda k: F.get("p", F.lit(k))
+    near = F.regexp_replace(F.element_at("p", -1), r"^\S+", "changed")
+    cut = F.substr(at(1), F.lit(1), F.greatest(F.length(at(1)) - 20, F.lit(1)))
+    each = F.array(c("title"), F.when(F.size("p") > 1, cut), F.when(F.size("p") > 3, F.concat_ws("  ", at(2), at(3))), F.when(F.size("p") > 0, near), F.lit("nowhere at all"))
+    return own.where(F.size("p") >= 0).select("page_id", F.posexplode(each).alias("number", "heading")).where("heading IS NOT NULL")
+
+
+# The places are nodes of the scanner, which SQL hasn't: a plain search of all elements is the test.
+@query("j6_locate_headings")
+def _(read):
+    return tree.locate_headings(wanted_headings(read), page_nodes(read("pages"), "page_id", "html", tuple(tree.EXACT_IN)), "page_id", "number", "heading")
+
+
+@query("i5_key_values", """SELECT page_id, field, value FROM pages, LATERAL (VALUES ('citation', concat('[2001] & ', page_id)), ('presiding_officer', CASE WHEN page_id % 3 = 0 THEN 'A B' ELSE concat('C ', page_id) END), ('parties', trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')))) v(field, value)""")
+def _(read):
+    last = F.when(c("page_id") % 3 == 0, "N/A").otherwise(F.concat(F.lit("C "), "page_id"))
+    html = F.concat(
+        F.lit("<table><tr><td>Orders</td><td>no</td></tr></table><table class='x metadata'><tr><td>Citation</td><td>[2001]  &amp; "), "page_id", F.lit("</td></tr><tr><td>Judge</td><td>A<br>B</td></tr><tr><td>Judgment <b>of</b></td><td>no"),
+        F.lit("</td></tr><tr><td>Judge</td><td>"), last, F.lit("</td></tr><tr><td>Orders</td><td>a</td><td>b</td></tr><tr><td>Unknown</td><td>x</td></tr><tr><td>Parties</td><td>"), F.regexp_extract("html", "<h1>([^<]*)</h1>", 1),
+        F.lit("</td></tr></table><table class=metadata><tr><td>Citation</td><td>later</td></tr></table>"), "html",
+    )
+    return tree.key_values(page_nodes(read("pages").select("page_id", html.alias("html")), "page_id", "html", ("td",)), "page_id")
+
+
+@query("h46_merged_labels", r"""SELECT page_id, text, count(*) AS n FROM (SELECT page_id, concat('(a) to ', unnest(regexp_extract_all(html, '<li><a href="([^"]*)">', 1))) AS text FROM pages) GROUP BY ALL""")
+def _(read):
+    html = F.regexp_replace("html", '<li><a href="([^"]*)">', '<li><span><inline class="li-label"> (a)</inline></span><p> to $1</p><p>then</p><a>')
+    found = tree.merged_labels(page_nodes(read("pages").select("page_id", html.alias("html")), "page_id", "html", ("inline", "p")), "page_id")
+    return found.groupBy("page_id", "text").agg(F.count("*").alias("n"))
+
+
+@query("i8_tree_paths", "SELECT page_id, n, depth FROM (SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n, 5 AS depth FROM pages) WHERE n > 0")
+def _(read):
+    """The paths of the element tree that end in a list item of the navigation."""
+    elements = page_nodes(read("pages"), "page_id", "html").where("tag IS NOT NULL").select("page_id", "node", "parent", "tag")
+    paths = replies.tree_paths(elements, "page_id", "node", "parent", "tag")
+    return paths.where(F.col("path") == "html/body/nav/ul/li").groupBy("page_id").agg(F.count("*").alias("n"), F.max(c("depth") + 1).alias("depth"))
+
+
+_TREE = """(SELECT event_id, 0 AS depth, '0' AS node, NULL AS parent, 0 AS place, 'root' AS id, event_type AS title FROM events UNION ALL SELECT event_id, 1, '0.0', '0', 0, 'first', NULL FROM events
+UNION ALL SELECT event_id, 1, '0.1', '0', 1, 'second', props FROM events UNION ALL SELECT event_id, 2, concat('0.1.', k), '0.1', k, concat('leaf', k), CAST(k AS VARCHAR) FROM (SELECT event_id, CAST(unnest(range(0, event_id % 4)) AS INT) AS k FROM events))"""
+
+
+@query("i8_flatten_tree", f"SELECT event_id, node, parent, depth, place, id, title FROM {_TREE}")
+def _(read):
+    leaves = F.transform(F.filter(F.sequence(F.lit(0), F.lit(3)), lambda k: k < c("event_id") % 4), lambda k: F.concat(F.lit('{"id":"leaf'), k.cast("string"), F.lit('","title":'), k.cast("string"), F.lit(',"children":[]}')))
+    tree_json = F.concat(
+        F.lit('{"id":"root","title":"'), "event_type", F.lit('","children":[{"id":"first"},{"id":"second","title":'), F.to_json(F.struct(c("props").alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(c("props").alias("x")))) - 6),
+        F.lit(',"children":['), F.array_join(leaves, ","), F.lit("]},null]}"),
+    )
+    return replies.flatten_tree(read("events").select("event_id", tree_json.alias("tree")), "event_id", "tree", fields=("id", "title"))
+
+
+_MAPS = """maps AS (SELECT page_id AS url, unnest(CASE WHEN page_id % 3 = 0 THEN [page_id + 1, page_id + 2, page_id + 2, 3 * (page_id // 6), 2 * page_id] END) AS next FROM pages)"""
+
+
+@query("a13_sitemaps", f"""WITH RECURSIVE {_MAPS}, reach(root, url) AS (SELECT page_id, page_id FROM pages WHERE page_id % 10 = 0 UNION SELECT root, next FROM reach JOIN maps USING (url) WHERE next IN (SELECT page_id FROM pages)),
+met AS (SELECT root, p.page_id, p.url FROM reach JOIN pages p ON p.page_id = reach.url WHERE p.page_id % 3 <> 0), locs AS (SELECT root, url AS loc FROM met UNION ALL SELECT root, concat('https://e.org/?a=1&b=', page_id % 5) FROM met UNION ALL SELECT root, url FROM met)
+SELECT root, count(*) AS urls_count, count(DISTINCT loc) AS urls, md5(string_agg(DISTINCT loc, chr(10) ORDER BY loc)) AS digest FROM locs GROUP BY root""")
+def _(read):
+    """A sitemap for each page: of three one is an index of others, which leads in loops, and two list addresses."""
+    k = c("page_id")
+    entry = lambda name, loc: F.concat(F.lit(f"<{name}>\n<loc> "), loc, F.lit(f" </loc></{name}>"))
+    index_of = F.concat(F.lit("<sitemapindex xmlns='x'>"), *(entry("sitemap", F.concat(F.lit("map/"), x.cast("string"))) for x in (k + 1, k + 2, k + 2, 3 * F.floor(k / 6), 2 * k)), F.lit("</sitemapindex>"))
+    url = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    pages_of = F.concat(F.lit("<urlset>"), entry("url", url), entry("url", F.concat(F.lit("https://e.org/?a=1&amp;b="), (k % 5).cast("string"))), entry("url", url), F.lit("</urlset>"))
+    docs = read("pages").select(F.concat(F.lit("map/"), k.cast("string")).alias("map"), F.when(k % 3 == 0, index_of).otherwise(pages_of).alias("xml"))
+    roots = read("pages").where(k % 10 == 0).select(F.concat(F.lit("map/"), k.cast("string")).alias("root"))
+    found = expand_sitemaps(docs, roots, "map", "xml")
+    return found.select(F.substring_index("root", "/", -1).cast("long").alias("root"), "urls_count", F.size("urls").cast("long").alias("urls"), F.md5(F.array_join("urls", "\n")).alias("digest"))
+
+
+_NESTED = """concat('{"a": {"b": ', props, '}, "t": "x } ] \\" {", "l": [[1], {"k": []}]}')"""
+
+
+@query("h47_nested_json", f"""SELECT event_id, CASE event_id % 5 WHEN 3 THEN concat('[', {_NESTED}, ', "]"]') WHEN 4 THEN NULL ELSE {_NESTED} END AS reply FROM events""")
+def _(read):
+    kind, nested = c("event_id") % 5, F.concat(F.lit('{"a": {"b": '), "props", F.lit('}, "t": "x } ] \\" {", "l": [[1], {"k": []}]}'))
+    reply = (
+        F.when(kind == 0, F.concat(F.lit("Here [1]:\n```json\n"), nested, F.lit("\n```\nDone."))).when(kind == 1, F.concat(F.lit("It is "), nested, F.lit(" } ]"))).when(kind == 2, F.concat(nested, F.lit("{}")))
+        .when(kind == 3, F.concat(F.lit("so: ["), nested, F.lit(', "]"] and ['))).otherwise(F.concat(F.lit("none { "), "props"))
+    )
+    return read("events").select("event_id", replies.extract_json(reply).alias("reply"))
+
+
+@query("h51_flattened", """SELECT event_id, concat('{"p":', replace(props, ' ', ''), '}') AS a, concat(event_id, ', x, True, 0.5') AS b, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS c, NULL AS d, '[1,null]' AS e, event_type AS f, CAST(user_id AS VARCHAR) AS g, json_extract_string(props, '$.k') AS k FROM events""")
+def _(read):
+    record = F.concat(F.lit('{"a": {"p": '), "props", F.lit('}, "b": ['), "event_id", F.lit(', "x", true, 0.5], "c": '), F.when(c("event_id") % 2 == 0, "true").otherwise("false"), F.lit(', "d": null, "e": [1, null], "f": "'), "event_type", F.lit('", "g": '), "user_id", F.lit("}"))
+    fields = replies.flattened_fields(record)
+    own = read("events").select("event_id", fields.alias("m"), replies.flattened_fields(c("props")).alias("p"))
+    return own.select("event_id", *(c("m")[x].alias(x) for x in "abcdefg"), c("p")["k"].alias("k"))
+
+
+_ROLES = ["For the ", "Mr ", "", "Ms ", "Mr "]
+_SPOKEN_LINES = f"(SELECT doc_id, i, CASE WHEN line = '' THEN '' ELSE concat({'CASE (doc_id + i) % 7 ' + ' '.join(f'WHEN {k} THEN {chr(39)}{x}{chr(39)}' for k, x in enumerate(_ROLES))} ELSE '' END, line, CASE WHEN (doc_id + i) % 7 = 4 THEN ' (Self-represented)' ELSE '' END) END AS line FROM (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))))"
+
+
+@query("h53_pair_counsel", rf"""WITH t AS (SELECT doc_id, i, trim(regexp_replace(replace(line, '&nbsp;', ' '), '[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}]+', ' ', 'g'), ' ') AS line FROM {_SPOKEN_LINES}),
+k AS (SELECT *, CASE WHEN contains(line, 'Self-represented') THEN 1 WHEN contains(line, 'For the ') THEN 2 WHEN contains(line, 'Mr') OR contains(line, 'Ms') OR contains(line, 'SC') THEN 3 ELSE 4 END AS kind FROM t WHERE line <> '' AND lower(line) NOT IN ('n/a', '[not available]', '[n/a]', 'not applicable')),
+n AS (SELECT *, lead(line) OVER w AS next, lead(kind) OVER w AS next_kind FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+SELECT doc_id, i, md5(CASE kind WHEN 1 THEN replace(line, ' (Self-represented)', '') ELSE line END) AS counsel, md5(CASE WHEN kind = 1 THEN 'Self-represented' WHEN next_kind = 4 THEN next END) AS firm FROM n WHERE kind IN (1, 3)""")
+def _(read):
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), "line")
+    kind, role = (c("doc_id") + c("i")) % 7, F.lit("")
+    for k, name in enumerate(_ROLES):
+        role = F.when(kind == k, name).otherwise(role)
+    spoken = F.when(c("line") == "", "").otherwise(F.concat(role, "line", F.when(kind == 4, " (Self-represented)").otherwise("")))
+    found = lay.pair_counsel(lines.withColumn("line", spoken), "doc_id", "i", "line")
+    return found.select("doc_id", "i", F.md5("counsel").alias("counsel"), F.md5("law_firm_agency").alias("firm"))
+
+
+_TAGS = ["Paragraph", "Footnote", "Heading-h2", "List-l1", "Table of Contents", "Header", "Title"]
+_ITEMS = f"(SELECT doc_id, i, CASE (doc_id + i) % 8 {' '.join(f'WHEN {k} THEN {chr(39)}{x}{chr(39)}' for k, x in enumerate(_TAGS))} END AS tag, CASE WHEN i % 5 = 1 THEN CASE i % 3 WHEN 0 THEN ' Contents ' WHEN 1 THEN 'Page no. 12' ELSE 'PAGE 7 ' END ELSE line END AS content FROM {_LINES})"
+
+
+def _items(read) -> DataFrame:
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), F.btrim("line", F.lit(" \t\r")).alias("line"))
+    tag = F.get(F.array(*map(F.lit, _TAGS)), ((c("doc_id") + c("i")) % 8).cast("int"))
+    odd = F.when(c("i") % 3 == 0, " Contents ").when(c("i") % 3 == 1, "Page no. 12").otherwise("PAGE 7 ")
+    return lines.select("doc_id", "i", tag.alias("tag"), F.when(c("i") % 5 == 1, odd).otherwise(c("line")).alias("content"))
+
+
+@query("h44_kept_items", rf"""WITH k AS (SELECT doc_id, i, coalesce(tag, 'Paragraph') AS tag, CASE WHEN coalesce(tag, '') NOT IN ('Footnote', 'Heading-h2', 'Title') AND regexp_matches(lower(trim(content)), '^page(\s*no\.?)?(\s*\d+)?\s*$') THEN '' ELSE content END AS content FROM {_ITEMS}
+WHERE coalesce(tag, '') NOT IN ('Table of Contents', 'Header') AND NOT (tag = 'Heading-h2' AND lower(trim(content)) = 'contents') IS TRUE)
+SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY tag = 'Footnote', i) AS shown_at, tag, md5(content) AS digest FROM k""")
+def _(read):
+    return lay.kept_items(_items(read), "doc_id", "i", "tag", "content").select("doc_id", "i", c("shown_at").cast("long").alias("shown_at"), "tag", F.md5("content").alias("digest"))
+
+
+@query("h46_carried_labels", f"""WITH m AS (SELECT doc_id, i, content, tag IS NOT DISTINCT FROM 'List-l1' AS is_label FROM {_ITEMS}), n AS (SELECT *, lag(CASE WHEN is_label THEN content END) OVER w AS before, lead(is_label) OVER w AS after FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+SELECT doc_id, i, md5(CASE WHEN NOT is_label AND before IS NOT NULL THEN concat(before, ' ', ltrim(content, ' ')) ELSE content END) AS digest FROM n WHERE NOT is_label OR after IS NULL""")
+def _(read):
+    return lay.carried(_items(read), "doc_id", "i", c("tag") == "List-l1", "content").select("doc_id", "i", F.md5("content").alias("digest"))
+
+
+@query("o3_rules_from_table", rf"""WITH l AS (SELECT doc_id, i, line FROM {_LINES}), r AS (SELECT n_nationkey AS place, concat('h', n_regionkey % 4 + 1) AS level, concat(CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE '(?i)' END, '^', substr(n_name, 1, 1), '\w*', lower(substr(n_name, 2, 1))) AS pattern FROM nation)
+SELECT doc_id, i, arg_min(level, place) AS level FROM l JOIN r ON regexp_matches(line, pattern) WHERE length(line) BETWEEN 2 AND 250 AND NOT regexp_matches(line, '{head.any_of(head.ENUMERATIONS)}') GROUP BY doc_id, i""")
+def _(read):
+    """Heading rules made from the nations' first two letters, on the lines of documents."""
+    pattern = F.concat(F.lit("^"), F.substr("n_name", F.lit(1), F.lit(1)), F.lit(r"\w*"), F.lower(F.substr("n_name", F.lit(2), F.lit(1))))
+    table = read("nation").select(c("n_nationkey").alias("place"), F.concat(F.lit("h"), (c("n_regionkey") % 4 + 1).cast("string")).alias("level"), (c("n_nationkey") % 2 == 0).alias("case_counts"), pattern.alias("pattern"))
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), F.btrim("line", F.lit(" \t\r")).alias("line"))
+    return lines.select("doc_id", "i", head.heading_level(c("line"), lay.rules_from(table)).alias("level")).where("level IS NOT NULL")
