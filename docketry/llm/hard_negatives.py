@@ -1,8 +1,8 @@
 """Hard negatives from Hilbert-ordered blocks with zone maps.
 
-Vectors are put in the order of a Hilbert curve through their most spread dimensions and stored as Parquet rows of
-``BLOCK`` vectors each, with the least and greatest value of every dimension and the labels of the block. Anchors, in
-the same order, are groups of at most ``GROUP``. A search has asks: an anchor, a window of scores, and whether labels
+Vectors are put in the order of a Hilbert curve through their most spread dimensions and stored as Parquet rows of a
+block of vectors each, with the least and greatest value of every dimension and the labels of the block. Anchors, in
+the same order, are groups of bounded size. A search has asks: an anchor, a window of scores, and whether labels
 must be equal. Interval arithmetic over a block's zone map bounds the scores that an anchor can have there; a group
 reads the blocks in which one of its asks can be met, and no others. Each anchor's own block, which is read first of all,
 gives a lower end to its windows, so that the bounds of other blocks have something to fall short of.
@@ -14,6 +14,7 @@ best candidates of the groups that it has met, which are handed on when they bec
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,19 @@ from pyspark.sql import functions as F
 
 from docketry.llm.store import shuffle_width, stored
 
-BLOCK, GROUP, PAGE, SEEN, HELD = 512, 128, 128, 64, 400_000
+
+@dataclass(frozen=True)
+class Sizes:
+    """Vectors in a block, anchors in a group, zone maps in a page on average, scores that an anchor keeps of its own
+    block, candidates that a task holds before it sorts out the best."""
+
+    block: int = 512
+    group: int = 128
+    page: int = 128
+    seen: int = 64
+    held: int = 400_000
+
+
 KEY_DIMENSIONS, KEY_BITS = 15, 4
 LEAST, MOST = -(1 << 62), 1 << 62
 
@@ -101,18 +114,21 @@ def bounds(anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
 _BLOCK = "block long, n int, width int, ids array<long>, labels array<long>, vectors binary, dimensions int, low array<long>, high array<long>, kinds array<long>, anchors array<int>"
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        held.append(batch[["vec_id", "label", "vector", "anchor"]])
-        if sum(map(len, held)) >= BLOCK:
-            rows = pd.concat(held)
-            full = len(rows) // BLOCK * BLOCK
-            for at in range(0, full, BLOCK):
-                yield _block(rows.iloc[at : at + BLOCK])
-            held = [rows.iloc[full:]]
-    if sum(map(len, held)):
-        yield _block(pd.concat(held))
+def _blocks(size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch[["vec_id", "label", "vector", "anchor"]])
+            if sum(map(len, held)) >= size:
+                rows = pd.concat(held)
+                full = len(rows) // size * size
+                for at in range(0, full, size):
+                    yield _block(rows.iloc[at : at + size])
+                held = [rows.iloc[full:]]
+        if sum(map(len, held)):
+            yield _block(pd.concat(held))
+
+    return run
 
 
 def _block(rows: pd.DataFrame) -> pd.DataFrame:
@@ -136,7 +152,7 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def in_blocks(vectors: DataFrame) -> DataFrame:
+def in_blocks(vectors: DataFrame, size: int = Sizes.block) -> DataFrame:
     """vectors: vec_id long, label long, vector array<long>, anchor boolean, one row for each vec_id. Stored in blocks
     along the curve; a block is named by its least vec_id."""
 
@@ -156,27 +172,27 @@ def in_blocks(vectors: DataFrame) -> DataFrame:
     # A row for each dimension at most, whatever the number of vectors.
     found = total.orderBy(F.desc("spread"), "k").limit(KEY_DIMENSIONS).collect()
     dims, low = np.array([r["k"] for r in found], int), np.array([r["low"] for r in found])
-    size = np.array([max(r["high"] - r["low"], 1.0) for r in found])
+    width = np.array([max(r["high"] - r["low"], 1.0) for r in found])
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             m = _matrix(batch["vector"].tolist())
             m = np.pad(m, ((0, 0), (0, max(0, int(dims.max(initial=-1)) + 1 - m.shape[1]))))
-            cells = np.floor((m[:, dims] - low) / size * (1 << KEY_BITS)).clip(0, (1 << KEY_BITS) - 1).astype(np.int64)
+            cells = np.floor((m[:, dims] - low) / width * (1 << KEY_BITS)).clip(0, (1 << KEY_BITS) - 1).astype(np.int64)
             batch["key"] = hilbert_keys(cells, KEY_BITS) if len(dims) else 0
             yield batch
 
     along = plain.mapInPandas(keyed, "vec_id long, label long, vector array<long>, anchor boolean, key long")
     ordered = along.repartitionByRange(shuffle_width(vectors.sparkSession), "key", "vec_id").sortWithinPartitions("key", "vec_id")
-    return stored(ordered.mapInPandas(_blocks, _BLOCK), "blocks")
+    return stored(ordered.mapInPandas(_blocks(size), _BLOCK), "blocks")
 
 
 _GROUP = "group long, n int, width int, ids array<long>, labels array<long>, vectors binary, floor array<long>, seen array<array<long>>"
 
 
-def _groups(positives: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _groups(positives: int, sizes: Sizes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Groups of anchors; of each, from its own block: the score that its positives reach at least (floor) and the
-    best ``SEEN`` scores of other labels."""
+    best scores of other labels."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
@@ -186,11 +202,11 @@ def _groups(positives: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
                 scores = products(matrix[row.anchors], matrix)
                 for k, own in zip(row.anchors, scores, strict=True):
                     same = np.delete(own, k)[np.delete(labels, k) == labels[k]]
-                    other = -np.sort(-own[labels != labels[k]])[:SEEN]
+                    other = -np.sort(-own[labels != labels[k]])[: sizes.seen]
                     held.append((int(row.ids[k]), int(labels[k]), matrix[k], int(-np.sort(-same)[positives - 1]) if len(same) >= positives else LEAST, other))
-                while len(held) >= GROUP:
-                    yield _group(held[:GROUP])
-                    held = held[GROUP:]
+                while len(held) >= sizes.group:
+                    yield _group(held[: sizes.group])
+                    held = held[sizes.group :]
         if held:
             yield _group(held)
 
@@ -262,7 +278,7 @@ def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return found[found.groupby(["anchor_id", "ask"]).cumcount() < k]
 
 
-def _scored(same: bool, k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _scored(same: bool, k: int, most_held: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The best k rows of each ask among the blocks of this task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -287,10 +303,10 @@ def _scored(same: bool, k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
                 found = pd.DataFrame({"group": row.group, "anchor_id": ids[a[fits]], "ask": np.asarray(row.ask)[ask[fits]], "score": score[fits], "vec_id": others[b[fits]]})
                 held.append(_best(found, k))
                 size += len(held[-1])
-            if size > HELD:
+            if size > most_held:
                 held = [_best(pd.concat(held), k)]
                 size = len(held[0])
-                if 2 * size > HELD:
+                if 2 * size > most_held:
                     yield held.pop()
                     size = 0
         if held:
@@ -299,19 +315,19 @@ def _scored(same: bool, k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     return run
 
 
-def _searched(asks: DataFrame, blocks: DataFrame, pages: DataFrame, n_pages: int, same: bool, k: int) -> DataFrame:
+def _searched(asks: DataFrame, blocks: DataFrame, pages: DataFrame, n_pages: int, same: bool, k: int, sizes: Sizes) -> DataFrame:
     """(group, anchor_id, ask, place, score, vec_id): the best k rows of each ask, places from 1."""
     asks = stored(asks, "asks")
     wanted = asks.select("group", "n", "width", "labels", "vectors", "of", "low", "high", F.explode(F.sequence(F.lit(0), F.lit(n_pages - 1))).alias("page"))
     chosen = wanted.join(pages, "page").mapInPandas(_chosen(same), "group long, block long")
     read = blocks.select("block", *(F.col(x).alias(f"of_{x}") for x in ("n", "width", "ids", "labels", "vectors")))
     met = chosen.join(asks, "group").join(read, "block")
-    found = met.mapInPandas(_scored(same, k), "group long, anchor_id long, ask int, score long, vec_id long")
+    found = met.mapInPandas(_scored(same, k, sizes.held), "group long, anchor_id long, ask int, score long, vec_id long")
     order = Window.partitionBy("anchor_id", "ask").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
-def hard_negatives(vectors: DataFrame, positives: int = 5, negatives: int = 3, low_percent: int = 50, high_percent: int = 95) -> DataFrame:
+def hard_negatives(vectors: DataFrame, positives: int = 5, negatives: int = 3, low_percent: int = 50, high_percent: int = 95, sizes: Sizes = Sizes()) -> DataFrame:
     """vectors: vec_id, label (whole numbers), vector array<long>, anchor boolean; further columns are not read.
 
     Returns (anchor_id, positive_id, rank, negative_id, positive_score, negative_score): for each anchor and each of its
@@ -325,15 +341,15 @@ def hard_negatives(vectors: DataFrame, positives: int = 5, negatives: int = 3, l
     own = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("vector").cast("array<long>"), F.coalesce("anchor", F.lit(False)).alias("anchor"))
     own = own.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL)")
     own = own.groupBy("vec_id").agg(F.min(F.struct("label", "vector", "anchor")).alias("x")).select("vec_id", "x.*")
-    blocks = in_blocks(own)
-    n_pages = max(1, -(-blocks.count() // PAGE))
+    blocks = in_blocks(own, sizes.block)
+    n_pages = max(1, -(-blocks.count() // sizes.page))
     zones = blocks.select(F.pmod(F.xxhash64("block"), F.lit(n_pages)).cast("int").alias("page"), F.struct("block", "low", "high", "kinds").alias("zone"))
     pages = stored(zones.groupBy("page").agg(F.collect_list("zone").alias("zones")), "zones")
-    groups = stored(blocks.select("n", "width", "ids", "labels", "vectors", "anchors").mapInPandas(_groups(positives), _GROUP), "groups")
-    first = _searched(groups.drop("seen").mapInPandas(_first_asks, _ASKS), blocks, pages, n_pages, True, positives)
+    groups = stored(blocks.select("n", "width", "ids", "labels", "vectors", "anchors").mapInPandas(_groups(positives, sizes), _GROUP), "groups")
+    first = _searched(groups.drop("seen").mapInPandas(_first_asks, _ASKS), blocks, pages, n_pages, True, positives, sizes)
     first = stored(first.select("group", "anchor_id", "place", F.col("score").alias("positive_score"), F.col("vec_id").alias("positive_id")), "positives")
     met = first.groupBy("group").agg(F.collect_list(F.struct("anchor_id", "place", F.col("positive_score").alias("score"))).alias("met"))
     asks = groups.drop("floor").join(met, "group").mapInPandas(_window_asks(negatives, low_percent, high_percent), _ASKS)
-    second = _searched(asks, blocks, pages, n_pages, False, negatives)
+    second = _searched(asks, blocks, pages, n_pages, False, negatives, sizes)
     second = second.select("anchor_id", F.col("ask").alias("place"), F.col("place").alias("rank"), F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     return second.join(first.drop("group"), ["anchor_id", "place"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -219,11 +219,13 @@ class Model:
         ids = np.frombuffer(packed, "<u4")
         if len(ids) and int(ids.max()) >= self.n:
             raise ValueError("an id lies outside the model")
-        ids = ids[~self.control[ids]]
-        plain = b"".join(map(self.surface.__getitem__, ids.tolist()))
-        if len(ids) and self.marked[ids[0]]:
-            plain = plain[1:]
-        return plain.decode("utf-8", "docketry.each_byte")
+        # Bytes on two sides of a control piece are no one character.
+        parts, edges = [], np.flatnonzero(np.concatenate([[True], self.control[ids], [True]]))
+        for low, high in zip(edges[:-1], edges[1:] - 1, strict=True):
+            if low < high:
+                plain = b"".join(map(self.surface.__getitem__, ids[low:high].tolist()))
+                parts.append((plain[1:] if not parts and self.marked[ids[low]] else plain).decode("utf-8", "docketry.each_byte"))
+        return "".join(parts)
 
 
 def _slices(texts: list[str]) -> Iterator[list[str]]:
