@@ -1,0 +1,354 @@
+"""Pages as nodes, fuzzy containment, sitemaps, trees, replies, items: against plain versions and by cases."""
+
+import json
+import os
+import random
+import re
+from html.parser import HTMLParser
+
+import pytest
+from pyspark.sql import functions as F
+
+from docketry.functions import headings, replies
+from docketry.operators import fuzzy, items, pages
+from docketry.plans import registry
+from docketry.sources.nodes import page_nodes, scanned
+from docketry.sources.sitemaps import expand_sitemaps
+
+SF = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
+
+
+def common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def plain_score(a, b):
+    """Every window of the longer text, each compared by the table of common subsequences."""
+    a, b = sorted((a, b), key=len)
+    if not a:
+        return 0
+
+    def best(a, b):
+        m = len(a)
+        windows = [b[i : i + m] for i in range(len(b) - m + 1)] + [b[:k] for k in range(1, m)] + [b[-k:] for k in range(1, m)]
+        return max(2 * common(a, w) / (m + len(w)) for w in windows if w)
+
+    return round(100 * max(best(a, b), best(b, a) if len(a) == len(b) else 0))
+
+
+def test_window_score_is_exact():
+    r = random.Random(5)
+    for _ in range(600):
+        letters = "abcdefghijklmnop"[: r.choice([2, 3, 5, 16])]
+        b = "".join(r.choices(letters, k=r.randint(0, 40)))
+        a = list(b[3 : 3 + r.randint(0, 14)] if r.random() < 0.6 else r.choices(letters, k=r.randint(0, 15)))
+        if a:
+            a[r.randrange(len(a))] = r.choice(letters)
+        assert fuzzy.window_score("".join(a), b) == plain_score("".join(a), b)
+
+
+def test_fuzzy_labels(spark):
+    text = "The quick, brown fox jumps over the lazy dog. " * 3
+    cases = {
+        ("quick brown fox", text): "Verified (Match 100%)", ("quick brawn fox", text): "Verified (Match 93%)", ("zzzz qqqq", text): None, ("fox", text): "Verified (Exact Match)",
+        ("cat", text): "Failed (Exact Mismatch - Short)", ("...", text): "Not Verified (Empty Normalized Item Content)", ("", text): "Failed (Invalid Or Empty Content Field)",
+        (None, text): "Failed (Invalid Or Empty Content Field)", ("fox", None): "Skipped (No Direct Text)", ("fox", "!"): "Skipped (No Direct Text)",
+    }
+    rows = spark.createDataFrame([(i, *k) for i, k in enumerate(cases)], "i int, a string, b string").select("i", fuzzy.fuzzy_check(F.col("a"), F.col("b")).alias("x")).orderBy("i").collect()
+    for row, want in zip(rows, cases.values(), strict=True):
+        assert row["x"] == want or want is None and row["x"].startswith("Failed (Match ")
+
+
+class Plain(HTMLParser):
+    """The content of a page by a stack that is walked through for each text."""
+
+    void = {"br", "img", "meta", "link", "hr", "input"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.texts, self.held, self.count, self.seen = [], [], [], 0, []
+
+    def out(self):
+        text, self.held = "".join(self.held).strip(), []
+        if len(text) > 1:
+            self.texts.append((list(self.stack), text))
+
+    def handle_starttag(self, tag, attrs):
+        self.out()
+        if tag not in self.void:
+            self.count += 1
+            self.stack.append((tag, {k: v or "" for k, v in attrs}, self.count))
+            self.seen.append(list(self.stack))
+
+    def handle_endtag(self, tag):
+        self.out()
+        if tag in [t for t, _, _ in self.stack]:
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        self.held.append(data)
+
+    def handle_comment(self, data):
+        self.out()
+
+    handle_decl = handle_comment
+
+
+def plain_content(html):
+    p = Plain()
+    p.feed(html)
+    p.close()
+    p.out()
+    drop = lambda t, a: t in pages.SKIPPED or any(x in a.get("class", "").lower() for x in pages.NOTE_CLASSES)
+    open_texts = [(s, x) for s, x in p.texts if not any(drop(t, a) for t, a, _ in s)]
+    shown = [s[-1] for s in p.seen if not any(drop(t, a) for t, a, _ in s)]
+    mains = [n for t, a, n in shown if t == "main" and a.get("id") == "content"]
+    bodies = [n for t, a, n in shown if t == "body"]
+    root = (mains or bodies or [None])[0]
+    if root is not None:
+        open_texts = [(s, x) for s, x in open_texts if root in [n for _, _, n in s]]
+    noted = lambda a: a.get("id", "").lower().startswith(("note", "footnote", "marginal-note", "marginal_note")) or a.get("id") == "navigator"
+    return re.sub(" {2,}", " ", "\n".join(x for s, x in open_texts if not (s and noted(s[-1][1])))).strip()
+
+
+def random_page(r):
+    out = ["<body>"] if r.random() < 0.7 else []
+    for _ in range(r.randint(0, 40)):
+        k = r.random()
+        tag = r.choice(["div", "p", "b", "nav", "main", "span", "head"])
+        if k < 0.4:
+            extra = r.choice(["", "", ' class="Side-Note"', ' id="note-1"', ' id="content"', ' class="x footnotes"', ' id="navigator"', " class"])
+            out.append(f"<{tag}{extra}>")
+        elif k < 0.6:
+            out.append(f"</{tag}>")
+        else:
+            out.append(r.choice(["text one", "x", " two &amp; more ", "<!-- no -->", "<br>", "word", "<script>var a='</p>';</script>"]))
+    return "".join(out)
+
+
+def test_content_of_nested_pages(spark):
+    r = random.Random(11)
+    html = [random_page(r) for _ in range(300)] + ["", "plain text", "<p>open <b>tags", "</div></p>only ends", "<div class='note'>" * 50 + "in" + "</div>" * 49 + "still in</div>out of it", "<p>" + "long words " * 30_000 + "</p>"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(html)] + [(9999, None)], "id int, html string")
+    got = {row["id"]: row["text"] for row in pages.content_text(page_nodes(df, "id", "html"), "id").collect()}
+    assert 9999 not in got and 300 not in got
+    for i, x in enumerate(html):
+        if i in got:
+            assert got[i] == plain_content(x), x
+        else:
+            assert not scanned(x)
+
+
+def test_nodes_know_their_ranges():
+    rows = scanned("<ul><li>a<li>b</li></ul><p>c")
+    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [(0, None, 4, "ul"), (1, 0, 4, "li"), (2, 1, 2, None), (3, 1, 4, "li"), (4, 3, 4, None), (5, None, 6, "p"), (6, 5, 6, None)]
+    assert rows[4][5] == ["ul", "li", "li"] and rows[4][6] == [0, 1, 3]
+
+
+def nodes_of(spark, html, *whole):
+    return page_nodes(spark.createDataFrame([(1, html), (2, None), (3, "")], "page int, html string"), "page", "html", whole)
+
+
+def test_style_levels(spark):
+    html = "<style>.t{font-size:20px;font-weight:bold}.s{font-size:15px;font-weight:bold}.s{color:red}.u{font-size:40px}.n{font-size:14px;font-weight:bold}</style>"
+    html += "<div class='t'> </div><div class='zz t'>One <span class='t'>in</span></div><p class='t s'>Two</p><p class='s t'>Three</p><p class='u'>x</p><p class='n'>x</p><b class='t'>x</b><p>x</p><style>.p{font-size:30px}</style>"
+    got = pages.style_levels(nodes_of(spark, html, *pages.STYLED), "page").orderBy("node").collect()
+    assert [(r["level"], r["text"]) for r in got] == [("h1", "Onein"), ("h2", "Two"), ("h4", "Three")]
+    assert pages.style_levels(nodes_of(spark, "<p class='t'>no styles</p>", *pages.STYLED), "page").count() == 0
+
+
+def test_inline_levels(spark):
+    cases = [
+        ("<h2>a</h2>", 2), ("<p style='font-size:180%'>a</p>", 1), ("<p style='font-size:147%'>PART 1</p>", 1), ("<p style='font-size:147%'>Part 1</p>", None), ("<p style='font-size:127%'>Division 2</p>", 2),
+        ("<p style='font-size:107%'>1.2.3 x</p>", 3), ("<p style='font-size:107%'>1.2.3.4.5.6.7 x</p>", 5), ("<div style='font-size : 150%'>a</div>", 1), ("<div style='font-size:149%'>a</div>", None),
+        ("<p>no <b>schedule 12</b></p>", 1), ("<p><b>3.2 Allowances</b></p>", 3), ("<p><b>Allowances</b></p>", None), ("<p>1 Name</p>", None), ("<p></p>", None),
+    ]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "page int, html string")
+    tags = ["p", "div", "h2"]
+    got = {r["page"]: r["level"] for r in pages.inline_levels(page_nodes(df, "page", "html", (*tags, "b")), "page", tags).collect()}
+    assert got == {i: level for i, (_, level) in enumerate(cases) if level}
+
+
+def plain_place(rows, wanted):
+    """The strategies one after the other over all elements."""
+    tidy = lambda x: " ".join(x.replace("&nbsp;", " ").split())
+    wanted = tidy(wanted)
+    texts = [r[7] if r[3] is None else None for r in rows]
+    elements = [(r[0], r[3], tidy("".join(t for t in texts[r[0] + 1 : r[2] + 1] if t))) for r in rows if r[3] in pages.EXACT_IN]
+    by = lambda tags: sorted((e for e in elements if e[1] in tags), key=lambda e: (tags.index(e[1]), e[0]))
+    for node, _, text in by(pages.EXACT_IN):
+        if text == wanted:
+            return 1, node
+    for node, _, text in by(pages.PREFIX_IN):
+        if text.startswith(wanted) and len(text) - len(wanted) < 50:
+            return 2, node
+    p = by(["p"])
+    for i in range(len(p)):
+        for j in range(i + 1, min(i + 6, len(p))):
+            if tidy(" ".join(x[2] for x in p[i : j + 1])) == wanted:
+                return 3, p[i][0]
+    words = set(wanted.lower().split())
+    if len(words) > 4:
+        for node, _, text in by(pages.OVERLAP_IN):
+            if len(words & set(text.lower().split())) / len(words) >= 0.85:
+                return 4, node
+    return None
+
+
+@needs_tables
+def test_headings_where_a_plain_search_finds_them(spark):
+    read = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
+    html = {r["page_id"]: scanned(r["html"]) for r in read("pages").collect()}
+    got = {(r["page_id"], r["number"]): (r["strategy"], r["node"]) for r in registry.QUERIES["j6_locate_headings"](spark, SF).collect()}
+    for page, number, heading in registry.wanted_headings(read).collect():
+        assert got.get((page, number)) == plain_place(html[page], heading), (page, number, heading)
+    assert {s for s, _ in got.values()} == {1, 2, 3, 4}
+
+
+def test_headings_by_cases(spark):
+    html = "<p>Short</p><p>Part&nbsp;1  Names</p><p>Act of</p><p>the <b>year</b></p><div>alpha beta gamma delta epsilon zeta eta and more words follow here to make it a long text indeed</div><td>Sho</td>"
+    asked = [(1, "Part 1 Names"), (2, "Sh"), (3, "Act of the year"), (4, "zeta ALPHA beta gamma delta epsilon eta"), (5, "nowhere"), (6, None), (7, "alpha beta gamma delta"), (8, "year")]
+    df = spark.createDataFrame([(1, i, x) for i, x in asked] + [(2, 1, "Short"), (None, 1, "Short")], "page int, n int, h string")
+    got = pages.locate_headings(df, nodes_of(spark, html, *pages.EXACT_IN), "page", "n", "h").collect()
+    rows = scanned(html)
+    assert {(r["page"], r["n"]): (r["strategy"], r["node"]) for r in got} == {(1, i): plain_place(rows, x) for i, x in asked if x and plain_place(rows, x)}
+
+
+def test_key_values(spark):
+    html = "<table class='metadata'><tr><td> Citation </td><td>a<br> b</td></tr><tr><td>Judge</td><td>x</td></tr><tr><td>Judgment of</td><td>y</td></tr><tr><td>Orders</td><td>N/A</td></tr><tr><td>Parties</td><td></td></tr><tr><th>Category</th><td>z</td></tr></table>"
+    got = pages.key_values(nodes_of(spark, html, "td"), "page").collect()
+    assert {(r["field"], r["value"]) for r in got} == {("citation", "a b"), ("presiding_officer", "y")}
+    assert pages.key_values(nodes_of(spark, "<table><tr><td>Citation</td><td>a</td></tr></table>", "td"), "page").count() == 0
+
+
+def test_merged_labels(spark):
+    html = "<ul><li><inline class='li-label'>(a)</inline><p>one</p><p>two</p></li><li><inline class='li-label'> </inline><p>none</p></li><li><inline class='li-label-bullet'>*</inline><p> three</p></li>"
+    html += "<li><inline class='li-label'>(b)</inline><ul><li><p>inner</p></li></ul></li><li><inline class='other'>(c)</inline><p>x</p></li></ul>"
+    got = pages.merged_labels(nodes_of(spark, html, "inline", "p"), "page").orderBy("node").collect()
+    assert [r["text"] for r in got] == ["(a) one", "* three"]
+
+
+def test_sitemaps(spark):
+    loc = lambda kind, *urls: "".join(f"<{kind}><loc>\n {u} </loc></{kind}>" for u in urls)
+    docs = [
+        ("r", f"<sitemapindex>{loc('sitemap', 'a', 'b', 'b', 'gone', 'r')}{loc('url', 'not-this')}</sitemapindex>"), ("a", f"<sitemapindex xmlns='u'>{loc('sitemap', 'r', 'c')}</sitemapindex>"),
+        ("b", f"<urlset>{loc('url', 'p1', 'p2?x=1&amp;y=2', 'p1')}<url></url></urlset>"), ("c", "<ns:urlset><ns:url><ns:loc><![CDATA[p3]]></ns:loc></ns:url></ns:urlset>" + loc("url", "p1")), ("e", None), ("f", "no xml <"),
+    ]
+    df = spark.createDataFrame(docs, "url string, xml string")
+    roots = spark.createDataFrame([("r",), ("b",), ("e",), ("f",), ("absent",), (None,), ("r",)], "root string")
+    got = {r["root"]: (r["urls_count"], r["urls"]) for r in expand_sitemaps(df, roots).collect()}
+    assert got == {"r": (5, ["p1", "p2?x=1&y=2", "p3"]), "b": (3, ["p1", "p2?x=1&y=2"])}
+    assert expand_sitemaps(df.limit(0), roots).count() == 0
+
+
+def test_tree_paths_of_a_deep_tree_and_of_loops(spark):
+    deep = [(1, i, i - 1 if i else None, f"n{i}") for i in range(200)]
+    other = [(2, 0, 1, "x"), (2, 1, 0, "y"), (2, 2, 1, "z"), (3, 5, 77, None), (3, 6, 5, "b")]
+    got = {(r["k"], r["node"]): (r["root"], r["depth"], r["path"]) for r in replies.tree_paths(spark.createDataFrame(deep + other, "k int, id int, up int, label string"), "k", "id", "up", "label").collect()}
+    assert all(got[1, i] == (0, i, "/".join(f"n{j}" for j in range(i + 1))) for i in range(200))
+    assert {k: v for k, v in got.items() if k[0] > 1} == {(3, 5): (5, 0, ""), (3, 6): (5, 1, "/b")}
+    assert replies.tree_paths(spark.createDataFrame([], "k int, id int, up int, label string"), "k", "id", "up", "label").count() == 0
+
+
+@needs_tables
+def test_tree_paths_are_those_of_the_scanner(spark):
+    nodes = page_nodes(spark.read.parquet(f"{SF}/pages.parquet"), "page_id", "html").where("tag IS NOT NULL")
+    paths = replies.tree_paths(nodes, "page_id", "node", "parent", "tag")
+    own = nodes.select("page_id", "node", F.concat_ws("/", "path", "tag").alias("own"))
+    met = own.join(paths, ["page_id", "node"]).select((F.col("own") == F.col("path")).alias("same"))
+    assert met.where("same").count() == nodes.count()
+
+
+def test_flatten_tree(spark):
+    deep = '{"id":"x","children":[' * 30 + "]}" * 30
+    df = spark.createDataFrame([(1, deep), (2, None), (3, "no json"), (4, '{"id":1,"children":[null,{"id":"b","children":"no list"},7]}'), (5, "[]")], "k int, t string")
+    rows = replies.flatten_tree(df, "k", "t").collect()
+    assert sorted(r["depth"] for r in rows if r["k"] == 1) == list(range(30))
+    assert {(r["node"], r["parent"], r["place"], r["id"]) for r in rows if r["k"] == 4} == {("0", None, 0, "1"), ("0.1", "0", 1, "b"), ("0.2", "0", 2, None)}
+    assert {r["k"] for r in rows} == {1, 4, 5}
+    assert replies.flatten_tree(df.where("k = 2"), "k", "t").count() == 0
+
+
+def test_first_json():
+    cases = [
+        ('a {"x": "}"} b', '{"x": "}"}'), ('[1, "]", {"a": [2]}] {', '[1, "]", {"a": [2]}]'), ('{"a": "\\"}{"}', '{"a": "\\"}{"}'), ("{not json} {}", None), ("none", None), ("", None), ("{", None),
+        ("```json\n[1,\n2]\n``` {}", "[1,\n2]"), ("```json\n{bad}\n```", "{bad}"), ("```\n{}\n```", "{}"), ("[" * 5000, None),
+    ]
+    for text, want in cases:
+        assert replies.first_json(text) == want, text
+    r = random.Random(2)
+    for _ in range(300):
+        value = {"a": [r.random(), "}{][\"\\"], "b": {"c": [[], {}, r.randint(0, 9)]}}
+        text = json.dumps(value, indent=r.choice([None, 2]))
+        assert replies.first_json(f"so: {text} }}]{{") == text
+
+
+def test_flattened_fields(spark):
+    rows = ['{"a":1.5,"b":[1,"x",false],"c":[[1]],"d":{},"e":true,"f":null,"g":"t","h":[],"i":[null]}', "[1]", "x", None, "{}"]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(rows)), "i int, j string").orderBy("i").select(replies.flattened_fields(F.col("j"))).collect()]
+    assert got == [{"a": "1.5", "b": "1, x, False", "c": "[[1]]", "d": "{}", "e": "true", "f": None, "g": "t", "h": "", "i": "[null]"}, None, None, None, {}]
+
+
+def plain_counsel(lines):
+    """The state machine, line by line."""
+    found, name = [], None
+    for line in lines:
+        if "For the " in line or "Self-represented" in line:
+            if name:
+                found.append((name, None))
+            name = None
+            if "Self-represented" in line:
+                found.append((line.replace(" (Self-represented)", ""), "Self-represented"))
+        elif "Mr" in line or "Ms" in line or "SC" in line:
+            if name:
+                found.append((name, None))
+            name = line
+        elif name:
+            found.append((name, line))
+            name = None
+    return found + ([(name, None)] if name else [])
+
+
+def test_counsel(spark):
+    r = random.Random(3)
+    kinds = ["For the applicant:", "Mr A", "Ms B SC", "Firm & Co", "C (Self-represented)", "Other firm", "  ", "n/a", None]
+    docs = [[r.choice(kinds) for _ in range(r.randint(0, 12))] for _ in range(120)]
+    df = spark.createDataFrame([(i, k, x) for i, d in enumerate(docs) for k, x in enumerate(d)], "d int, at int, x string")
+    got: dict[int, list] = {}
+    for row in items.pair_counsel(df, "d", "at", "x").orderBy("d", "at").collect():
+        got.setdefault(row["d"], []).append((row["counsel"], row["law_firm_agency"]))
+    for i, lines in enumerate(docs):
+        assert got.get(i, []) == plain_counsel([x.strip() for x in lines if x and x.strip() and x != "n/a"])
+
+
+def test_kept_items(spark):
+    rows = [(1, "Footnote", "f1"), (2, None, "a"), (3, "Paragraph", " Page no. 12 "), (4, "Heading-h2", "Page 3"), (5, "Heading", "Table of Contents"), (6, "Table of Contents", "x"), (7, "Header", "x"), (8, "Footnote", "page 1"), (9, "Title", "contents"), (10, "List-l1", None), (11, "Paragraph", "pages 1")]
+    got = items.kept_items(spark.createDataFrame([(7, *x) for x in rows], "k int, at int, tag string, text string"), "k", "at", "tag", "text").orderBy("shown_at").collect()
+    assert [(r["at"], r["tag"], r["text"]) for r in got] == [(2, "Paragraph", "a"), (3, "Paragraph", ""), (4, "Heading-h2", "Page 3"), (9, "Title", "contents"), (10, "List-l1", ""), (11, "Paragraph", "pages 1"), (1, "Footnote", "f1"), (8, "Footnote", "page 1")]
+    assert [r["shown_at"] for r in got] == list(range(1, 9))
+
+
+def test_carried_labels(spark):
+    rows = [(1, "L", "(a)"), (2, "P", " one"), (3, "P", "two"), (4, "L", "(b)"), (5, "L", "(c)"), (6, "P", "three"), (7, "L", "(d)")]
+    got = items.carried(spark.createDataFrame([(1, *x) for x in rows] + [(2, 1, None, None)], "k int, at int, tag string, text string"), "k", "at", F.col("tag") == "L", "text").orderBy("k", "at").collect()
+    assert [(r["k"], r["at"], r["text"]) for r in got] == [(1, 2, "(a) one"), (1, 3, "two"), (1, 6, "(c) three"), (1, 7, "(d)"), (2, 1, None)]
+
+
+def test_rules_from_a_table(spark):
+    table = spark.createDataFrame([(2, "h2", False, "^part"), (1, "h1", True, "^Part"), (3, "h2", None, "^rule"), (4, None, True, "x"), (5, "h3", True, None)], "place int, level string, case_counts boolean, pattern string")
+    rules = items.rules_from(table)
+    assert rules == [("h1", True, ["^Part"]), ("h2", False, ["^part", "^rule"])]
+    lines = ["Part one", "PART one", "Rule 1", "other"]
+    got = spark.createDataFrame(list(enumerate(lines)), "i int, x string").orderBy("i").select(headings.heading_level(F.col("x"), rules)).collect()
+    assert [r[0] for r in got] == ["h1", "h2", "h2", None]
+    assert items.rules_from(table.limit(0)) == []
+    with pytest.raises(ValueError):
+        items.rules_from(table, most=2)
