@@ -271,8 +271,8 @@ def test_zone_maps_leave_blocks_out(spark):
     r, sizes = random.Random(5), hard.Sizes(block=32, group=8)
     rows = []
     for i in range(2000):
-        axis, sign = r.randrange(4), r.choice([-1, 1])
-        rows.append((i, r.randint(0, 1), [sign * 1000 * (k == axis) + r.randint(-9, 9) for k in range(4)], i % 9 == 0))
+        axis = r.randrange(6)
+        rows.append((i, r.randint(0, 1), [1000 * (k == axis) + r.randint(-9, 9) for k in range(6)], i % 9 == 0))
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = hard.in_blocks(df, sizes.block)
     groups = blocks.select("n", "width", "ids", "labels", "vectors", "anchors").mapInPandas(hard._groups(5, sizes), hard._GROUP)
