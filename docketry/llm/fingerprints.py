@@ -14,19 +14,18 @@ by the place where two sets first meet.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.store import shuffle_width, stored
 from docketry.llm.wordhash import NOT_WORD, U, mix, slices, utf8, words
 
-CHAIN, SKETCH = 2, 256
+CHAIN, SKETCH, STRETCHES = 2, 256, 8
 # Common words of four languages.
 ANCHORS = (
     "a an and are as at be by for from has in is it of on or that the this to was were which with "
@@ -105,35 +104,44 @@ def _compared(ids: list[int], texts: list[str], nexts: list[str], own: list[np.n
 
 
 def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each document of a sorted stretch compared with the one after it; the last has none here."""
-    held: tuple[int, str, np.ndarray] | None = None
+    """Each document of a sorted stretch compared with the one after it; the last of a stretch has none here."""
+    held: tuple[int, int, str, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
             continue
-        ids, texts = batch["doc_id"].tolist(), _unpacked(batch["packed"])
+        stretch, ids, texts = batch["stretch"].tolist(), batch["doc_id"].tolist(), _unpacked(batch["packed"])
         own = signatures(texts)
         if held is not None:
-            ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
-        if len(ids) > 1:
-            yield _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:])
-        held = ids[-1], texts[-1], own[-1]
+            stretch, ids, texts, own = [held[0], *stretch], [held[1], *ids], [held[2], *texts], [held[3], *own]
+        held = stretch[-1], ids[-1], texts[-1], own[-1]
+        if inner := [k for k in range(len(ids) - 1) if stretch[k] == stretch[k + 1]]:
+            of = lambda x, step=0, at=inner: [x[k + step] for k in at]
+            yield _compared(of(ids), of(texts), of(texts, 1), of(own), of(own, 1))
 
 
 def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The number of a stretch that isn't empty, its first text and its last document."""
+    """Of each stretch its first text and its last document."""
     first = last = None
     for batch in batches:
-        if len(batch):
-            first = batch["packed"].iloc[0] if first is None else first
-            last = batch.iloc[-1]
+        for row in batch.itertuples(index=False):
+            if last is not None and last.stretch != row.stretch:
+                yield pd.DataFrame([(last.stretch, first, last.doc_id, last.packed)], columns=["stretch", "first", "doc_id", "packed"])
+                first = None
+            first, last = row.packed if first is None else first, row
     if last is not None:
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "first": [first], "doc_id": [int(last["doc_id"])], "packed": [last["packed"]]})
+        yield pd.DataFrame([(last.stretch, first, last.doc_id, last.packed)], columns=["stretch", "first", "doc_id", "packed"])
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "packed": [packer.compress(x) for x in utf8(batch["text"])]})
+def _pack(bounds: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Compressed texts with the number of their stretch, which follows from doc_id and the given bounds alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            stretch = -np.searchsorted(bounds, batch["doc_id"].to_numpy(np.int64))
+            yield pd.DataFrame({"stretch": stretch, "doc_id": batch["doc_id"], "packed": [packer.compress(x) for x in utf8(batch["text"])]})
+
+    return run
 
 
 def _unpacked(packed: pd.Series) -> list[str]:
@@ -150,20 +158,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each row of docs that has a doc_id; null texts are empty. The next document of the one with
     the smallest doc_id is the one with the largest; of a single document, itself. Rows of the same doc_id
     follow each other in the order of their compressed texts. No documents give no rows."""
-    packed = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(_pack, "doc_id long, packed binary")
-    # Ranges of doc_id alone: no text is sampled for their bounds. The number of ranges is stated, so that all that
-    # reads this one exchange reads the same stretches.
-    placed = packed.repartitionByRange(shuffle_width(docs.sparkSession), F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc(), "packed")
+    plain, width = docs.where("doc_id IS NOT NULL").select("doc_id", "text"), shuffle_width(docs.sparkSession)
+    # Stretches of doc_id between quantiles, some for each partition: numbers of the driver, so that whatever reads the
+    # documents, once or again, sees the same stretches.
+    n = STRETCHES * width
+    bounds = plain.select(F.percentile_approx(F.col("doc_id").cast("long"), [k / n for k in range(1, n)], 20 * n)).first()[0] or []
+    packed = plain.mapInPandas(_pack(np.unique(np.array(bounds, np.int64))), "stretch int, doc_id long, packed binary")
+    placed = packed.repartition(width, "stretch").sortWithinPartitions("stretch", F.col("doc_id").desc(), "packed")
     inner = placed.mapInPandas(_neighbours, _RESULT)
     # Where stretches meet: their numbers are put in order; then the last document of each and the first text of
     # the one after it come to an equal number.
-    ends = placed.mapInPandas(_ends, "part int, first binary, doc_id long, packed binary")
-    along = Window.orderBy("part")
+    ends = placed.mapInPandas(_ends, "stretch int, first binary, doc_id long, packed binary")
+    along = Window.orderBy("stretch")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    order = ends.select("part", F.coalesce(F.lag("part").over(along), F.last("part").over(whole)).alias("before"))
+    order = ends.select("stretch", F.coalesce(F.lag("stretch").over(along), F.last("stretch").over(whole)).alias("before"))
     none = F.lit(None)
-    sides = F.array(F.struct(F.col("part").alias("at"), "doc_id", "packed", none.cast("binary").alias("next")), F.struct(F.col("before").alias("at"), none.cast("long").alias("doc_id"), none.cast("binary").alias("packed"), F.col("first").alias("next")))
-    each = ends.join(order, "part").select(F.explode(sides).alias("x")).select("x.*")
+    sides = F.array(F.struct(F.col("stretch").alias("at"), "doc_id", "packed", none.cast("binary").alias("next")), F.struct(F.col("before").alias("at"), none.cast("long").alias("doc_id"), none.cast("binary").alias("packed"), F.col("first").alias("next")))
+    each = ends.join(order, "stretch").select(F.explode(sides).alias("x")).select("x.*")
     met = each.groupBy("at").agg(*(F.first(x, ignorenulls=True).alias(x) for x in ("doc_id", "packed", "next"))).drop("at")
     return inner.unionByName(met.mapInPandas(_joined, _RESULT))
 

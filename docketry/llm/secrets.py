@@ -23,15 +23,17 @@ from pyspark.sql import functions as F
 
 from docketry.llm.store import free_name, stored
 
-RUN = r"[A-Za-z0-9_+/-]{16,}={0,2}"
+RUN = r"(?<![A-Za-z0-9_+/-])(?=[_+/-]*+[A-Za-z0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
 #: Most labelled findings that the forest is trained on, and most passages that findings are planted in.
 SAMPLE = 10_000
 MASK = "[SECRET]"
-#: A name with a key word, a sign of assignment on the same line, and the value: quoted, or up to white space
+#: How many characters on each side of a candidate count as beside it.
+NEAR = 256
+#: A name with a key word, read once from its start, a sign of assignment on the same line, and the value: quoted, or up to white space
 #: without the marks that end it. Groups: what leads
 #: to the value, the value in either quotes, a quote that is not closed, the value without quotes.
 ASSIGNED = (
-    r"""((?i:pass|pwd|token|secret|api|key|auth|credential|bearer)[\w.-]*+["'\]]*+[^\S\n]*+(?:=>|:=|={1,3}|:)[^\S\n]*+(?:(?i:bearer|basic)[^\S\n]++)?)"""
+    r"""((?<![\w.-])(?=[\w.-]*?(?i:pass|pwd|token|secret|api|key|auth|credential|bearer))[\w.-]++["'\]]*+[^\S\n]*+(?:=>|:=|={1,3}|:)[^\S\n]*+(?:(?i:bearer|basic)[^\S\n]++)?)"""
     r"""(?:"(?=[^\S\n]*+[^"\s])([^"\n]++)"|'(?=[^\S\n]*+[^'\s])([^'\n]++)'|(["']?)([^\s"'](?:\S*[^\s.,;:)\]}>"'])?))"""
 )
 #: The user part of a URL: the password if there is one, else the name, which may be a token.
@@ -48,56 +50,61 @@ FEATURES = [
 ]
 
 
-def _at_places(pattern: str, lead: Column, value: Column) -> Column:
-    """Of each match of pattern in _text: at, secret, what leads to it, and the number of tokens it spans."""
-    spaces = lambda c: F.regexp_count(c, F.lit(r"\s+"))
-    found = F.regexp_extract_all("_text", F.lit(f"({pattern})"), F.lit(1))
-    each = F.transform(found, lambda x: F.struct(x.alias("whole"), lead(x).alias("lead"), value(x).alias("secret")))
-    met = F.arrays_zip(F.split("_text", pattern).alias("part"), each.alias("m"))
-    state = "struct<seen:int,found:array<struct<at:int,secret:string,lead:string,spans:int>>>"
-    start = F.struct(F.lit(0).alias("seen"), F.array().cast("array<struct<at:int,secret:string,lead:string,spans:int>>").alias("found")).cast(state)
+_MARK = "\x01"
+_FOUND = "array<struct<at:int,secret:string,lead:string,spans:int>>"
 
-    def step(state, x):
-        at = state["seen"] + spaces(x["part"]) + spaces(x["m"]["lead"])
-        one = F.struct(at.alias("at"), x["m"]["secret"].alias("secret"), x["m"]["lead"].alias("lead"), spaces(x["m"]["secret"]).alias("spans"))
-        return F.struct((state["seen"] + spaces(x["part"]) + spaces(x["m"]["whole"])).alias("seen"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    return F.aggregate(F.filter(met, lambda x: x["m"].isNotNull()), start, step)["found"]
+def _at_places(pattern: str, marked: str, lead: Column, value: Column) -> Column:
+    """Of each match of pattern in _text: at (the token in which the secret begins), secret, what leads to it, and the
+    number of tokens it spans. marked puts _MARK in front of the secret; the tokens of the text with marks tell the
+    places of all matches in one pass."""
+    found = F.regexp_extract_all("_text", F.lit(f"({pattern})"), F.lit(1))
+    marks = F.transform(F.split(F.regexp_replace("_text", pattern, marked), r"\s+"), lambda t, i: F.array_repeat(i, F.length(t) - F.length(F.replace(t, F.lit(_MARK), F.lit("")))))
+    one = lambda x, at: F.struct(at.alias("at"), value(x).alias("secret"), lead(x).alias("lead"), F.regexp_count(value(x), F.lit(r"\s+")).alias("spans"))
+    return F.zip_with(found, F.flatten(marks), one)
 
 
 def _assigned() -> Column:
     group = lambda x, k: F.regexp_extract(x, ASSIGNED, k)
     value = lambda x: F.concat(group(x, 2), group(x, 3), group(x, 5))
     lead = lambda x: F.concat(group(x, 1), F.when(group(x, 2) != "", '"').when(group(x, 3) != "", "'").otherwise(group(x, 4)))
-    return F.when(F.col("_text").rlike(ASSIGNED), _at_places(ASSIGNED, lead, value))
+    return F.when(F.col("_text").rlike(ASSIGNED), _at_places(ASSIGNED, f"$1$4{_MARK}$2$3$5", lead, value))
 
 
 def _in_url() -> Column:
     group = lambda k: lambda x: F.regexp_extract(x, IN_URL, k)
-    return F.when(F.contains("_text", F.lit("://")) & F.col("_text").rlike(IN_URL), _at_places(IN_URL, group(1), group(2)))
+    return F.when(F.contains("_text", F.lit("://")) & F.col("_text").rlike(IN_URL), _at_places(IN_URL, f"$1{_MARK}$2@", group(1), group(2)))
 
 
 def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
     """(doc_id, at, secret, before, token, after, path, lead, context): at is the number of the token in which
-    the secret begins, lead what stands before it in this token, and context what is looked for to mask it: a run
+    the secret begins, lead what stands before it in this token, all of these to NEAR characters, and context what is looked for to mask it: a run
     by itself, a value after what leads to it. Null and empty texts have none; without a path column, or where it
-    is null, the path is empty."""
+    is null, the path is empty. The work grows with the length of a text, whatever it holds."""
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", place.alias("path"), F.coalesce("text", F.lit("")).alias("_text"))
+    # The mark is no white space; where a text has it, another such character takes its place.
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", place.alias("path"), F.translate(F.coalesce("text", F.lit("")), _MARK, "\x02").alias("_text"))
     tokens = texts.select("doc_id", "path", "_text", F.split("_text", r"\s+").alias("tokens"))
-    beside = lambda n: F.coalesce(F.when(F.col("at") + n >= 0, F.get("tokens", F.col("at") + n)), F.lit(""))
-    before = F.concat_ws(" ", beside(F.lit(-2)), beside(F.lit(-1))).alias("before")
-    each = tokens.select("doc_id", "path", "tokens", F.posexplode("tokens").alias("at", "token")).where(F.length("token") >= 16).where(F.col("token").rlike(RUN))
-    near = each.select("doc_id", "at", "path", "token", before, beside(F.lit(1)).alias("after"))
+    # Tokens beside a candidate are looked up within arrays, so that no row carries those of the whole text.
+    beside = lambda at, n, cut=F.left: cut(F.coalesce(F.when(at + n >= 0, F.get("tokens", at + n)), F.lit("")), F.lit(NEAR))
+    before = lambda at: F.concat_ws(" ", beside(at, F.lit(-2), F.right), beside(at, F.lit(-1), F.right)).alias("before")
+    near = F.transform("tokens", lambda t, i: F.when((F.length(t) >= 16) & t.rlike(RUN), F.struct(i.alias("at"), before(i), t.alias("token"), beside(i, F.lit(1)).alias("after"))))
+    near = tokens.select("doc_id", "path", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x")).select("doc_id", "path", "x.*")
     runs = near.select("doc_id", "at", F.explode(F.array_distinct(F.regexp_extract_all("token", F.lit(f"({RUN})"), F.lit(1)))).alias("secret"), "before", "token", "after", "path")
-    runs = runs.withColumns({"lead": F.call_function("substring_index", F.col("token"), F.col("secret"), F.lit(1)), "context": F.col("secret")})
-    empty = F.array().cast("array<struct<at:int,secret:string,lead:string,spans:int>>")
-    values = tokens.select("doc_id", "path", "tokens", F.explode(F.array_distinct(F.concat(F.coalesce(_assigned(), empty), F.coalesce(_in_url(), empty)))).alias("v"))
+    lead = F.right(F.call_function("substring_index", F.col("token"), F.col("secret"), F.lit(1)), F.lit(NEAR))
+    runs = runs.withColumns({"lead": lead, "token": F.left("token", F.lit(NEAR)), "context": F.col("secret")})
+    empty = F.array().cast(_FOUND)
     # A value that is a run as a whole is one of the runs already.
-    values = values.where(~F.col("v.secret").rlike(f"^{RUN}$")).select("doc_id", "path", "tokens", F.col("v.at").alias("at"), "v.secret", "v.lead", "v.spans")
-    own = F.regexp_extract("lead", r"\S*$", 0)
-    values = values.select("doc_id", "at", "secret", before, beside(F.lit(0)).alias("token"), beside(F.col("spans") + 1).alias("after"), "path", own.alias("lead"), F.concat("lead", "secret").alias("context"))
-    return runs.unionByName(values)
+    values = F.filter(F.concat(F.coalesce(_assigned(), empty), F.coalesce(_in_url(), empty)), lambda v: ~v["secret"].rlike(f"^{RUN}$"))
+    own = lambda v: F.right(F.regexp_extract(v["lead"], r"\S*$", 0), F.lit(NEAR))
+    values = F.transform(
+        values, lambda v: F.struct(
+            v["at"].alias("at"), v["secret"].alias("secret"), before(v["at"]), beside(v["at"], F.lit(0)).alias("token"), beside(v["at"], v["spans"] + 1).alias("after"), own(v).alias("lead"),
+            F.concat(v["lead"], v["secret"]).alias("context"),
+        ),
+    )
+    found = tokens.select("doc_id", "path", F.explode(values).alias("v")).select("doc_id", "v.at", "v.secret", "v.before", "v.token", "v.after", "path", "v.lead", "v.context").distinct()
+    return runs.unionByName(found)
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -242,13 +249,17 @@ def findings(docs: DataFrame, labels: DataFrame | None = None, path: str | None
 
 def masked(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """docs with each secret in the text replaced by MASK, a run wherever it stands and a value after what leads
-    to it; all columns and all documents stay. Rows with the same doc_id share their secrets; rows without
-    doc_id aren't scanned."""
+    to it; all columns and all documents stay. Rows with the same doc_id share their secrets; a row without
+    doc_id goes by the hash of its text."""
     secret = F.struct("context", F.length("secret").alias("n"))
     mine = free_name("secrets", docs.columns)
-    found = _scored(docs, labels, "source", SAMPLE).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(secret)).alias(mine))
+    key = free_name("secrets_of", docs.columns)
+    docs_key = F.coalesce("doc_id", F.xxhash64("text").cast(docs.schema["doc_id"].dataType))
+    columns, docs = docs.columns, docs.withColumn(key, docs_key)
+    found = _scored(docs.withColumn("doc_id", F.col(key)), labels, "source", SAMPLE).where("is_secret")
+    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_set(secret)).alias(mine))
     # Longer ones first: one may hold another.
     size = lambda x: F.length(x["context"])
     order = F.array_sort(F.coalesce(mine, F.array().cast("array<struct<context:string,n:int>>")), lambda a, b: F.when(size(a) > size(b), -1).when(size(a) < size(b), 1).otherwise(0))
     text = F.aggregate(order, F.col("text"), lambda t, s: F.replace(t, s["context"], F.concat(F.left(s["context"], size(s) - s["n"]), F.lit(MASK))))
-    return docs.join(found, "doc_id", "left").withColumn("text", text).select(*docs.columns)
+    return docs.join(found, key, "left").withColumn("text", text).select(*columns)

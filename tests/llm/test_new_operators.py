@@ -292,3 +292,74 @@ def test_op13(spark, tmp_path):
     floats = [(i, label, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int).tolist()) for i, label, v in rows]
     want = plain_negatives([(i, (label + 1) % 10 if i % 7 == 0 else label, v, i % 50 == 0) for i, label, v in floats])
     assert sorted(map(tuple, queries.op13_hard_negatives(spark, folder).collect())) == want
+
+
+# ---- fingerprints: stretches
+
+
+def plain_next(rows):
+    """(doc_id, digest of the edited text) of each row, in descending doc_id and by compressed text."""
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3)
+    order = sorted(rows, key=lambda x: (-x[0], packer.compress((x[1] or "").encode())))
+    found = []
+    for k, (i, text) in enumerate(order):
+        text, after = text or "", order[(k + 1) % len(order)][1] or ""
+        found.append((i, len(text), sha(text[: len(text) - len(text) // 2] + after[: len(text) // 2])))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_fingerprints_of_all_rows_however_the_plan_runs(spark, reuse):
+    from docketry.llm.fingerprints import fingerprints
+
+    r = random.Random(12)
+    rows = [(r.choice([i, i * i, 7]), " ".join(f"w{r.randint(0, 50)}" for _ in range(r.randint(0, 30)))) for i in range(500)]
+    rows += [(10**15, None), (-5, "the end of all"), (7, ""), (8, "long text of the words " * 20_000)]
+    df = spark.createDataFrame([(*x, "s", 1) for x in rows] + [(None, "no number", "s", 1)], "doc_id long, text string, stretch string, packed int").repartition(7)
+    settings = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": reuse}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted((x["doc_id"], x["n_chars"], x["edited_sha256"]) for x in fingerprints(df).collect())
+        assert got == plain_next(rows)
+        alone = fingerprints(df.where(f"doc_id = {10**15}")).collect()
+        assert [x["near_next"] for x in alone] == [1.0] and fingerprints(df.limit(0)).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+# ---- secret scans: long texts
+
+
+def test_candidates_of_long_texts_in_one_pass(spark):
+    import time
+
+    from docketry.llm import secrets
+
+    cases = [
+        (1, "key" * 1_000_000, 1), (2, "a key=x1 " * 100_000, 100_000), (3, "key=" * 200_000 + "z", 1), (4, "-" * 500_000 + " " + "_" * 40, 0), (5, "http://" * 100_000, 0), (6, ("x" * 30 + " ") * 50_000, 50_000),
+        (7, 'key="' * 50_000, None), (8, "a://b:c@d " * 50_000, 50_000), (9, "key=" + "." * 300_000, 1), (10, "\x01key=a\x01b", 1),
+    ]
+    for i, text, want in cases:
+        began = time.perf_counter()
+        n = secrets.candidates(spark.createDataFrame([(i, text, "s")], "doc_id long, text string, source string")).count()
+        assert time.perf_counter() - began < 40, i
+        assert want is None or n == want, (i, n)
+
+
+def test_rows_without_number_are_masked(spark):
+    from docketry.llm import secrets
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("abcdefgh", k=6))
+    token = lambda: "".join(r.choices("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=40))
+    rows = [(i, " ".join(word() for _ in range(60))) for i in range(300)]
+    hidden = [token(), token()]
+    rows += [(None, f'{word()} token = "{hidden[0]}" {word()}'), (None, None), (5000, f'{word()} token = "{hidden[1]}" {word()}')]
+    got = secrets.masked(spark.createDataFrame([(*x, "s") for x in rows], "doc_id long, text string, secrets string"))
+    assert got.columns == ["doc_id", "text", "secrets"] and got.count() == len(rows)
+    assert not got.where(f"text LIKE '%{hidden[0]}%' OR text LIKE '%{hidden[1]}%'").count()
