@@ -2,9 +2,9 @@
 
 Only the histogram of piece lengths, at most ``capacity`` numbers, decides the packing. The program has a
 variable for each configuration, a multiset of lengths that fits in a sequence. Multiplicative weights
-hold a price for each length; a knapsack by dynamic programming finds the configuration of most value, and
-lengths that it covers get cheaper. The average of the configurations is rounded down and what is left is
-filled by a greedy fill, longest first on the remaining counts. Pieces then take their places by rank in their length,
+hold a price for each length; a knapsack by dynamic programming finds full configurations that hold each length, ties
+drawn by price, and lengths that they cover get cheaper. Each is rounded to whole sequences as it comes, within
+what is left. The few pieces that no full configuration takes any more go to a greedy fill, longest first. Pieces then take their places by rank in their length,
 which Spark computes in two steps so that a length that many pieces share is split over tasks.
 """
 
@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from docketry.llm.store import shuffle_width, stored
 
 CAPACITY, END_ID, CACHED_WORDS = 4096, 1, 600_000
+#: Rounds of the program end when one places less than this share of all pieces.
+STALLED = 0.0005
+#: A length's price grows with this power of it: longer ones fit in fewer configurations and have to find theirs first.
+POWER = 3
 
 # Texts whose lower case has these characters only need no other normaliser; others go to the tokenizer whole.
 _OTHER = re.compile("[^\x00-ɏ]|<\\|")
@@ -80,24 +84,34 @@ def pieces(docs: DataFrame, tokenizer_path: str | Callable[[], str], capacity: i
     return plain.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length is in the multiset of most value that fits; lengths ascend."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to ``capacity``: how much of it a multiset of lengths can fill, and which length (its number, -1 for
+    none) a fullest one begins with. Of those that fill as much, one is drawn in proportion to its price. lengths ascend."""
+    fill, choice = np.zeros(capacity + 1, np.int64), np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), "right")
-    for c in range(1, capacity + 1):
-        best[c], choice[c] = best[c - 1], -1
-        if k := upto[c]:
-            gain = best[c - lengths[:k]] + value[:k]
-            if gain[i := int(gain.argmax())] > best[c]:
-                best[c], choice[c] = gain[i], i
-    found, c = np.zeros(len(lengths), np.int64), capacity
-    while c > 0:
-        if (i := choice[c]) >= 0:
-            found[i] += 1
-            c -= lengths[i]
+    # The largest of log price + Gumbel noise is a draw in proportion to price; each room reads another stretch of noise.
+    noise, log_price = random.gumbel(size=4 * len(lengths) + 1), np.log(price)
+    starts = random.integers(0, 3 * len(lengths) + 1, capacity + 1)
+    for room in range(1, capacity + 1):
+        fill[room], choice[room] = fill[room - 1], -1
+        if k := upto[room]:
+            gain = fill[room - lengths[:k]] + lengths[:k]
+            if (most := gain.max()) > fill[room]:
+                same = np.flatnonzero(gain == most)
+                fill[room], choice[room] = most, same[(log_price[same] + noise[starts[room] : starts[room] + k][same]).argmax()]
+    return fill, choice
+
+
+def _column(choice: np.ndarray, lengths: np.ndarray, first: int, capacity: int) -> np.ndarray:
+    """The numbers of the lengths of a fullest multiset that holds the length number ``first``."""
+    found, room = [first], capacity - int(lengths[first])
+    while room > 0:
+        if (i := choice[room]) >= 0:
+            found.append(int(i))
+            room -= int(lengths[i])
         else:
-            c -= 1
-    return found
+            room -= 1
+    return np.array(found)
 
 
 def _fullest(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
@@ -130,26 +144,39 @@ def _fullest(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray
     return take
 
 
-def configurations(lengths, counts, capacity: int = CAPACITY, rounds: int = 150, rate: float = 1.0) -> list[tuple[np.ndarray, int]]:
-    """(multiset, times): together they hold each length exactly ``counts`` times. lengths ascend."""
+def program(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int = 10_000, seed: int = 1) -> list[tuple[np.ndarray, int]]:
+    """(multiset, times): whole multiples of full configurations, taken from ``left``.
+
+    A length's price is its demand that is still uncovered, times a power of the length, so that it falls by a factor
+    with each configuration that holds it. A round prices with one knapsack, which gives a fullest configuration for each
+    length; each that is full, in random order, is rounded down to what the demand allows: all of it where it covers
+    one piece, half of what is left where it can cover more. Rounds end when few configurations fit."""
+    random, full = np.random.default_rng(seed), left.sum()
+    chosen: list[tuple[np.ndarray, int]] = []
+    for _ in range(rounds):
+        have = np.flatnonzero(left)
+        own, placed = lengths[have], 0
+        _, choice = knapsack(own, left[have] * own.astype(float) ** POWER, capacity, random)
+        for first in random.permutation(len(have)):
+            column = np.bincount(_column(choice, own, first, capacity), minlength=len(have))
+            used = np.flatnonzero(column)
+            if int(column @ own) == capacity and (n := int((left[have[used]] // column[used]).min())):
+                n = -(-n // 2)
+                whole = np.zeros(len(lengths), np.int64)
+                whole[have] = column
+                chosen.append((whole, n))
+                left -= n * whole
+                placed += n * int(column.sum())
+        if placed < STALLED * full:
+            break
+    return chosen
+
+
+def configurations(lengths, counts, capacity: int = CAPACITY, rounds: int = 10_000) -> list[tuple[np.ndarray, int]]:
+    """(multiset, times): together they hold each length exactly ``counts`` times. lengths ascend. What the program
+    leaves is placed by a greedy fill."""
     lengths, left = np.asarray(lengths, np.int64), np.asarray(counts, np.int64).copy()
-    full = left.astype(float)
-    covered, weights = np.zeros(len(lengths)), {}
-    for _ in range(rounds if len(lengths) else 0):
-        # A length's price per token falls with the share of it that the configurations so far have used.
-        column = knapsack(lengths, lengths * np.exp(-rate * covered / full), capacity)
-        used = column > 0
-        step = float((full[used] / column[used]).min()) / 4
-        weights[column.tobytes()] = weights.get(column.tobytes(), 0.0) + step
-        covered += step * column
-    scale = max(1.0, float((covered / full).max(initial=0)))
-    chosen = []
-    for packed, weight in weights.items():
-        column = np.frombuffer(packed, np.int64)
-        used = column > 0
-        if n := min(int(weight / scale), int((left[used] // column[used]).min())):
-            chosen.append((column, n))
-            left -= n * column
+    chosen = program(lengths, left, capacity, rounds)
     while left.any():
         column = _fullest(lengths, left, capacity)
         used = column > 0
@@ -161,7 +188,7 @@ def configurations(lengths, counts, capacity: int = CAPACITY, rounds: int = 150,
 
 def _places(lengths, counts, capacity: int) -> pd.DataFrame:
     """Where the pieces of a length go: those of ranks low to high - 1 in sequences from ``first`` on, ``each``
-    to a sequence, at ``base`` and after. Its size follows from ``capacity`` alone, not from the pieces."""
+    to a sequence, at ``base`` and after. Its size follows from ``capacity`` and grows with the logarithm of the counts."""
     rows, used, sequence = [], dict.fromkeys(lengths, 0), 0
     for column, times in configurations(lengths, counts, capacity):
         base = 0

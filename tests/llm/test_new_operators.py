@@ -363,3 +363,41 @@ def test_rows_without_number_are_masked(spark):
     got = secrets.masked(spark.createDataFrame([(*x, "s") for x in rows], "doc_id long, text string, secrets string"))
     assert got.columns == ["doc_id", "text", "secrets"] and got.count() == len(rows)
     assert not got.where(f"text LIKE '%{hidden[0]}%' OR text LIKE '%{hidden[1]}%'").count()
+
+
+# ---- packing: the program
+
+
+def test_the_program_places_most_pieces():
+    from docketry.llm import packing
+
+    r = np.random.default_rng(5)
+    sizes = np.minimum(np.round(np.exp(r.normal(6, 1.2, 6000))).astype(int) + 1, packing.CAPACITY)
+    for times in (1, 50):
+        lengths, counts = np.unique(sizes, return_counts=True)
+        left = counts * times
+        chosen = packing.program(lengths, left, packing.CAPACITY)
+        assert all(int(column @ lengths) == packing.CAPACITY for column, _ in chosen)
+        assert (left >= 0).all() and (sum(n * column for column, n in chosen) + left == counts * times).all()
+        assert left.sum() < 0.05 * counts.sum() * times
+        n = sum(n for _, n in packing.configurations(lengths, counts * times))
+        least = -(-int(lengths @ counts) * times // packing.CAPACITY)
+        assert least <= n <= 1.002 * least + 1
+
+
+def test_knapsack_fills_as_much_as_any_multiset():
+    from docketry.llm import packing
+
+    lengths = np.array([7, 11, 13])
+    fill, choice = packing.knapsack(lengths, np.ones(3), 60, np.random.default_rng(2))
+    best = [max(7 * a + 11 * b + 13 * k for a in range(9) for b in range(6) for k in range(5) if 7 * a + 11 * b + 13 * k <= room) for room in range(61)]
+    assert fill.tolist() == best
+    for room in range(61):
+        total, left = 0, room
+        while left > 0:
+            if choice[left] >= 0:
+                total, left = total + lengths[choice[left]], left - lengths[choice[left]]
+            else:
+                left -= 1
+        assert total == best[room]
+    assert packing.configurations([], []) == []
