@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.sources.rounds import checkpointed
+
 # Forms of a citation in the order in which they are tried. A year in single or double brackets;
 # a court code and a number; or three words of capitals (jurisdiction, court, panel) and a number; or the number
 # before the code; or no number; then the date in parentheses and the members, which may be missing.
@@ -78,18 +80,19 @@ def _bound(c: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), use), F.lit(0))
 
 
-def parse_citation(c: Column) -> Column:
-    """A struct of CITATION, all strings, by the first of FORMS that fits. Citations of bad sources (`` null ``)
-    and of no form have nulls only. The code of three words is its second."""
+_MARK = "\x01"
 
-    def parsed(text: Column) -> Column:
-        found = F.when(F.contains(F.lower(text), F.lit(" null ")), None)
-        for form, parts in zip(FORMS, PARTS, strict=True):
-            fields = [(_none_if_empty(F.btrim(F.regexp_extract(text, form, parts[x]))) if x in parts else F.lit(None).cast("string")).alias(x) for x in CITATION]
-            found = found.when(text.rlike(form), F.struct(*fields))
-        return found
 
-    return _bound(c, parsed)
+def parse_citation(c: Column) -> Column:
+    """A struct of CITATION, all strings, by the first of FORMS that fits; null for citations of bad sources
+    (`` null ``) and of no form. The code of three words is its second. Each form is matched once, and turns what it
+    fits into all its parts, which no later form fits."""
+    text = F.translate(c, _MARK, "")
+    found = F.when(~F.contains(F.lower(text), F.lit(" null ")), text)
+    for form, parts in zip(FORMS, PARTS, strict=True):
+        found = F.regexp_replace(found, form + r"(?s:.*)$", _MARK + _MARK.join(f"${parts[x]}" if x in parts else "" for x in CITATION))
+    named = lambda fields: F.struct(*(_none_if_empty(F.btrim(F.get(fields, F.lit(k)))).alias(x) for k, x in enumerate(CITATION, 1)))
+    return _bound(F.split(found, _MARK), lambda fields: F.when(F.size(fields) > 1, named(fields)))
 
 
 def to_date(c: Column) -> Column:
@@ -120,19 +123,22 @@ def deconstruct(codes: DataFrame, known: DataFrame, hint: str | None = None) ->
     """codes: code. known: code and type (jurisdiction, tribunal or panel_or_division). Returns, for each distinct
     code, jurisdiction_code, tribunal_code, panel_or_division: by the longest known tribunal that it begins with;
     else by the longest known jurisdiction before a known tribunal; else by AFTER_CODE; else by one of LETTERS
-    before a known tribunal or one of AFTER_LETTER; else the code is the tribunal. What follows the tribunal is
-    kept if it is a known panel or division."""
+    before a known tribunal or one of AFTER_LETTER; else the code is the tribunal, of the hint's jurisdiction or, without
+    hint, of the shortest known one that it begins with. What follows the tribunal is kept if it is a known panel
+    or division."""
     of = lambda kind, name: known.where(F.col("type") == kind).select(F.col("code").alias(name)).distinct()
-    codes = codes.where("code <> ''").select("code").distinct()
+    # Few codes of many citations: they are parsed out once.
+    codes = checkpointed(codes.where("code <> ''").select("code").distinct())
     tribunals = of("tribunal", "part")
-    fixed = codes.sparkSession.createDataFrame([(name + court, name, court, k) for k, (name, court) in enumerate((n, x) for n, courts in AFTER_CODE for x in courts)], "part string, name string, court string, rank int")
-    after = codes.sparkSession.createDataFrame([(court, k) for k, court in enumerate(AFTER_LETTER)], "part string, rank int")
+    mapped = lambda pairs, c: F.element_at(F.create_map(*(F.lit(x) for pair in pairs for x in pair)), c)
+    fixed = [(n + x, n, x) for n, courts in AFTER_CODE for x in courts]
     # All pieces that may be a tribunal, with what stands before them: equal pieces meet, not prefixes.
     longest = F.lit(max(known.agg(F.coalesce(F.max(F.length("code")), F.lit(0))).first()[0], max(len(n + x) for n, courts in AFTER_CODE for x in courts)))
     cuts = codes.select("code", F.explode(F.sequence(F.lit(0), F.least(F.length("code") - 1, longest))).alias("at"))
     cuts = cuts.select("code", "at", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("code") - F.col("at"), longest)))).alias("n"))
     cuts = cuts.select("code", "at", "n", F.left("code", F.col("at")).alias("before"), F.substring(F.col("code"), F.col("at") + 1, F.col("n")).alias("part"))
-    letter = F.element_at(F.create_map(*(F.lit(x) for pair in LETTERS.items() for x in pair)), F.col("before"))
+    letter = mapped(LETTERS.items(), F.col("before"))
+    at_fixed, at_after = mapped([(part, k) for k, (part, _, _) in enumerate(fixed)], F.col("part")), mapped([(x, k) for k, x in enumerate(AFTER_LETTER)], F.col("part"))
 
     def way(rows: DataFrame, rank: int, within: list, jurisdiction: Column, tribunal: Column) -> DataFrame:
         order = F.array(F.lit(rank), *(x.cast("int") for x in within))
@@ -142,12 +148,17 @@ def deconstruct(codes: DataFrame, known: DataFrame, hint: str | None = None) ->
     ways = [
         way(met.where("at = 0"), 0, [-F.col("n")], infer_jurisdiction(F.col("part"), F.lit(hint).cast("string")), F.col("part")),
         way(met.join(of("jurisdiction", "before"), "before"), 1, [-F.col("at"), -F.col("n")], F.col("before"), F.col("part")),
-        way(cuts.where("at = 0").join(fixed, "part"), 2, [F.col("rank")], F.col("name"), F.col("court")),
+        way(cuts.where((F.col("at") == 0) & at_fixed.isNotNull()), 2, [at_fixed], mapped([(part, n) for part, n, _ in fixed], F.col("part")), mapped([(part, x) for part, _, x in fixed], F.col("part"))),
         way(met.where((F.col("at") == 1) & letter.isNotNull() & (F.col("n") == F.length("code") - 1)), 3, [F.lit(0)], letter, F.col("part")),
-        way(cuts.where((F.col("at") == 1) & letter.isNotNull()).join(after, "part"), 4, [F.col("rank")], letter, F.col("part")),
-        way(codes.select("code", F.lit(0).alias("at"), F.length("code").alias("n")), 5, [], F.lit(hint).cast("string"), F.col("code")),
+        way(cuts.where((F.col("at") == 1) & letter.isNotNull() & at_after.isNotNull()), 4, [at_after], letter, F.col("part")),
     ]
-    first = functools.reduce(DataFrame.unionByName, ways).groupBy("code").agg(F.min_by(F.struct("jurisdiction_code", "tribunal_code", "rest"), "order").alias("f")).select("code", "f.*")
+    if hint is None:
+        begins = codes.select("code", F.explode(F.sequence(F.lit(1), F.length("code"))).alias("n")).withColumn("before", F.left("code", F.col("n")))
+        begins = begins.withColumn("at", F.lit(0)).join(of("jurisdiction", "before"), "before")
+        ways.append(way(begins, 5, [F.col("n")], F.col("before"), F.col("code")))
+    ways.append(way(codes.select("code", F.lit(0).alias("at"), F.length("code").alias("n")), 6, [], F.lit(hint).cast("string"), F.col("code")))
+    # What follows the tribunal in ways 5 and 6 is nothing: all of the code is the tribunal.
+    first = functools.reduce(DataFrame.unionByName, ways).groupBy("code").agg(F.min_by(F.struct("jurisdiction_code", "tribunal_code", F.when(F.get("order", F.lit(0)) < 5, F.col("rest")).alias("rest")), "order").alias("f")).select("code", "f.*")
     return first.join(of("panel_or_division", "panel_or_division"), F.col("rest") == F.col("panel_or_division"), "left").drop("rest")
 
 

@@ -24,6 +24,7 @@ from docketry.operators import windows as win
 from docketry.plans.fixtures import CODES, view, with_views
 from docketry.sources import files
 from docketry.sources.nodes import page_nodes
+from docketry.sources.rounds import small
 from docketry.sources.sitemaps import expand_sitemaps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -550,12 +551,12 @@ f AS (SELECT o.code, CASE WHEN jurisdiction = '' THEN {{'j': {_INFER('tribunal',
   {" ".join(f"WHEN starts_with(o.code, '{n + x}') THEN {{'j': '{n}', 't': '{x}', 'r': o.code[{len(n + x) + 1}:]}}" for n, courts in cite.AFTER_CODE for x in courts)}
   WHEN {_LETTER.replace('code[1]', 'o.code[1]')} IS NOT NULL AND o.code[2:] IN (SELECT code FROM k WHERE type = 'tribunal') THEN {{'j': {_LETTER.replace('code[1]', 'o.code[1]')}, 't': o.code[2:], 'r': ''}}
   {" ".join(f"WHEN {_LETTER.replace('code[1]', 'o.code[1]')} IS NOT NULL AND starts_with(o.code[2:], '{x}') THEN {{'j': {_LETTER.replace('code[1]', 'o.code[1]')}, 't': '{x}', 'r': o.code[{len(x) + 2}:]}}" for x in cite.AFTER_LETTER)}
-  ELSE {{'j': NULL, 't': o.code, 'r': ''}} END AS f FROM codes o LEFT JOIN b ON b.code = o.code)
+  ELSE {{'j': (SELECT arg_min(k.code, length(k.code)) FROM k WHERE k.type = 'jurisdiction' AND starts_with(o.code, k.code)), 't': o.code, 'r': ''}} END AS f FROM codes o LEFT JOIN b ON b.code = o.code)
 SELECT code, f.j AS jurisdiction_code, f.t AS tribunal_code, CASE WHEN f.r IN (SELECT code FROM k WHERE type = 'panel_or_division') THEN f.r END AS panel_or_division FROM f)"""
 
 
 def _known_codes(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(CODES, "code string, type string")
+    return df.sparkSession.sql(f"SELECT * FROM (VALUES {', '.join(map(str, CODES))}) AS v(code, type)")
 
 
 @query("h6_deconstruct", f"SELECT source_id, code, jurisdiction_code, tribunal_code, panel_or_division FROM {_PARSED} LEFT JOIN {_CUT} USING (code)")
@@ -575,7 +576,7 @@ def _(read):
     parsed = _parsed(read)
     cut = cite.deconstruct(parsed, _known_codes(parsed))
     court = F.when(c("jurisdiction").isNotNull(), c("code")).otherwise(c("tribunal_code"))
-    courts = parsed.join(cut, "code", "left").select(
+    courts = parsed.join(small(cut), "code", "left").select(
         "citation", "year", cite.to_date(c("date_text")).alias("decided"), F.coalesce("jurisdiction", "jurisdiction_code").alias("jurisdiction"), F.coalesce("panel", "panel_or_division").alias("panel"),
         F.when(cite.valid_code(court), court).alias("court"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -17,3 +18,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(found or tempfile.mkdtemp(prefix="docketry-"))
     return df.checkpoint()
+
+
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df``, stored, for the side of a join that is expected to be small: sent to all tasks if it has ``most`` rows at
+    most, and joined by its keys beyond that."""
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() <= most else df
