@@ -46,6 +46,26 @@ def escaped(c: Column) -> Column:
     return c
 
 
+def markdown_html(c: Column, heading: bool = False) -> Column:
+    """Light markdown as HTML: escaped, then bold, italics, links and line breaks; a heading loses the marks around it and
+    is one line."""
+    white = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+    text = F.regexp_replace(c, white, "")
+    if heading:
+        inner = F.when(F.length(text) >= 4, F.regexp_extract(text, r"(?s)^\*\*(.*)\*\*$", 1))
+        single = F.when((F.length(text) >= 2) & text.rlike(r"(?s)^\*.*\*$"), F.substr(text, F.lit(2), F.length(text) - 2))
+        text = F.regexp_replace(F.when(text.rlike(r"(?s)^\*\*.*\*\*$"), inner).otherwise(F.coalesce(single, text)), white, "")
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    if heading:
+        return F.replace(text, F.lit("\n"), F.lit(" "))
+    for mark, tag in (("**", "strong"), ("*", "em")):
+        stars, lines = mark.replace("*", r"\*"), mark.replace("*", "_")
+        text = F.regexp_replace(text, rf"(?Ud){stars}(?=\S)(.*?)(?<=\S){stars}|{lines}(?=\S)(.*?)(?<=\S){lines}", f"<{tag}>$1$2</{tag}>")
+    text = F.regexp_replace(text, r"\[([^\]]+)\]\(([^)]+)\)", '<a href="$2">$1</a>')
+    return F.replace(text, F.lit("\n"), F.lit("<br>\n"))
+
+
 def _part(c: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 

@@ -12,8 +12,11 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 PLACEHOLDERS = ["n/a", "[not available]", "[n/a]", "not applicable"]
 
 
-def norm_verify(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(c), r"[\s\u00a0]+", " "))
+def norm_verify(c: Column, header: str | None = None) -> Column:
+    """Lower case, white space to one space. header: a pattern of a page header, which goes from the beginning of the
+    text, in either case, with the white space after it."""
+    plain = c if header is None else F.regexp_replace(c, rf"(?i)^(?:{header})\s*", "")
+    return F.trim(F.regexp_replace(F.lower(plain), r"[\s\u00a0]+", " "))
 
 
 def norm_match(c: Column) -> Column:
@@ -99,6 +102,11 @@ def shingles(words: Column, n: int) -> Column:
     return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
+def shingle_groups(words: Column, least: int = 2, most: int = 3) -> Column:
+    """All groups of ``least`` to ``most`` words side by side, shorter ones first."""
+    return F.concat(*(shingles(words, n) for n in range(least, most + 1)))
+
+
 def tag_bucket(c: Column, palette: int) -> Column:
     return F.aggregate(F.transform(F.split(c, ""), F.ascii), F.lit(0), lambda a, x: a + x) % palette
 

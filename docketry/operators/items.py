@@ -47,6 +47,20 @@ def pair_counsel(lines: DataFrame, key: str, place: str, line: str) -> DataFrame
     return own.select(key, place, name.alias("counsel"), firm.alias("law_firm_agency"))
 
 
+def page_items(replies: DataFrame, key: str, first_page: str, pages: str, reply: str) -> DataFrame:
+    """(key, place, page_number, item): the items of a reply for a window of ``pages`` pages from ``first_page`` on, a JSON
+    list of objects, in order from 0. An item's page is its ``page_index_in_chunk`` after the first, or the first if that
+    is no whole number of the window. item is the object as a VARIANT. Replies that are no list have no rows, list members
+    that are no objects none either."""
+    value = F.try_parse_json(reply)
+    each = replies.where(F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))).select(key, first_page, pages, F.posexplode(F.try_variant_get(value, "$", "array<variant>")).alias("place", "item"))
+    each = each.where(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
+    offset = F.try_variant_get("item", "$.page_index_in_chunk", "variant")
+    index = F.when(F.schema_of_variant(offset) == "BIGINT", F.try_variant_get("item", "$.page_index_in_chunk", "bigint"))
+    fits = F.coalesce(index.between(0, c(pages) - 1), F.lit(False))
+    return each.select(key, "place", (c(first_page) + F.when(fits, index).otherwise(0)).cast("long").alias("page_number"), "item")
+
+
 def rules_from(table: DataFrame, most: int = 10_000) -> list[tuple[str, bool, list[str]]]:
     """Heading rules from a table of (place, level, case_counts, pattern), for ``functions.headings.heading_level``: rows
     in the order of place and pattern; neighbours of one level and case are one alternation. Rules are few: more than

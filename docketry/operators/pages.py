@@ -146,6 +146,14 @@ def inline_levels(nodes: DataFrame, key: str, tags: list[str]) -> DataFrame:
     return own.select(key, "node", "tag", level.alias("level"), "text").where("level IS NOT NULL")
 
 
+def section_anchors(nodes: DataFrame, key: str) -> DataFrame:
+    """(key, node, anchor, text): each section anchor, wherever it stands, with the text of the element around it.
+    ``nodes`` needs the whole text of all elements (``*``)."""
+    anchors = nodes.where((c("tag") == "a") & _attribute("id").rlike(r"^bnj_a_\d+_[a-zA-Z]+_\d+")).select(key, "node", c("parent").alias("_up"), _attribute("id").alias("anchor"))
+    around = nodes.where("tag IS NOT NULL").select(key, c("node").alias("_up"), c("tight").alias("text"))
+    return anchors.join(around, [key, "_up"]).select(key, "node", "anchor", "text")
+
+
 def _rank(tags: list[str]) -> Column:
     return F.array_position(F.array(*map(F.lit, tags)), c("tag"))
 

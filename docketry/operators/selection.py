@@ -73,6 +73,13 @@ def missing_fields(fields: Iterable[str]) -> Column:
     return F.array_join(F.array_compact(F.array(*tests)), ", ")
 
 
+def failure_reasons(missing: Column, *others: Column) -> Column:
+    """Why a record fails: the missing mandatory fields and then other reasons, joined by `; `; null if it doesn't.
+    missing: of ``missing_fields``; reasons that are null don't count."""
+    named = F.when(missing != "", F.concat(F.lit("Missing mandatory fields: "), missing))
+    return F.nullif(F.concat_ws("; ", named, *others), F.lit(""))
+
+
 def grown(new: Column, baseline: Column) -> Column:
     """Whether content has more bytes than its baseline; -1 stands for no baseline."""
     return F.when(baseline == -1, "missing").when(F.octet_length(new) > baseline, "pass").otherwise("failed")

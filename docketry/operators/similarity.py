@@ -131,6 +131,11 @@ def verify(df: DataFrame, original: str, rebuilt: str, threshold: float = 0.9) -
     return scored.withColumn("verification", F.when(F.col(original).isNull(), "not started").when(F.col("score") >= threshold, "pass").otherwise("failed"))
 
 
+def fidelity(a: Column, b: Column, least: float = 0.9) -> Column:
+    """Whether two texts are alike to a ratio of ``least``."""
+    return sequence_ratio(a, b) >= least
+
+
 def contains_check(item: Column, page: Column, has_content: Column | None = None) -> Column:
     """Whether the normalised item text is in the normalised page text, as one of five labels. has_content is
     false where the item has no content field: such items stay unverified."""

@@ -50,10 +50,13 @@ def _nearest(wanted: np.ndarray, ids: np.ndarray, key: str, vector: str, k: int)
 def knn(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """The k vectors of largest cosine for each query, itself left out; ties by key. queries are a stated set of
     which a block goes to the tasks at once; a task multiplies block by batch and keeps what can be among its k
-    best. Vectors of no length have no neighbours. Keys are integers."""
+    best. Vectors of no length have no neighbours, nor have those of other dimensions than the longest query. Keys are
+    integers."""
     q = queries.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
     v = vectors.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
-    blocks = max(1, -(-q.count() // BLOCK_QUERIES))
+    sized = q.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
+    q, v = (x.where(F.size(vector) == (sized["d"] or 0)) for x in (q, v))
+    blocks = max(1, -(-sized["n"] // BLOCK_QUERIES))
     met = []
     for b in range(blocks):
         own = q.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == b).toPandas()

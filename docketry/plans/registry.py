@@ -1380,3 +1380,69 @@ def _(read):
     table = read("nation").select(c("n_nationkey").alias("place"), F.concat(F.lit("h"), (c("n_regionkey") % 4 + 1).cast("string")).alias("level"), (c("n_nationkey") % 2 == 0).alias("case_counts"), pattern.alias("pattern"))
     lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", (c("at") + 1).cast("long").alias("i"), F.btrim("line", F.lit(" \t\r")).alias("line"))
     return lines.select("doc_id", "i", head.heading_level(c("line"), lay.rules_from(table)).alias("level")).where("level IS NOT NULL")
+
+
+@query("b20_failure_reasons", """SELECT source_id, nullif(concat_ws('; ', CASE WHEN m <> '' THEN concat('Missing mandatory fields: ', m) END, CASE WHEN status_content_download = 'failed' THEN 'Missing or empty content files' END), '') AS reason FROM (
+SELECT r.*, concat_ws(', ', CASE WHEN jurisdiction_code IS NULL THEN 'jurisdiction_code' END, CASE WHEN status_step IS NULL THEN 'status_step' END) AS m FROM registry_v r LEFT JOIN status_v s ON s.source_id = r.source_id)""")
+def _(read):
+    content = F.when(c("status_content_download") == "failed", "Missing or empty content files")
+    joined = read("registry_v").join(read("status_v"), "source_id", "left")
+    return joined.select("source_id", sel.failure_reasons(sel.missing_fields(["jurisdiction_code", "status_step", "book_name"]), content).alias("reason"))
+
+
+@query("h13_norm_header", r"""SELECT doc_id, md5(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g'))) AS digest FROM documents""")
+def _(read):
+    headed = F.when(c("doc_id") % 3 == 0, F.concat(F.lit("PAGE  extract - of "), c("source"), F.lit(" \n"), c("text"))).otherwise(c("text"))
+    return read("documents").select("doc_id", F.md5(txt.norm_verify(headed, r"Page\s+extract\s*-\s*of\s+\S+")).alias("digest"))
+
+
+@query("i2_anchor_parents", """SELECT page_id, place, concat('bnj_a_', page_id, '_sr_', place) AS anchor, text FROM pages, LATERAL (VALUES (1, 'SeeS1x'), (2, 'deep2end')) v(place, text)""")
+def _(read):
+    anchor = lambda k: F.concat(F.lit("<a class='q' id='bnj_a_"), c("page_id"), F.lit(f"_sr_{k}'>"))
+    html = F.concat(F.lit("<p>See <b> "), F.lit("S"), F.lit(" </b>"), F.lit(" "), anchor(1), F.lit("1</a><i>x</i></p><div>out<span>deep "), anchor(2), F.lit("2</a> end</span></div><a id='bnj_b_1'>no</a>"), "html")
+    found = tree.section_anchors(page_nodes(read("pages").select("page_id", html.alias("html")), "page_id", "html", ("*",)), "page_id")
+    return found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("node")).alias("place"), "anchor", "text")
+
+
+@query("i4_split_records", """WITH r AS (SELECT doc_id, lang, text, length(to_json(struct_pack(doc_id := doc_id, lang := lang, text := text))) AS whole, 900 - length(to_json(struct_pack(doc_id := doc_id, lang := lang, text := ''))) AS room FROM documents),
+s AS (SELECT *, unnest(CASE WHEN whole <= 900 THEN [1] ELSE range(1, length(text) + 1, room) END) AS start FROM r)
+SELECT doc_id, lang, CASE WHEN whole <= 900 THEN 0 ELSE start // room END AS part, md5(CASE WHEN whole <= 900 THEN text ELSE substr(text, start, room) END) AS digest FROM s""")
+def _(read):
+    parts = files.split_records(read("documents").select("doc_id", "lang", "text"), "text", 900)
+    return parts.select("doc_id", "lang", c("part").cast("long").alias("part"), F.md5("text").alias("digest"))
+
+
+@query("l4_shingle_groups", f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '{NOT_WHITE}') AS w FROM documents)
+SELECT doc_id, md5(concat_ws('|', array_to_string(list_transform(range(1, len(w)), lambda i: array_to_string(w[i : i + 1], ' ')), '|'), CASE WHEN len(w) > 2 THEN array_to_string(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')), '|') END)) AS digest FROM w WHERE len(w) > 1""")
+def _(read):
+    words = read("documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(f"({NOT_WHITE})"), F.lit(1)).alias("w"))
+    return words.where(F.size("w") > 1).select("doc_id", F.md5(F.array_join(txt.shingle_groups(c("w")), "|")).alias("digest"))
+
+
+# SQL can't express the ratio: difflib is the test.
+@query("j4_fidelity")
+def _(read):
+    """Each benchmark item against itself without every so many words."""
+    words = F.split("text", " ")
+    cut = F.array_join(F.filter(words, lambda w, i: (i + 1) % (2 + c("item_id") % 9) != 0), " ")
+    return read("benchmark").select("item_id", sim.fidelity(c("text"), cut).alias("faithful"))
+
+
+@query("i11_page_items", """SELECT event_id, place, 10 * event_id + CASE WHEN place = 0 THEN event_id % 3 WHEN place = 1 AND event_id % 5 < 3 THEN event_id % 5 ELSE 0 END AS page_number, tag FROM events, LATERAL (VALUES (0, 'Title'), (1, 'Paragraph'), (2, event_type), (4, 'Footer')) v(place, tag) WHERE event_id % 4 <> 3""")
+def _(read):
+    number = lambda k: (c("event_id") % k).cast("string")
+    reply = F.concat(
+        F.lit('[{"tag": "Title", "page_index_in_chunk": '), number(3), F.lit('}, {"page_index_in_chunk": '), number(5), F.lit(', "tag": "Paragraph"}, {"tag": "'), "event_type", F.lit('", "page_index_in_chunk": 1.5}, "no object", {"tag": "Footer", "content": "x"}]')
+    )
+    rows = read("events").select("event_id", (10 * c("event_id")).alias("first"), F.lit(3).alias("pages"), F.when(c("event_id") % 4 == 3, F.concat(F.lit("{"), reply)).otherwise(reply).alias("reply"))
+    return lay.page_items(rows, "event_id", "first", "pages", "reply").select("event_id", "place", "page_number", F.try_variant_get("item", "$.tag", "string").alias("tag"))
+
+
+# RE2 has no look-around: a plain version in Python is the test.
+@query("h43_markdown_html")
+def _(read):
+    """Lines of documents, marked up by their place."""
+    lines = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    k, line = c("i") % 4, c("line")
+    marked = F.when(k == 0, F.concat(F.lit("**"), line, F.lit("** & <more>"))).when(k == 1, F.concat(F.lit("see [x "), line, F.lit("](http://e.org/_a_b)\n_"), line, F.lit("_"))).when(k == 2, F.concat(F.lit("* "), line, F.lit(" *"))).otherwise(line)
+    return lines.select("doc_id", "i", F.md5(page.markdown_html(marked)).alias("digest"), F.md5(page.markdown_html(marked, heading=True)).alias("heading"))

@@ -23,8 +23,26 @@ def read_bodies(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-def export_jsonl(df: DataFrame, path: str, most_records: int = 5000, longest_line: int | None = None) -> None:
-    """A JSON object a line, ``most_records`` a file; lines of more characters than ``longest_line`` are left out."""
+def split_records(df: DataFrame, content: str, longest: int) -> DataFrame:
+    """Records whose JSON line has more than ``longest`` characters as several, in order: each with all other fields and as
+    many characters of the content as a line has room for beside them. ``part`` numbers them from 0. Records whose
+    other fields leave no room are an error; marks that JSON escapes aren't counted, as in a plain cut."""
+    fields = df.columns
+    whole = F.length(F.to_json(F.struct(*fields)))
+    room = longest - F.length(F.to_json(F.struct(*(F.lit("").alias(x) if x == content else F.col(x) for x in fields))))
+    size = F.length(content)
+    starts = F.when(whole <= longest, F.array(F.lit(1))).when(room <= 0, F.raise_error(F.lit(f"fields beside {content} exceed {longest} characters")).cast("array<int>"))
+    starts = starts.otherwise(F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.greatest(room, F.lit(1))))
+    each = df.select("*", F.when(whole > longest, room).alias("_room"), F.posexplode(starts).alias("part", "_start"))
+    cut = F.when(F.col("_room").isNull(), F.col(content)).otherwise(F.substr(content, F.col("_start"), F.col("_room")))
+    return each.select(*(cut.alias(x) if x == content else x for x in fields), "part")
+
+
+def export_jsonl(df: DataFrame, path: str, most_records: int = 5000, longest_line: int | None = None, content: str | None = None) -> None:
+    """A JSON object a line, ``most_records`` a file. Of lines of more characters than ``longest_line`` the field ``content``
+    is split over several records; without such a field they are left out."""
+    if longest_line is not None and content is not None:
+        df, longest_line = split_records(df, content, longest_line).drop("part"), None
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
     kept = lines if longest_line is None else lines.where(F.length("value") <= longest_line)
     kept.write.option("maxRecordsPerFile", most_records).mode("errorifexists").text(path)

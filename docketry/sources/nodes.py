@@ -80,7 +80,7 @@ def _with_texts(rows: list[list], whole: frozenset[str]) -> list[list]:
     strings = [r for r in rows if r[3] is None]
     places = [r[0] for r in strings]
     for row in rows:
-        if row[3] in whole:
+        if row[3] in whole or row[3] is not None and "*" in whole:
             own = strings[bisect(places, row[0]) : bisect(places, row[2])]
             depth = len(row[6]) + 1  # what lies above the element itself doesn't silence its text
             shown = [r[7] for r in own if not any(tag in SILENT for tag in r[5][depth:])]
@@ -91,7 +91,7 @@ def _with_texts(rows: list[list], whole: frozenset[str]) -> list[list]:
 
 def page_nodes(pages: DataFrame, key: str, html: str, whole: tuple[str, ...] = ()) -> DataFrame:
     """A row for each element and each text of a page: node (its number), parent, last (the last node inside it), tag
-    (null for a text), attributes, path and ancestors (tags and numbers from the top) and text. Elements named in ``whole``
+    (null for a text), attributes, path and ancestors (tags and numbers from the top) and text. Elements named in ``whole`` (all of them if it holds ``*``)
     have the text of all they hold, but for scripts and styles, as text; tight and spaced are its trimmed pieces, joined
     by nothing or by a space. Null and empty pages have no rows; comments have none."""
     wanted, kind = frozenset(whole), pages.schema[key].dataType.simpleString()
