@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
+
+from docketry.functions.text import snippet
+from docketry.sources.rounds import checkpointed, small
 
 # English stop words that analysis drops.
 STOP_WORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
@@ -81,16 +85,25 @@ def porter_stem(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word) > 1 else word
 
 
+@functools.lru_cache(maxsize=200_000)
+def cached_stem(word: str) -> str:
+    return porter_stem(word)
+
+
 @F.pandas_udf(StringType())
 def stem(term: pd.Series) -> pd.Series:
     return term.map(porter_stem, na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def stems(terms: pd.Series) -> pd.Series:
+    """Stems of arrays of words; a task stems a word that comes again once."""
+    return terms.map(lambda words: None if words is None else [cached_stem(w) for w in words])
+
+
 def analyzed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, position, term): tokens without stop words, stemmed. Each distinct token is stemmed once."""
-    each = positions(df, key, text)
-    stems = each.select("term").distinct().select("term", stem("term").alias("stemmed"))
-    return each.join(stems, "term").select(key, "position", F.col("stemmed").alias("term"))
+    """(key, position, term): tokens without stop words, stemmed where they stand."""
+    return df.select(key, F.posexplode(stems(tokens(F.col(text)))).alias("position", "term"))
 
 
 def positions(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -102,22 +115,29 @@ def postings(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def search(docs: DataFrame, queries: DataFrame, key: str, query_key: str, text: str, k: int = 20) -> DataFrame:
-    """The k best documents of each query by BM25, ties by key. Only terms of the queries are counted, so the
-    index that is shuffled holds no others; the terms' weights, which are as many as the queries' terms, come to
-    it, and Spark broadcasts them where they are small."""
-    wanted = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    sized = docs.select(key, tokens(F.col(text)).alias("terms")).select(key, F.size("terms").alias("size"), "terms")
-    whole = sized.agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
-    met = sized.select(key, "size", F.explode("terms").alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
-    posted = met.groupBy(key, "size", "term").agg(F.count("*").alias("tf"))
-    weights = wanted.join(posted.groupBy("term").agg(F.count("*").alias("df")), "term").crossJoin(F.broadcast(whole))
-    weights = weights.select(query_key, "term", "mean", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
+    """The k best documents of each query by BM25, ties by key. The documents are read once: only counts of the queries'
+    terms, and of each document its size, are stored. The queries' terms are sent to all tasks if they are few."""
+    wanted = small(queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term")))
+    # The empty term, which no text has, stands for the document itself.
+    whole_doc = F.array(F.lit(""))
+    terms = small(wanted.select("term").distinct().unionByName(queries.sparkSession.range(1).select(F.lit("").alias("term"))))
+    sized = docs.select(key, tokens(F.col(text)).alias("terms")).select(key, F.size("terms").alias("size"), F.explode(F.concat("terms", whole_doc)).alias("term"))
+    posted = checkpointed(sized.join(terms, "term", "left_semi").groupBy(key, "size", "term").agg(F.count("*").alias("tf")))
+    whole = posted.where("term = ''").agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
+    posted = posted.where("term <> ''")
+    weights = wanted.join(posted.groupBy("term").agg(F.count("*").alias("df")), "term")
+    weights = small(weights.select(query_key, "term", F.log(1 + (F.lit(whole["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
+    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(whole["mean"] or 1.0)))
     total = posted.join(weights, "term").groupBy(query_key, key).agg(F.round(F.sum(part), 6).alias("score"))
     order = Window.partitionBy(query_key).orderBy(F.col("score").desc(), key)
     return total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
+def with_snippets(found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """What a search found, with the beginning of each document's text."""
+    return found.join(docs.select(key, snippet(F.col(text)).alias("snippet")), key)
+
+
 def edge_ngrams(c: Column, least: int = 2, most: int = 20) -> Column:
     """Prefixes of each token."""
     prefixes = F.transform(

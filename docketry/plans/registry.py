@@ -838,6 +838,15 @@ def _(read):
     return index.search(read("documents"), read("benchmark"), "doc_id", "item_id", "text")
 
 
+@query("l8_snippets", f"""WITH q AS (SELECT DISTINCT item_id, unnest({_TOK}) AS term FROM benchmark), d AS (SELECT doc_id, text, {_TOK} AS t FROM documents), z AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
+e AS (SELECT doc_id, len(t) AS size, unnest(t) AS term FROM d), p AS (SELECT doc_id, size, term, count(*) AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY ALL), r AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+s AS (SELECT item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score FROM p JOIN r USING (term) JOIN q USING (term), z GROUP BY item_id, doc_id)
+SELECT item_id, doc_id, concat(array_to_string(string_split(text, ' ')[1:30], ' '), '...') AS snippet FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s) JOIN documents USING (doc_id) WHERE place <= 3""")
+def _(read):
+    found = index.search(read("documents"), read("benchmark"), "doc_id", "item_id", "text", 3)
+    return index.with_snippets(found, read("documents"), "doc_id", "text").select("item_id", "doc_id", "snippet")
+
+
 @query("l9_autocomplete", "WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS t FROM part) SELECT s.s_suppkey, count(DISTINCT p_partkey) AS matches FROM (SELECT s_suppkey, lower(substr(s_name, 1, 3)) AS typed FROM supplier) s LEFT JOIN t ON starts_with(t, typed) GROUP BY s_suppkey")
 def _(read):
     prefixes = read("part").select("p_partkey", F.explode(index.edge_ngrams(c("p_name"))).alias("typed")).where(F.length("typed") == 3)
