@@ -401,3 +401,92 @@ def test_knapsack_fills_as_much_as_any_multiset():
                 left -= 1
         assert total == best[room]
     assert packing.configurations([], []) == []
+
+
+# ---- ordinal regression and candidates: by plain loops
+
+
+def plain_fit(rows, grades, dimensions, steps, rate):
+    """The same loss and steps, text by text and word by word, for words that all take part."""
+    import math
+
+    top, n = max(grades), len(rows)
+    share = [min(max(sum(g >= k for g in grades) / n, 1e-3), 1 - 1e-3) for k in range(1, top + 1)]
+    t, pull = [-math.log(p / (1 - p)) for p in share], [0.0] * top
+    w, m, v = {}, {}, {}
+    for f, s in rows:
+        for x in [*f, *s]:
+            w[int(x)] = m[int(x)] = v[int(x)] = 0.0
+    for step in range(1, steps + 1):
+        slope, down = dict.fromkeys(w, 0.0), [0.0] * top
+        for (f, s), grade in zip(rows, grades, strict=True):
+            parts = [(int(x), 1 / math.sqrt(max(1, len(f)))) for x in f] + [(int(x), 1.0) for x in s]
+            score = sum(w[x] * value for x, value in parts)
+            for k in range(top):
+                gap = (1 / (1 + math.exp(-(score - t[k]))) - (grade >= k + 1)) / n
+                down[k] += gap
+                for x, value in parts:
+                    slope[x] += gap * value
+        for x in w:
+            m[x] += 0.1 * (slope[x] - m[x])
+            v[x] += 0.01 * (slope[x] ** 2 - v[x])
+            pace = 0.1 if x >= dimensions else 1.0
+            w[x] -= rate / step**0.25 * pace * (m[x] / (1 - 0.9**step)) / (math.sqrt(v[x] / (1 - 0.99**step)) + 1e-12)
+        pull = [0.9 * a + b for a, b in zip(pull, down, strict=True)]
+        t = sorted(a + 0.2 * b for a, b in zip(t, pull, strict=True))
+    return w, t
+
+
+def test_the_fit_is_that_of_plain_loops():
+    import math
+
+    from docketry.llm import ordinal
+
+    r = random.Random(21)
+    texts = [" ".join(r.choices(["good", "bad", "text", "of", "words", "x1", "AND", "!!"], k=r.randint(0, 12))) for _ in range(14)]
+    grades = [r.randint(0, 3) for _ in texts]
+    dimensions = 1 << 12
+    rows = ordinal.features(texts, dimensions)
+    model = ordinal.fitted(rows, grades, dimensions=dimensions, steps=40, least_texts=0, least_z=0.0)
+    w, t = plain_fit(rows, grades, dimensions, 40, 4.0)
+    assert np.allclose(model.thresholds, t, atol=1e-6) and np.flatnonzero(model.weights).size <= len(w)
+    assert all(math.isclose(model.weights[x], value, rel_tol=1e-5, abs_tol=1e-6) for x, value in w.items())
+    tails = model.tails(texts)
+    for (f, s), own in zip(rows, tails, strict=True):
+        score = sum(w[int(x)] for x in f) / math.sqrt(max(1, len(f))) + sum(w[int(x)] for x in s)
+        assert np.allclose(own, [1 / (1 + math.exp(-(score - k))) for k in t], atol=1e-5)
+    assert (np.diff(tails, axis=1) <= 0).all()
+
+
+def plain_candidates(text):
+    """Token by token and match by match, with Python's own patterns."""
+    from docketry.llm import secrets
+
+    text = text.replace("\x01", "\x02")
+    tokens, found = re.split(r"\s+", text, flags=re.ASCII), []
+    for i, token in enumerate(tokens):
+        if len(token) >= 16:
+            found += [(i, x) for x in dict.fromkeys(m.group(0) for m in re.finditer(secrets.RUN, token, re.ASCII))]
+    values = set()
+    for pattern, parts in ((secrets.ASSIGNED, (2, 3, 5)), (secrets.IN_URL, (2,))):
+        for m in re.finditer(pattern, text, re.ASCII):
+            k = next((k for k in parts if m.group(k)), None)
+            secret = "" if k is None else m.group(k)
+            before = text[: m.start(k)] if k else text[: m.end()]
+            if not re.fullmatch(secrets.RUN, secret, re.ASCII):
+                values.add((len(re.findall(r"\s+", before, re.ASCII)), secret, m.group(0)))
+    return sorted(found) + sorted((i, x) for i, x, _ in values)
+
+
+def test_candidates_are_those_of_a_plain_search(spark):
+    from docketry.llm import secrets
+
+    r = random.Random(31)
+    parts = ["key", "api_key", "=", ": ", '"', "'", " ", "\n", "token", "word", "a1B2c3D4e5F6g7H8", "x" * 20, "https://", "user:", "pa ss", "@", "/", "==", "é", "-" * 17, ".", "my.secret", "\x01"]
+    texts = ["", "key", "key = ", 'key="a b" c', "a://b:c@d e://f@g", "password: hunter2.", "  token=x", "key='unclosed", "k" * 40] + ["".join(r.choices(parts, k=r.randint(1, 25))) for _ in range(700)]
+    rows = secrets.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "at", "secret").collect()
+    got: dict[int, list] = {}
+    for row in rows:
+        got.setdefault(row["doc_id"], []).append((row["at"], row["secret"]))
+    for i, text in enumerate(texts):
+        assert sorted(got.get(i, [])) == sorted(plain_candidates(text)), text
