@@ -490,3 +490,36 @@ def test_candidates_are_those_of_a_plain_search(spark):
         got.setdefault(row["doc_id"], []).append((row["at"], row["secret"]))
     for i, text in enumerate(texts):
         assert sorted(got.get(i, [])) == sorted(plain_candidates(text)), text
+
+
+# ---- awkward rows of earlier operators
+
+
+def test_rows_without_number_and_empty_tables(spark):
+    from docketry.llm import licences, repeats, toxicity
+    from docketry.llm.decontaminate import contamination
+
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(None, "no number " * 30), (1, "no number " * 30), (2, None), (3, "")], schema)
+    got = {r["doc_id"]: r for r in licences.licences(docs, licences.known_notices(spark)).collect()}
+    assert set(got) == {1, 2, 3} and all(r["n_matches"] == 0 for r in got.values())
+    cut = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in repeats.repeats(docs).collect()}
+    assert set(cut) == {1, 2, 3} and cut[2] == cut[3] == (0, 0) and cut[1][0] == 300
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0 and toxicity.accepted(docs, labels).count() == 4
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen"), (2, "lone")], "item_id long, text string")
+    long = "filler words here " * 60_000 + "one two three four five six seven eight nine ten eleven twelve thirteen lone " + "more filler " * 60_000
+    row = contamination(spark.createDataFrame([(5, long)], schema), items).first()
+    assert (row["n_words"], row["n_hit"], row["n_items"], row["contaminated"]) == (300_014, 14, 2, False)
+
+
+def test_repeats_of_a_text_of_several_pieces(spark):
+    """A text longer than a piece: what it shares with an earlier document goes, wherever it stands."""
+    from docketry.llm import repeats
+
+    r = random.Random(17)
+    shared = "".join(r.choices("abcdefghijklmnop ", k=120))
+    filler = np.random.default_rng(3).integers(97, 123, 17_500_000).astype(np.uint8).tobytes().decode()
+    text = filler[:100] + shared + filler[100:17_000_000] + shared + filler[17_000_000:]
+    got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"]) for x in repeats.repeats(spark.createDataFrame([(1, shared), (2, text)], "doc_id long, text string")).collect()}
+    assert got[1] == (120, 0, 0) and got[2][0] == len(text) and got[2][2] == 2 and 240 <= got[2][1] <= 244
