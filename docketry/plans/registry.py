@@ -24,7 +24,7 @@ from docketry.operators import windows as win
 from docketry.plans.fixtures import CODES, view, with_views
 from docketry.sources import files
 from docketry.sources.nodes import page_nodes
-from docketry.sources.rounds import small
+from docketry.sources.rounds import checkpointed, small
 from docketry.sources.sitemaps import expand_sitemaps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -561,8 +561,8 @@ def _known_codes(df: DataFrame) -> DataFrame:
 
 @query("h6_deconstruct", f"SELECT source_id, code, jurisdiction_code, tribunal_code, panel_or_division FROM {_PARSED} LEFT JOIN {_CUT} USING (code)")
 def _(read):
-    parsed = _parsed(read).select("source_id", "code")
-    return parsed.join(cite.deconstruct(parsed, _known_codes(parsed)), "code", "left").select("source_id", "code", "jurisdiction_code", "tribunal_code", "panel_or_division")
+    parsed = checkpointed(_parsed(read).select("source_id", "code"))
+    return parsed.join(small(cite.deconstruct(parsed, _known_codes(parsed))), "code", "left").select("source_id", "code", "jurisdiction_code", "tribunal_code", "panel_or_division")
 
 
 @query("registration", f"""SELECT court_jurisdiction AS jurisdiction, court, panel, year, reason, count(*) AS documents FROM (
@@ -573,7 +573,8 @@ FROM {_PARSED} p LEFT JOIN {_CUT} x ON x.code = p.code)) GROUP BY ALL""")
 def _(read):
     """Citations to court, year and date; what fails keeps its reason. A form with three words tells the
     jurisdiction and the panel itself."""
-    parsed = _parsed(read)
+    # Parsed once, for the codes and for the rows.
+    parsed = checkpointed(_parsed(read))
     cut = cite.deconstruct(parsed, _known_codes(parsed))
     court = F.when(c("jurisdiction").isNotNull(), c("code")).otherwise(c("tribunal_code"))
     courts = parsed.join(small(cut), "code", "left").select(
