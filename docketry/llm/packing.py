@@ -155,6 +155,8 @@ def program(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int =
     chosen: list[tuple[np.ndarray, int]] = []
     for _ in range(rounds):
         have = np.flatnonzero(left)
+        if not have.size:
+            break
         own, placed = lengths[have], 0
         _, choice = knapsack(own, left[have] * own.astype(float) ** POWER, capacity, random)
         for first in random.permutation(len(have)):
