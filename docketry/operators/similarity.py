@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from docketry.functions.text import norm_match, norm_verify
+from docketry.sources.rounds import checkpointed, small
 
 
 class _Spans:
@@ -157,20 +160,31 @@ def sentence_diff(a: Column, b: Column) -> tuple[Column, Column]:
     return F.array_except(sentences(b), sentences(a)), F.array_except(sentences(a), sentences(b))
 
 
-def overlap_match(headings: DataFrame, elements: DataFrame, key: str, heading: str, text: str, place: list[str], least_words: int = 5, percent: int = 85) -> DataFrame:
+def distinct_words(c: Column) -> Column:
+    """Runs without white space in lower case, each once."""
+    return F.filter(F.array_distinct(F.split(F.lower(c), r"\s+")), lambda w: w != "")
+
+
+def overlap_match(headings: DataFrame, elements: DataFrame, key: str, heading: str, text: str, place: list[str], least_words: int = 5, percent: int = 85, few: int = 100_000) -> DataFrame:
     """The first element (by place) of each heading of ``least_words`` distinct words or more that holds ``percent``
     hundredths of them; words are runs without white space in lower case. A heading's words by rarity: an element
-    that holds so many of them holds one of the first few, which alone meet the elements' words."""
-    words = lambda c: F.filter(F.array_distinct(F.split(F.lower(c), r"\s+")), lambda w: w != "")
-    wanted = headings.select(key, words(F.col(heading)).alias("_w")).where(F.size("_w") >= least_words)
-    held = elements.select(*place, words(F.col(text)).alias("_e")).where(F.size("_e") > 0)
-    vocabulary = wanted.select(F.explode("_w").alias("_word")).distinct()
+    that holds so many of them holds one of the first few, the probes, which alone meet the elements' words. Up to ``few``
+    probes are sent to all tasks."""
+    wanted = headings.select(key, distinct_words(F.col(heading)).alias("_w")).where(F.size("_w") >= least_words)
+    held = elements.select(*place, distinct_words(F.col(text)).alias("_e")).where(F.size("_e") * 100 >= least_words * percent)
+    vocabulary = small(wanted.select(F.explode("_w").alias("_word")).distinct())
     counts = held.select(F.explode("_e").alias("_word")).join(vocabulary, "_word", "left_semi").groupBy("_word").agg(F.count("*").alias("_n"))
     ranked = wanted.select(key, "_w", F.explode("_w").alias("_word")).join(counts, "_word", "left")
     ranked = ranked.groupBy(key, "_w").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_word"))).alias("_by"))
     missing = F.floor(F.size("_w") * (100 - percent) / 100).cast("int")
-    probes = ranked.select(key, "_w", F.explode(F.slice("_by", F.lit(1), missing + 1)).alias("p")).select(key, "_w", F.col("p._word").alias("_word"))
-    rare = probes.select("_word").distinct()
-    met = held.select(*place, "_e", F.explode("_e").alias("_word")).join(rare, "_word", "left_semi").join(probes, "_word")
+    probes = checkpointed(ranked.select(key, "_w", F.explode(F.slice("_by", F.lit(1), missing + 1)).alias("p")).select(key, "_w", F.col("p._word").alias("_word")))
+    if probes.count() <= few:
+        # Elements meet the probes where they stand: no word of theirs is moved.
+        met = held.select(*place, "_e", F.explode("_e").alias("_word")).join(F.broadcast(probes), "_word")
+    else:
+        # Words move without the texts; only the pairs that share a probe get the element's words.
+        pairs = held.select(*place, F.explode("_e").alias("_word")).join(probes, "_word").select(key, "_w", *(F.col(x).alias(f"_at_{x}") for x in place)).distinct()
+        same = functools.reduce(Column.__and__, (F.col(f"_at_{x}").eqNullSafe(F.col(x)) for x in place))
+        met = pairs.join(held, same)
     enough = 100 * F.size(F.array_intersect("_w", "_e")) >= percent * F.size("_w")
     return met.where(enough).groupBy(key).agg(F.min(F.struct(*place)).alias("p")).select(key, "p.*")
