@@ -6,11 +6,12 @@ windows and of equal keys, not of walking trees.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.operators.similarity import overlap_match
-from docketry.sources.rounds import checkpointed
+from docketry.operators.similarity import distinct_words
 
 # Elements that are no content, and parts of class names and ids that mark notes.
 SKIPPED = ["script", "style", "meta", "link", "head", "nav"]
@@ -24,7 +25,7 @@ STYLED = ["span", "div", "p"]
 EXACT_IN = ["p", "b", "strong", "span", "div", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6"]
 PREFIX_IN = ["p", "div", "td"]
 OVERLAP_IN = ["p", "div", "td", "b", "strong"]
-EXTRA_CHARS, MOST_LINES, PROBE = 50, 6, 8
+EXTRA_CHARS, MOST_LINES = 50, 6
 # Labels of a case's metadata table and their columns.
 FIELDS = {
     "Citation": "citation", "Key issues": "key_issues", "Catchwords": "keywords", "Judgment of": "presiding_officer", "Judge": "presiding_officer", "Panelist": "panelist",
@@ -163,39 +164,37 @@ def locate_headings(headings: DataFrame, nodes: DataFrame, key: str, number: str
     the headings that those before it leave: 1 an element of equal text; 2 one that begins with it and is less than
     ``EXTRA_CHARS`` longer; 3 up to ``MOST_LINES`` paragraphs in a row that give it; 4 one that holds 85 hundredths of its
     words, if it has five or more. In each the kind of element goes before its place. Headings that aren't found have no row.
-    (key, number) names a heading; null headings are none. ``nodes`` needs the whole text of ``EXACT_IN``."""
-    elements = checkpointed(nodes.where(c("tag").isin(EXACT_IN)).select(key, "node", "tag", tidy(c("text")).alias("text")))
-    left = checkpointed(headings.where(c(heading).isNotNull()).select(key, number, tidy(c(heading)).alias("wanted")))
-    found = []
-
-    def step(strategy: int, met: DataFrame) -> None:
-        """met: (key, number, place): candidates."""
-        nonlocal left
-        own = met.groupBy(key, number).agg(F.min("place").alias("place")).select(key, number, F.lit(strategy).alias("strategy"), "place.node")
-        found.append(checkpointed(own))
-        left = left.join(found[-1], [key, number], "left_anti")
-
-    place = lambda tags: F.struct(_rank(tags).alias("rank"), "node").alias("place")
-    step(1, left.join(elements.withColumnRenamed("text", "wanted"), [key, "wanted"]).select(key, number, place(EXACT_IN)))
-    # A heading's first characters, as many as PROBE, and the same of elements, by their number.
-    begins = lambda text, n: F.struct(n.cast("int").alias("n"), F.substr(text, F.lit(1), n).alias("start")).alias("start")
-    probe = left.select(key, number, "wanted", begins(c("wanted"), F.least(F.length("wanted"), F.lit(PROBE))))
-    starts = elements.where(c("tag").isin(PREFIX_IN)).select(key, "node", "tag", "text", F.explode(F.sequence(F.lit(0), F.least(F.length("text"), F.lit(PROBE)))).alias("_n"))
-    starts = starts.select(key, "node", "tag", "text", begins(c("text"), c("_n")))
-    met = probe.join(starts, [key, "start"]).where(F.startswith("text", "wanted") & (F.length("text") - F.length("wanted") < EXTRA_CHARS))
-    step(2, met.select(key, number, place(PREFIX_IN)))
-    texts = F.collect_list("text").over(_along(key).rowsBetween(0, MOST_LINES - 1))
-    rows = elements.where("tag = 'p'").select(key, "node", "tag", texts.alias("texts"))
-    rows = rows.where(F.size("texts") > 1).select(key, "node", "tag", F.explode(F.sequence(F.lit(2), F.size("texts"))).alias("_k"), "texts")
-    rows = rows.select(key, "node", "tag", tidy(F.array_join(F.slice("texts", F.lit(1), c("_k")), " ")).alias("wanted"))
-    step(3, left.join(rows, [key, "wanted"]).select(key, number, place(["p"])))
-    # Words are told apart by their page, so that a heading meets those of its own page only.
-    of_page = lambda text: F.regexp_replace(text, r"(\S+)", F.concat(c(key).cast("string"), F.lit(":$1")))
-    asked = left.select(F.struct(key, number).alias("h"), of_page(c("wanted")).alias("wanted"))
-    there = elements.where(c("tag").isin(OVERLAP_IN)).select(_rank(OVERLAP_IN).alias("rank"), "node", of_page(c("text")).alias("text"))
-    met = overlap_match(asked, there, "h", "wanted", "text", ["rank", "node"])
-    step(4, met.select("h.*", F.struct("rank", "node").alias("place")))
-    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    (key, number) names a heading; null headings are none. ``nodes`` needs the whole text of ``EXACT_IN``. Each element meets
+    the headings of its page once, for all strategies."""
+    elements = nodes.where(c("tag").isin(EXACT_IN)).select(key, "node", "tag", tidy(c("text")).alias("text"))
+    asked = headings.where(c(heading).isNotNull()).select(key, number, tidy(c(heading)).alias("wanted"))
+    words = distinct_words(c("wanted"))
+    asked = asked.select(key, number, "wanted", F.when(F.size(words) >= 5, words).alias("words"))
+    # A heading's paragraphs are no longer than the page's longest heading: longer ones stand as null in the rows.
+    longest = asked.groupBy(key).agg(F.max(F.length("wanted")).alias("longest"))
+    elements = elements.join(longest, key)
+    short = F.struct(F.when(F.length("text") <= c("longest"), c("text")).alias("x"))
+    row = F.collect_list(F.when(c("tag") == "p", short)).over(Window.partitionBy(key, c("tag") == "p").orderBy("node").rowsBetween(0, MOST_LINES - 1))
+    elements = elements.select(key, "node", "tag", "text", distinct_words(c("text")).alias("held"), row.alias("row"))
+
+    def joined(k: int) -> Column:
+        first = F.slice("row", 1, k)
+        whole = (F.size("row") >= k) & F.forall(first, lambda p: p.x.isNotNull())
+        return whole & (tidy(F.array_join(F.transform(first, lambda p: p.x), " ")) == c("wanted"))
+
+    begins = F.startswith("text", "wanted")
+    in_a_row = (c("tag") == "p") & F.startswith("wanted", "text") & functools.reduce(Column.__or__, map(joined, range(2, MOST_LINES + 1)))
+    strategies = [
+        (EXACT_IN, c("text") == c("wanted")),
+        (PREFIX_IN, begins & (F.length("text") - F.length("wanted") < EXTRA_CHARS)),
+        (["p"], in_a_row),
+        (OVERLAP_IN, 100 * F.size(F.array_intersect("words", "held")) >= 85 * F.size("words")),
+    ]
+    place = F.lit(None)
+    for strategy, (tags, fits) in reversed(list(enumerate(strategies, 1))):
+        place = F.when(c("tag").isin(tags) & F.coalesce(fits, F.lit(False)), F.struct(F.lit(strategy).alias("strategy"), _rank(tags).alias("rank"), "node")).otherwise(place)
+    met = elements.join(asked, key).select(key, number, place.alias("place")).where("place IS NOT NULL")
+    return met.groupBy(key, number).agg(F.min("place").alias("place")).select(key, number, "place.strategy", "place.node")
 
 
 def _within(nodes: DataFrame, key: str, tag: str) -> DataFrame:
