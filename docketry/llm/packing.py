@@ -144,15 +144,15 @@ def _fullest(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray
     return take
 
 
-def program(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int = 10_000, seed: int = 1) -> list[tuple[np.ndarray, int]]:
-    """(multiset, times): whole multiples of full configurations, taken from ``left``.
+def _rounds(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int, seed: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(numbers of lengths, how many of each, times): whole multiples of full configurations, taken from ``left``. A
+    multiset holds few of the lengths, so that only those are kept.
 
     A length's price is its demand that is still uncovered, times a power of the length, so that it falls by a factor
     with each configuration that holds it. A round prices with one knapsack, which gives a fullest configuration for each
     length; each that is full, in random order, is rounded down to what the demand allows: all of it where it covers
     one piece, half of what is left where it can cover more. Rounds end when few configurations fit."""
     random, full = np.random.default_rng(seed), left.sum()
-    chosen: list[tuple[np.ndarray, int]] = []
     for _ in range(rounds):
         have = np.flatnonzero(left)
         if not have.size:
@@ -164,38 +164,52 @@ def program(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int =
             used = np.flatnonzero(column)
             if int(column @ own) == capacity and (n := int((left[have[used]] // column[used]).min())):
                 n = -(-n // 2)
-                whole = np.zeros(len(lengths), np.int64)
-                whole[have] = column
-                chosen.append((whole, n))
-                left -= n * whole
+                yield have[used], column[used], n
+                left[have[used]] -= n * column[used]
                 placed += n * int(column.sum())
         if placed < STALLED * full:
             break
-    return chosen
 
 
-def configurations(lengths, counts, capacity: int = CAPACITY, rounds: int = 10_000) -> list[tuple[np.ndarray, int]]:
-    """(multiset, times): together they hold each length exactly ``counts`` times. lengths ascend. What the program
-    leaves is placed by a greedy fill."""
-    lengths, left = np.asarray(lengths, np.int64), np.asarray(counts, np.int64).copy()
-    chosen = program(lengths, left, capacity, rounds)
+def _filled(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """As ``_rounds``, until nothing is left: what the program leaves is placed by a greedy fill."""
+    yield from _rounds(lengths, left, capacity, rounds)
     while left.any():
         column = _fullest(lengths, left, capacity)
-        used = column > 0
+        used = np.flatnonzero(column)
         n = int((left[used] // column[used]).min())
-        chosen.append((column, n))
-        left -= n * column
-    return chosen
+        yield used, column[used], n
+        left[used] -= n * column[used]
+
+
+def _whole(found: Iterator[tuple[np.ndarray, np.ndarray, int]], size: int) -> list[tuple[np.ndarray, int]]:
+    made = []
+    for at, each, times in found:
+        made.append((np.zeros(size, np.int64), times))
+        made[-1][0][at] = each
+    return made
+
+
+def program(lengths: np.ndarray, left: np.ndarray, capacity: int, rounds: int = 10_000) -> list[tuple[np.ndarray, int]]:
+    """(multiset, times) of the program: how many of each length."""
+    return _whole(_rounds(lengths, left, capacity, rounds), len(lengths))
+
+
+def configurations(lengths, counts, capacity: int = CAPACITY, rounds: int = 10_000) -> list[tuple[np.ndarray, int]]:
+    """(multiset, times): together they hold each length exactly ``counts`` times. lengths ascend."""
+    lengths, left = np.asarray(lengths, np.int64), np.asarray(counts, np.int64).copy()
+    return _whole(_filled(lengths, left, capacity, rounds), len(lengths))
 
 
 def _places(lengths, counts, capacity: int) -> pd.DataFrame:
     """Where the pieces of a length go: those of ranks low to high - 1 in sequences from ``first`` on, ``each``
     to a sequence, at ``base`` and after. Its size follows from ``capacity`` and grows with the logarithm of the counts."""
     rows, used, sequence = [], dict.fromkeys(lengths, 0), 0
-    for column, times in configurations(lengths, counts, capacity):
+    left = np.asarray(counts, np.int64).copy()
+    for at, of, times in _filled(np.asarray(lengths, np.int64), left, capacity, 10_000):
         base = 0
-        for i in np.flatnonzero(column)[::-1]:
-            length, each = int(lengths[i]), int(column[i])
+        for i, each in zip(at[::-1].tolist(), of[::-1].tolist(), strict=True):
+            length = int(lengths[i])
             rows.append((length, used[length], used[length] + each * times, sequence, each, base))
             used[length] += each * times
             base += each * length

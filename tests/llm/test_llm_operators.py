@@ -168,6 +168,20 @@ def test_configurations_use_each_piece_once(seed):
     assert (sum(c * n for c, n in made) == counts).all() and all((c * lengths).sum() <= 100 for c, _ in made)
 
 
+def test_places_keep_few_numbers_of_each_configuration():
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    lengths = np.arange(1, 1501)
+    counts = r.integers(1, 40, len(lengths))
+    tracemalloc.start()
+    made = packing._places(lengths.tolist(), counts.tolist(), 1500)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made.assign(n=made["high"] - made["low"]).groupby("length")["n"].sum().tolist() == counts.tolist()
+    assert peak < 30e6
+
+
 def brute_repeats(rows):
     seen, found = {}, {}
     for i, t in sorted(rows):
