@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Query vectors that tasks get at once; more are taken in blocks, each a pass over the vectors.
 BLOCK_QUERIES = 10_000
+#: Rows of either side that a task multiplies at once.
+BLOCK_ROWS = 1000
 
 
 def mean_vector(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -25,35 +27,61 @@ def dim_gate(df: DataFrame, vector: str, dimension: int) -> DataFrame:
     return df.withColumn("indexed", F.coalesce(F.size(vector) == dimension, F.lit(False)))
 
 
+class Best:
+    """The k best of each query so far, by score and then by key, from blocks of scores that come one after the other."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.least = k, np.full(queries, -np.inf)
+        self.query, self.key, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, keys: np.ndarray, scores: np.ndarray, first: int = 0) -> None:
+        """scores: a row for each query from number ``first`` on and a column for each key; not a number: no candidate."""
+        ranked, own = np.where(np.isnan(scores), -np.inf, scores), slice(first, first + len(scores))
+        if ranked.shape[1] > self.k:
+            self.least[own] = np.maximum(self.least[own], np.partition(ranked, -self.k, axis=1)[:, -self.k])
+        query, at = np.nonzero((ranked >= self.least[own, None]) & (ranked > -np.inf))
+        if not len(query):
+            return
+        query, key, score = (np.concatenate(x) for x in ((self.query, query + first), (self.key, keys[at]), (self.score, scores[query, at])))
+        order = np.lexsort((key, -score, query))
+        query, key, score = query[order], key[order], score[order]
+        starts = np.flatnonzero(np.diff(query, prepend=-1))
+        place = np.arange(len(query)) - np.repeat(starts, np.diff(starts, append=len(query)))
+        self.query, self.key, self.score = (x[place < self.k] for x in (query, key, score))
+        last = place[place < self.k] == self.k - 1
+        self.least[self.query[last]] = np.maximum(self.least[self.query[last]], self.score[last])
+
+
 def _nearest(wanted: np.ndarray, ids: np.ndarray, key: str, vector: str, k: int):
-    """A task over vectors that gives, for each query and batch, the k of largest cosine and what ties with the last."""
+    """A task over vectors that gives the k of largest cosine for each query. Products of
+    ``BLOCK_ROWS`` queries and as many vectors stand in memory at once."""
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        least = np.full(len(ids), -np.inf)
+        best = Best(len(ids), k)
         for batch in batches:
-            rows = np.array(batch[vector].tolist(), np.float64).reshape(len(batch), -1)
-            if not rows.size:
-                continue
-            keys, sizes = batch[key].to_numpy(), np.linalg.norm(rows, axis=1)
-            cosine = np.round(wanted @ (rows / np.where(sizes, sizes, np.nan)[:, None]).T, 6)
-            cosine[ids[:, None] == keys[None, :]] = np.nan
-            ranked = np.where(np.isnan(cosine), -np.inf, cosine)
-            if ranked.shape[1] > k:
-                # Only what can be among the task's k best goes on.
-                least = np.maximum(least, np.partition(ranked, -k, axis=1)[:, -k])
-            query, at = np.nonzero((ranked >= least[:, None]) & ~np.isnan(cosine))
-            yield pd.DataFrame({"query": ids[query], key: keys[at], "cosine": cosine[query, at]})
+            for at in range(0, len(batch), BLOCK_ROWS):
+                part = batch.iloc[at : at + BLOCK_ROWS]
+                rows = np.array(part[vector].tolist(), np.float64).reshape(len(part), -1)
+                if not rows.size:
+                    continue
+                keys, sizes = part[key].to_numpy(), np.linalg.norm(rows, axis=1)
+                rows = (rows / np.where(sizes, sizes, np.nan)[:, None]).T
+                for first in range(0, len(ids), BLOCK_ROWS):
+                    cosine = np.round(wanted[first : first + BLOCK_ROWS] @ rows, 6)
+                    cosine[ids[first : first + BLOCK_ROWS, None] == keys[None, :]] = np.nan
+                    best.add(keys, cosine, first)
+        yield pd.DataFrame({"query": ids[best.query], key: best.key, "cosine": best.score})
 
     return near
 
 
 def knn(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """The k vectors of largest cosine for each query, itself left out; ties by key. queries are a stated set of
-    which a block goes to the tasks at once; a task multiplies block by batch and keeps what can be among its k
+    which a block goes to the tasks at once; a task multiplies a part of it by a part of a batch and keeps its k
     best. Vectors of no length have no neighbours, nor have those of other dimensions than the longest query. Keys are
-    integers."""
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
-    v = vectors.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+    integers; rows without one take no part."""
+    q = queries.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+    v = vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
     sized = q.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
     q, v = (x.where(F.size(vector) == (sized["d"] or 0)) for x in (q, v))
     blocks = max(1, -(-sized["n"] // BLOCK_QUERIES))
