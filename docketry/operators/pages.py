@@ -92,8 +92,9 @@ def content_text(nodes: DataFrame, key: str) -> DataFrame:
 def class_styles(nodes: DataFrame, key: str) -> DataFrame:
     """(key, class, size, bold): the classes that the first style element of a page defines, with their size in pixels
     and weight; of several definitions that tell either the last counts."""
-    first = nodes.where("tag = 'style'").groupBy(key).agg(F.min("node").alias("parent"))
-    sheet = nodes.where("tag IS NULL").select(key, "parent", "text").join(first, [key, "parent"])
+    own = nodes.where((c("tag") == "style") | (c("tag").isNull() & (F.try_element_at("path", F.lit(-1)) == "style")))
+    sheets = own.groupBy(key).agg(F.min(F.when(c("tag") == "style", c("node"))).alias("first"), F.collect_list(F.when(c("tag").isNull(), F.struct("parent", "text"))).alias("texts"))
+    sheet = sheets.select(key, F.explode(F.filter("texts", lambda x: x.parent == c("first"))).alias("x")).select(key, "x.text")
     pattern = r"\.([a-zA-Z0-9_-]+)\s*\{([^}]+)\}"
     names, rules = (F.regexp_extract_all("text", F.lit(pattern), F.lit(g)) for g in (1, 2))
     each = sheet.select(key, F.posexplode(F.arrays_zip(names.alias("class"), rules.alias("rule"))).alias("at", "x"))
