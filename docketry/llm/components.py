@@ -12,22 +12,24 @@ from docketry.llm.store import stored
 SALTS = 16
 
 
-def _to_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """edges (a, v) with m, the least neighbour of a."""
-    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("a", "v"), F.lit(SALTS)).cast("int"))
-    return dealt.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge"), ["a", "salt"])
+def _with_least(ends: DataFrame, edges: DataFrame, how: str) -> DataFrame:
+    """ends (a, v) with m, the least b of a in edges."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = ends.withColumn("salt", F.pmod(F.xxhash64("a", "v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least.hint("merge"), ["a", "salt"], how)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """edges: (a, b) with a > b. The result has the same form; rows may repeat."""
-    if large:
-        around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = _to_least(edges.select(F.col("b").alias("a"), F.col("a").alias("v")), least).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        moved = _to_least(edges.select("a", F.col("b").alias("v")), least).select(F.explode(F.array("a", "v")).alias("a"), F.col("m").alias("b"))
-    return moved.where("a > b")
+    above = edges.select(F.col("b").alias("a"), F.col("a").alias("v"))
+    # What has no smaller neighbour is the least itself.
+    return _with_least(above, edges, "left").select(F.col("v").alias("a"), F.coalesce("m", "a").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """As ``_large_star``."""
+    below = edges.select("a", F.col("b").alias("v"))
+    return _with_least(below, edges, "inner").select(F.explode(F.array("a", "v")).alias("a"), F.col("m").alias("b")).where("a > b")
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -44,5 +46,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if _settled(edges):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        edges = stored(_star(_star(edges, True), False).distinct(), "stars")
+        # Both steps read their edges twice; in one query the first would be planned and run twice.
+        edges = stored(_small_star(stored(_large_star(edges), "large")).distinct(), "stars")
     raise RuntimeError("components did not settle")

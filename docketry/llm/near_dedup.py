@@ -163,13 +163,16 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     best = stored(best.select(F.greatest("doc_id", "x.other").alias("a"), F.least("doc_id", "x.other").alias("b")).distinct(), "likeliest")
     links = stored(_confirmed(best, texts, threshold), "links")
     # Then all other candidates of documents that these links leave in different components.
-    rest = _across(near.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct(), components(links)).join(best, ["a", "b"], "left_anti")
-    found = stored(components(links.unionByName(_confirmed(rest, texts, threshold))), "components")
+    linked = components(links)
+    rest = _across(near.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct(), linked).join(best, ["a", "b"], "left_anti")
+    more = _confirmed(stored(rest, "rest"), texts, threshold)
+    # The stars found so far stand for their links.
+    found = components(linked.toDF("a", "b").unionByName(more))
     # Regions of more than one component.
     member = members.select("region", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
     apart = stored(member.join(mixed, "region", "left_semi").select("doc_id", "component").distinct(), "apart")
-    met = _confirmed(_by_rare_shingles(apart, texts, threshold), texts, threshold)
+    met = _confirmed(stored(_by_rare_shingles(apart, texts, threshold), "met"), texts, threshold)
     for end in ("a", "b"):
         met = met.join(apart.withColumnRenamed("doc_id", end), end).withColumnRenamed("component", f"{end}_in")
     joined = components(met.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))

@@ -12,6 +12,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from docketry.llm import chat, fingerprints, licences, near_dedup, ordinal, packing, repeats, secrets
+from docketry.llm import components as components_module
 from docketry.llm.components import components
 from docketry.llm.decontaminate import clean, contamination
 from docketry.llm.near_dedup import keep_one, near_duplicates
@@ -101,6 +102,49 @@ def test_components(spark):
     assert {r.node: r.component for r in components(links).collect()} == {**{i: 0 for i in range(1, 21)}, 45: 40, 50: 40}
 
 
+def _sizes(monkeypatch, module) -> list[tuple[str, int]]:
+    """Gets the label and the number of exchanges of each table that ``module`` stores."""
+    seen, plain = [], module.stored
+
+    def told(df, label):
+        seen.append((label, len(re.findall(r"\bExchange \w", df._jdf.queryExecution().executedPlan().toString()))))
+        return plain(df, label)
+
+    monkeypatch.setattr(module, "stored", told)
+    return seen
+
+
+def test_components_of_random_links_and_small_plans(spark, monkeypatch):
+    seen = _sizes(monkeypatch, components_module)
+    draw = random.Random(3)
+    links = [(draw.randrange(300), draw.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(70)] + [(2000, 2001 + i) for i in range(50)]
+    least = {x: x for link in links for x in link}
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    assert {r.node: r.component for r in found.collect()} == {x: m for x, m in least.items() if x != m}
+    # The driver plans a query anew after each exchange: a step of a round is a query of its own.
+    assert max(n for _, n in seen) <= 4
+
+
+def test_near_dedup_plans_stay_small_and_stars_go_on(spark, monkeypatch):
+    seen, given = _sizes(monkeypatch, near_dedup), []
+
+    def told(links):
+        given.append(sorted(map(tuple, links.collect())))
+        return components(links)
+
+    monkeypatch.setattr(near_dedup, "components", told)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:200] + [f"x{i}"])) for i in range(12)] + [(100 + i, " ".join(words[200:] + [f"y{i}"])) for i in range(3)] + [(200, "alone in this table with no other")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {**{i: 0 for i in range(12)}, 100: 100, 101: 100, 102: 100, 200: 200}
+    assert {"rest", "met"} <= {label for label, _ in seen}
+    # The second call gets the stars of the first, an edge for each node, not its links.
+    assert given[1] == [*((i, 0) for i in range(1, 12)), (101, 100), (102, 100)]
+
+
 def test_contamination(spark):
     passage = " ".join(f"w{i}" for i in range(20))
     items = spark.createDataFrame([(1, passage), (2, "Alpha beta"), (3, None), (1, passage)], "item_id long, text string")
