@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.components import components
-from docketry.llm.store import free_name, stored
+from docketry.llm.store import free_name, small_batches, stored
 from docketry.llm.wordhash import U, mix, shingle_sets, utf8
 
 TREES, DEPTH, BLOCK, LIKELIEST = 32, 4, 64, 4
@@ -138,6 +138,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
 
     threshold: least likeness, in hundredths. Documents with equal sets form a class; only its smallest
     doc_id enters the forest."""
+    small_batches(docs.sparkSession)
     version = F.xxhash64(F.coalesce("text", F.lit("")))
     plain = docs.where("doc_id IS NOT NULL").select("doc_id", "text", version.alias("version"))
     schema = "doc_id long, version long, n_shingles long, d1 long, d2 long, regions array<long>, deeper array<int>"

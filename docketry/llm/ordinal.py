@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.store import small_batches
 from docketry.llm.wordhash import NOT_WORD, byte_set, slices, utf8, words
 
 #: Digits and punctuation split words too, so that symbols stuck to a word don't hide it.
@@ -128,6 +129,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, most: int) -> DataFrame:
 def fit_rated(docs: DataFrame, ratings: DataFrame, most: int) -> CumulativeLink | None:
     """The model of the rated sample, of which the driver gets hashed features, no texts. None if its ratings
     are of one grade only."""
+    small_batches(docs.sparkSession)
     parts = rated_sample(docs, ratings, most).toArrow()
     grades = parts["grade"].to_numpy()
     if len(np.unique(grades)) < 2:

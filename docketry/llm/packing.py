@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.llm.store import shuffle_width, stored
+from docketry.llm.store import shuffle_width, small_batches, stored
 
 CAPACITY, END_ID, CACHED_WORDS = 4096, 1, 600_000
 #: Rounds of the program end when one places less than this share of all pieces.
@@ -80,6 +80,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | Callable[[], str], capacity: i
                     rows.append((doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     plain = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     return plain.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that go to Python at once, but for a longer row.
+BATCH_BYTES = 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _fallback: list[str] = []
 _tables: dict[str, SparkSession] = {}
 
@@ -60,6 +64,14 @@ def _forget_tables() -> None:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows go to Python in batches of about BATCH_BYTES, unless the session has a limit of its own.
+    By Spark's default of 10,000 rows or 64 MB each task holds its batch of texts beside the JVM's heap, and its
+    worker holds it some times over."""
+    if spark.conf.get(_LIMIT, None) is None:
+        spark.conf.set(_LIMIT, str(BATCH_BYTES))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

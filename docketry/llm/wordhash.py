@@ -65,7 +65,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def slices(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: list[bytes], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``limit`` bytes, a longer text by itself: bounds the arrays' size."""
     begin = size = 0
     for i, x in enumerate(texts):

@@ -4,6 +4,7 @@ import random
 import re
 import string
 import textwrap
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
-from docketry.llm import chat, fingerprints, licences, near_dedup, ordinal, packing, repeats, secrets
+from docketry.llm import chat, fingerprints, licences, near_dedup, ordinal, packing, repeats, secrets, store, wordhash
 from docketry.llm import components as components_module
 from docketry.llm.components import components
 from docketry.llm.decontaminate import clean, contamination
@@ -579,3 +580,46 @@ def test_quality_on_held_out(spark):
     assert sum(held.loc[i, "selected"] == (truth[i] >= 2) for i in held.index) >= 285
     assert sum(abs(held.loc[i, "expected_grade"] - truth[i]) < 1 for i in held.index) >= 270
     assert (got["p_best"] <= got["p_good"] + 1e-9).all() and (got["expected_grade"] >= got["p_good"] + got["p_best"] - 1e-9).all()
+
+
+def most_to_python(docs):
+    """The most bytes of texts that a Python worker gets at once."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [batch["text"].str.len().sum()]})
+
+    return docs.mapInPandas(sizes, "n long").agg({"n": "max"}).first()[0]
+
+
+@pytest.mark.parametrize("step", ["toxicity", "near_dedup", "packing"])
+def test_texts_go_to_python_in_small_batches(spark, step):
+    """20 MB of one partition: one batch by Spark's default. A session's own limit stays."""
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id % 2, ' '), 1700) AS text")
+    labels = spark.range(2000).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 2 AS int) AS toxic")
+    run = {"toxicity": lambda: accepted(docs, labels, most=50), "near_dedup": lambda: keep_one(docs.limit(10)), "packing": lambda: packing.pieces(docs, tokenizer_path)}[step]
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    assert most_to_python(docs) > 15e6
+    run()
+    assert most_to_python(docs) < store.BATCH_BYTES + 20_000
+    spark.conf.set(name, "1m")
+    run()
+    assert spark.conf.get(name) == "1m"
+    spark.conf.unset(name)
+
+
+def test_hashing_holds_a_small_slice_at_once():
+    """4 MB of texts take less than 20 MB of arrays beside them, and give what each text gives by itself."""
+    r = random.Random(61)
+    texts = [" ".join(r.choices(WORDS, k=600)) for _ in range(1700)]
+    for hashed in (wordhash.shingle_sets, lambda x: ordinal.features([t.decode() for t in x], 1 << 16)):
+        plain = [t.encode() for t in texts]
+        hashed(plain[:100])
+        tracemalloc.start()
+        found = hashed(plain)
+        kept, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert most - kept < 20e6
+        for i in r.sample(range(len(texts)), 20):
+            assert all((a == b).all() for a, b in zip(found[i], hashed(plain[i : i + 1])[0], strict=True))
