@@ -24,93 +24,113 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.store import shuffle_width, stored, stored_in_buckets
-from docketry.llm.wordhash import U, Spans, mix, slices, utf8
+from docketry.llm.wordhash import U, Spans, mix, utf8
 
 WINDOW, GRAM = 50, 20
 #: Bytes of text in a batch of documents; a longer document is a batch by itself.
 BATCH = 4 << 20
-_PLACE = (1 << 24) - 1
+#: Bytes of a batch that are hashed at once, 1 << 16 at most: the arrays stay in the processor's cache.
+PIECE = 1 << 16
+_PLACE = np.uint32((1 << 16) - 1)
 
 
 class Cover:
-    """The cover sample of a batch of documents: for each range of suffixes [low, high] of one sample its
-    document, the sample's name and the name of all bytes of the range's windows."""
+    """The cover sample of a batch of documents: for each range of suffixes [low, high] of one sample, by place
+    in the batch, its document, the sample's name and the name of all bytes of the range's windows."""
 
-    def __init__(self, texts: list[bytes], step: int = 1 << 20):
+    def __init__(self, texts: list[bytes]):
         self.texts = texts
-        self.parts: list[tuple[int, int, int]] = []
-        found = []
-        for i, j in slices(texts, step):
-            data = b"".join(texts[i:j])
-            ends = np.cumsum([len(x) for x in texts[i:j]])
-            for begin in range(0, max(1, len(data) - WINDOW + 1), _PLACE - WINDOW):
-                piece = np.frombuffer(data[begin : begin + _PLACE], np.uint8)
-                if len(piece) < WINDOW:
-                    continue
-                low, high, name, around = self._ranges(piece, ends - begin)
-                owner = np.searchsorted(ends, begin + low, "right")
-                found.append((np.full(len(low), len(self.parts)), low, high, i + owner, name, around))
-                self.parts.append((i, j, begin))
-        joined = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, U)] * 2
-        self.part, self.low, self.high, self.doc, self.name, self.around = joined
-
-    @staticmethod
-    def _ranges(data: np.ndarray, ends: np.ndarray):
-        spans = Spans(data)
-        n = len(data)
-        grams = spans.hash(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
-        least = (grams & ~U(_PLACE)) | np.arange(len(grams), dtype=U)
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.ends = np.cumsum([len(x) for x in texts])
+        self.step = PIECE - WINDOW + 1
+        found = [self._ranges(begin) for begin in range(0, len(self.data) - WINDOW + 1, self.step)]
+        empty = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)] * 2
+        self.low, self.high, self.doc, self.name, self.around = [np.concatenate(x) for x in zip(*found, strict=True)] if found else empty
+
+    def _ranges(self, begin: int) -> tuple[np.ndarray, ...]:
+        """The ranges of the windows that start in the piece; those that go on in the next piece are cut."""
+        data = self.data[begin : begin + PIECE]
+        spans, n = Spans(data), len(data) - GRAM + 1
+        grams = spans.sums[GRAM:] - spans.sums[:-GRAM]
+        grams *= spans.down[:n]
+        # The upper bits depend on all bytes and choose; of equal ones the leftmost counts.
+        least = (grams >> U(32)).astype(np.uint32)
+        least &= ~_PLACE
+        least |= np.arange(n, dtype=np.uint32)
         width, want = 1, WINDOW - GRAM + 1
         while 2 * width <= want:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         least = np.minimum(least[: len(least) - (want - width)], least[want - width :])
-        at = (least & U(_PLACE)).astype(np.int64)
-        place = np.arange(len(at))
-        owner = np.searchsorted(ends, place, "right")
-        whole = place + WINDOW <= ends[np.minimum(owner, len(ends) - 1)]
-        place, at, owner = place[whole], at[whole], owner[whole]
-        if not len(place):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
-        new = np.flatnonzero((np.diff(at) != 0) | (np.diff(owner) != 0)) + 1
-        first, last = np.r_[0, new], np.r_[new, len(place)] - 1
-        return place[first], place[last], grams[at[first]], spans.hash(place[first], place[last] + WINDOW)
-
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(part, place, doc, name) of all windows of the chosen ranges."""
+        new = np.ones(len(least), bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        starts = self.ends[np.searchsorted(self.ends, begin, "right") : np.searchsorted(self.ends, begin + len(least))] - begin
+        new[starts] = True
+        low = np.flatnonzero(new)
+        at, high = (least[low] & _PLACE).astype(np.int64), np.r_[low[1:], len(least)] - 1
+        doc = np.searchsorted(self.ends, begin + low, "right")
+        high = np.minimum(high, self.ends[doc] - begin - WINDOW)
+        own = low <= high
+        low, high, doc, at = low[own], high[own], doc[own], at[own]
+        return begin + low, begin + high, doc, mix(grams[at]), spans.hash(low, high + WINDOW)
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, doc, name) of all windows of the chosen ranges."""
+        own = np.flatnonzero(chosen)
+        piece = self.low[own] // self.step
         found = []
-        for k, (i, j, begin) in enumerate(self.parts):
-            own = np.flatnonzero(chosen & (self.part == k))
-            if not len(own):
-                continue
-            data = np.frombuffer(b"".join(self.texts[i:j])[begin : begin + _PLACE], np.uint8)
-            counts = self.high[own] - self.low[own] + 1
-            place = np.repeat(self.low[own] - np.cumsum(np.r_[0, counts[:-1]]), counts) + np.arange(counts.sum())
-            found.append((np.full(len(place), k), place, np.repeat(self.doc[own], counts), Spans(data).hash(place, place + WINDOW)))
-        empty = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]
+        for part in np.split(own, np.flatnonzero(np.diff(piece)) + 1) if len(own) else ():
+            begin = int(self.low[part[0]]) // self.step * self.step
+            counts = self.high[part] - self.low[part] + 1
+            place = np.repeat(self.low[part] - begin - np.cumsum(np.r_[0, counts[:-1]]), counts) + np.arange(counts.sum())
+            found.append((begin + place, np.repeat(self.doc[part], counts), Spans(self.data[begin : begin + PIECE]).hash(place, place + WINDOW)))
+        empty = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, U)]
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else tuple(empty)
 
-    def removed(self, part: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
-        """For each text the mask of bytes that the windows starting at low to high of the parts cover."""
-        masks = [np.zeros(len(x), bool) for x in self.texts]
-        for k, (i, j, begin) in enumerate(self.parts):
-            own = part == k
-            sizes = np.cumsum([0, *(len(x) for x in self.texts[i:j])])
-            change = np.zeros(sizes[-1] + 1, np.int32)
-            np.add.at(change, low[own] + begin, 1)
-            np.add.at(change, high[own] + begin + WINDOW, -1)
-            covered = np.cumsum(change[:-1]) > 0
-            for d in range(i, j):
-                masks[d] |= covered[sizes[d - i] : sizes[d - i + 1]]
-        return masks
+    def removed(self, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
+        """For each text the mask of bytes that the windows starting at low to high cover. No two ranges share a
+        window, so that a byte lies in WINDOW of them at most."""
+        change = np.zeros(len(self.data) + 1, np.int8)
+        change[low] += 1
+        change[high + WINDOW] -= 1
+        return np.split(np.cumsum(change[:-1], dtype=np.int8) > 0, self.ends[:-1])
+
+
+def _order(names: np.ndarray) -> np.ndarray:
+    """As a stable argsort, several times as fast: the upper bits are sorted with the index below them, then
+    those that need their lower bits."""
+    below = U((1 << max(1, len(names) - 1).bit_length()) - 1)
+    packed = (names & ~below) | np.arange(len(names), dtype=U)
+    packed.sort()
+    order = (packed & below).astype(np.int64)
+    packed &= ~below
+    found = names[order]
+    new = packed[1:] != packed[:-1]
+    several = ~new & (found[1:] != found[:-1])
+    if several.any():
+        run = np.cumsum(np.r_[False, new])
+        at = np.flatnonzero(np.isin(run, run[1:][several]))
+        order[at] = order[at][np.argsort(found[at], kind="stable")]
+    return order
 
 
 def _distinct(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(an index of each distinct name, each one's first document, the inverse); documents ascend."""
-    _, index, inverse = np.unique(names, return_index=True, return_inverse=True)
+    """(an index of each distinct name in ascending order, each one's first document, the inverse); documents
+    ascend."""
+    order = _order(names)
+    found = names[order]
+    new = np.ones(len(names), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    index, inverse = order[new], np.empty(len(names), np.int64)
+    inverse[order] = np.cumsum(new) - 1
     return index, docs[index], inverse
 
 
+def _bucket(names: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each name, by its upper half; it ascends with the names."""
+    return (((names >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+
+
 def _texts(row) -> list[bytes]:
     plain, at, found = zstandard.ZstdDecompressor(), 0, []
     for size in row.sizes:
@@ -150,47 +170,57 @@ def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield row()
 
 
+def _stretches(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each bucket, where it begins) of ascending buckets."""
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return bucket[first], first
+
+
 def _sent(batch: int, bucket: np.ndarray, payload: np.ndarray) -> pd.DataFrame:
     """A row for each bucket; the payload's rows are in the order of buckets."""
-    found, first = np.unique(bucket, return_index=True)
+    found, first = _stretches(bucket)
     parts = np.split(payload, first[1:]) if len(found) else []
     return pd.DataFrame({"batch": [batch] * len(found), "bucket": found.astype(np.int64), "payload": [x.tobytes() for x in parts]})
 
 
 _NAME = np.dtype([("name", "<u4"), ("around", "<u4"), ("more", "u1")])
+_LOW = U((1 << 24) - 1)
 
 
 class _Sample:
     """A batch's cover with its distinct names in the order in which buckets get them."""
 
     def __init__(self, row, buckets: int):
-        self.ids, self.cover = list(row.ids), Cover(_texts(row))
+        self.ids, self.cover, self.buckets = list(row.ids), Cover(_texts(row)), buckets
         c = self.cover
-        index, self.first, self.inverse = _distinct(mix(c.name + mix(c.around)), c.doc)
-        name = c.name[index]
-        self.bucket = ((name >> U(32)) % U(buckets)).astype(np.int64)
-        self.order = np.lexsort((name, self.bucket))
-        self.name, self.around = name, c.around[index]
+        index, self.first, self.inverse = _distinct((c.name & ~_LOW) | (c.around & _LOW), c.doc)
+        self.name, self.around = c.name[index], c.around[index]
+        self.bucket = _bucket(self.name, buckets)
 
     def payload(self) -> tuple[np.ndarray, np.ndarray]:
-        out = np.zeros(len(self.order), _NAME)
-        out["name"], out["around"] = self.name[self.order] & U(0xFFFFFFFF), self.around[self.order] & U(0xFFFFFFFF)
-        out["more"] = (self.around[self.order] >> U(32)) & U(0xFF)
-        return self.bucket[self.order], out
+        out = np.zeros(len(self.name), _NAME)
+        out["name"], out["around"] = self.name & U(0xFFFFFFFF), self.around & U(0xFFFFFFFF)
+        out["more"] = (self.around >> U(32)) & U(0xFF)
+        return self.bucket, out
 
     def settle(self, answers) -> tuple[np.ndarray, np.ndarray]:
         """For each range: it is repeated as a whole; its suffixes have to be sorted."""
-        seen, mixed = np.zeros(len(self.order), bool), np.zeros(len(self.order), bool)
-        bits = _bits(answers, self.bucket[self.order], 2)
-        seen[self.order], mixed[self.order] = bits[:, 0], bits[:, 1]
+        seen, mixed = _bits(answers, self.bucket, 2).T
         whole = seen[self.inverse] | (self.cover.doc > self.first[self.inverse])
         return whole, mixed[self.inverse] & ~whole
 
+    def suffixes(self, sorted_too: np.ndarray):
+        """(place, doc) of the suffixes to be sorted, (name, bucket, first document) of the distinct ones, the inverse."""
+        place, doc, name = self.cover.windows(sorted_too)
+        index, first, inverse = _distinct(name, doc)
+        return place, doc, name[index], _bucket(name[index], self.buckets), first, inverse
+
 
 def _bits(answers, bucket: np.ndarray, width: int) -> np.ndarray:
     """The buckets' answers in the order in which the names were sent."""
     out = np.zeros((len(bucket), width), bool)
-    found, first, count = np.unique(bucket, return_index=True, return_counts=True)
+    found, first = _stretches(bucket)
+    count = np.diff(np.r_[first, len(bucket)])
     place = dict(zip(found.tolist(), zip(first.tolist(), count.tolist(), strict=True), strict=True))
     for answer in answers if answers is not None else ():
         at, n = place[int(answer["bucket"])]
@@ -198,10 +228,12 @@ def _bits(answers, bucket: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _answered(group: pd.DataFrame, dtype) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+def _answered(group: pd.DataFrame, dtype) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """(the rows by batch, their names one after the other, where each row's names end); a stable order of the
+    names is by batch too."""
     group = group.sort_values("batch")
     parts = [np.frombuffer(x, dtype) for x in group["payload"]]
-    return group, np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts]), np.cumsum([len(x) for x in parts])
+    return group, np.concatenate(parts), np.cumsum([len(x) for x in parts])
 
 
 def _reply(group: pd.DataFrame, bits: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
@@ -209,12 +241,14 @@ def _reply(group: pd.DataFrame, bits: np.ndarray, ends: np.ndarray) -> pd.DataFr
 
 
 def _sort_names(group: pd.DataFrame) -> pd.DataFrame:
-    group, names, batch, ends = _answered(group, _NAME)
-    around = names["around"].astype(U) | (names["more"].astype(U) << U(32))
-    order = np.lexsort((batch, around, names["name"]))
-    n, a = names["name"][order], around[order]
+    group, names, ends = _answered(group, _NAME)
+    key, more = (names["name"].astype(U) << U(32)) | names["around"], names["more"]
+    order = _order(key)
+    if (same := key[order][1:] == key[order][:-1]).any() and (same & (more[order][1:] != more[order][:-1])).any():
+        order = np.lexsort((more, key))
+    n, a, m = names["name"][order], names["around"][order], more[order]
     new_name = np.r_[True, n[1:] != n[:-1]]
-    new = new_name | np.r_[True, a[1:] != a[:-1]]
+    new = new_name | np.r_[True, (a[1:] != a[:-1]) | (m[1:] != m[:-1])]
     kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_name))
     bits = np.zeros((len(names), 2), bool)
     bits[order, 0] = ~new
@@ -223,8 +257,8 @@ def _sort_names(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sort_suffixes(group: pd.DataFrame) -> pd.DataFrame:
-    group, names, batch, ends = _answered(group, "<u8")
-    order = np.lexsort((batch, names))
+    group, names, ends = _answered(group, "<u8")
+    order = _order(names)
     bits = np.zeros((len(names), 1), bool)
     bits[order, 0] = np.r_[False, names[order][1:] == names[order][:-1]]
     return _reply(group, bits, ends)
@@ -252,18 +286,11 @@ def repeats(docs: DataFrame) -> DataFrame:
             for row in part.itertuples():
                 yield _sent(row.batch, *_Sample(row, buckets).payload())
 
-    def suffixes(sample: _Sample, sorted_too: np.ndarray):
-        part, place, doc, name = sample.cover.windows(sorted_too)
-        index, first, inverse = _distinct(name, doc)
-        bucket = ((name[index] >> U(40)) % U(buckets)).astype(np.int64)
-        order = np.lexsort((name[index], bucket))
-        return part, place, doc, name[index][order], bucket[order], order, first, inverse
-
     def send_suffixes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row in part.itertuples():
                 sample = _Sample(row, buckets)
-                _, _, _, name, bucket, *_ = suffixes(sample, sample.settle(row.names)[1])
+                _, _, name, bucket, *_ = sample.suffixes(sample.settle(row.names)[1])
                 yield _sent(row.batch, bucket, name.astype("<u8"))
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,11 +299,9 @@ def repeats(docs: DataFrame) -> DataFrame:
                 sample = _Sample(row, buckets)
                 whole, sorted_too = sample.settle(row.names)
                 cover = sample.cover
-                at, place, doc, name, bucket, order, first, inverse = suffixes(sample, sorted_too)
-                seen = np.zeros(len(order), bool)
-                seen[order] = _bits(row.suffixes, bucket, 1)[:, 0]
-                again = seen[inverse] | (doc > first[inverse])
-                masks = cover.removed(np.r_[cover.part[whole], at[again]], np.r_[cover.low[whole], place[again]], np.r_[cover.high[whole], place[again]])
+                place, doc, _, bucket, first, inverse = sample.suffixes(sorted_too)
+                again = place[_bits(row.suffixes, bucket, 1)[:, 0][inverse] | (doc > first[inverse])]
+                masks = cover.removed(np.r_[cover.low[whole], again], np.r_[cover.high[whole], again])
                 kept = [np.frombuffer(t, np.uint8)[~m].tobytes() for t, m in zip(cover.texts, masks, strict=True)]
                 yield pd.DataFrame(
                     {

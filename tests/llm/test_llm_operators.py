@@ -4,6 +4,7 @@ import random
 import re
 import string
 import textwrap
+import time
 import tracemalloc
 import zlib
 
@@ -251,6 +252,73 @@ def test_repeats_against_brute_force(spark, monkeypatch):
     assert repeats.repeats(empty(spark)).count() == 0
 
 
+def repeats_by_hand(rows, buckets):
+    """The steps of repeats, with each batch and bucket as a task has it."""
+    packed = next(repeats._pack(iter([pd.DataFrame(rows, columns=["doc_id", "text"]).sort_values("doc_id")])))
+    samples = {x.batch: repeats._Sample(x, buckets) for part in repeats._gather(iter([packed])) for x in part.itertuples()}
+
+    def answers(sent, sort):
+        found = {b: [] for b in samples}
+        for _, group in pd.concat(sent).groupby("bucket"):
+            for x in sort(group).itertuples():
+                found[x.batch].append({"bucket": x.bucket, "bits": x.bits})
+        return found
+
+    names = answers([repeats._sent(b, *s.payload()) for b, s in samples.items()], repeats._sort_names)
+    settled = {b: s.settle(names[b]) for b, s in samples.items()}
+    suffixes = {b: s.suffixes(settled[b][1]) for b, s in samples.items()}
+    bits = answers([repeats._sent(b, bucket, name.astype("<u8")) for b, (_, _, name, bucket, _, _) in suffixes.items()], repeats._sort_suffixes)
+    found = {}
+    for b, s in samples.items():
+        whole, (place, doc, _, bucket, first, inverse) = settled[b][0], suffixes[b]
+        again = place[repeats._bits(bits[b], bucket, 1)[:, 0][inverse] | (doc > first[inverse])]
+        for i, t, m in zip(s.ids, s.cover.texts, s.cover.removed(np.r_[s.cover.low[whole], again], np.r_[s.cover.high[whole], again]), strict=True):
+            found[i] = (len(t), int(m.sum()), repeats._runs(m), hashlib.sha256(np.frombuffer(t, np.uint8)[~m].tobytes()).hexdigest())
+    return found, len(samples)
+
+
+@pytest.mark.parametrize(("batch", "piece", "letters"), [(300, 50, "ab"), (300, 64, "abcdefgh "), (2000, 101, "a"), (2000, 1 << 16, "aé€ "), (1 << 20, 300, "abc")])
+def test_repeats_in_small_batches_and_pieces(monkeypatch, batch, piece, letters):
+    monkeypatch.setattr(repeats, "BATCH", batch)
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    for seed in range(4):
+        r = random.Random(seed)
+        pool = ["".join(r.choices(letters, k=r.randint(0, 200))) for _ in range(12)]
+        rows = [(i, "".join(r.choice(pool)[r.randint(0, 20) :] for _ in range(r.randint(0, 6)))) for i in range(60)]
+        rows += [(100, None), (101, ""), (102, "x" * 49), (103, "x" * 50), (104, "x" * 50), (105, "x" * 51)]
+        got, batches = repeats_by_hand(rows, 7)
+        assert got == brute_repeats(rows) and (batches > 3 or batch > 2000)
+
+
+def test_order_of_names_that_differ_in_lower_bits():
+    r = np.random.default_rng(2)
+    for n, high, low in [(0, 1, 1), (1, 1, 1), (2, 1, 2), (1000, 3, 1), (100_000, 50, 1 << 14), (100_000, 1 << 30, 4)]:
+        names = (r.integers(0, high, n).astype(np.uint64) << np.uint64(30)) | r.integers(0, low, n).astype(np.uint64)
+        assert (repeats._order(names) == np.argsort(names, kind="stable")).all()
+
+
+def test_cover_of_a_batch_is_small_work():
+    """A cover sample takes less time than a hash of each place would, and its arrays lie in small pieces."""
+    data = np.random.default_rng(1).integers(97, 123, 4 << 20).astype(np.uint8)
+    texts = [data[i : i + 4096].tobytes() for i in range(0, len(data), 4096)]
+    place = np.arange(len(data) - 49)
+
+    def seconds(work):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            work()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert seconds(lambda: repeats.Cover(texts)) < seconds(lambda: wordhash.Spans(data).hash(place, place + 50))
+    tracemalloc.start()
+    repeats.Cover(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+
+
 def test_fingerprints(spark):
     rows = near_copies(2) + [(900, None), (901, ""), (902, "a\U0001f600b" * 7)]
     got = {r.doc_id: r for r in fingerprints.fingerprints(frame(spark, rows)).collect()}
